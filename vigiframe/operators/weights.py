@@ -83,7 +83,7 @@ def pooled_age(age, top_age: int) -> Column:
 def apply_weights(population: DataFrame, census: DataFrame, top_age: int,
                   pop_keys: tuple[str, str, str] = ("co_municipio_ibge", "sexo", "idade"),
                   census_keys: tuple[str, str, str] = ("co_municipio_ibge", "sexo", "idade"),
-                  category: str = CATEGORY) -> DataFrame:
+                  category: str = CATEGORY, sex_type: str | None = "int") -> DataFrame:
     """Estimated population by category:
 
         estimate(year, mun, sex, age, cat) = total(year, mun, sex, age) * weight(mun, sex, age, cat)
@@ -92,15 +92,20 @@ def apply_weights(population: DataFrame, census: DataFrame, top_age: int,
     computed, so open-ended top classes get a proper weight (weights are never
     averaged). Keys are cast to int on both sides; population cells without a
     weight are kept with null weight and estimate, so gaps are visible.
+    ``sex_type=None`` keeps sex codes as they are (e.g. letter codes).
 
     Plan: the weight side is aggregated and windowed on (mun, sex, age); the
     population side is shuffled once on the same keys; sort-merge join, no
     broadcast of data that grows with the input.
     """
     mun, sex, age = census_keys
+
+    def sex_key(c: str):
+        return F.col(c).cast(sex_type) if sex_type else F.col(c)
+
     cells = (census
              .withColumn("_mun", F.col(mun).cast("string"))
-             .withColumn("_sex", F.col(sex).cast("int"))
+             .withColumn("_sex", sex_key(sex))
              .withColumn("_age", pooled_age(age, top_age))
              .groupBy("_mun", "_sex", "_age", category)
              .agg(F.sum("pop").cast("long").alias("_pop")))
@@ -108,7 +113,7 @@ def apply_weights(population: DataFrame, census: DataFrame, top_age: int,
     pmun, psex, page = pop_keys
     p = (population
          .withColumn("_mun", F.col(pmun).cast("string"))
-         .withColumn("_sex", F.col(psex).cast("int"))
+         .withColumn("_sex", sex_key(psex))
          .withColumn("_age", pooled_age(page, top_age)))
     out = p.join(weights, ["_mun", "_sex", "_age"], "left")
     return (out.withColumn("pop_estimada", F.col("pop").cast("double") * F.col("peso"))
