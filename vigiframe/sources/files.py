@@ -160,8 +160,8 @@ def rows_after_header(payload, element_schema: T.DataType | str) -> Column:
     Use with ``posexplode`` semantics via ``F.explode``; an array holding only the
     header yields nothing."""
     c = F.col(payload) if isinstance(payload, str) else payload
-    arr = F.from_json(c, T.ArrayType(T._parse_datatype_string(element_schema))
-                      if isinstance(element_schema, str) else T.ArrayType(element_schema))
+    schema = f"array<{element_schema}>" if isinstance(element_schema, str) else T.ArrayType(element_schema)
+    arr = F.from_json(c, schema)
     return F.slice(arr, 2, F.greatest(F.size(arr) - 1, F.lit(0)))
 
 
