@@ -35,10 +35,43 @@ def duplicate_keys(df: DataFrame, keys: list[str], count_alias: str = "n") -> Da
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_alias)).filter(F.col(count_alias) > 1)
 
 
-def block_ids(df: DataFrame, group: list[str], order: list[str], size: int, alias: str = "bloco") -> DataFrame:
-    """Fixed-size blocks of the rows of a group in ``order``: block = (row_number-1) div size."""
+# Groups above this many rows are numbered by the distributed path of ``block_ids``.
+HOT_GROUP_ROWS = 1_000_000
+
+
+def block_ids(df: DataFrame, group: list[str], order: list[str], size: int, alias: str = "bloco",
+              hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Fixed-size blocks of the rows of a group in ``order``: block = (rank - 1) div size.
+
+    Ordinary groups: ``row_number`` over a window (one shuffle). Groups above
+    ``hot_rows`` rows would put all their rows into one task, so they take a
+    distributed path: range-partitioned on (group, order) so one hot group spans
+    many tasks, sorted inside each task, positions from
+    ``monotonically_increasing_id``, and each task's run of a group shifted by the
+    rows of that group in earlier tasks (a small per-(task, group) table, broadcast).
+    """
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > hot_rows).select(*group)
+    # At most rows/hot_rows hot groups exist, so this list is bounded by construction.
+    hot_b = F.broadcast(hot)
+    normal = df.join(hot_b, group, "left_anti")
     w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(alias, F.floor((F.row_number().over(w) - 1) / size).cast("int"))
+    normal = normal.withColumn(alias, F.floor((F.row_number().over(w) - 1) / size).cast("int"))
+
+    heavy = df.join(hot_b, group, "left_semi")
+    # An explicit partition count keeps AQE from re-cutting the range partitions,
+    # so partition ids and positions are the same in both uses of ``ranged``.
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (heavy.repartitionByRange(n_parts, *group, *order).sortWithinPartitions(*group, *order)
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .withColumn("_pid", F.spark_partition_id()))
+    chunks = ranged.groupBy("_pid", *group).agg(F.min("_mid").alias("_start"), F.count(F.lit(1)).alias("_len"))
+    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.withColumn("_offset", F.coalesce(F.sum("_len").over(before), F.lit(0)))
+    heavy = (ranged.join(F.broadcast(chunks.select("_pid", *group, "_start", "_offset")), ["_pid", *group])
+             .withColumn(alias, F.floor((F.col("_mid") - F.col("_start") + F.col("_offset")) / size).cast("int"))
+             .drop("_mid", "_pid", "_start", "_offset"))
+    return normal.unionByName(heavy)
 
 
 def top_n_values(df: DataFrame, col: str, n: int) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigiframe.operators.sizing import DEFAULT_DOMAIN_VALUES, has_at_most, sized_broadcast
+from vigiframe.operators.sizing import DEFAULT_DOMAIN_VALUES, sized_broadcast
 
 
 def strict_lookup(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
@@ -21,7 +21,7 @@ def strict_lookup(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
     no extra pass over the data.
     """
     d = sized_broadcast(dim.withColumnRenamed(dim_key, "_dim_key").withColumn("_hit", F.lit(True)))
-    j = df.join(d, F.col(left_key).eqNullSafe(F.col("_dim_key")), "left")
+    j = df.join(d, F.col(left_key) == F.col("_dim_key"), "left")
     unknown = F.col(left_key).isNotNull() & F.col("_hit").isNull()
     j = j.withColumn("_hit", F.when(unknown, F.raise_error(
         F.concat(F.lit(f"unknown {what}: "), F.col(left_key).cast("string")))).otherwise(F.col("_hit")))
@@ -46,11 +46,14 @@ def nodot_lookup(df: DataFrame, code: str, dim: DataFrame, dim_key: str) -> Data
 
 
 def semi_join(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    return df.join(keys, on, "left_semi")
+    """Rows of ``df`` whose key is in ``keys``. The key side is de-duplicated first
+    (map-side partial aggregation), so a key repeated in many rows is shipped once
+    per task instead of once per row."""
+    return df.join(keys.distinct(), on, "left_semi")
 
 
 def anti_join(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    return df.join(keys, on, "left_anti")
+    return df.join(keys.distinct(), on, "left_anti")
 
 
 def missing_cells(df: DataFrame, entity: str, dims: list[str],
@@ -63,13 +66,15 @@ def missing_cells(df: DataFrame, entity: str, dims: list[str],
     cells it has (``collect_set`` is bounded by the domain, not by the entity's
     row count, and combines map-side); ``array_except`` leaves the gaps.
     """
+    # One bounded-memory pass (HyperLogLog) checks every dimension before any
+    # value list is gathered into a single task.
+    approx = df.agg(*[F.approx_count_distinct(d).alias(d) for d in dims]).collect()[0]
     size = 1
     for d in dims:
-        n = df.select(d).distinct()
-        if not has_at_most(n, max_domain):
+        if approx[d] > max_domain:
             raise ValueError(f"grid dimension {d} exceeds {max_domain} values")
-        size *= n.count()
-    if size > max_domain:
+        size *= max(int(approx[d]), 1)
+    if size > max_domain * 1.2:
         raise ValueError(f"grid domain over {dims} exceeds {max_domain} cells")
     lists = df.agg(*[F.array_sort(F.collect_set(d)).alias(d) for d in dims])
 

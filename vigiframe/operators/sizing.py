@@ -11,14 +11,41 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_DOMAIN_VALUES = 100_000
 
 
+def known_row_count(df: DataFrame) -> int | None:
+    """Exact row count when the plan already knows it (in-memory local data), else None."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    rc = stats.rowCount()
+    return int(rc.get().toString()) if rc.isDefined() else None
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
+    known = known_row_count(df)
+    if known is not None:
+        return known <= max_rows
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+_DERIVED_NODES = ("Aggregate", "Join", "Window", "Generate", "Expand", "Union")
+
+
+def _is_derived(df: DataFrame) -> bool:
+    """True when the plan computes its rows (aggregate, join, window, explode ...)."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(node in plan for node in _DERIVED_NODES)
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; beyond it the join is
-    left to Spark (sort-merge / AQE re-plan), never forced into memory."""
+    """Broadcast hint only behind a checked row bound.
+
+    A scanned or local dimension is counted (at most ``max_rows + 1`` rows are
+    read). A derived dimension (aggregate, join, ...) is not computed twice just
+    to be measured: it gets no hint, and AQE turns the join into a broadcast
+    join at run time when the dimension's measured shuffle output is small.
+    Beyond the bound the join stays a shuffle join, never forced into memory.
+    """
+    if _is_derived(df):
+        return df
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 

@@ -13,16 +13,19 @@ def new_versions(available: DataFrame, published: DataFrame, version: str) -> Da
     return available.filter(mark.isNull() | (F.col(version) > mark))
 
 
-def retain_latest(df: DataFrame, version: str, n: int) -> DataFrame:
+def retain_latest(df: DataFrame, version: str, n: int, versions: DataFrame | None = None) -> DataFrame:
     """Rows of the ``n`` most recent versions (rolling retention).
 
     The cut-off is the n-th largest distinct version, found by a small
     aggregate over distinct versions, then applied as a plain filter, so the big
-    table is read once and never sorted or windowed as a whole.
+    table is never sorted or windowed as a whole. ``versions`` (one column named
+    ``version``, e.g. a file catalogue) avoids deriving the version list from
+    ``df`` itself when ``df`` is expensive to compute.
     """
     if n < 1:
         raise ValueError("n must be >= 1 (0 would mean 'all versions')")
-    top = df.select(version).distinct().orderBy(F.col(version).desc()).limit(n)
+    source = versions if versions is not None else df
+    top = source.select(version).distinct().orderBy(F.col(version).desc()).limit(n)
     cutoff = top.agg(F.min(version).alias("_cut")).scalar()
     return df.filter(F.col(version) >= cutoff)
 

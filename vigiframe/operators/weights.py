@@ -30,8 +30,17 @@ def group_sum(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFra
     return df.groupBy(*keys).agg(F.coalesce(F.sum(value), F.lit(0)).cast("long").alias(alias))
 
 
-def with_group_total(df: DataFrame, keys: list[str], value: str, total: str) -> DataFrame:
-    """Add the total of ``value`` over ``keys`` to every row (null keys match each other)."""
+def with_group_total(df: DataFrame, keys: list[str], value: str, total: str, skew_safe: bool = False) -> DataFrame:
+    """Add the total of ``value`` over ``keys`` to every row (null keys match each other).
+
+    Window form (default): one shuffle, for frames whose groups are bounded (e.g.
+    aggregated cells). ``skew_safe=True`` for raw detail rows: the totals are a
+    map-side partially aggregated ``groupBy`` and are joined back, so a hot key
+    is never gathered into one task (AQE splits the hot detail partition, or
+    broadcasts the totals when they are small).
+    """
+    if skew_safe:
+        return join_group_total(df, keys, value, total)
     w = Window.partitionBy(*keys)
     return df.withColumn(total, F.coalesce(F.sum(value).over(w), F.lit(0)).cast("long"))
 
@@ -74,6 +83,20 @@ def weight_sum_failures(matrix: DataFrame, keys: list[str] = GROUP_KEYS, weight:
     return sums.filter((F.col("soma_pesos") > 0) & (F.abs(F.col("soma_pesos") - 1.0) > tol))
 
 
+def weight_sum_report(matrix: DataFrame, keys: list[str] = GROUP_KEYS, weight: str = "peso_raca",
+                      tol: float = WEIGHT_TOLERANCE) -> DataFrame:
+    """One-row invariant report in a single pass over the group sums:
+    groups, groups summing to 0, and failing groups (null-key groups are not judged)."""
+    keys_ok = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        keys_ok = c if keys_ok is None else keys_ok & c
+    sums = matrix.groupBy(*keys).agg(F.sum(weight).alias("_s")).withColumn("_k", keys_ok)
+    bad = F.col("_k") & (F.col("_s") > 0) & (F.abs(F.col("_s") - 1.0) > tol)
+    return sums.agg(F.count(F.lit(1)).alias("grupos"), F.count_if(F.col("_s") == 0).alias("grupos_zero"),
+                    F.count_if(bad).alias("falhas"))
+
+
 def pooled_age(age, top_age: int) -> Column:
     """Ages at or above ``top_age`` share one open-ended class."""
     a = F.col(age) if isinstance(age, str) else age

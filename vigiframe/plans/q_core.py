@@ -13,7 +13,7 @@ from vigiframe.functions import dates as D
 from vigiframe.functions.scalars import zfill
 from vigiframe.operators.sizing import sized_broadcast
 from vigiframe.operators.weights import (group_sum, join_group_total, race_weights, share_of_total,
-                                         weight_sum_failures, with_group_total)
+                                         weight_sum_report, with_group_total)
 from vigiframe.plans import pipelines as P
 from vigiframe.plans.registry import query
 from vigiframe.tables import Tables
@@ -101,7 +101,8 @@ def win_group_total(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
     df = o.select("o_orderkey", "o_custkey", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("prioridade"),
                   F.floor("o_totalprice").cast("long").alias("valor"))
-    return with_group_total(df, ["o_custkey", "prioridade"], "valor", "total_grupo")
+    # Raw order rows: a customer may hold a large share of them, so the skew-safe form.
+    return with_group_total(df, ["o_custkey", "prioridade"], "valor", "total_grupo", skew_safe=True)
 
 
 @query("jn_left_nullsafe", """
@@ -126,12 +127,7 @@ SELECT CAST(count(*) AS BIGINT) AS grupos,
        CAST(count(*) FILTER (WHERE s > 0 AND abs(s - 1.0) > 1e-9) AS BIGINT) AS falhas
 FROM g""")
 def dq_weight_sums(spark, sf_dir):
-    m = race_weights(census_cells(Tables(spark, sf_dir), zero_age=7))
-    keys = ["ano_censo", "co_municipio_ibge", "sexo", "idade"]
-    groups = m.groupBy(*keys).agg(F.sum("peso_raca").alias("s"))
-    fails = weight_sum_failures(m).agg(F.count(F.lit(1)).alias("falhas"))
-    summary = groups.agg(F.count(F.lit(1)).alias("grupos"), F.count_if(F.col("s") == 0).alias("grupos_zero"))
-    return summary.select("grupos", "grupos_zero", fails.scalar().alias("falhas"))
+    return weight_sum_report(race_weights(census_cells(Tables(spark, sf_dir), zero_age=7)))
 
 
 @query("prj_conditional", """

@@ -70,10 +70,18 @@ def population_records(t: Tables):
     return cells.select(F.encode(rec, "ISO-8859-1").alias("rec"))
 
 
+def population_catalog(t: Tables):
+    """Available years, as the source's file catalogue lists them (one file per year
+    holding live records); read from the source columns, not from the decoded records,
+    so the retention cut-off does not recompute the decode."""
+    li = t.lineitem
+    return li.filter(F.col("l_linenumber") != 7).select(F.year("l_shipdate").cast("long").alias("ano"))
+
+
 def population_published(t: Tables, recent_years: int = 3):
     recs = population_records(t)
     decoded = recs.select(*SRC.decode_fixed_width("rec", POP_FIELDS)).filter(F.col("_flag") != "*").drop("_flag")
-    return P.population(retain_latest(decoded, "ano", recent_years))
+    return P.population(retain_latest(decoded, "ano", recent_years, versions=population_catalog(t)))
 
 
 POP_SQL = f"""
