@@ -10,7 +10,8 @@ def new_versions(available: DataFrame, published: DataFrame, version: str) -> Da
     """Available versions above the published high-water mark (all when nothing is
     published). The mark is a one-row scalar subquery, so the gate is one filter."""
     mark = published.agg(F.max(version).alias("_mark")).scalar()
-    return available.filter(mark.isNull() | (F.col(version) > mark))
+    # Nothing published -> the comparison is null -> keep everything.
+    return available.filter(F.coalesce(F.col(version) > mark, F.lit(True)))
 
 
 def retain_latest(df: DataFrame, version: str, n: int, versions: DataFrame | None = None) -> DataFrame:

@@ -29,7 +29,8 @@ def inc_new_versions(spark, sf_dir):
     e = Tables(spark, sf_dir).events
     v = F.date_format("ts", "yyyyMMdd").cast("int")
     available = e.groupBy(v.alias("versao")).agg(F.count(F.lit(1)).alias("eventos"))
-    published = e.filter(F.col("ts").cast("date") < F.lit("2024-01-16").cast("date")).select(v.alias("versao"))
+    cut = F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(16), F.lit(0), F.lit(0), F.lit(0))
+    published = e.filter(F.col("ts") < cut).select(v.alias("versao"))
     return new_versions(available, published, "versao")
 
 

@@ -370,7 +370,9 @@ def flt_regex(spark, sf_dir):
 SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS ano FROM orders WHERE year(o_orderdate) >= 1998""")
 def flt_min_year(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
-    return o.select("o_orderkey", F.year("o_orderdate").alias("ano")).filter(F.col("ano") >= 1998)
+    # Range on the raw column (not year(col)) so the bound reaches the parquet scan.
+    since = F.make_timestamp_ntz(F.lit(1998), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    return o.filter(F.col("o_orderdate") >= since).select("o_orderkey", F.year("o_orderdate").alias("ano"))
 
 
 @query("flt_in_list", """
