@@ -64,3 +64,24 @@ def test_publish_if_changed_swaps_only_on_change(spark, tmp_path):
     path = third["files"]["all"]["path"]
     per_file = spark.read.parquet(path).groupBy(F.col("_metadata.file_path")).count().collect()
     assert sum(r["count"] for r in per_file) == 9 and all(os.path.exists(path) for _ in [0])
+
+
+def test_publish_reference_validates_hashes_and_registers(spark, tmp_path):
+    from vigiframe.operators.quality import report
+    from vigiframe.sinks.reference import ValidationError, publish_reference, publish_tables, validate_published
+    df = spark.createDataFrame([("33", "3304557", 10), ("35", "3550308", 20), ("", "0000000", 1)],
+                               "co_uf string, co_municipio_ibge string, pop long")
+    root, reg = str(tmp_path / "populacao"), str(tmp_path / "manifest.json")
+    bad = report(df, {"pop_positive": F.col("pop") > 5})
+    with pytest.raises(ValidationError):
+        publish_reference(df, root, "populacao", "2025", "co_uf", ["co_municipio_ibge"], report=bad)
+    assert not os.path.exists(root)                       # nothing published on failed checks
+    ok = report(df, {"pop_positive": F.col("pop") > 0})
+    m = publish_reference(df, root, "populacao", "2025", "co_uf", ["co_municipio_ibge"], report=ok, registry_path=reg)
+    assert m["rows"] == 3 and set(m["files"]) == {"33", "35", "sem_estado"}
+    assert all(len(f["sha256"]) >= 1 for f in m["files"].values())
+    assert json.load(open(reg))["references"]["populacao"].endswith("manifest.json")
+    v = validate_published(spark, os.path.join(root, "version=2025"), {"33": 1, "35": 1, "sem_estado": 1}, "co_uf")
+    assert v.filter(~F.col("ok")).count() == 0
+    tabs = publish_tables({"capitulos": df.select("co_uf"), "grupos": df.select("pop")}, str(tmp_path / "cid"), "1")
+    assert tabs["capitulos"]["rows"] == 3 and tabs["grupos"]["columns"] == ["pop"]

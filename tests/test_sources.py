@@ -123,3 +123,19 @@ def test_tabular_json_skips_header(spark):
     got = [r.v for r in df.select(F.explode(SRC.rows_after_header("p", "struct<V: string>")).alias("r"))
            .select(F.col("r.V").alias("v")).collect()]
     assert got == ["12", "-"]
+
+
+def test_split_fixed_width_reader_matches(spark, tmp_path):
+    from vigiframe.sources.fixed_width_source import read_fixed_width_split
+    d = tmp_path / "pop2"
+    d.mkdir()
+    recs = []
+    for i in range(1000):
+        flag = "*" if i % 97 == 0 else " "
+        recs.append(flag + f"{3300000 + i % 13:7d}" + "2024" + str(1 + i % 2) + f"{i % 90:3d}" + f"{i:9d}")
+    _dbf(d / "A.DBF", recs + [" 33"], declared=1001)
+    a = SRC.read_fixed_width(spark, str(d), FIELDS)
+    b = read_fixed_width_split(spark, str(d), FIELDS, records_per_partition=128)
+    assert b.rdd.getNumPartitions() >= 7
+    assert a.count() == b.count() == 1000 - len([i for i in range(1000) if i % 97 == 0])
+    assert a.drop("path").exceptAll(b.drop("path")).count() == 0
