@@ -30,3 +30,15 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "peso_raca" in df.columns
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+                 "float": "FLOAT"}
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
+def test_query_types_match_oracle(spark, con, key):
+    spark_types = dict(QUERIES[key](spark, SF_SMALL).dtypes)
+    duck_types = {r[0]: str(r[1]) for r in con.execute(f"DESCRIBE {ORACLE[key]}").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in spark_types.items()} == duck_types

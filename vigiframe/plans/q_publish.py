@@ -94,8 +94,8 @@ PART_COUNTS_SQL = f"SELECT {zf('c_nationkey', 2)} AS co_uf, count(*) AS rows FRO
 
 @query("man_files_map", f"""
 WITH c AS ({PART_COUNTS_SQL})
-SELECT to_json(map_from_entries(list({{'k': co_uf, 'v': {{'path': 'referencias/clientes/co_uf=' || co_uf,
-                                                        'rows': rows}}}} ORDER BY co_uf))) AS files_json,
+SELECT CAST(to_json(map_from_entries(list({{'k': co_uf, 'v': {{'path': 'referencias/clientes/co_uf=' || co_uf,
+                                                             'rows': rows}}}} ORDER BY co_uf))) AS VARCHAR) AS files_json,
        CAST(sum(rows) AS BIGINT) AS rows, CAST(count(*) AS INTEGER) AS n_partes FROM c""")
 def man_files_map(spark, sf_dir):
     m = files_map(customer_part_counts(Tables(spark, sf_dir)), "co_uf", "referencias/clientes/")
