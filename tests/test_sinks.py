@@ -85,3 +85,27 @@ def test_publish_reference_validates_hashes_and_registers(spark, tmp_path):
     assert v.filter(~F.col("ok")).count() == 0
     tabs = publish_tables({"capitulos": df.select("co_uf"), "grupos": df.select("pop")}, str(tmp_path / "cid"), "1")
     assert tabs["capitulos"]["rows"] == 3 and tabs["grupos"]["columns"] == ["pop"]
+
+
+def test_missing_files_and_partial_run_gate(spark, tmp_path):
+    from vigiframe.sinks.reference import already_published, missing_published_files, publish_reference
+    df = spark.createDataFrame([("33", 1), ("35", 2)], "co_uf string, v long")
+    root = str(tmp_path / "ref")
+    m = publish_reference(df.filter("co_uf = '33'"), root, "r", "202604", "co_uf", ["v"])
+    man = os.path.join(root, "manifest.json")
+    assert already_published(man, "202604", ["33"])
+    assert not already_published(man, "202604", ["33", "35"])    # partial run does not block the rest
+    assert not already_published(man, "202605", ["33"])
+    files = [p for p in os.listdir(m["files"]["33"]["path"]) if p.endswith(".parquet")]
+    paths = spark.createDataFrame([(os.path.join(m["files"]["33"]["path"], f),) for f in files] +
+                                  [(os.path.join(root, "gone.parquet"),)], "path string")
+    missing = [r.path for r in missing_published_files(spark, paths, root).collect()]
+    assert missing == [os.path.join(root, "gone.parquet")]
+
+
+def test_missing_municipality_code_fails(spark):
+    from vigiframe.plans.pipelines import municipality_codes
+    ok = municipality_codes(spark.createDataFrame([("330455",)], "c string"), "c").collect()[0]
+    assert (ok.co_municipio_ibge, ok.co_municipio, ok.co_uf) == ("0330455", "033045", "03")
+    with pytest.raises(Exception):
+        municipality_codes(spark.createDataFrame([(None,)], "c string"), "c").collect()

@@ -15,7 +15,19 @@ def known_row_count(df: DataFrame) -> int | None:
     """Exact row count when the plan already knows it (in-memory local data), else None."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
     rc = stats.rowCount()
-    return int(rc.get().toString()) if rc.isDefined() else None
+    if not rc.isDefined():
+        return None
+    v = rc.get()
+    return int(v.toString()) if hasattr(v, "toString") else int(v)
+
+
+def code_table(spark, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small fixed code table as an in-memory relation (SQL ``VALUES``): its exact
+    row count is known to the planner, so broadcasting it needs no counting job."""
+    def lit(v):
+        return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
+    values = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigiframe.functions import dates as D
-from vigiframe.functions.scalars import (age_label, clean_text, code_prefix, decimal_comma, symbol_count,
-                                         try_int, zfill)
+from vigiframe.functions.scalars import (age_label, clean_text, code_prefix, decimal_comma, required,
+                                         symbol_count, try_int, zfill)
 from vigiframe.operators.columns import normalize_names, repair_headers, type_by_prefix
 from vigiframe.operators.lookups import strict_lookup
 from vigiframe.operators.weights import apply_weights, race_weights
@@ -24,8 +24,9 @@ POPULATION_COLUMNS = ["co_municipio_ibge", "co_municipio", "co_uf", "ano", "sexo
 
 
 def municipality_codes(df: DataFrame, raw: str, out: str = "co_municipio_ibge") -> DataFrame:
-    """7-digit municipality code plus its 6-digit and state prefixes."""
-    code = zfill(raw, 7)
+    """7-digit municipality code plus its 6-digit and state prefixes; a missing code
+    fails the job (the reference turned it into the text "000None")."""
+    code = zfill(required(raw, f"missing municipality code in {raw}"), 7)
     return (df.withColumn(out, code)
               .withColumn("co_municipio", code_prefix(out, 6))
               .withColumn("co_uf", code_prefix(out, 2)))

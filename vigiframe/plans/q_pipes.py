@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from vigiframe.functions import scalars as S
 from vigiframe.operators import lookups as L
-from vigiframe.operators.sizing import sized_broadcast
+from vigiframe.operators.sizing import code_table, sized_broadcast
 from vigiframe.operators.versions import retain_latest
 from vigiframe.plans import pipelines as P
 from vigiframe.plans.q_core import zf
@@ -128,8 +128,8 @@ def census_published(spark, t: Tables):
     payloads = census_payloads(t)
     rows = payloads.select(F.explode(SRC.rows_after_header(
         "payload", "struct<D1C: string, D4C: string, D5C: string, D6N: string, V: string>")).alias("r")).select("r.*")
-    races = spark.createDataFrame(P.RACES, "race_id string, co_raca_cor string, no_raca_cor string")
-    sexes = spark.createDataFrame(P.SEXES, "sex_id string, sexo string, no_sexo string")
+    races = code_table(spark, P.RACES, ["race_id", "co_raca_cor", "no_raca_cor"])
+    sexes = code_table(spark, P.SEXES, ["sex_id", "sexo", "no_sexo"])
     return P.census(rows, races, sexes, 2022)
 
 

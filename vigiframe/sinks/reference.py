@@ -110,3 +110,26 @@ def register(registry_path: str, reference_id: str, manifest_path: str) -> dict:
         json.dump(reg, fh, ensure_ascii=False, indent=2, sort_keys=True)
     os.replace(tmp, registry_path)
     return reg
+
+
+def missing_published_files(spark: SparkSession, manifest_paths: DataFrame, root: str) -> DataFrame:
+    """Manifest file paths with no file under ``root`` (anti join with a listing that
+    reads no file contents). Empty result = everything is there."""
+    from vigiframe.sources.files import list_files
+    listing = list_files(spark, root).select(F.regexp_replace("path", "^file:", "").alias("_p"))
+    wanted = manifest_paths.select(F.regexp_replace("path", "^file:", "").alias("_p"), "path").distinct()
+    return wanted.join(listing, "_p", "left_anti").select("path")
+
+
+def already_published(manifest_path: str, version: str, parts: list[str] | None = None) -> bool:
+    """Version gate on the stored manifest: same version (compared as integers when
+    both are numeric) *and* every requested part published. A run that published
+    only some states therefore does not block a later run for the others."""
+    if not os.path.exists(manifest_path):
+        return False
+    with open(manifest_path, encoding="utf-8") as fh:
+        m = json.load(fh)
+    old = str(m.get("version", ""))
+    same = int(old) >= int(version) if old.isdigit() and str(version).isdigit() else old == str(version)
+    files = m.get("files") or {}
+    return same and all(p in files for p in (parts or files.keys())) and bool(files)
