@@ -158,11 +158,11 @@ def row_text(*cols) -> Column:
 
 def row_fingerprint(*cols) -> Column:
     """Order-free row hash: first 15 hex digits of SHA-256 of the row text, as a
-    60-bit integer widened to decimal(38,0).
+    non-negative 60-bit bigint.
 
-    Summed over a dataset (see ``sinks.manifest.fingerprint``) it gives a content
+    Summed over a dataset (see ``sinks.publish.fingerprint``) it gives a content
     fingerprint that does not depend on partitioning or row order, and changes
     when a row is added, removed or duplicated.
     """
     hex15 = F.substring(F.sha2(row_text(*cols), 256), 1, 15)
-    return F.conv(hex15, 16, 10).cast("decimal(38,0)")
+    return F.conv(hex15, 16, 10).cast("long")

@@ -37,8 +37,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 # ---------------------------------------------------------------- K2 partitioned write
 
 
-def partition_layout(df: DataFrame, key: str, sort_keys: list[str], files_per_task_rows: int | None = None
-                     ) -> DataFrame:
+def partition_layout(df: DataFrame, key: str, sort_keys: list[str]) -> DataFrame:
     """Layout for a partitioned write: blank keys bucketed, rows range-partitioned on
     (key, sort keys) so a hot key is spread over several tasks, and sorted inside
     each task (tight row-group statistics for pushed-down filters)."""
@@ -82,17 +81,29 @@ def file_hashes(spark: SparkSession, path: str, glob: str = "*.parquet") -> Data
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
+_LIMB = (1 << 20) - 1
+
+
 def fingerprint(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
-    """Content fingerprint per group: row count and the sum of 60-bit row hashes.
+    """Content fingerprint per group: row count and the exact sum of 60-bit row hashes.
 
     Order-free, partitioning-free and duplicate-sensitive, so it can decide
     "changed or not" for Spark outputs whose part files are not byte-stable.
-    One aggregate with map-side partial sums.
+    The sum is kept exact as three bigint sums of 20-bit limbs (primitive,
+    codegen'd partial aggregation; exact up to 2^43 rows per group), combined
+    into a decimal only on the final, one-row-per-group result.
     """
     h = row_fingerprint(*columns)
-    return (df.groupBy(*(by or []))
-            .agg(F.count(F.lit(1)).alias("rows"),
-                 F.coalesce(F.sum(h), F.lit(0)).cast("decimal(38,0)").cast("string").alias("fingerprint")))
+    hashed = df.select(*(by or []), h.alias("_h"))
+    sums = hashed.groupBy(*(by or [])).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.col("_h").bitwiseAND(_LIMB)).alias("_lo"),
+        F.sum(F.shiftright("_h", 20).bitwiseAND(_LIMB)).alias("_mid"),
+        F.sum(F.shiftright("_h", 40)).alias("_hi"))
+    total = (F.coalesce(F.col("_hi"), F.lit(0)).cast("decimal(38,0)") * F.lit(1 << 40)
+             + F.coalesce(F.col("_mid"), F.lit(0)).cast("decimal(38,0)") * F.lit(1 << 20)
+             + F.coalesce(F.col("_lo"), F.lit(0)).cast("decimal(38,0)"))
+    return sums.select(*(by or []), "rows", total.cast("decimal(38,0)").cast("string").alias("fingerprint"))
 
 
 def changed_parts(new: DataFrame, old: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
