@@ -1,0 +1,92 @@
+"""Property tests: closed forms against direct definitions, invariants on driver data."""
+
+import datetime as dt
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from conftest import SF_ORACLE
+from vigiframe.functions import dates as D
+from vigiframe.functions import scalars as S
+
+
+def week1_sunday(year: int) -> dt.date:
+    """Definition: epidemiological week 1 starts on the Sunday on or before January 4."""
+    jan4 = dt.date(year, 1, 4)
+    return jan4 - dt.timedelta(days=(jan4.isoweekday() % 7))
+
+
+def by_definition(day: dt.date) -> tuple[int, int]:
+    y = day.year
+    for cand in (y + 1, y, y - 1):
+        start = week1_sunday(cand)
+        if day >= start:
+            return cand, (day - start).days // 7 + 1
+    raise AssertionError(day)
+
+
+def test_epi_week_closed_form_equals_definition_every_day(spark):
+    cal = D.date_spine(spark, 1900, 2100).select("data", D.epi_year("data").alias("y"), D.epi_week("data").alias("w"))
+    got = {r.data: (r.y, r.w) for r in cal.collect()}
+    assert len(got) == 73414
+    bad = [d for d, v in got.items() if v != by_definition(d)]
+    assert bad == []
+
+
+DIGITS = st.text(alphabet="0123456789", min_size=0, max_size=12)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(DIGITS, min_size=1, max_size=20), st.integers(min_value=1, max_value=9))
+def test_zfill_matches_python(spark, values, width):
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = [r[0] for r in df.select(S.zfill("x", width)).collect()]
+    assert got == [v.zfill(width) for v in values]
+
+
+NUMS = st.one_of(st.integers(min_value=-10**9, max_value=10**9).map(str),
+                 st.decimals(min_value=-10**6, max_value=10**6, places=2, allow_nan=False).map(str),
+                 st.sampled_from(["", "x", "1e3", "-", "..."]))
+
+
+def py_try_int(v: str):
+    try:
+        return int(v)
+    except ValueError:
+        try:
+            f = float(v)
+        except ValueError:
+            return None
+        return int(f)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(NUMS, min_size=1, max_size=20))
+def test_try_int_matches_python(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = [r[0] for r in df.select(S.try_int("x")).collect()]
+    assert got == [py_try_int(v) for v in values]
+
+
+def test_weights_sum_to_one_on_driver_data(spark):
+    from vigiframe.operators.weights import weight_sum_report
+    m = E.queries()["pipe_weights"](spark, SF_ORACLE)
+    r = weight_sum_report(m).collect()[0]
+    assert r.falhas == 0 and r.grupos > 0
+    assert m.count() == E.queries()["agg_group_sum"](spark, SF_ORACLE).count()   # shares keep the cell count
+
+
+def test_partition_counts_sum_to_total(spark):
+    q = E.queries()
+    total = spark.read.parquet(f"{SF_ORACLE}/customer.parquet").count()
+    assert q["snk_partition_counts"](spark, SF_ORACLE).agg(F.sum("rows")).collect()[0][0] == total
+    roll = {r.nivel: r for r in q["agg_counts_rollup"](spark, SF_ORACLE).filter("nivel = 'total'").collect()}
+    assert roll["total"].rows == total
+
+
+def test_union_all_count_is_sum(spark):
+    q = E.queries()
+    orders = spark.read.parquet(f"{SF_ORACLE}/orders.parquet").count()
+    assert q["set_union_all"](spark, SF_ORACLE).count() == orders
