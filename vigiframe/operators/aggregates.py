@@ -49,22 +49,26 @@ def block_ids(df: DataFrame, group: list[str], order: list[str], size: int, alia
     many tasks, sorted inside each task, positions from
     ``monotonically_increasing_id``, and each task's run of a group shifted by the
     rows of that group in earlier tasks (a small per-(task, group) table, broadcast).
+    The positioned rows are checkpointed to the shared checkpoint folder, so the
+    offsets and the numbering read the same rows even if executors are lost.
     """
+    w = Window.partitionBy(*group).orderBy(*order)
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > hot_rows).select(*group)
+    if hot.limit(1).count() == 0:          # common case: no hot group, one window
+        return df.withColumn(alias, F.floor((F.row_number().over(w) - 1) / size).cast("int"))
     # At most rows/hot_rows hot groups exist, so this list is bounded by construction.
     hot_b = F.broadcast(hot)
     normal = df.join(hot_b, group, "left_anti")
-    w = Window.partitionBy(*group).orderBy(*order)
     normal = normal.withColumn(alias, F.floor((F.row_number().over(w) - 1) / size).cast("int"))
 
+    from vigiframe.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     heavy = df.join(hot_b, group, "left_semi")
-    # An explicit partition count keeps AQE from re-cutting the range partitions,
-    # so partition ids and positions are the same in both uses of ``ranged``.
-    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (heavy.repartitionByRange(n_parts, *group, *order).sortWithinPartitions(*group, *order)
+    ranged = (heavy.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
               .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.spark_partition_id()))
+              .withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))
     chunks = ranged.groupBy("_pid", *group).agg(F.min("_mid").alias("_start"), F.count(F.lit(1)).alias("_len"))
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunks.withColumn("_offset", F.coalesce(F.sum("_len").over(before), F.lit(0)))
