@@ -132,3 +132,46 @@ def test_split_list_and_membership(spark):
     assert got == ["01", "03", "07", "24"]
     df = spark.createDataFrame([(1,), (2,), (24,)], "k int")
     assert [r.k for r in df.filter(C.in_text_list("k", "1, 3,,07 ,24", 2)).collect()] == [1, 24]
+
+
+def test_strip_space_matches_python_strip(spark):
+    values = ["\xa0Centro\t", "\x1c x \x1f", " . ", " a b　", "plain"]
+    got = apply(spark, S.strip_space, values)
+    assert got == [v.strip() for v in values]
+
+
+def test_strict_long_fails_on_text(spark):
+    assert apply(spark, lambda c: S.strict_long(c, "pop"), ["12", None]) == [12, None]
+    with pytest.raises(Exception):
+        one_col(spark, ["12a"]).select(S.strict_long("x", "pop")).collect()
+
+
+MUN_SCHEMA = ("id int, nome string, microrregiao struct<id: int, nome: string, mesorregiao: struct<id: int, "
+              "nome: string, UF: struct<id: int, sigla: string, nome: string, regiao: struct<id: int, sigla: string, "
+              "nome: string>>>>, `regiao-imediata` struct<id: int, nome: string, `regiao-intermediaria`: "
+              "struct<id: int, nome: string, UF: struct<id: int, sigla: string, nome: string, "
+              "regiao: struct<id: int, sigla: string, nome: string>>>>")
+
+
+def test_municipalities_pick_state_object(spark):
+    from vigiframe.plans.pipelines import municipalities
+    docs = [
+        # meso UF is an empty object -> the intermediate path's UF is taken whole
+        '{"id": 3304557, "nome": "Rio", "microrregiao": {"id": 33018, "nome": "M", "mesorregiao": {"id": 3306, '
+        '"nome": "Meso", "UF": {}}}, "regiao-imediata": {"id": 330001, "nome": "I", "regiao-intermediaria": '
+        '{"id": 3301, "nome": "In", "UF": {"id": 33, "sigla": "RJ", "nome": "Rio de Janeiro", '
+        '"regiao": {"id": 3, "sigla": "SE", "nome": "Sudeste"}}}}}',
+        # no microrregiao at all, region null -> ''
+        '{"id": 1100015, "nome": "Alta", "microrregiao": null, "regiao-imediata": {"id": 110005, "nome": "J", '
+        '"regiao-intermediaria": {"id": 1102, "nome": "K", "UF": {"id": 11, "sigla": "RO", "nome": "Rondonia", '
+        '"regiao": null}}}}',
+    ]
+    df = spark.createDataFrame([(d,) for d in docs], "j string").select(F.from_json("j", MUN_SCHEMA).alias("m"))
+    got = {r.co_municipio_ibge: r for r in municipalities(df).collect()}
+    rio = got["3304557"]
+    assert (rio.co_uf, rio.sg_uf, rio.no_regiao, rio.co_mesorregiao) == ("33", "RJ", "Sudeste", "3306")
+    alta = got["1100015"]
+    assert (alta.co_uf, alta.co_regiao, alta.co_microrregiao, alta.co_municipio) == ("11", "", "", "110001")
+    bad = spark.createDataFrame([('{"id": 1, "nome": "x", "microrregiao": null, "regiao-imediata": null}',)], "j string")
+    with pytest.raises(Exception):
+        municipalities(bad.select(F.from_json("j", MUN_SCHEMA).alias("m"))).collect()

@@ -39,9 +39,20 @@ def code_prefix(x, n: int) -> Column:
     return F.substring(_c(x), 1, n)
 
 
+# Characters a Python ``str.strip()`` removes: Unicode white space plus the four
+# information separators U+001C..U+001F.
+_STRIP = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+
+
+def strip_space(x) -> Column:
+    """Trim at both ends every character Python's ``str.strip()`` treats as space
+    (``trim`` only removes ' ')."""
+    return F.regexp_replace(_c(x).cast("string"), _STRIP, "")
+
+
 def clean_text(x) -> Column:
     """Trim every Unicode space at both ends; '' and '.' become null."""
-    t = F.regexp_replace(_c(x).cast("string"), r"(?U)^\s+|\s+$", "")
+    t = strip_space(x)
     return F.when(t.isin(*NULL_TEXT_TOKENS), F.lit(None).cast("string")).otherwise(t)
 
 
@@ -119,10 +130,18 @@ def two_digit_year(yy) -> Column:
 
 def latin1_text(b) -> Column:
     """Latin-1 bytes -> trimmed text; blank -> null."""
-    t = F.trim(F.decode(_c(b), "ISO-8859-1"))
+    t = strip_space(F.decode(_c(b), "ISO-8859-1"))
     return F.nullif(t, F.lit(""))
 
 
+def strict_long(text, what: str) -> Column:
+    """Integer text -> bigint; text that is not an integer fails the job (blank stays null)."""
+    t = _c(text)
+    v = t.try_cast("long")
+    return F.when(t.isNotNull() & v.isNull(),
+                  F.raise_error(F.concat(F.lit(f"not an integer in {what}: "), t))).otherwise(v)
+
+
 def is_digits(x) -> Column:
     return _c(x).rlike(r"^[0-9]+$")
 

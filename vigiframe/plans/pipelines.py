@@ -3,12 +3,12 @@ domain-shaped inputs. The query layer adapts the driver tables to these shapes."
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigiframe.functions import dates as D
-from vigiframe.functions.scalars import (age_label, clean_text, code_prefix, decimal_comma, required,
-                                         symbol_count, try_int, zfill)
+from vigiframe.functions.scalars import (age_label, clean_text, code_prefix, decimal_comma, int_pad,
+                                         nested_default, required, symbol_count, try_int, zfill)
 from vigiframe.operators.columns import normalize_names, repair_headers, type_by_prefix
 from vigiframe.operators.lookups import strict_lookup
 from vigiframe.operators.weights import apply_weights, race_weights
@@ -52,11 +52,73 @@ def census(rows: DataFrame, races: DataFrame, sexes: DataFrame, year: int) -> Da
 
 def population(decoded: DataFrame) -> DataFrame:
     """R2: decoded fixed-width population rows (cod_mun, ano, sexo, idade, pop) -> published shape."""
+    missing = sorted({"cod_mun", "ano", "sexo", "idade", "pop"} - set(decoded.columns))
+    if missing:
+        raise ValueError(f"missing fields: {missing}")
     df = municipality_codes(decoded, "cod_mun")
     return df.select("co_municipio_ibge", "co_municipio", "co_uf",
-                     F.col("ano").cast("short").alias("ano"), F.col("sexo").cast("byte").alias("sexo"),
-                     zfill(F.col("idade").cast("string"), 3).alias("idade"),
-                     F.col("pop").cast("long").alias("pop"))
+                     required("ano", "missing ano").cast("short").alias("ano"),
+                     required("sexo", "missing sexo").cast("byte").alias("sexo"),
+                     zfill(required(F.col("idade").cast("string"), "missing idade"), 3).alias("idade"),
+                     required("pop", "missing pop").cast("long").alias("pop"))
+
+
+def _present(path: str, fields: list[str]) -> Column:
+    """A nested object counts as present when it is non-null and has any field set
+    (an empty JSON object is 'absent', as it is falsy in the source rules)."""
+    c = F.col(path)
+    any_set = None
+    for f in fields:
+        x = F.col(f"{path}.{f}").isNotNull()
+        any_set = x if any_set is None else any_set | x
+    return c.isNotNull() & any_set
+
+
+def states(doc: DataFrame, col: str = "s") -> DataFrame:
+    """State documents {id, sigla, nome, regiao{id, sigla, nome}} -> flat rows.
+    A missing region object gives '' in its three columns."""
+    s = col
+    return doc.select(int_pad(required(f"{s}.id", "state without id"), 2).alias("co_uf"),
+                      nested_default(f"{s}.sigla").alias("sg_uf"), nested_default(f"{s}.nome").alias("no_uf"),
+                      nested_default(f"{s}.regiao.id").alias("co_regiao"),
+                      nested_default(f"{s}.regiao.sigla").alias("sg_regiao"),
+                      nested_default(f"{s}.regiao.nome").alias("no_regiao"))
+
+
+MUNICIPALITY_COLUMNS = [
+    "co_municipio_ibge", "co_municipio", "no_municipio", "co_uf", "sg_uf", "no_uf", "co_regiao", "sg_regiao",
+    "no_regiao", "co_microrregiao", "no_microrregiao", "co_mesorregiao", "no_mesorregiao", "co_regiao_imediata",
+    "no_regiao_imediata", "co_regiao_intermediaria", "no_regiao_intermediaria"]
+
+
+def municipalities(doc: DataFrame, col: str = "m") -> DataFrame:
+    """Municipality documents -> 17 flat text columns.
+
+    The state object is the first *present* of microrregiao.mesorregiao.UF and
+    regiao-imediata.regiao-intermediaria.UF, taken whole; a municipality without a
+    state id fails the job. Absent objects or keys (and JSON nulls) give ''.
+    """
+    m = col
+    meso_uf = f"{m}.microrregiao.mesorregiao.UF"
+    inter_uf = f"{m}.`regiao-imediata`.`regiao-intermediaria`.UF"
+    uf_fields = ["id", "sigla", "nome", "regiao"]
+    picked = doc.withColumn("_uf", F.when(_present(meso_uf, uf_fields), F.col(meso_uf)).otherwise(F.col(inter_uf)))
+    code = int_pad(required(f"{m}.id", "municipality without id"), 7)
+    return picked.select(
+        code.alias("co_municipio_ibge"), code_prefix(code, 6).alias("co_municipio"),
+        nested_default(f"{m}.nome").alias("no_municipio"),
+        int_pad(required("_uf.id", "municipality without state"), 2).alias("co_uf"),
+        nested_default("_uf.sigla").alias("sg_uf"), nested_default("_uf.nome").alias("no_uf"),
+        nested_default("_uf.regiao.id").alias("co_regiao"), nested_default("_uf.regiao.sigla").alias("sg_regiao"),
+        nested_default("_uf.regiao.nome").alias("no_regiao"),
+        nested_default(f"{m}.microrregiao.id").alias("co_microrregiao"),
+        nested_default(f"{m}.microrregiao.nome").alias("no_microrregiao"),
+        nested_default(f"{m}.microrregiao.mesorregiao.id").alias("co_mesorregiao"),
+        nested_default(f"{m}.microrregiao.mesorregiao.nome").alias("no_mesorregiao"),
+        nested_default(f"{m}.`regiao-imediata`.id").alias("co_regiao_imediata"),
+        nested_default(f"{m}.`regiao-imediata`.nome").alias("no_regiao_imediata"),
+        nested_default(f"{m}.`regiao-imediata`.`regiao-intermediaria`.id").alias("co_regiao_intermediaria"),
+        nested_default(f"{m}.`regiao-imediata`.`regiao-intermediaria`.nome").alias("no_regiao_intermediaria"))
 
 
 def establishments(raw: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vigiframe.functions import dates as D
-from vigiframe.functions.scalars import zfill
 from vigiframe.operators.sizing import sized_broadcast
 from vigiframe.operators.weights import (group_sum, join_group_total, race_weights, share_of_total,
                                          weight_sum_report, with_group_total)

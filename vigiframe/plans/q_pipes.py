@@ -252,21 +252,11 @@ def pipe_states(spark, sf_dir):
                              F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("sigla"),
                              F.col("n_name").alias("nome"),
                              F.when(F.col("n_nationkey") % 5 == 0, F.lit(None)).otherwise(reg).alias("regiao")))
-    st = n.select(SRC.parse_json(doc, STATE_SCHEMA).alias("s"))
-    return st.select(S.int_pad(S.required("s.id", "state without id"), 2).alias("co_uf"),
-                     S.nested_default("s.sigla").alias("sg_uf"), S.nested_default("s.nome").alias("no_uf"),
-                     S.nested_default("s.regiao.id").alias("co_regiao"),
-                     S.nested_default("s.regiao.sigla").alias("sg_regiao"),
-                     S.nested_default("s.regiao.nome").alias("no_regiao"))
+    return P.states(n.select(SRC.parse_json(doc, STATE_SCHEMA).alias("s")), "s")
 
 
 # ---------------------------------------------------------------- R8 municipalities
 
-MUN_COLUMNS = ["co_municipio_ibge", "co_municipio", "no_municipio", "co_uf", "sg_uf", "no_uf", "co_regiao",
-               "sg_regiao", "no_regiao", "co_microrregiao", "no_microrregiao", "co_mesorregiao", "no_mesorregiao",
-               "co_regiao_imediata", "no_regiao_imediata", "co_regiao_intermediaria", "no_regiao_intermediaria"]
-
-
 @query("pipe_municipalities", f"""
 SELECT printf('%07d', c_custkey) AS co_municipio_ibge, substr(printf('%07d', c_custkey), 1, 6) AS co_municipio,
        c_name AS no_municipio, printf('%02d', n_nationkey) AS co_uf, 'N' || CAST(n_nationkey AS VARCHAR) AS sg_uf,
@@ -299,24 +289,4 @@ def pipe_municipalities(spark, sf_dir):
                             imed.alias("regiao-imediata")).alias("m"))
     # Round trip through JSON text, the form the source publishes.
     schema = doc.schema["m"].dataType
-    m = doc.select(SRC.parse_json(F.to_json("m"), schema).alias("m"))
-    ufp = ["m.microrregiao.mesorregiao.UF", "m.`regiao-imediata`.`regiao-intermediaria`.UF"]
-    uf_id = S.required(S.coalesce_path(*[p + ".id" for p in ufp]), "municipality without state")
-    code = S.int_pad(S.required("m.id", "municipality without id"), 7)
-    return m.select(
-        code.alias("co_municipio_ibge"), S.code_prefix(code, 6).alias("co_municipio"),
-        S.nested_default("m.nome").alias("no_municipio"),
-        S.int_pad(uf_id, 2).alias("co_uf"),
-        F.coalesce(S.coalesce_path(*[p + ".sigla" for p in ufp]), F.lit("")).alias("sg_uf"),
-        F.coalesce(S.coalesce_path(*[p + ".nome" for p in ufp]), F.lit("")).alias("no_uf"),
-        F.coalesce(S.coalesce_path(*[p + ".regiao.id" for p in ufp]).cast("string"), F.lit("")).alias("co_regiao"),
-        F.coalesce(S.coalesce_path(*[p + ".regiao.sigla" for p in ufp]), F.lit("")).alias("sg_regiao"),
-        F.coalesce(S.coalesce_path(*[p + ".regiao.nome" for p in ufp]), F.lit("")).alias("no_regiao"),
-        S.nested_default("m.microrregiao.id").alias("co_microrregiao"),
-        S.nested_default("m.microrregiao.nome").alias("no_microrregiao"),
-        S.nested_default("m.microrregiao.mesorregiao.id").alias("co_mesorregiao"),
-        S.nested_default("m.microrregiao.mesorregiao.nome").alias("no_mesorregiao"),
-        S.nested_default("m.`regiao-imediata`.id").alias("co_regiao_imediata"),
-        S.nested_default("m.`regiao-imediata`.nome").alias("no_regiao_imediata"),
-        S.nested_default("m.`regiao-imediata`.`regiao-intermediaria`.id").alias("co_regiao_intermediaria"),
-        S.nested_default("m.`regiao-imediata`.`regiao-intermediaria`.nome").alias("no_regiao_intermediaria"))
+    return P.municipalities(doc.select(SRC.parse_json(F.to_json("m"), schema).alias("m")), "m")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigiframe.functions.scalars import remove_cr, unquote_leading
+from vigiframe.functions.scalars import remove_cr, strict_long, strip_space, unquote_leading
 from vigiframe.operators.columns import drop_blank_names, normalize_names
 
 # ---------------------------------------------------------------- delimited
@@ -85,9 +85,9 @@ def decode_fixed_width(record, fields: list[Field], deleted_flag: bool = True) -
         out.append(F.decode(F.substring(rec.cast("binary"), 1, 1), "ISO-8859-1").alias("_flag"))
     for f in fields:
         raw = F.decode(F.substring(rec.cast("binary"), pos, f.length), "ISO-8859-1")
-        text = F.nullif(F.trim(raw), F.lit(""))
+        text = F.nullif(strip_space(raw), F.lit(""))
         if f.kind in ("N", "F") and f.decimals == 0:
-            text = text.cast("long")
+            text = strict_long(text, f.name)
         out.append(text.alias(f.name))
         pos += f.length
     return out
