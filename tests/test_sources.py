@@ -139,3 +139,9 @@ def test_split_fixed_width_reader_matches(spark, tmp_path):
     assert b.rdd.getNumPartitions() >= 7
     assert a.count() == b.count() == 1000 - len([i for i in range(1000) if i % 97 == 0])
     assert a.drop("path").exceptAll(b.drop("path")).count() == 0
+
+
+def test_dbf_field_list_from_header(tmp_path):
+    from vigiframe.sources.fixed_width_source import read_dbf_fields
+    _dbf(tmp_path / "X.DBF", [" 3304557" + "2024" + "1" + "  5" + "      120"], declared=1)
+    assert read_dbf_fields(str(tmp_path / "X.DBF")) == FIELDS

@@ -43,6 +43,24 @@ def _header(path: str) -> tuple[int, int, int, int]:
     return n, hlen, rlen, min(n, whole)
 
 
+def read_dbf_fields(path: str) -> list[Field]:
+    """Field list from a DBF-style header: 32-byte descriptors after the 32-byte file
+    header, up to the 0x0D terminator (name: 11 bytes NUL-padded, type at byte 11,
+    length at 16, decimals at 17). Only the header bytes are read, on the driver."""
+    with open(path, "rb") as fh:
+        head = fh.read(32)
+        hlen, = struct.unpack("<H", head[8:10])
+        desc = fh.read(hlen - 32)
+    fields = []
+    for i in range(0, len(desc), 32):
+        d = desc[i:i + 32]
+        if not d or d[0] == 0x0D or len(d) < 32:
+            break
+        name = d[:11].split(b"\x00", 1)[0].decode("latin-1").strip().lower()
+        fields.append(Field(name, d[16], chr(d[11]), d[17]))
+    return fields
+
+
 class FixedWidthReader(DataSourceReader):
     def __init__(self, options: dict):
         pattern = options.get("path")
