@@ -140,11 +140,12 @@ def jn_apply_weights(spark, sf_dir):
 # ---------------------------------------------------------------- aggregates
 
 
-@query("agg_counts_rollup", """
-SELECT CASE WHEN grouping(c_nationkey) = 1 THEN 'total' ELSE 'parte' END AS nivel, c_nationkey, count(*) AS rows
-FROM customer GROUP BY ROLLUP (c_nationkey)""")
+@query("agg_counts_rollup", f"""
+SELECT CASE WHEN grouping(co_uf) = 1 THEN 'total' ELSE 'parte' END AS nivel, co_uf, count(*) AS rows
+FROM (SELECT {zf('c_nationkey', 2)} AS co_uf FROM customer) GROUP BY ROLLUP (co_uf)""")
 def agg_counts_rollup(spark, sf_dir):
-    return A.counts_rollup(Tables(spark, sf_dir).customer, "c_nationkey")
+    c = Tables(spark, sf_dir).customer.select(zfill("c_nationkey", 2).alias("co_uf"))
+    return A.counts_rollup(c, "co_uf")
 
 
 @query("agg_version_label", """

@@ -22,3 +22,39 @@ def query(name: str, sql: str | None = None):
             ORACLE[name] = sql.strip()
         return fn
     return wrap
+
+
+# Date-valued output columns of the registered queries. The driver-facing
+# wrappers (``__spark_entry__``) emit them as timestamp_ntz at midnight, the
+# representation the driver's own tables use for dates, so the Spark and DuckDB
+# results compare the same way whether they are read as Python objects or
+# pandas frames. The library itself returns DateType.
+DATE_COLUMNS: dict[str, list[str]] = {
+    "dt_epi_week": ["data"], "dt_epi_year_start": ["inicio"], "dt_parse_br": ["data"], "jn_calendar": ["data"],
+    "man_missing_files": ["data"], "pipe_calendar": ["data"], "pipe_establishments": ["dt_atualizacao"],
+    "prj_type_by_prefix": ["dt_pedido", "dt_registro"], "snk_conform": ["l_shipdate"], "src_date_spine": ["data"],
+    "top_latest": ["o_orderdate"],
+}
+
+
+def dates_as_timestamps(fn: QueryFn) -> QueryFn:
+    """Wrap a query so its DateType columns come out as timestamp_ntz."""
+    from pyspark.sql import functions as F
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = fn(spark, sf_dir)
+        if not any(t == "date" for _, t in df.dtypes):
+            return df
+        return df.select(*[F.col(f"`{c}`").cast("timestamp_ntz").alias(c) if t == "date" else F.col(f"`{c}`")
+                           for c, t in df.dtypes])
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
+def sql_dates_as_timestamps(key: str, sql: str) -> str:
+    cols = DATE_COLUMNS.get(key)
+    if not cols:
+        return sql
+    repl = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({repl}) FROM ({sql}) AS q"
