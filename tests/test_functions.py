@@ -175,3 +175,11 @@ def test_municipalities_pick_state_object(spark):
     bad = spark.createDataFrame([('{"id": 1, "nome": "x", "microrregiao": null, "regiao-imediata": null}',)], "j string")
     with pytest.raises(Exception):
         municipalities(bad.select(F.from_json("j", MUN_SCHEMA).alias("m"))).collect()
+
+
+def test_scale_conf_partitions():
+    from vigiframe.session import scale_conf
+    big = scale_conf(100 * 2**40, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    small = scale_conf(10 * 2**20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"

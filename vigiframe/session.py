@@ -64,3 +64,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="vigiframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings that keep partitions near ``target_partition_bytes`` at a given input size.
+
+    * Scans: ``maxPartitionBytes`` = target, so a task reads ~one target of Parquet.
+    * Shuffles: start with enough partitions for the whole input at the target size
+      (at least 2 waves of the cluster's cores, at most 100k), and let AQE coalesce
+      small ones to the same advisory size; AQE also splits skewed partitions of
+      joins (a hot key may hold a third of the rows) and turns joins into broadcasts
+      only when a side is measured small at run time.
+
+    For 100 TB on 1000 executors x 8 cores: ~100k initial shuffle partitions of
+    ~1 GB uncompressed data, coalesced by AQE after partial aggregation.
+    """
+    parts = max(2 * total_cores, min(100_000, input_bytes // target_partition_bytes + 1))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+    }
