@@ -27,8 +27,10 @@ def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
 
 
 def last_wins(df: DataFrame, key: str, value: str, order: str, alias: str | None = None) -> DataFrame:
-    """Value of the last row per key in listing order (``max_by``; one partial aggregate)."""
-    return df.groupBy(key).agg(F.max_by(value, order).alias(alias or value))
+    """Value of the last row per key in listing order (``max_by``; one partial aggregate).
+    Rows tied on ``order`` are broken by the value itself, so a recomputed task
+    (after an executor loss) picks the same winner."""
+    return df.groupBy(key).agg(F.max_by(value, F.struct(F.col(order), F.col(value))).alias(alias or value))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str], count_alias: str = "n") -> DataFrame:
