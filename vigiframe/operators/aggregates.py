@@ -93,8 +93,8 @@ def dense_rank_desc(col: str, partition: list[str] | None = None) -> Column:
 
 
 def latest(df: DataFrame, value: str, version: str, group: list[str] | None = None) -> DataFrame:
-    """Row value holding the highest version (``max_by``)."""
-    aggs = [F.max_by(value, version).alias(value), F.max(version).alias(version)]
+    """Row value holding the highest version (``max_by``; ties broken by the value)."""
+    aggs = [F.max_by(value, F.struct(F.col(version), F.col(value))).alias(value), F.max(version).alias(version)]
     return df.groupBy(*(group or [])).agg(*aggs)
 
 
