@@ -208,9 +208,8 @@ SELECT arg_max(o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT) * 100
        CAST(max(o_orderdate) AS DATE) AS o_orderdate FROM orders""")
 def top_latest(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
-    v = o.select("o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"),
-                 F.struct(F.col("o_orderdate"), F.col("o_orderkey")).alias("_v"))
-    return v.agg(F.max_by("o_orderkey", "_v").alias("o_orderkey"), F.max("o_orderdate").alias("o_orderdate"))
+    v = o.select("o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"))
+    return A.latest(v, "o_orderkey", "o_orderdate")
 
 
 @query("win_blocks", """
