@@ -11,7 +11,7 @@ from vigiframe.operators.versions import new_versions, retain_latest
 from vigiframe.plans.q_core import SPINE_SQL, zf
 from vigiframe.plans.q_scalars import DEC_SQL, dec_text
 from vigiframe.plans.registry import query
-from vigiframe.sinks.publish import changed_parts, conform, files_map, fingerprint
+from vigiframe.sinks.publish import changed_parts, conform, file_hashes, files_map, fingerprint
 from vigiframe.sources import files as SRC
 from vigiframe.tables import TABLES, Tables
 
@@ -121,6 +121,13 @@ def man_registry(spark, sf_dir):
     return out
 
 
+@query("man_file_hashes")
+def man_file_hashes(spark, sf_dir):
+    """M1: SHA-256 of every input table file (one task per file; no SQL form over table views)."""
+    h = file_hashes(spark, sf_dir, "*.parquet")
+    return h.select(F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("tabela"), "length", "sha256")
+
+
 @query("man_missing_files", f"""
 WITH {SPINE_SQL}
 SELECT data FROM spine EXCEPT SELECT DISTINCT CAST(o_orderdate AS DATE) FROM orders""")
