@@ -80,7 +80,7 @@ def population_catalog(t: Tables):
 
 def population_published(t: Tables, recent_years: int = 3):
     recs = population_records(t)
-    decoded = recs.select(*SRC.decode_fixed_width("rec", POP_FIELDS)).filter(F.col("_flag") != "*").drop("_flag")
+    decoded = SRC.decode_records(recs, "rec", POP_FIELDS)
     return P.population(retain_latest(decoded, "ano", recent_years, versions=population_catalog(t)))
 
 

@@ -200,8 +200,7 @@ SELECT l_orderkey, lpad(CAST(l_suppkey AS VARCHAR), 7, '0') AS cod_mun, l_linest
 FROM lineitem WHERE l_returnflag <> 'R'""")
 def src_fixed_width(spark, sf_dir):
     recs = fixed_width_records(Tables(spark, sf_dir).lineitem)
-    out = recs.select(*SRC.decode_fixed_width("rec", FW_FIELDS))
-    return out.filter(F.col("_flag") != "*").drop("_flag")
+    return SRC.decode_records(recs, "rec", FW_FIELDS)
 
 
 @query("src_json", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")

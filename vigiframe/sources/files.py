@@ -72,11 +72,12 @@ class Field:
 
 
 def decode_fixed_width(record, fields: list[Field], deleted_flag: bool = True) -> list[Column]:
-    """Cut a fixed-width record (binary or latin-1 text) into typed columns.
+    """Cut a fixed-width record (binary or latin-1 text) into text columns.
 
-    Byte 1 is the deletion flag when ``deleted_flag``; text fields are trimmed
-    with blank -> null; numeric fields with no decimals become bigint, others
-    stay text (the reference keeps them as text).
+    Byte 1 is the deletion flag when ``deleted_flag``; every field is decoded
+    from latin-1 and trimmed the way Python's ``str.strip`` does, blank -> null.
+    Type the result with ``type_fields`` in a *separate* projection, so the typing
+    expressions reference plain columns instead of repeating the decode.
     """
     rec = F.col(record) if isinstance(record, str) else record
     pos = 2 if deleted_flag else 1
@@ -85,14 +86,29 @@ def decode_fixed_width(record, fields: list[Field], deleted_flag: bool = True) -
         out.append(F.decode(F.substring(rec.cast("binary"), 1, 1), "ISO-8859-1").alias("_flag"))
     for f in fields:
         raw = F.decode(F.substring(rec.cast("binary"), pos, f.length), "ISO-8859-1")
-        text = F.nullif(strip_space(raw), F.lit(""))
-        if f.kind in ("N", "F") and f.decimals == 0:
-            text = strict_long(text, f.name)
-        out.append(text.alias(f.name))
+        out.append(F.nullif(strip_space(raw), F.lit("")).alias(f.name))
         pos += f.length
     return out
 
 
+def type_fields(df: DataFrame, fields: list[Field]) -> DataFrame:
+    """Numeric fields with no decimals -> bigint (non-integer text fails the job);
+    all other fields stay text, as the reference keeps them."""
+    kinds = {f.name: f for f in fields}
+    return df.select(*[strict_long(F.col(c), c).alias(c)
+                       if c in kinds and kinds[c].kind in ("N", "F") and kinds[c].decimals == 0 else F.col(c)
+                       for c in df.columns])
+
+
+def decode_records(df: DataFrame, record: str, fields: list[Field], keep: list[str] | None = None,
+                   deleted_flag: bool = True) -> DataFrame:
+    """Records -> live (not deleted) rows with typed fields, in staged projections."""
+    cut = df.select(*(keep or []), *decode_fixed_width(record, fields, deleted_flag))
+    if deleted_flag:
+        cut = cut.filter(F.coalesce(F.col("_flag"), F.lit(" ")) != "*").drop("_flag")
+    return type_fields(cut, fields)
+
+
 def _le_int(content: str, offset: int, size: int) -> Column:
     """Little-endian unsigned integer of ``size`` bytes at 0-based ``offset``."""
     return F.conv(F.hex(F.reverse(F.substring(content, offset + 1, size))), 16, 10).cast("long")
@@ -128,8 +144,7 @@ def read_fixed_width(spark: SparkSession, path: str, fields: list[Field],
         "path", "record_no",
         F.expr("substring(content, header_len + record_no * record_len + 1, record_len)").alias("_rec"))
     recs = recs.repartition(num_partitions) if num_partitions else recs.repartition("path", "record_no")
-    out = recs.select("path", "record_no", *decode_fixed_width("_rec", fields))
-    return out.filter(F.coalesce(F.col("_flag"), F.lit(" ")) != "*").drop("_flag")
+    return decode_records(recs, "_rec", fields, ["path", "record_no"])
 
 
 def fixed_width_counts(spark: SparkSession, path: str) -> DataFrame:

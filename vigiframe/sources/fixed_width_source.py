@@ -5,7 +5,7 @@ file at 2 GB and puts one file in one task. This Python Data Source instead
 plans one partition per range of records: the driver reads only the 12-byte
 header of each file, every task seeks to its range and hands the raw records
 to Spark as Arrow batches. Field cutting and typing stay Spark expressions
-(``decode_fixed_width``), so Python only moves bytes.
+(``decode_records``), so Python only moves bytes.
 
 Paths must be readable by the executors with plain file I/O (a shared mount).
 """
@@ -17,10 +17,9 @@ import os
 import struct
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from vigiframe.sources.files import Field, decode_fixed_width
+from vigiframe.sources.files import Field, decode_records
 
 DEFAULT_RECORDS_PER_PARTITION = 2_000_000
 BATCH_RECORDS = 200_000
@@ -118,5 +117,4 @@ def read_fixed_width_split(spark: SparkSession, path: str, fields: list[Field],
     spark.dataSource.register(FixedWidthDataSource)
     raw = (spark.read.format("fixedwidth").option("path", path)
            .option("recordsPerPartition", records_per_partition).load())
-    out = raw.select("path", "record_no", *decode_fixed_width("rec", fields))
-    return out.filter(F.coalesce(F.col("_flag"), F.lit(" ")) != "*").drop("_flag")
+    return decode_records(raw, "rec", fields, ["path", "record_no"])
