@@ -145,3 +145,10 @@ def test_dbf_field_list_from_header(tmp_path):
     from vigiframe.sources.fixed_width_source import read_dbf_fields
     _dbf(tmp_path / "X.DBF", [" 3304557" + "2024" + "1" + "  5" + "      120"], declared=1)
     assert read_dbf_fields(str(tmp_path / "X.DBF")) == FIELDS
+
+
+def test_fixed_width_file_without_records(spark, tmp_path):
+    d = tmp_path / "empty"
+    d.mkdir()
+    _dbf(d / "E.DBF", [], declared=0)
+    assert SRC.read_fixed_width(spark, str(d), FIELDS).count() == 0

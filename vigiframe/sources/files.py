@@ -136,13 +136,15 @@ def read_fixed_width(spark: SparkSession, path: str, fields: list[Field],
     hdr = hdr.withColumn("_whole", F.least(
         F.col("n_records"),
         F.floor((F.length("content") - F.col("header_len")) / F.col("record_len")).cast("long")))
-    recs = hdr.select(
-        "path", "record_len",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_whole") - 1)).alias("record_no"),
-        "content", "header_len")
-    recs = recs.select(
-        "path", "record_no",
-        F.expr("substring(content, header_len + record_no * record_len + 1, record_len)").alias("_rec"))
+    # Records are cut inside one array (the file's bytes once) and only the cut
+    # records are exploded: the whole-file value is not carried into every row.
+    # A file without whole records gives an empty array (sequence(0, -1) would not).
+    idx = F.when(F.col("_whole") > 0, F.sequence(F.lit(0).cast("long"), F.col("_whole") - 1)) \
+           .otherwise(F.array().cast("array<bigint>"))
+    cut = F.transform(idx, lambda i: F.substring(
+        F.col("content"), (F.col("header_len") + i * F.col("record_len") + 1).cast("int"), F.col("record_len")))
+    recs = hdr.select("path", F.posexplode(cut).alias("record_no", "_rec"))
+    recs = recs.withColumn("record_no", F.col("record_no").cast("long"))
     recs = recs.repartition(num_partitions) if num_partitions else recs.repartition("path", "record_no")
     return decode_records(recs, "_rec", fields, ["path", "record_no"])
 
