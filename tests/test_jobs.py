@@ -38,10 +38,13 @@ def test_population_census_weights_jobs(spark, tmp_path):
     d = tmp_path / "pop"
     d.mkdir()
     for yy in (22, 23, 24, 25):
-        _dbf(d / f"POPSBR{yy}.DBF", [f" 3304557{2000 + yy}1  5      120", f" 3550308{2000 + yy}2  7       80"], 2)
+        tail = [" 33"] if yy == 25 else []
+        _dbf(d / f"POPSBR{yy}.DBF", [f" 3304557{2000 + yy}1  5      120", f" 3550308{2000 + yy}2  7       80"] + tail,
+             3 if yy == 25 else 2)
     out = str(tmp_path / "ref")
     m = jobs.population(spark, str(d / "*.DBF"), out)
     assert m["version"] == "2023-2025" and m["years"] == [2023, 2024, 2025] and m["rows"] == 6
+    assert m["records"]["POPSBR25.DBF"] == {"declared": 3, "whole": 2}
     c = tmp_path / "census"
     c.mkdir()
     head = '{"D1C":"Municipio (Codigo)","D4C":"Cor","D5C":"Sexo","D6N":"Idade","V":"Valor"}'
@@ -52,6 +55,7 @@ def test_population_census_weights_jobs(spark, tmp_path):
     (c / "empty.json").write_text(f"[{head}]")
     cm = jobs.census(spark, str(c / "*.json"), out, 2022)
     assert cm["rows"] == 4 and set(cm["files"]) == {"33", "35"}
+    assert cm["warnings"]["age_label_has_number"] == 0 and cm["warnings"]["not_empty"] == 0
     wm = jobs.weights(spark, os.path.join(out, "ibge", "populacao_raca_censo", "version=2022"), out, "2022")
     w = spark.read.parquet(os.path.join(out, "ibge", "matriz_pesos_raca", "version=2022"))
     got = {(r.co_municipio_ibge, r.co_raca_cor): r.peso_raca for r in w.collect()}

@@ -27,7 +27,7 @@ from vigiframe.sinks.publish import publish_if_changed
 from vigiframe.sinks.reference import (ValidationError, already_published, publish_reference, publish_tables,
                                        register, require_clean)
 from vigiframe.sources import files as SRC
-from vigiframe.sources.fixed_width_source import read_dbf_fields, read_fixed_width_split
+from vigiframe.sources.fixed_width_source import header_counts, read_dbf_fields, read_fixed_width_split
 
 # Published column layout of the census neighbourhood table.
 NB_TEXT = ["cd_bairro", "nm_bairro", "cd_regiao", "nm_regiao", "cd_uf", "nm_uf", "cd_mun", "nm_mun", "cd_dist",
@@ -74,6 +74,12 @@ def population(spark: SparkSession, source_glob: str, out: str, recent_years: in
     if not files:
         raise ValidationError(f"no files at {source_glob}")
     fields = read_dbf_fields(files[0])
+    # Declared vs whole records per file (12 header bytes each): a short tail record
+    # ends a file in the source rules; the rows before it are kept and the gap reported.
+    records = {}
+    for f in files:
+        declared, _, _, whole = header_counts(f)
+        records[os.path.basename(f)] = {"declared": declared, "whole": whole}
     decoded = read_fixed_width_split(spark, source_glob, fields)
     rows = P.population(retain_latest(decoded, "ano", recent_years))
     years = sorted(r.ano for r in rows.select("ano").distinct().collect())   # a handful of years
@@ -81,19 +87,27 @@ def population(spark: SparkSession, source_glob: str, out: str, recent_years: in
     report = Q.report(rows, {"ano_ok": F.col("ano").isNotNull()})
     return publish_reference(rows, _ref(out, "ibge", "populacao"), "populacao", version, "co_uf",
                              ["co_municipio_ibge", "ano", "sexo", "idade"], report,
-                             {"years": years, "municipality_filter_column": "co_municipio_ibge"}, _registry(out))
+                             {"years": years, "records": records,
+                              "municipality_filter_column": "co_municipio_ibge"}, _registry(out))
 
 
 def census(spark: SparkSession, source_glob: str, out: str, year: int) -> dict:
     """Tabular JSON payloads (header element first) -> typed census cells by state."""
     payloads = spark.read.option("wholetext", True).text(source_glob).withColumnRenamed("value", "payload")
     rows = payloads.select(F.explode(SRC.rows_after_header("payload", CENSUS_ROW)).alias("r")).select("r.*")
+    # Kept as the source rules do, but reported: labels with no number become age 0,
+    # and "Menos de 1" also matches labels such as "Menos de 10".
+    warnings = {r["check"]: int(r["failures"]) for r in Q.report(rows, {
+        "age_label_has_number": F.col("D6N").rlike(r"\d") | F.col("D6N").contains("Menos de 1"),
+        "age_label_not_menos_de_1x": ~F.col("D6N").rlike(r"Menos de 1\d"),
+    }).collect()}
     races = code_table(spark, P.RACES, ["race_id", "co_raca_cor", "no_raca_cor"])
     sexes = code_table(spark, P.SEXES, ["sex_id", "sexo", "no_sexo"])
     cells = P.census(rows, races, sexes, year)
     return publish_reference(cells, _ref(out, "ibge", "populacao_raca_censo"), "populacao_raca_censo", str(year),
                              "co_uf", ["co_municipio_ibge", "sexo", "idade", "co_raca_cor"], Q.report(cells, {}),
-                             {"municipality_filter_column": "co_municipio_ibge"}, _registry(out))
+                             {"municipality_filter_column": "co_municipio_ibge", "warnings": warnings},
+                             _registry(out))
 
 
 def weights(spark: SparkSession, census_dir: str, out: str, version: str, ufs: str | None = None) -> dict:

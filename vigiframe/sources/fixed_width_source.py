@@ -32,7 +32,7 @@ class RecordRange(InputPartition):
         self.header_len, self.record_len = header_len, record_len
 
 
-def _header(path: str) -> tuple[int, int, int, int]:
+def header_counts(path: str) -> tuple[int, int, int, int]:
     """(declared records, header length, record length, whole records present)."""
     with open(path, "rb") as fh:
         head = fh.read(12)
@@ -72,7 +72,7 @@ class FixedWidthReader(DataSourceReader):
     def partitions(self):
         parts = []
         for path in self.files:
-            _, hlen, rlen, whole = _header(path)
+            _, hlen, rlen, whole = header_counts(path)
             for start in range(0, whole, self.step):
                 parts.append(RecordRange(path, start, min(whole, start + self.step), hlen, rlen))
         return parts
