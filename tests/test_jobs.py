@@ -61,8 +61,15 @@ def test_population_census_weights_jobs(spark, tmp_path):
     got = {(r.co_municipio_ibge, r.co_raca_cor): r.peso_raca for r in w.collect()}
     assert got[("3304557", "1")] == 0.75 and got[("3304557", "4")] == 0.25 and got[("3550308", "1")] == 1.0
     assert wm["rows"] == 4
+    em = jobs.estimate(spark, os.path.join(out, "ibge", "populacao", "version=2023-2025"),
+                       os.path.join(out, "ibge", "populacao_raca_censo", "version=2022"), out, "2025", top_age=5)
+    # 3304557 sex 1 age 5 has weights (0.75/0.25 + 0 for the '-' cell); 3550308 sex 2 age 7 has none
+    assert em["unmatched_cells"] == 3 and em["rows"] == 3 * 3 + 3
+    est = spark.read.parquet(os.path.join(out, "ibge", "populacao_estimada_raca", "version=2025"))
+    got = {(r.co_municipio_ibge, r.ano, r.co_raca_cor): r.pop_estimada for r in est.collect()}
+    assert got[("3304557", 2025, "1")] == 90.0 and got[("3550308", 2025, None)] is None
     reg = load(os.path.join(out, "manifest.json"))["references"]
-    assert {"populacao", "populacao_raca_censo", "matriz_pesos_raca"} <= set(reg)
+    assert {"populacao", "populacao_raca_censo", "matriz_pesos_raca", "populacao_estimada_raca"} <= set(reg)
 
 
 def test_neighbourhoods_icd_states_municipalities_jobs(spark, tmp_path):

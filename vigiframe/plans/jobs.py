@@ -126,6 +126,23 @@ def weights(spark: SparkSession, census_dir: str, out: str, version: str, ufs: s
                               "municipality_filter_column": "co_municipio_ibge"}, _registry(out))
 
 
+def estimate(spark: SparkSession, population_dir: str, census_dir: str, out: str, version: str,
+             top_age: int = 80) -> dict:
+    """Projected totals x census race weights. Census ages at or above ``top_age``
+    are pooled before the weights are formed; population cells without a weight are
+    kept (null estimate) and counted in the manifest, never dropped."""
+    from vigiframe.session import apply_job_conf
+    apply_job_conf(spark)
+    pop = spark.read.option("basePath", population_dir).parquet(population_dir)
+    cens = spark.read.option("basePath", census_dir).parquet(census_dir)
+    est = P.estimate(pop, cens, top_age)
+    counts = est.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("peso").isNull()).alias("unmatched")).collect()[0]
+    return publish_reference(est, _ref(out, "ibge", "populacao_estimada_raca"), "populacao_estimada_raca", version,
+                             "co_uf", ["co_municipio_ibge", "ano", "sexo", "idade"], None,
+                             {"formula": "total(ano,mun,sexo,idade) * peso(mun,sexo,idade,raca)", "top_age": top_age,
+                              "unmatched_cells": int(counts["unmatched"])}, _registry(out))
+
+
 def neighbourhoods(spark: SparkSession, source: str, out: str, version: str,
                    required_key: str | None = None) -> dict:
     """Latin-1 text with decimal commas -> typed table, with a sentinel-row check."""
@@ -188,13 +205,15 @@ def calendar(spark: SparkSession, out: str, start_year: int = 1900, end_year: in
 def main(argv: list[str] | None = None) -> None:
     from vigiframe.session import build_session
     ap = argparse.ArgumentParser(prog="vigiframe.plans.jobs")
-    ap.add_argument("job", choices=["establishments", "population", "census", "weights", "neighbourhoods",
-                                    "states", "municipalities", "calendar"])
+    ap.add_argument("job", choices=["establishments", "population", "census", "weights", "estimate",
+                                    "neighbourhoods", "states", "municipalities", "calendar"])
     ap.add_argument("--source")
     ap.add_argument("--out", required=True)
     ap.add_argument("--version", default="current")
     ap.add_argument("--year", type=int, default=2022)
     ap.add_argument("--ufs")
+    ap.add_argument("--census", help="published census folder (estimate job)")
+    ap.add_argument("--top-age", type=int, default=80)
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     spark = build_session(master=a.master) if a.master else SparkSession.builder.getOrCreate()
@@ -209,6 +228,8 @@ def main(argv: list[str] | None = None) -> None:
         print(census(spark, a.source, a.out, a.year))
     elif job == "weights":
         print(weights(spark, a.source, a.out, a.version, a.ufs))
+    elif job == "estimate":
+        print(estimate(spark, a.source, a.census, a.out, a.version, a.top_age))
     elif job == "neighbourhoods":
         print(neighbourhoods(spark, a.source, a.out, a.version))
     elif job == "states":
