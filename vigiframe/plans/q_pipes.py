@@ -238,21 +238,26 @@ STATE_SCHEMA = ("id int, sigla string, nome string, "
 
 
 @query("pipe_states", """
-SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS co_uf, 'N' || CAST(n_nationkey AS VARCHAR) AS sg_uf, n_name AS no_uf,
+SELECT DISTINCT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS co_uf, 'N' || CAST(n_nationkey AS VARCHAR) AS sg_uf,
+       n_name AS no_uf,
        CASE WHEN n_nationkey % 5 = 0 THEN '' ELSE CAST(r_regionkey AS VARCHAR) END AS co_regiao,
        CASE WHEN n_nationkey % 5 = 0 THEN '' ELSE substr(r_name, 1, 2) END AS sg_regiao,
        CASE WHEN n_nationkey % 5 = 0 THEN '' ELSE r_name END AS no_regiao
-FROM nation JOIN region ON n_regionkey = r_regionkey""")
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def pipe_states(spark, sf_dir):
+    """State documents as carried by every customer record (JSON text), made
+    distinct (partial aggregation) and flattened."""
     t = Tables(spark, sf_dir)
-    n = t.nation.join(sized_broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    geo = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    c = t.customer.select("c_nationkey").join(sized_broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
     reg = F.struct(F.col("r_regionkey").alias("id"), F.substring("r_name", 1, 2).alias("sigla"),
                    F.col("r_name").alias("nome"))
     doc = F.to_json(F.struct(F.col("n_nationkey").alias("id"),
                              F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("sigla"),
                              F.col("n_name").alias("nome"),
                              F.when(F.col("n_nationkey") % 5 == 0, F.lit(None)).otherwise(reg).alias("regiao")))
-    return P.states(n.select(SRC.parse_json(doc, STATE_SCHEMA).alias("s")), "s")
+    docs = c.select(doc.alias("doc")).distinct()
+    return P.states(docs.select(SRC.parse_json("doc", STATE_SCHEMA).alias("s")), "s")
 
 
 # ---------------------------------------------------------------- R8 municipalities

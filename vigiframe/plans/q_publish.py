@@ -285,7 +285,8 @@ ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_
 
 @query("dq_columns", """
 SELECT * FROM (VALUES ('exact_columns', CAST(0 AS BIGINT)), ('lowercase_names', CAST(0 AS BIGINT)),
-                      ('missing_columns', CAST(0 AS BIGINT))) t("check", failures)""")
+                      ('missing_columns', CAST(0 AS BIGINT))) t("check", failures)
+UNION ALL SELECT 'not_empty', CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) FROM orders""")
 def dq_columns(spark, sf_dir):
     return Q.column_checks(spark, Tables(spark, sf_dir).orders, ORDER_COLUMNS)
 
