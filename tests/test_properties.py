@@ -90,3 +90,14 @@ def test_union_all_count_is_sum(spark):
     q = E.queries()
     orders = spark.read.parquet(f"{SF_ORACLE}/orders.parquet").count()
     assert q["set_union_all"](spark, SF_ORACLE).count() == orders
+
+
+SPACES = "".join(chr(c) for c in range(0x3000 + 1) if chr(c).isspace()) + "​﻿᠎"
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(alphabet=SPACES + "ab.ç", max_size=8), min_size=1, max_size=25))
+def test_strip_space_matches_python_strip(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = [r[0] for r in df.select(S.strip_space("x")).collect()]
+    assert got == [v.strip() for v in values]
