@@ -98,3 +98,19 @@ def test_neighbourhoods_icd_states_municipalities_jobs(spark, tmp_path):
     mm = jobs.municipalities(spark, str(tmp_path / "mun.json"), out, minimum_rows=1)
     row = spark.read.parquet(mm["files"]["all"]["path"]).filter(F.col("co_uf") == "33").collect()[0]
     assert (row.co_municipio, row.no_regiao, row.co_microrregiao) == ("330455", "Sudeste", "")
+
+
+def test_consumer_lookup_reads_one_state(spark, tmp_path):
+    from vigiframe.sinks.reference import read_reference
+    src = tmp_path / "estab.csv"
+    src.write_bytes(('CO_UNIDADE;CO_ESTADO_GESTOR;CO_MUNICIPIO_GESTOR\n'
+                     '1;33;330455\n2;33;330010\n3;35;355030\n').encode("latin-1"))
+    out = str(tmp_path / "ref")
+    jobs.establishments(spark, str(src), out, "202604")
+    reg = os.path.join(out, "manifest.json")
+    one = read_reference(spark, reg, "cnes_estabelecimentos", part="33", municipality="330455")
+    assert [r.co_unidade for r in one.collect()] == ["1"]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(co_municipio_gestor,330455)" in plan
+    assert read_reference(spark, reg, "cnes_estabelecimentos").count() == 3
+    assert read_reference(spark, reg, "cnes_estabelecimentos", part="99").count() == 0

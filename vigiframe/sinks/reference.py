@@ -133,3 +133,28 @@ def already_published(manifest_path: str, version: str, parts: list[str] | None
     same = int(old) >= int(version) if old.isdigit() and str(version).isdigit() else old == str(version)
     files = m.get("files") or {}
     return same and all(p in files for p in (parts or files.keys())) and bool(files)
+
+
+def read_reference(spark: SparkSession, registry_path: str, reference_id: str, part: str | None = None,
+                   municipality: str | None = None) -> DataFrame:
+    """Consumer lookup: registry -> manifest -> (one part's folder) -> rows, with the
+    manifest's municipality filter column applied. Reading one part prunes every
+    other partition folder; the municipality predicate is pushed into the scan."""
+    with open(registry_path, encoding="utf-8") as fh:
+        manifest_path = json.load(fh)["references"][reference_id]
+    with open(manifest_path, encoding="utf-8") as fh:
+        m = json.load(fh)
+    files = m.get("files") or {}
+    if part is not None:
+        if part not in files:
+            return spark.read.parquet(next(iter(files.values()))["path"]).limit(0)
+        path = files[part]["path"]
+        base = os.path.dirname(path)
+        df = spark.read.option("basePath", base).parquet(path)
+    else:
+        paths = sorted({os.path.dirname(f["path"]) if m.get("partition") else f["path"] for f in files.values()})
+        df = spark.read.option("basePath", paths[0]).parquet(*paths)
+    col = m.get("municipality_filter_column")
+    if municipality is not None and col:
+        df = df.filter(F.col(col) == F.lit(municipality))
+    return df
