@@ -45,8 +45,24 @@ MUNICIPALITY_DOC = (f"id int, nome string, microrregiao struct<id: int, nome: st
 CENSUS_ROW = "struct<D1C: string, D4C: string, D5C: string, D6N: string, V: string>"
 
 
-def _ref(out: str, *parts: str) -> str:
-    return os.path.join(out, *parts)
+# Id and folder of each published reference (consumers find a
+# reference through the registry by id, then its manifest in this folder).
+LAYOUT = {
+    "cnes_estabelecimentos": "cnes/estabelecimentos",
+    "uf": "ibge/uf",
+    "municipios": "ibge/municipios",
+    "populacao": "ibge/populacao",
+    "populacao_raca_censo": "ibge/populacao_raca_censo",
+    "matriz_pesos_raca": "ibge/matriz_pesos_raca",
+    "populacao_estimada_raca": "ibge/populacao_estimada_raca",
+    "bairros_censo": "ibge/bairros_censo",
+    "cid10": "saude/cid10",
+    "calendario_epidemiologico": "vigilancia/calendario_epidemiologico",
+}
+
+
+def _ref(out: str, reference_id: str) -> str:
+    return os.path.join(out, LAYOUT[reference_id])
 
 
 def _registry(out: str) -> str:
@@ -55,7 +71,7 @@ def _registry(out: str) -> str:
 
 def establishments(spark: SparkSession, source: str, out: str, version: str) -> dict:
     """Semicolon latin-1 text -> repaired, typed rows -> one folder per managing state."""
-    root = _ref(out, "cnes", "estabelecimentos")
+    root = _ref(out, "cnes_estabelecimentos")
     if already_published(os.path.join(root, "manifest.json"), version):
         return {"skipped": True, "version": version}
     rows = P.establishments(SRC.read_delimited(spark, source))
@@ -85,7 +101,7 @@ def population(spark: SparkSession, source_glob: str, out: str, recent_years: in
     years = sorted(r.ano for r in rows.select("ano").distinct().collect())   # a handful of years
     version = f"{years[0]}-{years[-1]}" if years else ""
     report = Q.report(rows, {"ano_ok": F.col("ano").isNotNull()})
-    return publish_reference(rows, _ref(out, "ibge", "populacao"), "populacao", version, "co_uf",
+    return publish_reference(rows, _ref(out, "populacao"), "populacao", version, "co_uf",
                              ["co_municipio_ibge", "ano", "sexo", "idade"], report,
                              {"years": years, "records": records,
                               "municipality_filter_column": "co_municipio_ibge"}, _registry(out))
@@ -104,7 +120,7 @@ def census(spark: SparkSession, source_glob: str, out: str, year: int) -> dict:
     races = code_table(spark, P.RACES, ["race_id", "co_raca_cor", "no_raca_cor"])
     sexes = code_table(spark, P.SEXES, ["sex_id", "sexo", "no_sexo"])
     cells = P.census(rows, races, sexes, year)
-    return publish_reference(cells, _ref(out, "ibge", "populacao_raca_censo"), "populacao_raca_censo", str(year),
+    return publish_reference(cells, _ref(out, "populacao_raca_censo"), "populacao_raca_censo", str(year),
                              "co_uf", ["co_municipio_ibge", "sexo", "idade", "co_raca_cor"], Q.report(cells, {}),
                              {"municipality_filter_column": "co_municipio_ibge", "warnings": warnings},
                              _registry(out))
@@ -120,7 +136,7 @@ def weights(spark: SparkSession, census_dir: str, out: str, version: str, ufs: s
     matrix = race_weights(cells, GROUP_KEYS)
     inv = weight_sum_report(matrix).select(F.lit("weights_sum_to_one").alias("check"),
                                            F.col("falhas").alias("failures"))
-    return publish_reference(matrix, _ref(out, "ibge", "matriz_pesos_raca"), "matriz_pesos_raca", version,
+    return publish_reference(matrix, _ref(out, "matriz_pesos_raca"), "matriz_pesos_raca", version,
                              "co_uf", ["co_municipio_ibge", "sexo", "idade", "co_raca_cor"], inv,
                              {"method": "peso_raca = pop_raca / pop_total_grupo",
                               "municipality_filter_column": "co_municipio_ibge"}, _registry(out))
@@ -137,7 +153,7 @@ def estimate(spark: SparkSession, population_dir: str, census_dir: str, out: str
     cens = spark.read.option("basePath", census_dir).parquet(census_dir)
     est = P.estimate(pop, cens, top_age)
     counts = est.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("peso").isNull()).alias("unmatched")).collect()[0]
-    return publish_reference(est, _ref(out, "ibge", "populacao_estimada_raca"), "populacao_estimada_raca", version,
+    return publish_reference(est, _ref(out, "populacao_estimada_raca"), "populacao_estimada_raca", version,
                              "co_uf", ["co_municipio_ibge", "ano", "sexo", "idade"], None,
                              {"formula": "total(ano,mun,sexo,idade) * peso(mun,sexo,idade,raca)", "top_age": top_age,
                               "unmatched_cells": int(counts["unmatched"])}, _registry(out))
@@ -150,7 +166,7 @@ def neighbourhoods(spark: SparkSession, source: str, out: str, version: str,
     if required_key and nb.filter(F.col("cd_bairro") == required_key).limit(1).count() == 0:
         raise ValidationError(f"required neighbourhood {required_key} not found")
     require_clean(Q.report(nb, {}))                 # not empty
-    root = _ref(out, "ibge", "bairros_censo")
+    root = _ref(out, "bairros_censo")
     m = publish_if_changed(nb.sortWithinPartitions("cd_bairro"), root, "bairros_censo", version, NB_ORDER,
                            os.path.join(root, "manifest.json"))
     register(_registry(out), "bairros_censo", os.path.join(root, "manifest.json"))
@@ -160,17 +176,16 @@ def neighbourhoods(spark: SparkSession, source: str, out: str, version: str,
 def icd10(spark: SparkSession, sources: dict[str, str], out: str, version: str = "static") -> dict:
     """The ICD-10 tables (chapters, groups, categories, subcategories) as text tables."""
     tables = {name: SRC.read_csv_clean(spark, path) for name, path in sources.items()}
-    files = publish_tables(tables, _ref(out, "saude", "cid10"), version)
+    files = publish_tables(tables, _ref(out, "cid10"), version)
     from vigiframe.sinks.publish import write_manifest
-    man = _ref(out, "saude", "cid10", "manifest.json")
+    man = os.path.join(_ref(out, "cid10"), "manifest.json")
     m = write_manifest(man, "cid10", version, files, sum(f["rows"] for f in files.values()))
     register(_registry(out), "cid10", man)
     return m
 
 
-def _json_reference(spark: SparkSession, df: DataFrame, out: str, rel: tuple[str, ...], rid: str, version: str,
-                    columns: list[str]) -> dict:
-    root = _ref(out, *rel)
+def _json_reference(df: DataFrame, out: str, rid: str, version: str, columns: list[str]) -> dict:
+    root = _ref(out, rid)
     m = publish_if_changed(df, root, rid, version, columns, os.path.join(root, "manifest.json"))
     register(_registry(out), rid, os.path.join(root, "manifest.json"))
     return m
@@ -182,7 +197,7 @@ def states(spark: SparkSession, source: str, out: str, expected_rows: int = 27)
     n = df.count()
     if n != expected_rows:
         raise ValidationError(f"expected {expected_rows} states, got {n}")
-    return _json_reference(spark, df, out, ("ibge", "uf"), "uf", "current", list(df.columns))
+    return _json_reference(df, out, "uf", "current", list(df.columns))
 
 
 def municipalities(spark: SparkSession, source: str, out: str, minimum_rows: int = 5570) -> dict:
@@ -192,14 +207,13 @@ def municipalities(spark: SparkSession, source: str, out: str, minimum_rows: int
     n = df.count()
     if dup.duplicated_keys or n < minimum_rows:
         raise ValidationError(f"municipalities: {dup.duplicated_keys} duplicated codes, {n} rows")
-    return _json_reference(spark, df, out, ("ibge", "municipios"), "municipios", "current", list(df.columns))
+    return _json_reference(df, out, "municipios", "current", list(df.columns))
 
 
 def calendar(spark: SparkSession, out: str, start_year: int = 1900, end_year: int = 2100) -> dict:
     """Epidemiological calendar, one row per day."""
     cal = P.calendar(D.date_spine(spark, start_year, end_year))
-    return _json_reference(spark, cal, out, ("vigilancia", "calendario_epidemiologico"),
-                           "calendario_epidemiologico", f"{start_year}-{end_year}", list(cal.columns))
+    return _json_reference(cal, out, "calendario_epidemiologico", f"{start_year}-{end_year}", list(cal.columns))
 
 
 def main(argv: list[str] | None = None) -> None:
