@@ -12,8 +12,12 @@ DEFAULT_DOMAIN_VALUES = 100_000
 
 
 def known_row_count(df: DataFrame) -> int | None:
-    """Exact row count when the plan already knows it (in-memory local data), else None."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    """Exact row count when the plan already knows it (in-memory local data), else None.
+    (None as well on sessions without JVM plan access, e.g. Spark Connect.)"""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+    except Exception:  # noqa: BLE001
+        return None
     rc = stats.rowCount()
     if not rc.isDefined():
         return None
@@ -42,8 +46,12 @@ _DERIVED_NODES = ("Aggregate", "Join", "Window", "Generate", "Expand", "Union")
 
 
 def _is_derived(df: DataFrame) -> bool:
-    """True when the plan computes its rows (aggregate, join, window, explode ...)."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    """True when the plan computes its rows (aggregate, join, window, explode ...).
+    Without JVM plan access (Spark Connect) every plan counts as derived: no hint, AQE decides."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    except Exception:  # noqa: BLE001
+        return True
     return any(node in plan for node in _DERIVED_NODES)
 
 
