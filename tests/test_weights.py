@@ -66,3 +66,13 @@ def test_block_ids_hot_group_matches_window(spark):
     b = df.withColumn("bloco", F.floor((F.row_number().over(w) - 1) / 7).cast("int"))
     assert a.count() == b.count() == 5000
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_salted_totals_match_window_on_hot_key(spark):
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id") % 40)
+        .alias("k"), (F.col("id") % 11).alias("v"))
+    a = with_group_total(df, ["k"], "v", "t")
+    b = join_group_total(df, ["k"], "v", "t", hot_rows=300)      # null and 7 are hot: fan 7
+    assert a.count() == b.count() == 6000
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

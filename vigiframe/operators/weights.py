@@ -20,6 +20,8 @@ MATRIX_COLUMNS = [
     "ano_censo", "co_municipio_ibge", "co_municipio", "co_uf", "sexo", "no_sexo", "idade",
     "co_raca_cor", "co_raca_cor_sidra", "no_raca_cor", "pop_raca", "pop_total_grupo", "peso_raca",
 ]
+# Groups above this many rows are salted over several tasks in skew-safe totals.
+HOT_GROUP_ROWS = 1_000_000
 # Tolerance of the "weights of a group sum to one" invariant.
 WEIGHT_TOLERANCE = 1e-9
 
@@ -35,12 +37,11 @@ def with_group_total(df: DataFrame, keys: list[str], value: str, total: str, ske
 
     Window form (default): one shuffle, for frames whose groups are bounded (e.g.
     aggregated cells). ``skew_safe=True`` for raw detail rows: the totals are a
-    map-side partially aggregated ``groupBy`` and are joined back, so a hot key
-    is never gathered into one task (AQE splits the hot detail partition, or
-    broadcasts the totals when they are small).
+    map-side partially aggregated ``groupBy`` joined back with hot keys salted
+    (see ``join_group_total``), so a hot key is never gathered into one task.
     """
     if skew_safe:
-        return join_group_total(df, keys, value, total)
+        return join_group_total(df, keys, value, total, hot_rows=HOT_GROUP_ROWS)
     w = Window.partitionBy(*keys)
     return df.withColumn(total, F.coalesce(F.sum(value).over(w), F.lit(0)).cast("long"))
 
@@ -58,17 +59,44 @@ def race_weights(census: DataFrame, keys: list[str] = GROUP_KEYS, columns: list[
     return m.select(*cols)
 
 
-def join_group_total(df: DataFrame, keys: list[str], value: str, total: str) -> DataFrame:
+def join_group_total(df: DataFrame, keys: list[str], value: str, total: str,
+                     hot_rows: int | None = None) -> DataFrame:
     """Join form of ``with_group_total``: detail left-joined to its group sums with a
-    null-safe key match (a null key meets the null-key group, as in pandas)."""
-    totals = df.groupBy(*keys).agg(F.coalesce(F.sum(value), F.lit(0)).cast("long").alias(total))
-    t = totals.alias("t")
-    d = df.alias("d")
-    cond = None
-    for k in keys:
-        c = F.col(f"d.{k}").eqNullSafe(F.col(f"t.{k}"))
-        cond = c if cond is None else cond & c
-    return d.join(t, cond, "left").select("d.*", F.col(f"t.{total}"))
+    null-safe key match (a null key meets the null-key group, as in pandas).
+
+    With ``hot_rows`` the join is salted so no group's rows meet in one task: keys
+    with more than ``hot_rows`` rows (at most rows/hot_rows of them, a list bounded
+    by construction and broadcast) get ``fan = ceil(n / hot_rows)``; each of their
+    detail rows takes a deterministic salt in [0, fan) from a row hash, their total
+    is replicated once per salt, and the join runs on (keys, salt).
+    """
+    totals = df.groupBy(*keys).agg(F.coalesce(F.sum(value), F.lit(0)).cast("long").alias(total),
+                                   F.count(F.lit(1)).alias("_n"))
+
+    def on(a: str, b: str, extra: list[str] = ()):
+        cond = None
+        for k in keys:
+            c = F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}"))
+            cond = c if cond is None else cond & c
+        for k in extra:
+            cond = cond & (F.col(f"{a}.{k}") == F.col(f"{b}.{k}"))
+        return cond
+
+    if hot_rows is None:
+        t = totals.drop("_n").alias("t")
+        return df.alias("d").join(t, on("d", "t"), "left").select("d.*", F.col(f"t.{total}"))
+
+    hot = totals.filter(F.col("_n") > hot_rows).select(
+        *keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_fan"))
+    hot_b = F.broadcast(hot).alias("h")
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    d = (df.alias("d").join(hot_b, on("d", "h"), "left")
+         .select("d.*", F.coalesce(F.col("h._fan"), F.lit(1)).alias("_fan")))
+    d = d.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.col("_fan").cast("long")).cast("int")).drop("_fan")
+    t = (totals.drop("_n").alias("t").join(hot_b, on("t", "h"), "left")
+         .select("t.*", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("h._fan"), F.lit(1)) - 1)).alias("_salt")))
+    j = d.alias("d").join(t.alias("t"), on("d", "t", ["_salt"]), "left")
+    return j.select(*[F.col(f"d.`{c}`") for c in df.columns], F.col(f"t.{total}"))
 
 
 def weight_sum_failures(matrix: DataFrame, keys: list[str] = GROUP_KEYS, weight: str = "peso_raca",
