@@ -74,7 +74,8 @@ def establishments(spark: SparkSession, source: str, out: str, version: str) ->
     root = _ref(out, "cnes_estabelecimentos")
     if already_published(os.path.join(root, "manifest.json"), version):
         return {"skipped": True, "version": version}
-    rows = P.establishments(SRC.read_delimited(spark, source))
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = P.establishments(SRC.read_delimited(spark, source, partitions=spread))
     missing = {"co_estado_gestor", "co_municipio_gestor"} - set(rows.columns)
     if missing:
         raise ValidationError(f"missing columns {sorted(missing)}")
@@ -162,7 +163,8 @@ def estimate(spark: SparkSession, population_dir: str, census_dir: str, out: str
 def neighbourhoods(spark: SparkSession, source: str, out: str, version: str,
                    required_key: str | None = None) -> dict:
     """Latin-1 text with decimal commas -> typed table, with a sentinel-row check."""
-    nb = P.neighbourhoods(SRC.read_delimited(spark, source), NB_TEXT, NB_INT, NB_FLOAT, NB_ORDER)
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    nb = P.neighbourhoods(SRC.read_delimited(spark, source, partitions=spread), NB_TEXT, NB_INT, NB_FLOAT, NB_ORDER)
     if required_key and nb.filter(F.col("cd_bairro") == required_key).limit(1).count() == 0:
         raise ValidationError(f"required neighbourhood {required_key} not found")
     require_clean(Q.report(nb, {}))                 # not empty

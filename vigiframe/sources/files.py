@@ -20,17 +20,20 @@ from vigiframe.operators.columns import drop_blank_names, normalize_names
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = ";", encoding: str = "ISO-8859-1",
-                   multi_line: bool = True, header: bool = True) -> DataFrame:
+                   multi_line: bool = True, header: bool = True, partitions: int | None = None) -> DataFrame:
     """Semicolon text, quote '"', every column text, empty fields kept as ''.
 
     ``multi_line=True`` reads quoted line breaks (the file is then one task per
-    file); pass False for large clean files so Spark splits them, and the
-    result is spread with a ``repartition`` by the caller's key.
+    file); pass False for large clean files so Spark splits them. ``partitions``
+    spreads the rows round-robin right after the scan, so the per-row cleaning
+    that follows does not run in the single task that read a multi-line file.
     """
     df = (spark.read.option("sep", sep).option("quote", '"').option("escape", '"')
           .option("header", header).option("encoding", encoding)
           .option("multiLine", multi_line).option("inferSchema", False)
           .option("mode", "PERMISSIVE").csv(path))
+    if partitions:
+        df = df.repartition(partitions)
     return df.na.fill("")
 
 
