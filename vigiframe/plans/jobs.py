@@ -222,8 +222,8 @@ def main(argv: list[str] | None = None) -> None:
     from vigiframe.session import build_session
     ap = argparse.ArgumentParser(prog="vigiframe.plans.jobs")
     ap.add_argument("job", choices=["establishments", "population", "census", "weights", "estimate",
-                                    "neighbourhoods", "states", "municipalities", "calendar"])
-    ap.add_argument("--source")
+                                    "neighbourhoods", "icd10", "states", "municipalities", "calendar"])
+    ap.add_argument("--source", help="input path or glob; icd10: name=path,name=path,...")
     ap.add_argument("--out", required=True)
     ap.add_argument("--version", default="current")
     ap.add_argument("--year", type=int, default=2022)
@@ -248,6 +248,9 @@ def main(argv: list[str] | None = None) -> None:
         print(estimate(spark, a.source, a.census, a.out, a.version, a.top_age))
     elif job == "neighbourhoods":
         print(neighbourhoods(spark, a.source, a.out, a.version))
+    elif job == "icd10":
+        sources = dict(item.split("=", 1) for item in a.source.split(","))
+        print(icd10(spark, sources, a.out))
     elif job == "states":
         print(states(spark, a.source, a.out))
     elif job == "municipalities":
