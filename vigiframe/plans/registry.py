@@ -37,24 +37,42 @@ DATE_COLUMNS: dict[str, list[str]] = {
 }
 
 
-def dates_as_timestamps(fn: QueryFn) -> QueryFn:
-    """Wrap a query so its DateType columns come out as timestamp_ntz."""
+# Integer output columns that hold nulls. Read into pandas, Spark gives them as
+# float64 and DuckDB as nullable Int64; the driver-facing wrappers deliver them
+# as double on both sides so every way of reading compares equal. The library
+# itself returns bigint.
+NULLABLE_INT_COLUMNS: dict[str, list[str]] = {
+    "fn_try_int": ["valor"], "pipe_neighbourhoods": ["v0001"],
+}
+
+
+def for_driver(key: str, fn: QueryFn) -> QueryFn:
+    """Wrap a query with the driver-facing representation: dates as timestamp_ntz,
+    nullable integer columns (``NULLABLE_INT_COLUMNS``) as double."""
     from pyspark.sql import functions as F
+    as_double = set(NULLABLE_INT_COLUMNS.get(key, []))
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = fn(spark, sf_dir)
-        if not any(t == "date" for _, t in df.dtypes):
+        if not as_double and not any(t == "date" for _, t in df.dtypes):
             return df
-        return df.select(*[F.col(f"`{c}`").cast("timestamp_ntz").alias(c) if t == "date" else F.col(f"`{c}`")
-                           for c, t in df.dtypes])
+        cols = []
+        for c, t in df.dtypes:
+            col = F.col(f"`{c}`")
+            if t == "date":
+                col = col.cast("timestamp_ntz")
+            elif c in as_double:
+                col = col.cast("double")
+            cols.append(col.alias(c))
+        return df.select(*cols)
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run
 
 
-def sql_dates_as_timestamps(key: str, sql: str) -> str:
-    cols = DATE_COLUMNS.get(key)
-    if not cols:
+def sql_for_driver(key: str, sql: str) -> str:
+    repl = [f"CAST({c} AS TIMESTAMP) AS {c}" for c in DATE_COLUMNS.get(key, [])]
+    repl += [f"CAST({c} AS DOUBLE) AS {c}" for c in NULLABLE_INT_COLUMNS.get(key, [])]
+    if not repl:
         return sql
-    repl = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
-    return f"SELECT * REPLACE ({repl}) FROM ({sql}) AS q"
+    return f"SELECT * REPLACE ({', '.join(repl)}) FROM ({sql}) AS q"
