@@ -114,3 +114,10 @@ def test_consumer_lookup_reads_one_state(spark, tmp_path):
     assert "EqualTo(co_municipio_gestor,330455)" in plan
     assert read_reference(spark, reg, "cnes_estabelecimentos").count() == 3
     assert read_reference(spark, reg, "cnes_estabelecimentos", part="99").count() == 0
+
+
+def test_cli_runs_a_job(spark, tmp_path, capsys):
+    out = str(tmp_path / "ref")
+    jobs.main(["calendar", "--out", out])          # reuses the running session
+    assert "calendario_epidemiologico" in capsys.readouterr().out
+    assert "calendario_epidemiologico" in load(os.path.join(out, "manifest.json"))["references"]
