@@ -152,3 +152,20 @@ def test_fixed_width_file_without_records(spark, tmp_path):
     d.mkdir()
     _dbf(d / "E.DBF", [], declared=0)
     assert SRC.read_fixed_width(spark, str(d), FIELDS).count() == 0
+
+
+def test_uri_round_trip():
+    from vigiframe.sources.fixed_width_source import _uri
+    assert _uri("/data/pop/*.DBF", "/data/pop/A.DBF") == "/data/pop/A.DBF"
+    assert _uri("file:///data/pop", "/data/pop/A.DBF") == "file:///data/pop/A.DBF"
+    assert _uri("s3://bucket/pop/*.DBF", "bucket/pop/A.DBF") == "s3://bucket/pop/A.DBF"
+    assert _uri("hdfs://nn:8020/pop", "/pop/A.DBF") == "hdfs://nn:8020/pop/A.DBF"
+
+
+def test_split_reader_accepts_file_uri(spark, tmp_path):
+    from vigiframe.sources.fixed_width_source import read_fixed_width_split
+    d = tmp_path / "uri"
+    d.mkdir()
+    _dbf(d / "U.DBF", [" 3304557" + "2024" + "1" + "  5" + "      120"], declared=1)
+    got = read_fixed_width_split(spark, f"file://{d}/*.DBF", FIELDS).collect()
+    assert [(r.cod_mun, r.pop) for r in got] == [(3304557, 120)]

@@ -10,7 +10,6 @@ part of this package: a job starts from files already landed in a folder.
 from __future__ import annotations
 
 import argparse
-import glob
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +26,7 @@ from vigiframe.sinks.publish import publish_if_changed
 from vigiframe.sinks.reference import (ValidationError, already_published, publish_reference, publish_tables,
                                        register, require_clean)
 from vigiframe.sources import files as SRC
-from vigiframe.sources.fixed_width_source import header_counts, read_dbf_fields, read_fixed_width_split
+from vigiframe.sources.fixed_width_source import header_counts, list_files, read_dbf_fields, read_fixed_width_split
 
 # Published column layout of the census neighbourhood table.
 NB_TEXT = ["cd_bairro", "nm_bairro", "cd_regiao", "nm_regiao", "cd_uf", "nm_uf", "cd_mun", "nm_mun", "cd_dist",
@@ -87,7 +86,7 @@ def establishments(spark: SparkSession, source: str, out: str, version: str) ->
 
 def population(spark: SparkSession, source_glob: str, out: str, recent_years: int = 3) -> dict:
     """R2: fixed-width yearly files -> last ``recent_years`` years -> one folder per state."""
-    files = sorted(glob.glob(source_glob))
+    files = list_files(source_glob)
     if not files:
         raise ValidationError(f"no files at {source_glob}")
     fields = read_dbf_fields(files[0])

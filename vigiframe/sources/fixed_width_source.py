@@ -7,13 +7,16 @@ header of each file, every task seeks to its range and hands the raw records
 to Spark as Arrow batches. Field cutting and typing stay Spark expressions
 (``decode_records``), so Python only moves bytes.
 
-Paths must be readable by the executors with plain file I/O (a shared mount).
+Files are opened through ``pyarrow.fs``: local paths and URIs whose scheme the
+pyarrow build supports (e.g. ``s3://``, ``hdfs://``), with random-access reads,
+so every executor reads its own byte range of the shared storage.
 """
 
 from __future__ import annotations
 
-import glob
+import fnmatch
 import os
+import posixpath
 import struct
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,13 +35,61 @@ class RecordRange(InputPartition):
         self.header_len, self.record_len = header_len, record_len
 
 
-def header_counts(path: str) -> tuple[int, int, int, int]:
+def _filesystem(uri: str):
+    """(filesystem, path) for a local path or a URI with a scheme."""
+    from pyarrow import fs
+    if "://" in uri:
+        return fs.FileSystem.from_uri(uri)
+    return fs.LocalFileSystem(), os.path.abspath(uri)
+
+
+def _uri(original: str, path: str) -> str:
+    """Re-attach the scheme and authority of ``original`` to a listed ``path``
+    (absolute paths as HDFS and local files list them, bucket/key as object stores do)."""
+    if "://" not in original:
+        return path
+    scheme, rest = original.split("://", 1)
+    authority = rest.split("/", 1)[0]
+    if path.startswith("/"):
+        return f"{scheme}://{authority}{path}"
+    if authority and path.startswith(authority + "/"):
+        return f"{scheme}://{path}"
+    return f"{scheme}://{authority}/{path}"
+
+
+def list_files(pattern: str) -> list[str]:
+    """Files of a path, folder or glob (last path component only), as URIs."""
+    from pyarrow import fs
+    filesystem, path = _filesystem(pattern)
+    if any(ch in path for ch in "*?["):
+        parent, pat = posixpath.dirname(path), posixpath.basename(path)
+        infos = filesystem.get_file_info(fs.FileSelector(parent))
+        found = [i.path for i in infos if i.type == fs.FileType.File and fnmatch.fnmatch(posixpath.basename(i.path), pat)]
+    else:
+        info = filesystem.get_file_info(path)
+        if info.type == fs.FileType.Directory:
+            found = [i.path for i in filesystem.get_file_info(fs.FileSelector(path)) if i.type == fs.FileType.File]
+        else:
+            found = [path]
+    return sorted(_uri(pattern, f) for f in found)
+
+
+def _read_at(uri: str, offset: int, size: int) -> bytes:
+    filesystem, path = _filesystem(uri)
+    with filesystem.open_input_file(path) as fh:
+        fh.seek(offset)
+        return fh.read(size)
+
+
+def header_counts(uri: str) -> tuple[int, int, int, int]:
     """(declared records, header length, record length, whole records present)."""
-    with open(path, "rb") as fh:
+    filesystem, path = _filesystem(uri)
+    with filesystem.open_input_file(path) as fh:
         head = fh.read(12)
+        size = fh.size()
     n, = struct.unpack("<I", head[4:8])
     hlen, rlen = struct.unpack("<HH", head[8:12])
-    whole = max(0, (os.path.getsize(path) - hlen) // rlen)
+    whole = max(0, (size - hlen) // rlen)
     return n, hlen, rlen, min(n, whole)
 
 
@@ -46,10 +97,9 @@ def read_dbf_fields(path: str) -> list[Field]:
     """Field list from a DBF-style header: 32-byte descriptors after the 32-byte file
     header, up to the 0x0D terminator (name: 11 bytes NUL-padded, type at byte 11,
     length at 16, decimals at 17). Only the header bytes are read, on the driver."""
-    with open(path, "rb") as fh:
-        head = fh.read(32)
-        hlen, = struct.unpack("<H", head[8:10])
-        desc = fh.read(hlen - 32)
+    head = _read_at(path, 0, 32)
+    hlen, = struct.unpack("<H", head[8:10])
+    desc = _read_at(path, 32, hlen - 32)
     fields = []
     for i in range(0, len(desc), 32):
         d = desc[i:i + 32]
@@ -65,8 +115,7 @@ class FixedWidthReader(DataSourceReader):
         pattern = options.get("path")
         if not pattern:
             raise ValueError("option 'path' is required")
-        self.files = sorted(glob.glob(pattern)) if any(ch in pattern for ch in "*?[") else \
-            sorted(glob.glob(os.path.join(pattern, "*"))) if os.path.isdir(pattern) else [pattern]
+        self.files = list_files(pattern)
         self.step = int(options.get("recordsPerPartition", DEFAULT_RECORDS_PER_PARTITION))
 
     def partitions(self):
@@ -81,7 +130,8 @@ class FixedWidthReader(DataSourceReader):
         import numpy as np
         import pyarrow as pa
         rlen = partition.record_len
-        with open(partition.path, "rb") as fh:
+        filesystem, path = _filesystem(partition.path)
+        with filesystem.open_input_file(path) as fh:
             pos = partition.start
             fh.seek(partition.header_len + pos * rlen)
             while pos < partition.end:
