@@ -45,6 +45,8 @@ def test_population_census_weights_jobs(spark, tmp_path):
     m = jobs.population(spark, str(d / "*.DBF"), out)
     assert m["version"] == "2023-2025" and m["years"] == [2023, 2024, 2025] and m["rows"] == 6
     assert m["records"]["POPSBR25.DBF"] == {"declared": 3, "whole": 2}
+    assert "POPSBR22.DBF" not in m["records"]                  # the oldest year is not even decoded
+    assert jobs.population(spark, str(d / "*.DBF"), out) == {"skipped": True, "years": [2023, 2024, 2025]}
     c = tmp_path / "census"
     c.mkdir()
     head = '{"D1C":"Municipio (Codigo)","D4C":"Cor","D5C":"Sexo","D6N":"Idade","V":"Valor"}'

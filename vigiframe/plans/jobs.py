@@ -10,7 +10,10 @@ part of this package: a job starts from files already landed in a folder.
 from __future__ import annotations
 
 import argparse
+import json
 import os
+import posixpath
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,24 +87,56 @@ def establishments(spark: SparkSession, source: str, out: str, version: str) ->
                              {"municipality_filter_column": "co_municipio_gestor"}, _registry(out))
 
 
-def population(spark: SparkSession, source_glob: str, out: str, recent_years: int = 3) -> dict:
-    """R2: fixed-width yearly files -> last ``recent_years`` years -> one folder per state."""
+# Fixed value: name of a yearly population file; the two digits are the year - 2000.
+POPULATION_FILE = r"(?i)^POPSBR(\d{2})\.DBF$"
+
+
+def population(spark: SparkSession, source_glob: str, out: str, recent_years: int = 3,
+               name_pattern: str = POPULATION_FILE) -> dict:
+    """R2: fixed-width yearly files -> last ``recent_years`` years -> one folder per state.
+
+    The years come from the file listing (catalogue): the newest ``recent_years``
+    years are chosen from the names (the last listed file wins for a year) and only
+    those files are decoded; when that year list is already published the run is
+    skipped. Files whose names carry no year fall back to retention on the decoded
+    ``ano``."""
+    if recent_years < 1:
+        raise ValidationError("recent_years must be >= 1")
     files = list_files(source_glob)
     if not files:
         raise ValidationError(f"no files at {source_glob}")
-    fields = read_dbf_fields(files[0])
+    by_year = {}
+    for f in files:                                   # listing order: last one wins
+        m = re.search(name_pattern, posixpath.basename(f))
+        if m:
+            by_year[2000 + int(m.group(1))] = f
+    root = _ref(out, "populacao")
+    if by_year:
+        chosen_years = sorted(by_year)[-recent_years:]
+        chosen = [by_year[y] for y in chosen_years]
+        man = os.path.join(root, "manifest.json")
+        if os.path.exists(man):
+            with open(man, encoding="utf-8") as fh:
+                old = json.load(fh)
+            if sorted(old.get("years") or []) == chosen_years:
+                return {"skipped": True, "years": chosen_years}
+    else:
+        chosen = files
+    fields = read_dbf_fields(chosen[0])
     # Declared vs whole records per file (12 header bytes each): a short tail record
     # ends a file in the source rules; the rows before it are kept and the gap reported.
     records = {}
-    for f in files:
+    for f in chosen:
         declared, _, _, whole = header_counts(f)
-        records[os.path.basename(f)] = {"declared": declared, "whole": whole}
-    decoded = read_fixed_width_split(spark, source_glob, fields)
-    rows = P.population(retain_latest(decoded, "ano", recent_years))
+        records[posixpath.basename(f)] = {"declared": declared, "whole": whole}
+    decoded = read_fixed_width_split(spark, chosen, fields)
+    if not by_year:
+        decoded = retain_latest(decoded, "ano", recent_years)
+    rows = P.population(decoded)
     years = sorted(r.ano for r in rows.select("ano").distinct().collect())   # a handful of years
     version = f"{years[0]}-{years[-1]}" if years else ""
     report = Q.report(rows, {"ano_ok": F.col("ano").isNotNull()})
-    return publish_reference(rows, _ref(out, "populacao"), "populacao", version, "co_uf",
+    return publish_reference(rows, root, "populacao", version, "co_uf",
                              ["co_municipio_ibge", "ano", "sexo", "idade"], report,
                              {"years": years, "records": records,
                               "municipality_filter_column": "co_municipio_ibge"}, _registry(out))

@@ -115,7 +115,8 @@ class FixedWidthReader(DataSourceReader):
         pattern = options.get("path")
         if not pattern:
             raise ValueError("option 'path' is required")
-        self.files = list_files(pattern)
+        # several paths or globs may be given, one per line
+        self.files = sorted({f for p in pattern.splitlines() if p.strip() for f in list_files(p.strip())})
         self.step = int(options.get("recordsPerPartition", DEFAULT_RECORDS_PER_PARTITION))
 
     def partitions(self):
@@ -161,10 +162,13 @@ class FixedWidthDataSource(DataSource):
         return FixedWidthReader(self.options)
 
 
-def read_fixed_width_split(spark: SparkSession, path: str, fields: list[Field],
+def read_fixed_width_split(spark: SparkSession, path: str | list[str], fields: list[Field],
                            records_per_partition: int = DEFAULT_RECORDS_PER_PARTITION) -> DataFrame:
-    """Same result as ``read_fixed_width``, one task per record range."""
+    """Same result as ``read_fixed_width``, one task per record range. ``path`` is a
+    path, folder, glob or URI, or a list of them."""
     spark.dataSource.register(FixedWidthDataSource)
+    if not isinstance(path, str):
+        path = "\n".join(path)
     raw = (spark.read.format("fixedwidth").option("path", path)
            .option("recordsPerPartition", records_per_partition).load())
     return decode_records(raw, "rec", fields, ["path", "record_no"])
