@@ -123,3 +123,16 @@ def test_cli_runs_a_job(spark, tmp_path, capsys):
     jobs.main(["calendar", "--out", out])          # reuses the running session
     assert "calendario_epidemiologico" in capsys.readouterr().out
     assert "calendario_epidemiologico" in load(os.path.join(out, "manifest.json"))["references"]
+
+
+def test_establishments_picks_newest_version(spark, tmp_path):
+    land = tmp_path / "landing"
+    land.mkdir()
+    body = "CO_UNIDADE;CO_ESTADO_GESTOR;CO_MUNICIPIO_GESTOR\n1;33;330455\n"
+    for v in ("202512", "202604", "202603"):
+        (land / f"tbEstabelecimento{v}.csv").write_bytes(body.encode("latin-1"))
+    (land / "leiame.txt").write_bytes(b"x")
+    out = str(tmp_path / "ref")
+    m = jobs.establishments(spark, str(land / "*"), out)
+    assert m["version"] == "202604"
+    assert jobs.establishments(spark, str(land / "*"), out) == {"skipped": True, "version": "202604"}

@@ -71,8 +71,34 @@ def _registry(out: str) -> str:
     return os.path.join(out, "manifest.json")
 
 
-def establishments(spark: SparkSession, source: str, out: str, version: str) -> dict:
-    """Semicolon latin-1 text -> repaired, typed rows -> one folder per managing state."""
+# Fixed value: name of an establishments extract; the six digits are the version (YYYYMM).
+ESTABLISHMENTS_FILE = r"(?i)(\d{6})\.csv$"
+
+
+def latest_by_version(files: list[str], pattern: str) -> tuple[str, str] | None:
+    """The file holding the highest version in its name (versions compared as
+    integers), from a listing; None when no name carries a version."""
+    found = []
+    for f in files:
+        m = re.search(pattern, posixpath.basename(f))
+        if m:
+            found.append((int(m.group(1)), m.group(1), f))
+    if not found:
+        return None
+    _, version, path = max(found)
+    return path, version
+
+
+def establishments(spark: SparkSession, source: str, out: str, version: str | None = None,
+                   name_pattern: str = ESTABLISHMENTS_FILE) -> dict:
+    """Semicolon latin-1 text -> repaired, typed rows -> one folder per managing state.
+    Without ``version`` the newest file of ``source`` (a path or glob) is taken, its
+    version read from the name."""
+    if version is None:
+        picked = latest_by_version(list_files(source), name_pattern)
+        if picked is None:
+            raise ValidationError(f"no versioned file at {source}")
+        source, version = picked
     root = _ref(out, "cnes_estabelecimentos")
     if already_published(os.path.join(root, "manifest.json"), version):
         return {"skipped": True, "version": version}
@@ -271,7 +297,7 @@ def main(argv: list[str] | None = None) -> None:
     if job == "calendar":
         print(calendar(spark, a.out))
     elif job == "establishments":
-        print(establishments(spark, a.source, a.out, a.version))
+        print(establishments(spark, a.source, a.out, None if a.version == "current" else a.version))
     elif job == "population":
         print(population(spark, a.source, a.out))
     elif job == "census":
