@@ -55,9 +55,15 @@ def test_population_census_weights_jobs(spark, tmp_path):
     body = ",".join('{"D1C":"%s","D4C":"%s","D5C":"%s","D6N":"%s","V":"%s"}' % r for r in rows)
     (c / "rj.json").write_text(f"[{head},{body}]")
     (c / "empty.json").write_text(f"[{head}]")
-    cm = jobs.census(spark, str(c / "*.json"), out, 2022)
+    meta = tmp_path / "meta"
+    meta.mkdir()
+    (meta / "p.json").write_text('{"periodos":[{"id":"2010"},{"id":"2022"}],"periodicidade":{"fim":2022}}')
+    cm = jobs.census(spark, str(c / "*.json"), out, periods_glob=str(meta / "*.json"))
     assert cm["rows"] == 4 and set(cm["files"]) == {"33", "35"}
     assert cm["warnings"]["age_label_has_number"] == 0 and cm["warnings"]["not_empty"] == 0
+    assert cm["version"] == "2022"
+    assert jobs.census(spark, str(c / "*.json"), out, periods_glob=str(meta / "*.json")) == \
+        {"skipped": True, "version": "2022"}
     wm = jobs.weights(spark, os.path.join(out, "ibge", "populacao_raca_censo", "version=2022"), out, "2022")
     w = spark.read.parquet(os.path.join(out, "ibge", "matriz_pesos_raca", "version=2022"))
     got = {(r.co_municipio_ibge, r.co_raca_cor): r.peso_raca for r in w.collect()}

@@ -168,8 +168,27 @@ def population(spark: SparkSession, source_glob: str, out: str, recent_years: in
                               "municipality_filter_column": "co_municipio_ibge"}, _registry(out))
 
 
-def census(spark: SparkSession, source_glob: str, out: str, year: int) -> dict:
-    """Tabular JSON payloads (header element first) -> typed census cells by state."""
+def latest_period(spark: SparkSession, metadata_glob: str) -> int | None:
+    """Latest period id found in period metadata files (any of the three shapes)."""
+    meta = spark.read.option("wholetext", True).text(metadata_glob)
+    ids = meta.select(F.explode(SRC.period_ids("value")).alias("p"))
+    row = ids.agg(F.max(F.col("p").cast("int"))).collect()[0]
+    return row[0]
+
+
+def census(spark: SparkSession, source_glob: str, out: str, year: int | None = None,
+           periods_glob: str | None = None) -> dict:
+    """Tabular JSON payloads (header element first) -> typed census cells by state.
+    Without ``year`` the latest period of the metadata at ``periods_glob`` is used,
+    and a period already published is skipped."""
+    if year is None:
+        if not periods_glob:
+            raise ValidationError("give year or periods_glob")
+        year = latest_period(spark, periods_glob)
+        if year is None:
+            raise ValidationError(f"no period ids at {periods_glob}")
+        if already_published(os.path.join(_ref(out, "populacao_raca_censo"), "manifest.json"), str(year)):
+            return {"skipped": True, "version": str(year)}
     payloads = spark.read.option("wholetext", True).text(source_glob).withColumnRenamed("value", "payload")
     rows = payloads.select(F.explode(SRC.rows_after_header("payload", CENSUS_ROW)).alias("r")).select("r.*")
     # Kept as the source rules do, but reported: labels with no number become age 0,
@@ -286,7 +305,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--source", help="input path or glob; icd10: name=path,name=path,...")
     ap.add_argument("--out", required=True)
     ap.add_argument("--version", default="current")
-    ap.add_argument("--year", type=int, default=2022)
+    ap.add_argument("--year", type=int, default=None)
+    ap.add_argument("--periods", help="census: period metadata files (latest period is used)")
     ap.add_argument("--ufs")
     ap.add_argument("--census", help="published census folder (estimate job)")
     ap.add_argument("--top-age", type=int, default=80)
@@ -301,7 +321,7 @@ def main(argv: list[str] | None = None) -> None:
     elif job == "population":
         print(population(spark, a.source, a.out))
     elif job == "census":
-        print(census(spark, a.source, a.out, a.year))
+        print(census(spark, a.source, a.out, a.year, a.periods))
     elif job == "weights":
         print(weights(spark, a.source, a.out, a.version, a.ufs))
     elif job == "estimate":

@@ -271,16 +271,10 @@ ids AS (SELECT event_id, coalesce(json_extract_string(e, '$.id'), json_extract_s
         UNION ALL SELECT event_id, json_extract_string(p, '$.periodicidade.fim') FROM arr)
 SELECT DISTINCT event_id, periodo FROM ids WHERE regexp_full_match(periodo, '[0-9]+')""")
 def fn_json_variants(spark, sf_dir):
+    from vigiframe.sources.files import period_ids
     e = Tables(spark, sf_dir).events
     src = e.select("event_id", payload().alias("p"))
-    arr = src.select("event_id", "p",
-                     F.when(F.trim("p").startswith("["), F.col("p"))
-                      .otherwise(F.get_json_object("p", "$.periodos")).alias("a"))
-    el = arr.select("event_id", F.explode(F.from_json("a", "array<string>")).alias("e"))
-    ids = el.select("event_id", F.coalesce(F.get_json_object("e", "$.id"), F.col("e")).alias("periodo"))
-    fim = arr.select("event_id", F.get_json_object("p", "$.periodicidade.fim").alias("periodo"))
-    both = ids.unionByName(fim)
-    return both.filter(S.is_digits("periodo")).distinct()
+    return src.select("event_id", F.explode(period_ids("p")).alias("periodo")).distinct()
 
 
 @query("fn_split_list", """

@@ -185,6 +185,18 @@ def rows_after_header(payload, element_schema: T.DataType | str) -> Column:
     return F.slice(arr, 2, F.greatest(F.size(arr) - 1, F.lit(0)))
 
 
+def period_ids(payload) -> Column:
+    """Period ids from period metadata in any of three shapes: a list of objects
+    ``[{"id": ..}]``, a list of scalars, or ``{"periodos": [...], "periodicidade":
+    {"fim": ..}}``; digits-only ids, distinct and sorted (as text)."""
+    c = F.col(payload) if isinstance(payload, str) else payload
+    arr = F.when(F.trim(c).startswith("["), c).otherwise(F.get_json_object(c, "$.periodos"))
+    ids = F.transform(F.from_json(arr, "array<string>"), lambda e: F.coalesce(F.get_json_object(e, "$.id"), e))
+    ids = F.concat(F.coalesce(ids, F.array().cast("array<string>")),
+                   F.array(F.get_json_object(c, "$.periodicidade.fim")))
+    return F.array_sort(F.array_distinct(F.filter(ids, lambda x: x.rlike("^[0-9]+$"))))
+
+
 # ---------------------------------------------------------------- Parquet
 
 
