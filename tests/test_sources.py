@@ -169,3 +169,12 @@ def test_split_reader_accepts_file_uri(spark, tmp_path):
     _dbf(d / "U.DBF", [" 3304557" + "2024" + "1" + "  5" + "      120"], declared=1)
     got = read_fixed_width_split(spark, f"file://{d}/*.DBF", FIELDS).collect()
     assert [(r.cod_mun, r.pop) for r in got] == [(3304557, 120)]
+
+
+def test_fixed_width_non_integer_number_fails(spark, tmp_path):
+    import pytest
+    d = tmp_path / "bad"
+    d.mkdir()
+    _dbf(d / "B.DBF", [" 33045572024x  5      120"], declared=1)     # sexo field holds 'x'
+    with pytest.raises(Exception):
+        SRC.read_fixed_width(spark, str(d), FIELDS).collect()
