@@ -101,3 +101,23 @@ def test_strip_space_matches_python_strip(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x string")
     got = [r[0] for r in df.select(S.strip_space("x")).collect()]
     assert got == [v.strip() for v in values]
+
+
+COUNTS = st.one_of(st.sampled_from(["-", "X", "...", ""]),
+                   st.integers(min_value=0, max_value=10**9).map(str),
+                   st.decimals(min_value=0, max_value=10**6, places=3, allow_nan=False).map(lambda d: str(d).replace(".", ",")))
+
+
+def count_rule(v: str) -> int:
+    """Statistical-table count cell: symbols mean zero, numbers are truncated."""
+    if v in ("-", "X", "...", ""):
+        return 0
+    return int(float(v.replace(",", ".")))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(COUNTS, min_size=1, max_size=20))
+def test_symbol_count_matches_rule(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = [r[0] for r in df.select(S.symbol_count("x")).collect()]
+    assert got == [count_rule(v) for v in values]
