@@ -121,3 +121,23 @@ def test_symbol_count_matches_rule(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x string")
     got = [r[0] for r in df.select(S.symbol_count("x")).collect()]
     assert got == [count_rule(v) for v in values]
+
+
+def br_rule(v: str):
+    """dd/mm/yyyy with 1- or 2-digit day and month; impossible dates -> None."""
+    try:
+        return dt.datetime.strptime(v, "%d/%m/%Y").date()
+    except ValueError:
+        return None
+
+
+DAY_TEXT = st.builds(lambda d, m, y, pad: (f"{d:02d}/{m:02d}/{y}" if pad else f"{d}/{m}/{y}"),
+                     st.integers(1, 31), st.integers(1, 12), st.integers(1000, 9999), st.booleans())
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(DAY_TEXT, min_size=1, max_size=20))
+def test_parse_br_date_matches_strptime(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = [r[0] for r in df.select(D.parse_br_date("x")).collect()]
+    assert got == [br_rule(v) for v in values]
