@@ -166,3 +166,26 @@ def test_age_label_matches_rule(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x string")
     got = [r[0] for r in df.select(S.age_label("x")).collect()]
     assert got == [age_rule(v) for v in values]
+
+
+def decimal_comma_rule(v: str):
+    if v == "":
+        return None
+    try:
+        return float(v.replace(",", "."))
+    except ValueError:
+        return None
+
+
+DEC_TEXT = st.one_of(st.decimals(min_value=-10**6, max_value=10**6, places=3, allow_nan=False)
+                     .map(lambda d: str(d).replace(".", ",")),
+                     st.integers(-10**6, 10**6).map(str),
+                     st.sampled_from(["", "x", "-", "...", "1.234,5", "2,5,1"]))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(DEC_TEXT, min_size=1, max_size=20))
+def test_decimal_comma_matches_rule(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = [r[0] for r in df.select(S.decimal_comma(S.empty_null("x"))).collect()]
+    assert got == [decimal_comma_rule(v) for v in values]
