@@ -189,3 +189,14 @@ def test_decimal_comma_matches_rule(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x string")
     got = [r[0] for r in df.select(S.decimal_comma(S.empty_null("x"))).collect()]
     assert got == [decimal_comma_rule(v) for v in values]
+
+
+ITEM = st.one_of(st.integers(0, 99).map(str), st.just(""), st.just(" "), st.integers(0, 99).map(lambda n: f" {n} "))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(ITEM, min_size=0, max_size=6).map(",".join), min_size=1, max_size=10))
+def test_split_list_matches_rule(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = [r[0] for r in df.select(S.split_list("x", pad=2)).collect()]
+    assert got == [[i.strip().zfill(2) for i in t.split(",") if i.strip()] for t in texts]
