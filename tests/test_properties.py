@@ -200,3 +200,17 @@ def test_split_list_matches_rule(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "x string")
     got = [r[0] for r in df.select(S.split_list("x", pad=2)).collect()]
     assert got == [[i.strip().zfill(2) for i in t.split(",") if i.strip()] for t in texts]
+
+
+NAME = st.text(alphabet="ABCDEFGHIJ_xyz", min_size=1, max_size=8)
+
+
+@settings(max_examples=80, deadline=None)
+@given(NAME, st.sampled_from(["TO_CHAR", "to_char", "To_Char"]), st.sampled_from(["'DD/MM/YYYY'", "'dd/mm/yyyy'",
+                                                                                   "'YYYY'", "'DD/MM/YY'"]))
+def test_repair_header_rule(name, fn, fmt):
+    from vigiframe.operators.columns import repair_header_name
+    header = f"{fn}({name},{fmt})"
+    expected = name if fmt.upper() == "'DD/MM/YYYY'" else header
+    assert repair_header_name(header) == expected
+    assert repair_header_name(name) == name
