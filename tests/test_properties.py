@@ -214,3 +214,11 @@ def test_repair_header_rule(name, fn, fmt):
     expected = name if fmt.upper() == "'DD/MM/YYYY'" else header
     assert repair_header_name(header) == expected
     assert repair_header_name(name) == name
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.integers(1900, 2100), st.integers(1, 53)), min_size=1, max_size=20))
+def test_week_labels_format(spark, pairs):
+    df = spark.createDataFrame(pairs, "y long, w long")
+    got = [(r[0], r[1]) for r in df.select(D.epi_week_label("y", "w"), D.epi_week_number("y", "w")).collect()]
+    assert got == [(f"{y}{w:02d}", y * 100 + w) for y, w in pairs]
