@@ -41,21 +41,24 @@ def main() -> None:
     keys = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
-    times, exchanges = {}, {}
+    times, exchanges, errors = {}, {}, {}
     for k in keys:
-        warm = QUERIES[k](spark, sf_dir)
-        exchanges[k] = shuffles(warm)
-        run(warm)                               # warm-up: JIT, file listing, broadcast checks
-        samples = []
-        for _ in range(repeats):
-            t0 = time.perf_counter()
-            run(QUERIES[k](spark, sf_dir))
-            samples.append(time.perf_counter() - t0)
-        times[k] = round(statistics.median(samples), 3)
+        try:
+            warm = QUERIES[k](spark, sf_dir)
+            exchanges[k] = shuffles(warm)
+            run(warm)                           # warm-up: JIT, file listing, broadcast checks
+            samples = []
+            for _ in range(repeats):
+                t0 = time.perf_counter()
+                run(QUERIES[k](spark, sf_dir))
+                samples.append(time.perf_counter() - t0)
+            times[k] = round(statistics.median(samples), 3)
+        except Exception as e:  # noqa: BLE001 - report and keep the one-line contract
+            errors[k] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_median_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf, "cpus": int(cpus), "repeats": repeats,
-                      "shuffles": exchanges}))
+                      "shuffles": exchanges, **({"errors": errors} if errors else {})}))
     spark.stop()
 
 
