@@ -40,3 +40,9 @@ def test_filters_reach_the_scan(spark, key, pushed):
 def test_column_pruning(spark):
     plan = plan_of(spark, "src_parquet_pruned")
     assert "ReadSchema: struct<l_orderkey:bigint>" in plan
+
+
+def test_skew_safe_totals_keep_their_salt(spark):
+    plan = plan_of(spark, "win_group_total")
+    assert "Generate explode(sequence(0" in plan           # totals replicated per salt value
+    assert "_salt" in plan and "xxhash64" in plan          # detail rows salted by a row hash
