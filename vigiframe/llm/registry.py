@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigiframe.llm import op7_dart_minhash
+from vigiframe.llm import op1_crf_lines, op6_weak_labels, op7_dart_minhash
 from vigiframe.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,19 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+@query("op1_crf_lines")
+def crf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, line labels and verdict of every document; the field is fitted to the labelled documents."""
+    docs = read_table(spark, sf_dir, "documents")
+    return op1_crf_lines.rate_documents(docs, op1_crf_lines.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+@query("op6_weak_labels")
+def weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes, posterior, score and verdict of every document."""
+    return op6_weak_labels.classify(read_table(spark, sf_dir, "documents"))
+
+
 @query("op7_dart_minhash")
 def dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document, with the class's rows and whether the document stays."""
