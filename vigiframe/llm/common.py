@@ -54,6 +54,12 @@ def by_characters(texts: list[str], most: int = 1 << 20) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
+def safe_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns renamed by position, so that helper columns can't clash, and old name -> new name."""
+    names = {c: f"in{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def text_key(text: str = "text"):
     """Content key of a text: the first 16 bytes of its SHA-256 (null for null)."""
     return F.unhex(F.substring(F.sha2(F.col(text).cast("binary"), 256), 1, 32))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigiframe.llm.common import id_hash, map_batches, staged
+from vigiframe.llm.common import id_hash, map_batches, safe_names, staged
 from vigiframe.llm.features import equal_neighbours, hashed_grams, longest_run, lower_count, stop_words, symbol_count, upper_count
 
 # Votes: 0 abstain, 1 bad, 2 good. A labeller's number is its digit (base 3) in the vote pattern.
@@ -56,6 +56,10 @@ def votes(text: str | None) -> list[int]:
     return cast if n >= FEW_WORDS else [0 if v == 1 else v for v in cast]
 
 
+def pattern_number(cast: list[int]) -> int:
+    return sum(v * 3 ** i for i, v in enumerate(cast))
+
+
 def pattern_votes(patterns: np.ndarray) -> np.ndarray:
     """Votes (patterns x labellers) of pattern numbers."""
     return patterns[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
@@ -131,9 +135,8 @@ def fit_scorer(x: np.ndarray, y: np.ndarray, prior: float, rounds: int = 200, ra
 def vote_patterns(docs: DataFrame) -> DataFrame:
     """``(doc_id, pick, pattern)`` per row: the vote pattern, and the number that draws the sample."""
     def run(batches):
-        base = [3 ** i for i in range(len(LABELLERS))]
         for batch in batches:
-            numbers = [sum(map(int.__mul__, votes(t), base)) for t in batch.column("text").to_pylist()]
+            numbers = [pattern_number(votes(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("pick"), pa.array(numbers, pa.int32())], names=["doc_id", "pick", "pattern"])
 
     picked = docs.select("doc_id", "text", id_hash(6, F.col("doc_id"), F.col("text")).alias("pick"))
@@ -161,12 +164,11 @@ def fit(docs: DataFrame) -> dict:
     labels = dict(zip(numbers.tolist(), p.tolist(), strict=True))
 
     def vectors(batches):
-        base = [3 ** i for i in range(len(LABELLERS))]
         for batch in batches:
             picks, rows = batch.column("pick").to_pylist(), []
             for pick, t in zip(picks, batch.column("text").to_pylist(), strict=True):
                 if pick < max(shares.values()):
-                    y = labels[sum(map(int.__mul__, votes(t), base))]
+                    y = labels[pattern_number(votes(t))]
                     if pick < shares["good" if y >= 0.5 else "bad"]:
                         x = document_vector(t)
                         at = np.flatnonzero(x)
@@ -184,15 +186,13 @@ def fit(docs: DataFrame) -> dict:
     return {"prior": prior, "table": table, "weights": w, "bias": b, "rows": len(rows)}
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """All columns of ``docs`` plus ``_votes`` (how many labellers said good, bad), ``_posterior`` and ``_score``.
+def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
+    """All columns of ``docs`` plus ``_good`` and ``_bad`` (labellers of that vote), ``_posterior`` and ``_score``.
 
-    Empty and null texts have posterior ``prior`` and the scorer's value of an empty vector.
+    Empty and null texts have the prior as posterior, and the scorer's bias decides on them.
     """
     prior, table, w, b = model["prior"], model["table"], model["weights"], model["bias"]
-    base = [3 ** i for i in range(len(LABELLERS))]
-    columns = docs.columns
-    text_at = columns.index("text")
+    columns, text_at = docs.columns, docs.columns.index(text)
 
     def run(batches):
         known = {}
@@ -200,18 +200,18 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
             scores, post, good, bad = [], [], [], []
             for t in batch.column(text_at).to_pylist():
                 v = votes(t)
-                key = sum(map(int.__mul__, v, base))
+                key = pattern_number(v)
                 if key not in known:
                     known[key] = float(posteriors(np.array([key]), prior, table)[0])
                 post.append(known[key])
                 good.append(v.count(2))
                 bad.append(v.count(1))
                 scores.append(float(1 / (1 + np.exp(-(document_vector(t) @ w + b)))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(good, pa.int32()), pa.array(bad, pa.int32()), pa.array(post), pa.array(scores)],
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(good, pa.int64()), pa.array(bad, pa.int64()), pa.array(post, pa.float64()), pa.array(scores, pa.float64())],
                                              names=[*columns, "_good", "_bad", "_posterior", "_score"])
 
-    schema = T.StructType(docs.schema.fields).add("_good", "int").add("_bad", "int").add("_posterior", "double").add("_score", "double")
-    return map_batches(docs, run, schema)
+    added = T.StructType().add("_good", T.LongType()).add("_bad", T.LongType()).add("_posterior", T.DoubleType()).add("_score", T.DoubleType())
+    return map_batches(docs, run, T.StructType(docs.schema.fields + added.fields))
 
 
 def classify(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -223,11 +223,13 @@ def classify(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     found = score(docs, fit(docs))
-    return found.select("doc_id", F.col("_good").cast("bigint").alias("n_good"), F.col("_bad").cast("bigint").alias("n_bad"),
+    return found.select("doc_id", F.col("_good").alias("n_good"), F.col("_bad").alias("n_bad"),
                         F.col("_posterior").alias("posterior"), F.col("_score").alias("score"), (F.col("_score") >= threshold).alias("kept"))
 
 
 def keep_good(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, with all their columns."""
-    found = score(docs, fit(docs.select("doc_id", "text")))
-    return found.where(F.col("_score") >= threshold).select(*docs.columns)
+    model = fit(docs.select("doc_id", "text"))
+    safe, names = safe_names(docs)
+    found = score(safe, model, names["text"])
+    return found.where(F.col("_score") >= threshold).select(*safe.columns).toDF(*docs.columns)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigiframe.llm.common import by_characters, map_batches, staged, text_key
+from vigiframe.llm.common import by_characters, map_batches, safe_names, staged, text_key
 from vigiframe.llm.components import connected_components
 from vigiframe.llm.shingles import SHINGLE_WORDS, jaccard, mix, shingle_sets
 
@@ -181,10 +181,11 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     Rows with a null text or id always stay. All columns are kept as they are.
     """
     classes = near_duplicate_classes(docs, **options).where("class_size > 1")
-    verdict = classes.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(
-        F.max("is_lead").alias("_lead"), F.count("*").alias("_copies"))
-    held = docs.withColumn("_key", text_key()).withColumnRenamed("doc_id", "_id").join(verdict, ["_id", "_key"], "left")
-    columns = [F.col("_id").alias(c) if c == "doc_id" else F.col(c) for c in docs.columns]
-    single = held.where(F.col("_lead").isNull() | (F.col("_lead") & (F.col("_copies") == 1)))
-    again = held.where(F.col("_lead") & (F.col("_copies") > 1)).dropDuplicates(["_id", "_key"])
-    return single.select(*columns).unionByName(again.select(*columns))
+    verdict = classes.groupBy("doc_id", "key").agg(F.max("is_lead").alias("lead"), F.count("*").alias("copies"))
+    safe, names = safe_names(docs)
+    doc_id = names["doc_id"]
+    held = safe.withColumn("key", text_key(names["text"])).withColumnRenamed(doc_id, "doc_id").join(verdict, ["doc_id", "key"], "left")
+    single = held.where(F.col("lead").isNull() | (F.col("lead") & (F.col("copies") == 1)))
+    again = held.where(F.col("lead") & (F.col("copies") > 1)).dropDuplicates(["doc_id", "key"])
+    kept = single.unionByName(again).withColumnRenamed("doc_id", doc_id)
+    return kept.select(*safe.columns).toDF(*docs.columns)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigiframe.llm import op1_crf_lines, op6_weak_labels, op7_dart_minhash
+from vigiframe.llm import op1_crf_lines, op4_entropy_secrets, op6_weak_labels, op7_dart_minhash
 from vigiframe.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,12 @@ def crf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_crf_lines.rate_documents(docs, op1_crf_lines.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+@query("op4_entropy_secrets")
+def entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    return op4_entropy_secrets.scan(read_table(spark, sf_dir, "documents"))
+
+
 @query("op6_weak_labels")
 def weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Votes, posterior, score and verdict of every document."""
