@@ -25,6 +25,8 @@ from vigiframe.llm.shingles import SHINGLE_WORDS, jaccard, mix, shingle_sets
 BANDS = 20
 ROWS = 4
 SIMILARITY = 0.8
+PROBES = 4              # further members of a bucket's leading class that the texts outside it are compared with
+BLOCK_QUERIES = 64
 
 
 def _uniform(h: np.ndarray) -> np.ndarray:
@@ -142,18 +144,75 @@ def near_duplicate_links(docs: DataFrame, bands: int = BANDS, rows: int = ROWS,
     links = staged(verified(stars, texts, words, similarity))
     roots = connected_components(links)
 
+    # A few other members of the leading class of each open bucket settle most of what one centre left open ...
+    members = open_members(cells, roots)
+    leading = [F.min(F.when(F.col("root") == F.col("top"), F.struct(F.xxhash64("key", F.lit(i)), F.col("key").alias("a"), F.col("n").alias("n_a")))) for i in range(PROBES)]
+    probes = members.groupBy("hash").agg(F.array_distinct(F.array(*leading)).alias("probes"))
+    tries = members.where("root <> top").join(probes, "hash").select("key", "n", F.explode("probes").alias("p")).select("p.a", F.col("p.n_a"), "key", "n")
+    tries = tries.where(alike).select("a", F.col("key").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    links = staged(links.unionByName(verified(tries, texts, words, similarity)))
+    roots = connected_components(links)
+    # ... and the rest is compared with all members of its buckets, in blocks.
+    more = staged(linked_in_blocks(open_members(cells, roots), texts, words, similarity))
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        roots = connected_components(links)
+    return keyed.select("doc_id", "key"), roots
+
+
+def open_members(cells: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(hash, key, n, root, top)`` of the buckets whose texts are in several classes; top is the largest one."""
     member = cells.join(roots.withColumnRenamed("node", "key"), "key", "left").select("hash", "key", "n", F.coalesce("root", "key").alias("root"))
     sizes = member.groupBy("hash", "root").agg(F.count("*").alias("m"))
     most = sizes.groupBy("hash").agg(F.max(F.struct("m", "root")).alias("top"), F.count("*").alias("classes")).where("classes > 1")
-    open_cells = staged(member.join(most.select("hash", F.col("top.root").alias("top")), "hash"))
-    rest = open_cells.where("root <> top").select("hash", F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    pairs = rest.join(open_cells, "hash").where((F.col("root") != F.col("root_a")) & alike & ((F.col("root") == F.col("top")) | (F.col("key") < F.col("a"))))
-    pairs = pairs.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")).distinct()
-    done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = staged(verified(staged(pairs.join(done, ["a", "b"], "left_anti")), texts, words, similarity))
-    if not more.isEmpty():
-        roots = connected_components(links.unionByName(more))
-    return keyed.select("doc_id", "key"), roots
+    return staged(member.join(most.select("hash", F.col("top.root").alias("top")), "hash"))
+
+
+def linked_in_blocks(members: DataFrame, texts: DataFrame, words: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """``(a, b)``: links between each text outside its bucket's leading class and the bucket's texts of other classes.
+
+    The texts outside are queries, dealt into blocks of about ``BLOCK_QUERIES``; every member of the bucket passes
+    by every block once and is compared with the block's queries there, so no pair becomes a row unless it is a
+    link that joins two classes (one per query and class).
+    """
+    queries = members.where("root <> top")
+    blocks = queries.groupBy("hash").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("blocks"))
+    asked = queries.join(blocks, "hash").select("hash", F.expr("pmod(xxhash64(key), blocks)").cast("int").alias("block"), F.lit(0).alias("turn"), "key", "root")
+    passing = members.join(blocks, "hash").select("hash", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("turn"), "key", "root")
+    stream = asked.unionByName(passing).join(texts, "key").select("hash", "block", "turn", "key", "root", "text")
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stream = stream.repartition(parts, "hash", "block").sortWithinPartitions("hash", "block", "turn", "key")
+
+    def run(batches):
+        block, keys, roots, sets, owner, joined, told = None, [], [], [], None, None, set()
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(6)]
+            mine = []
+            for part in by_characters(columns[5]):
+                mine += [e for e, _ in shingle_sets(columns[5][part], words)]
+            found = []
+            for h, number, turn, key, root, own in zip(*columns[:5], mine, strict=True):
+                if (h, number) != block:
+                    block, keys, roots, sets, joined, told = (h, number), [], [], [], None, set()
+                if turn == 0:
+                    keys.append(key)
+                    roots.append(root)
+                    sets.append(own)
+                    continue
+                if joined is None:
+                    sizes = np.array([len(x) for x in sets])
+                    joined, owner = np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.repeat(np.arange(len(sets)), sizes)
+                if not len(joined) or not len(own):
+                    continue
+                place = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+                both = np.bincount(owner[own[place] == joined], minlength=len(sets))
+                for i in np.flatnonzero(both >= similarity * (sizes + len(own) - both)).tolist():
+                    if roots[i] != root and (keys[i], root) not in told:
+                        told.add((keys[i], root))
+                        found.append((min(key, keys[i]), max(key, keys[i])))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.binary()), pa.array([b for _, b in found], pa.binary())], names=["a", "b"])
+
+    return map_batches(stream, run, "a binary, b binary")
 
 
 def near_duplicate_classes(docs: DataFrame, **options) -> DataFrame:
