@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigiframe.llm import op1_crf_lines, op4_entropy_secrets, op6_weak_labels, op7_dart_minhash
+from vigiframe.llm import op1_crf_lines, op2_raking, op3_unigram, op4_entropy_secrets, op6_weak_labels, op7_dart_minhash
 from vigiframe.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer file: the folder in ``VIGIFRAME_TOKENIZERS``, else the installed package's."""
+    folder = os.environ.get("VIGIFRAME_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def piece_vocabulary() -> str:
+    return tokenizer_file("piece_bpe_32k.model")
+
+
 def query(name: str, sql: str | None = None):
     def wrap(fn):
         QUERIES[name] = fn
@@ -29,6 +44,18 @@ def crf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_crf_lines.rate_documents(docs, op1_crf_lines.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+@query("op2_raking")
+def raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell, calibrated weight, probability and draw of every document."""
+    return op2_raking.calibrate(read_table(spark, sf_dir, "documents"))
+
+
+@query("op3_unigram")
+def unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, and whether they decode to its text."""
+    return op3_unigram.digest(read_table(spark, sf_dir, "documents"), piece_vocabulary())
+
+
 @query("op4_entropy_secrets")
 def entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document."""
