@@ -7,7 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigiframe.llm import op1_crf_lines, op2_raking, op3_unigram, op4_entropy_secrets, op6_weak_labels, op7_dart_minhash
+from vigiframe.llm import (
+    op1_crf_lines,
+    op2_raking,
+    op3_unigram,
+    op4_entropy_secrets,
+    op5_html_blocks,
+    op6_weak_labels,
+    op7_dart_minhash,
+    op8_semicrf_pii,
+    op9_merkle,
+    op10_pfor,
+)
 from vigiframe.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +73,12 @@ def entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_entropy_secrets.scan(read_table(spark, sf_dir, "documents"))
 
 
+@query("op5_html_blocks")
+def html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return op5_html_blocks.extract(read_table(spark, sf_dir, "pages"))
+
+
 @query("op6_weak_labels")
 def weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Votes, posterior, score and verdict of every document."""
@@ -73,3 +90,22 @@ def dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document, with the class's rows and whether the document stays."""
     classes = op7_dart_minhash.near_duplicate_classes(read_table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id", "class_size", "is_lead")
+
+
+@query("op8_semicrf_pii")
+def semicrf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    return op8_semicrf_pii.scan(docs, op8_semicrf_pii.fit(docs))
+
+
+@query("op9_merkle")
+def merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return op9_merkle.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+@query("op10_pfor")
+def pfor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to files and read back."""
+    return op10_pfor.digest(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
