@@ -150,16 +150,29 @@ def near_duplicate_links(docs: DataFrame, bands: int = BANDS, rows: int = ROWS,
     probes = members.groupBy("hash").agg(F.array_distinct(F.array(*leading)).alias("probes"))
     tries = members.where("root <> top").join(probes, "hash").select("key", "n", F.explode("probes").alias("p")).select("p.a", F.col("p.n_a"), "key", "n")
     tries = tries.where(alike).select("a", F.col("key").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    links = staged(links.unionByName(verified(tries, texts, words, similarity)))
-    roots = connected_components(links)
-    # ... and the rest is compared with all members of its buckets, in blocks.
-    more = staged(linked_in_blocks(open_members(cells, roots), texts, words, similarity))
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        roots = connected_components(links)
+    probed = staged(verified(tries, texts, words, similarity))
+    # ... and the rest is compared with all members of its buckets, in blocks. For these, a class that a probe has
+    # linked counts as part of the other one; a link seen so or not is only compared once more.
+    more = staged(linked_in_blocks(open_members(cells, merged(roots, probed)), texts, words, similarity))
+    new = probed.unionByName(more)
+    if not new.isEmpty():
+        roots = connected_components(links.unionByName(new))
     return keyed.select("doc_id", "key"), roots
 
 
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` with every class that a link ``(a, b)`` joins to another one put under that one's root, one step far.
+
+    ``a`` is in the class that stays. Texts without a class are classes of their own.
+    """
+    of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    moves = ends.select(F.coalesce("root_a", "a").alias("into"), F.coalesce("root_b", "b").alias("root")).where("into <> root")
+    moves = moves.groupBy("root").agg(F.min("into").alias("into"))
+    nodes = roots.unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct().join(roots, "node", "left_anti"))
+    return staged(nodes.join(moves, "root", "left").select("node", F.coalesce("into", "root").alias("root")))
+
+
 def open_members(cells: DataFrame, roots: DataFrame) -> DataFrame:
     """``(hash, key, n, root, top)`` of the buckets whose texts are in several classes; top is the largest one."""
     member = cells.join(roots.withColumnRenamed("node", "key"), "key", "left").select("hash", "key", "n", F.coalesce("root", "key").alias("root"))
