@@ -81,12 +81,16 @@ def symbol_count(x) -> Column:
 
 
 def age_label(x) -> Column:
-    """Age label -> years. 'Menos de 1' -> 0, '100 anos' -> 100, else the first number, else 0."""
+    """Age label -> years. 'Menos de 1' -> 0, '100 anos' -> 100, else the first number, else 0. A number that doesn't
+    fit the published 16-bit column fails the job."""
     s = _c(x).cast("string")
     first = F.regexp_extract(s, r"(\d+)", 1)
+    number = first.try_cast("short")
     return (F.when(s.contains("Menos de 1"), F.lit(0))
             .when(s.contains("100 anos"), F.lit(100))
-            .otherwise(F.coalesce(F.nullif(first, F.lit("")).try_cast("int"), F.lit(0)))
+            .when(F.coalesce(first, F.lit("")) == "", F.lit(0))
+            .when(number.isNull(), F.raise_error(F.concat(F.lit("age out of range: "), s)))
+            .otherwise(number)
             .cast("short"))
 
 
@@ -148,7 +152,7 @@ def is_digits(x) -> Column:
 
 def split_list(x, pad: int | None = None) -> Column:
     """Comma list -> trimmed, non-blank items, optionally zero-padded."""
-    items = F.transform(F.split(_c(x), ","), lambda e: F.trim(e))
+    items = F.transform(F.split(_c(x), ","), strip_space)
     items = F.filter(items, lambda e: e != "")
     if pad:
         items = F.transform(items, lambda e: F.lpad(e, F.greatest(F.lit(pad), F.length(e)), "0"))
@@ -171,8 +175,9 @@ def ratio_or_zero(num, den) -> Column:
 
 
 def row_text(*cols) -> Column:
-    """Canonical row text: fields joined by '|', null spelled '<null>'."""
-    return F.concat_ws("|", *[F.coalesce(_c(c).cast("string"), F.lit("<null>")) for c in cols])
+    """Canonical row text: each field as its length, ':' and its text, null as '-'; no two rows share one."""
+    text = [_c(c).cast("string") for c in cols]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text])
 
 
 def row_fingerprint(*cols) -> Column:

@@ -59,14 +59,15 @@ def block_ids(df: DataFrame, group: list[str], order: list[str], size: int, alia
     hot = counts.filter(F.col("_n") > hot_rows).select(*group)
     if hot.limit(1).count() == 0:          # common case: no hot group, one window
         return df.withColumn(alias, F.floor((F.row_number().over(w) - 1) / size).cast("int"))
-    # At most rows/hot_rows hot groups exist, so this list is bounded by construction.
-    hot_b = F.broadcast(hot)
-    normal = df.join(hot_b, group, "left_anti")
+    # Null-safe, so a hot null group is hot too. No hint: the list grows with the input, and adaptive execution
+    # sends it to every task only where its measured size is small.
+    in_hot = [F.col(f"d.{g}").eqNullSafe(F.col(f"h.{g}")) for g in group]
+    normal = df.alias("d").join(hot.alias("h"), in_hot, "left_anti")
     normal = normal.withColumn(alias, F.floor((F.row_number().over(w) - 1) / size).cast("int"))
 
     from vigiframe.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
-    heavy = df.join(hot_b, group, "left_semi")
+    heavy = df.alias("d").join(hot.alias("h"), in_hot, "left_semi")
     ranged = (heavy.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_pid", F.spark_partition_id())
@@ -74,7 +75,9 @@ def block_ids(df: DataFrame, group: list[str], order: list[str], size: int, alia
     chunks = ranged.groupBy("_pid", *group).agg(F.min("_mid").alias("_start"), F.count(F.lit(1)).alias("_len"))
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunks.withColumn("_offset", F.coalesce(F.sum("_len").over(before), F.lit(0)))
-    heavy = (ranged.join(F.broadcast(chunks.select("_pid", *group, "_start", "_offset")), ["_pid", *group])
+    same = [F.col("r._pid") == F.col("c._pid"), *(F.col(f"r.{g}").eqNullSafe(F.col(f"c.{g}")) for g in group)]
+    heavy = (ranged.alias("r").join(chunks.alias("c"), same)
+             .select("r.*", "c._start", "c._offset")
              .withColumn(alias, F.floor((F.col("_mid") - F.col("_start") + F.col("_offset")) / size).cast("int"))
              .drop("_mid", "_pid", "_start", "_offset"))
     return normal.unionByName(heavy)
@@ -87,11 +90,6 @@ def top_n_values(df: DataFrame, col: str, n: int) -> DataFrame:
     return df.select(col).distinct().orderBy(F.col(col).desc()).limit(n)
 
 
-def dense_rank_desc(col: str, partition: list[str] | None = None) -> Column:
-    w = Window.partitionBy(*(partition or [])).orderBy(F.col(col).desc())
-    return F.dense_rank().over(w)
-
-
 def latest(df: DataFrame, value: str, version: str, group: list[str] | None = None) -> DataFrame:
     """Row value holding the highest version (``max_by``; ties broken by the value)."""
     aggs = [F.max_by(value, F.struct(F.col(version), F.col(value))).alias(value), F.max(version).alias(version)]

@@ -2,7 +2,7 @@
 
 Dimensions (codes, calendar, regions) are small and bounded; they are
 broadcast only behind ``sized_broadcast``'s row check, otherwise Spark keeps
-a shuffle join. Nothing here materialises a full Cartesian product.
+a shuffle join.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigiframe.operators.sizing import DEFAULT_DOMAIN_VALUES, sized_broadcast
+from vigiframe.operators.sizing import sized_broadcast
 
 
 def strict_lookup(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
@@ -18,14 +18,16 @@ def strict_lookup(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
     """Left join to a code dimension; a non-null code missing from it fails the job.
 
     The check is fused into the join's projection (``raise_error``), so it costs
-    no extra pass over the data.
+    no extra pass over the data. It sits in the key and in every column taken from
+    the dimension: reading any of them runs it, and pruning can't remove it.
     """
     d = sized_broadcast(dim.withColumnRenamed(dim_key, "_dim_key").withColumn("_hit", F.lit(True)))
     j = df.join(d, F.col(left_key) == F.col("_dim_key"), "left")
     unknown = F.col(left_key).isNotNull() & F.col("_hit").isNull()
-    j = j.withColumn("_hit", F.when(unknown, F.raise_error(
-        F.concat(F.lit(f"unknown {what}: "), F.col(left_key).cast("string")))).otherwise(F.col("_hit")))
-    return j.drop("_dim_key", "_hit")
+    fail = F.raise_error(F.concat(F.lit(f"unknown {what}: "), F.col(left_key).cast("string")))
+    guarded = {left_key, *(c for c in dim.columns if c != dim_key)}
+    return j.select(*[F.when(unknown, fail).otherwise(F.col(f"`{c}`")).alias(c) if c in guarded else F.col(f"`{c}`")
+                      for c in j.columns if c not in ("_dim_key", "_hit")])
 
 
 def unknown_codes(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str) -> DataFrame:
@@ -52,43 +54,24 @@ def semi_join(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     return df.join(keys.distinct(), on, "left_semi")
 
 
-def anti_join(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    return df.join(keys.distinct(), on, "left_anti")
+def missing_cells(df: DataFrame, entity: str, dims: list[str]) -> DataFrame:
+    """Cells of the grid entity x dim1 x dim2 ... that have no row in ``df``; null is a value like any other.
 
-
-def missing_cells(df: DataFrame, entity: str, dims: list[str],
-                  max_domain: int = DEFAULT_DOMAIN_VALUES) -> DataFrame:
-    """Cells of the grid entity x dim1 x dim2 ... that have no row in ``df``.
-
-    No Cartesian join of DataFrames: the value list of every small dimension is
-    gathered once (sizes checked first) into a one-row scalar subquery whose
-    product is formed inside that single row; each entity gathers the set of
-    cells it has (``collect_set`` is bounded by the domain, not by the entity's
-    row count, and combines map-side); ``array_except`` leaves the gaps.
+    The values of a dimension are gathered into a one-row scalar subquery (they are distinct first, so the
+    gathering follows the domain, not the rows), and each distinct entity is laid out over them one dimension
+    after the other. The grid is what is asked for, so this is as large as the answer plus the cells there are:
+    nothing is held per entity, and there is no limit on the domain. An anti join with the distinct cells leaves
+    the gaps.
     """
-    # One bounded-memory pass (HyperLogLog) checks every dimension before any
-    # value list is gathered into a single task.
-    approx = df.agg(*[F.approx_count_distinct(d).alias(d) for d in dims]).collect()[0]
-    size = 1
+    grid = df.select(entity).distinct()
     for d in dims:
-        if approx[d] > max_domain:
-            raise ValueError(f"grid dimension {d} exceeds {max_domain} values")
-        size *= max(int(approx[d]), 1)
-    if size > max_domain * 1.2:
-        raise ValueError(f"grid domain over {dims} exceeds {max_domain} cells")
-    lists = df.agg(*[F.array_sort(F.collect_set(d)).alias(d) for d in dims])
-
-    def product(i: int, bound: list[Column]) -> Column:
-        if i == len(dims) - 1:
-            return F.transform(F.col(dims[i]), lambda v: F.struct(*bound, v.alias(dims[i])))
-        return F.flatten(F.transform(F.col(dims[i]),
-                                     lambda v: product(i + 1, bound + [v.alias(dims[i])])))
-
-    domain = lists.select(product(0, []).alias("_domain"))
-    cell = F.struct(*[F.col(d) for d in dims])
-    have = df.groupBy(entity).agg(F.collect_set(cell).alias("_have"))
-    gaps = have.select(entity, F.explode(F.array_except(domain.scalar(), F.col("_have"))).alias("_cell"))
-    return gaps.select(entity, *[F.col(f"_cell.{d}").alias(d) for d in dims])
+        values = df.select(F.struct(d).alias("_v")).distinct().agg(F.array_sort(F.collect_list("_v")).alias("_values"))
+        grid = grid.withColumn("_v", F.explode(values.scalar())).select(*grid.columns, F.col(f"_v.{d}").alias(d))
+    have = df.select(entity, *dims).distinct()
+    same = F.lit(True)
+    for c in [entity, *dims]:
+        same = same & F.col(f"g.{c}").eqNullSafe(F.col(f"h.{c}"))
+    return grid.alias("g").join(have.alias("h"), same, "left_anti")
 
 
 def chain(df: DataFrame, *steps: tuple[DataFrame, Column | str | list]) -> DataFrame:

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 # A dimension broadcast to every task must stay small whatever the input size.
 DEFAULT_BROADCAST_ROWS = 1_000_000
-# Bound on a categorical domain gathered into one array (grid columns, code lists).
-DEFAULT_DOMAIN_VALUES = 100_000
 
 
 def known_row_count(df: DataFrame) -> int | None:
@@ -42,17 +40,23 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-_DERIVED_NODES = ("Aggregate", "Join", "Window", "Generate", "Expand", "Union")
+_PLAIN_NODES = ("Project", "Filter", "SubqueryAlias", "View", "LogicalRelation", "LogicalRDD", "LocalRelation", "ResolvedHint")
 
 
 def _is_derived(df: DataFrame) -> bool:
     """True when the plan computes its rows (aggregate, join, window, explode ...).
     Without JVM plan access (Spark Connect) every plan counts as derived: no hint, AQE decides."""
     try:
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        nodes = [df._jdf.queryExecution().optimizedPlan()]
+        while nodes:
+            node = nodes.pop()
+            if node.nodeName().split(" ")[0] not in _PLAIN_NODES:
+                return True
+            children = node.children()
+            nodes += [children.apply(i) for i in range(children.size())]
+        return False
     except Exception:  # noqa: BLE001
         return True
-    return any(node in plan for node in _DERIVED_NODES)
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -67,9 +71,3 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
     if _is_derived(df):
         return df
     return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
-def bounded_array(values, max_values: int = DEFAULT_DOMAIN_VALUES, what: str = "domain"):
-    """Fail instead of building an unbounded array in one task."""
-    return F.when(F.size(values) <= max_values, values).otherwise(
-        F.raise_error(F.lit(f"{what} has more than {max_values} values")))

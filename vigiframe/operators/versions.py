@@ -29,14 +29,3 @@ def retain_latest(df: DataFrame, version: str, n: int, versions: DataFrame | Non
     top = source.select(version).distinct().orderBy(F.col(version).desc()).limit(n)
     cutoff = top.agg(F.min(version).alias("_cut")).scalar()
     return df.filter(F.col(version) >= cutoff)
-
-
-def version_is_current(published_version, available_version) -> bool:
-    """Driver-side gate on two scalars: skip when published >= available (as integers)."""
-    if published_version is None:
-        return False
-    return int(published_version) >= int(available_version)
-
-
-def same_sorted(a: list, b: list) -> bool:
-    return sorted(a) == sorted(b)

@@ -88,11 +88,12 @@ def join_group_total(df: DataFrame, keys: list[str], value: str, total: str,
 
     hot = totals.filter(F.col("_n") > hot_rows).select(
         *keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_fan"))
-    hot_b = F.broadcast(hot).alias("h")
-    cols = [F.col(f"`{c}`") for c in df.columns]
+    # No hint: the list grows with the input; adaptive execution broadcasts it where it is measured small.
+    hot_b = hot.alias("h")
     d = (df.alias("d").join(hot_b, on("d", "h"), "left")
          .select("d.*", F.coalesce(F.col("h._fan"), F.lit(1)).alias("_fan")))
-    d = d.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.col("_fan").cast("long")).cast("int")).drop("_fan")
+    # The salt hashes the row's place, not its content, so that equal rows of a hot key are spread as well.
+    d = d.withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_fan").cast("long")).cast("int")).drop("_fan")
     t = (totals.drop("_n").alias("t").join(hot_b, on("t", "h"), "left")
          .select("t.*", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("h._fan"), F.lit(1)) - 1)).alias("_salt")))
     j = d.alias("d").join(t.alias("t"), on("d", "t", ["_salt"]), "left")

@@ -26,7 +26,7 @@ from vigiframe.operators.versions import retain_latest
 from vigiframe.operators.weights import GROUP_KEYS, race_weights, weight_sum_report
 from vigiframe.plans import pipelines as P
 from vigiframe.sinks.publish import publish_if_changed
-from vigiframe.sinks.reference import (ValidationError, already_published, publish_reference, publish_tables,
+from vigiframe.sinks.reference import (ValidationError, already_published, path_exists, publish_reference, publish_tables,
                                        register, require_clean)
 from vigiframe.sources import files as SRC
 from vigiframe.sources.fixed_width_source import header_counts, list_files, read_dbf_fields, read_fixed_width_split
@@ -72,7 +72,7 @@ def _registry(out: str) -> str:
 
 
 # Fixed value: name of an establishments extract; the six digits are the version (YYYYMM).
-ESTABLISHMENTS_FILE = r"(?i)(\d{6})\.csv$"
+ESTABLISHMENTS_FILE = r"(?i)^tbEstabelecimento(\d{6})\.csv$"
 
 
 def latest_by_version(files: list[str], pattern: str) -> tuple[str, str] | None:
@@ -90,7 +90,7 @@ def latest_by_version(files: list[str], pattern: str) -> tuple[str, str] | None:
 
 
 def establishments(spark: SparkSession, source: str, out: str, version: str | None = None,
-                   name_pattern: str = ESTABLISHMENTS_FILE) -> dict:
+                   name_pattern: str = ESTABLISHMENTS_FILE, force: bool = False) -> dict:
     """Semicolon latin-1 text -> repaired, typed rows -> one folder per managing state.
     Without ``version`` the newest file of ``source`` (a path or glob) is taken, its
     version read from the name."""
@@ -100,7 +100,7 @@ def establishments(spark: SparkSession, source: str, out: str, version: str | No
             raise ValidationError(f"no versioned file at {source}")
         source, version = picked
     root = _ref(out, "cnes_estabelecimentos")
-    if already_published(os.path.join(root, "manifest.json"), version):
+    if not force and already_published(os.path.join(root, "manifest.json"), version):
         return {"skipped": True, "version": version}
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = P.establishments(SRC.read_delimited(spark, source, partitions=spread))
@@ -118,7 +118,7 @@ POPULATION_FILE = r"(?i)^POPSBR(\d{2})\.DBF$"
 
 
 def population(spark: SparkSession, source_glob: str, out: str, recent_years: int = 3,
-               name_pattern: str = POPULATION_FILE) -> dict:
+               name_pattern: str = POPULATION_FILE, start_year: int | None = None, force: bool = False) -> dict:
     """R2: fixed-width yearly files -> last ``recent_years`` years -> one folder per state.
 
     The years come from the file listing (catalogue): the newest ``recent_years``
@@ -138,13 +138,16 @@ def population(spark: SparkSession, source_glob: str, out: str, recent_years: in
             by_year[2000 + int(m.group(1))] = f
     root = _ref(out, "populacao")
     if by_year:
-        chosen_years = sorted(by_year)[-recent_years:]
+        chosen_years = sorted(y for y in by_year if start_year is None or y >= start_year)[-recent_years:]
+        if not chosen_years:
+            raise ValidationError(f"no file of {start_year} or later at {source_glob}")
         chosen = [by_year[y] for y in chosen_years]
         man = os.path.join(root, "manifest.json")
         if os.path.exists(man):
             with open(man, encoding="utf-8") as fh:
                 old = json.load(fh)
-            if sorted(old.get("years") or []) == chosen_years:
+            there = all(path_exists(f["path"]) for f in (old.get("files") or {}).values())
+            if not force and there and sorted(old.get("years") or []) == chosen_years:
                 return {"skipped": True, "years": chosen_years}
     else:
         chosen = files
@@ -177,7 +180,7 @@ def latest_period(spark: SparkSession, metadata_glob: str) -> int | None:
 
 
 def census(spark: SparkSession, source_glob: str, out: str, year: int | None = None,
-           periods_glob: str | None = None) -> dict:
+           periods_glob: str | None = None, force: bool = False) -> dict:
     """Tabular JSON payloads (header element first) -> typed census cells by state.
     Without ``year`` the latest period of the metadata at ``periods_glob`` is used,
     and a period already published is skipped."""
@@ -187,7 +190,7 @@ def census(spark: SparkSession, source_glob: str, out: str, year: int | None = N
         year = latest_period(spark, periods_glob)
         if year is None:
             raise ValidationError(f"no period ids at {periods_glob}")
-        if already_published(os.path.join(_ref(out, "populacao_raca_censo"), "manifest.json"), str(year)):
+        if not force and already_published(os.path.join(_ref(out, "populacao_raca_censo"), "manifest.json"), str(year)):
             return {"skipped": True, "version": str(year)}
     payloads = spark.read.option("wholetext", True).text(source_glob).withColumnRenamed("value", "payload")
     rows = payloads.select(F.explode(SRC.rows_after_header("payload", CENSUS_ROW)).alias("r")).select("r.*")
@@ -248,7 +251,7 @@ def neighbourhoods(spark: SparkSession, source: str, out: str, version: str,
         raise ValidationError(f"required neighbourhood {required_key} not found")
     require_clean(Q.report(nb, {}))                 # not empty
     root = _ref(out, "bairros_censo")
-    m = publish_if_changed(nb.sortWithinPartitions("cd_bairro"), root, "bairros_censo", version, NB_ORDER,
+    m = publish_if_changed(nb.orderBy("cd_bairro"), root, "bairros_censo", version, NB_ORDER,
                            os.path.join(root, "manifest.json"))
     register(_registry(out), "bairros_censo", os.path.join(root, "manifest.json"))
     return m
@@ -278,7 +281,7 @@ def states(spark: SparkSession, source: str, out: str, expected_rows: int = 27)
     n = df.count()
     if n != expected_rows:
         raise ValidationError(f"expected {expected_rows} states, got {n}")
-    return _json_reference(df, out, "uf", "current", list(df.columns))
+    return _json_reference(df.orderBy("co_uf"), out, "uf", "current", list(df.columns))
 
 
 def municipalities(spark: SparkSession, source: str, out: str, minimum_rows: int = 5570) -> dict:
@@ -288,7 +291,7 @@ def municipalities(spark: SparkSession, source: str, out: str, minimum_rows: int
     n = df.count()
     if dup.duplicated_keys or n < minimum_rows:
         raise ValidationError(f"municipalities: {dup.duplicated_keys} duplicated codes, {n} rows")
-    return _json_reference(df, out, "municipios", "current", list(df.columns))
+    return _json_reference(df.orderBy("co_municipio_ibge"), out, "municipios", "current", list(df.columns))
 
 
 def calendar(spark: SparkSession, out: str, start_year: int = 1900, end_year: int = 2100) -> dict:
@@ -298,7 +301,7 @@ def calendar(spark: SparkSession, out: str, start_year: int = 1900, end_year: in
 
 
 def main(argv: list[str] | None = None) -> None:
-    from vigiframe.session import build_session
+    from vigiframe.session import apply_job_conf, build_session
     ap = argparse.ArgumentParser(prog="vigiframe.plans.jobs")
     ap.add_argument("job", choices=["establishments", "population", "census", "weights", "estimate",
                                     "neighbourhoods", "icd10", "states", "municipalities", "calendar"])
@@ -313,6 +316,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     spark = build_session(master=a.master) if a.master else SparkSession.builder.getOrCreate()
+    apply_job_conf(spark)
     job = a.job
     if job == "calendar":
         print(calendar(spark, a.out))

@@ -222,10 +222,10 @@ FROM part LEFT JOIN cat ON substr({CODE_SQL}, 1, 3) = cat.cat
 def pipe_classify(spark, sf_dir):
     p = Tables(spark, sf_dir).part
     cat = p.groupBy(F.substring("p_type", 1, 3).alias("cat")).agg(F.min("p_type").alias("descricao_cat"))
-    sub = p.groupBy(F.concat(F.substring("p_type", 1, 3), F.substring("p_brand", 7, 1 << 20)).alias("subcat")) \
+    sub = p.groupBy(F.concat(F.substring("p_type", 1, 3), F.expr("substring(p_brand, 7)")).alias("subcat")) \
            .agg(F.min("p_name").alias("descricao_subcat"))
     codes = p.select("p_partkey", F.concat(F.substring("p_type", 1, 3), F.lit("."),
-                                           F.substring("p_brand", 7, 1 << 20)).alias("codigo"))
+                                           F.expr("substring(p_brand, 7)")).alias("codigo"))
     j = L.prefix_lookup(codes, "codigo", cat, "cat", 3)
     j = L.nodot_lookup(j, "codigo", sub, "subcat")
     return j.select("p_partkey", "codigo", "cat", "descricao_cat", "subcat", "descricao_subcat")

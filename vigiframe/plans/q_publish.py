@@ -44,9 +44,10 @@ def inc_retain_latest(spark, sf_dir):
 
 # ---------------------------------------------------------------- fingerprints and manifests
 
-ORDER_ROW_SQL = ("concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus, "
-                 "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR), CAST(CAST(o_orderdate AS DATE) AS VARCHAR), "
-                 "{prio})")
+ORDER_ROW_SQL = " || ".join(
+    f"coalesce(CAST(length({c}) AS VARCHAR) || ':' || {c}, '-')"
+    for c in ("CAST(o_orderkey AS VARCHAR)", "CAST(o_custkey AS VARCHAR)", "o_orderstatus",
+              "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR)", "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)", "{prio}"))
 FP_SQL = "CAST(sum(('0x' || substr(sha256({row}), 1, 15))::BIGINT) AS VARCHAR)"
 ORDER_FP_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "preco", "data", "o_orderpriority"]
 

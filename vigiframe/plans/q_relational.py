@@ -56,10 +56,10 @@ SELECT p_partkey, {NODOT_SQL} AS codigo, dim.subcat, dim.descricao
 FROM part LEFT JOIN dim ON replace({NODOT_SQL}, '.', '') = dim.subcat""")
 def jn_code_nodot(spark, sf_dir):
     p = Tables(spark, sf_dir).part
-    dim = p.groupBy(F.concat(F.lit("B"), F.substring("p_brand", 7, 1 << 20)).alias("subcat")) \
+    dim = p.groupBy(F.concat(F.lit("B"), F.expr("substring(p_brand, 7)")).alias("subcat")) \
            .agg(F.min("p_brand").alias("descricao"))
     codes = p.select("p_partkey", F.concat(F.lit("B"), F.substring("p_brand", 7, 1), F.lit("."),
-                                           F.substring("p_brand", 8, 1 << 20)).alias("codigo"))
+                                           F.expr("substring(p_brand, 8)")).alias("codigo"))
     return L.nodot_lookup(codes, "codigo", dim, "subcat").select("p_partkey", "codigo", "subcat", "descricao")
 
 

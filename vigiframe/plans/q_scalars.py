@@ -389,6 +389,6 @@ WITH t AS (SELECT doc_id, CASE lang WHEN 'en' THEN substr(source, 4) ELSE source
 SELECT doc_id, stem FROM t WHERE regexp_full_match(stem, '[0-9]+')""")
 def flt_digits(spark, sf_dir):
     d = Tables(spark, sf_dir).documents
-    t = d.select("doc_id", F.when(F.col("lang") == "en", F.substring("source", 4, 1 << 20))
+    t = d.select("doc_id", F.when(F.col("lang") == "en", F.expr("substring(source, 4)"))
                  .otherwise(F.col("source")).alias("stem"))
     return t.filter(S.is_digits("stem"))

@@ -12,7 +12,7 @@ import json
 import os
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,24 +51,25 @@ def publish_partitioned(df: DataFrame, path: str, key: str, sort_keys: list[str]
     """Write one folder per key value (full replace of the target) and return rows per key,
     read back from the written files' footers."""
     laid = partition_layout(df, key, sort_keys)
-    (laid.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy(key).parquet(path))
+    # Static overwrite: parts that the new rows don't have must go, whatever the session's default is.
+    (laid.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .option("maxRecordsPerFile", max_records_per_file).partitionBy(key).parquet(path))
     spark = df.sparkSession
     written = spark.read.option("basePath", path).parquet(path)
     return written.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def publish_nonempty(df: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> int:
-    """Write rows (in as many files as needed); an empty result fails and nothing is kept."""
-    df = df.cache()
-    try:
-        n = df.count()
-        if n == 0:
-            raise ValueError(f"no rows to publish at {path}")
-        df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path)
-        return n
-    finally:
-        df.unpersist()
+    """Write rows (in as many files as needed) and return how many; an empty result fails before anything is replaced.
+
+    The emptiness check reads one row; the plan runs once for the write, whose rows are counted as they pass.
+    """
+    if df.isEmpty():
+        raise ValueError(f"no rows to publish at {path}")
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
+        .option("maxRecordsPerFile", max_records_per_file).parquet(path)
+    return seen.get["rows"]
 
 
 # ---------------------------------------------------------------- M1 / M2 hashes
@@ -155,7 +156,7 @@ def publish_if_changed(df: DataFrame, root: str, reference_id: str, version: str
                        manifest_path: str) -> dict:
     """Write a new version only when the content fingerprint or row count changed.
 
-    The new data goes to ``root/version=<v>-<fp>``; the manifest is switched only
+    The new data goes to ``root/version=<v>-<fingerprint>-<rows>``; the manifest is switched only
     after the write succeeded. Returns the (new or unchanged) manifest.
     """
     fp = fingerprint(df, columns).collect()[0]   # one row: rows + fingerprint
@@ -166,7 +167,7 @@ def publish_if_changed(df: DataFrame, root: str, reference_id: str, version: str
     if old and old.get("fingerprint") == fp["fingerprint"] and old.get("rows") == fp["rows"]:
         old["changed"] = False
         return old
-    target = os.path.join(root, f"version={version}-{fp['fingerprint'][:12]}")
+    target = os.path.join(root, f"version={version}-{fp['fingerprint']}-{fp['rows']}")
     df.write.mode("overwrite").parquet(target)
     m = write_manifest(manifest_path, reference_id, version, {"all": {"path": target, "rows": fp["rows"]}},
                        fp["rows"], {"fingerprint": fp["fingerprint"]})

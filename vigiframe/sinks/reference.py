@@ -14,6 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigiframe.session import apply_job_conf
 from vigiframe.sinks.publish import file_hashes, publish_partitioned, utc_now, write_manifest
 
 
@@ -75,9 +76,10 @@ def publish_reference(df: DataFrame, root: str, reference_id: str, version: str,
                       extra: dict | None = None, registry_path: str | None = None) -> dict:
     """Validate -> write ``root/version=<v>`` partitioned by ``key`` -> hash files ->
     check rows -> switch ``root/manifest.json`` -> update the registry."""
+    spark = df.sparkSession
+    apply_job_conf(spark)
     if report is not None:
         require_clean(report)
-    spark = df.sparkSession
     target = os.path.join(root, f"version={version}")
     counts = {r[key]: int(r["rows"]) for r in publish_partitioned(df, target, key, sort_keys).collect()}
     hashes = file_hashes(spark, target).collect()
@@ -102,6 +104,8 @@ def register(registry_path: str, reference_id: str, manifest_path: str) -> dict:
     if os.path.exists(registry_path):
         with open(registry_path, encoding="utf-8") as fh:
             reg = json.load(fh)
+    if reg.get("references", {}).get(reference_id) == manifest_path and "generated_at_utc" in reg:
+        return reg                                  # nothing to write
     reg.setdefault("references", {})[reference_id] = manifest_path
     reg["generated_at_utc"] = utc_now()
     os.makedirs(os.path.dirname(registry_path) or ".", exist_ok=True)
@@ -123,7 +127,7 @@ def missing_published_files(spark: SparkSession, manifest_paths: DataFrame, root
 
 def already_published(manifest_path: str, version: str, parts: list[str] | None = None) -> bool:
     """Version gate on the stored manifest: same version (compared as integers when
-    both are numeric) *and* every requested part published. A run that published
+    both are numeric) *and* every requested part published, its files still there. A run that published
     only some states therefore does not block a later run for the others."""
     if not os.path.exists(manifest_path):
         return False
@@ -132,7 +136,17 @@ def already_published(manifest_path: str, version: str, parts: list[str] | None
     old = str(m.get("version", ""))
     same = int(old) >= int(version) if old.isdigit() and str(version).isdigit() else old == str(version)
     files = m.get("files") or {}
-    return same and all(p in files for p in (parts or files.keys())) and bool(files)
+    wanted = list(parts or files.keys())
+    return same and bool(files) and all(p in files and path_exists(files[p]["path"]) for p in wanted)
+
+
+def path_exists(path: str) -> bool:
+    """Whether a file or folder is there, asked of the file system that Spark would read it from."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return os.path.exists(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def read_reference(spark: SparkSession, registry_path: str, reference_id: str, part: str | None = None,
@@ -140,6 +154,7 @@ def read_reference(spark: SparkSession, registry_path: str, reference_id: str, p
     """Consumer lookup: registry -> manifest -> (one part's folder) -> rows, with the
     manifest's municipality filter column applied. Reading one part prunes every
     other partition folder; the municipality predicate is pushed into the scan."""
+    apply_job_conf(spark)                           # state folders stay text ('01', not 1)
     with open(registry_path, encoding="utf-8") as fh:
         manifest_path = json.load(fh)["references"][reference_id]
     with open(manifest_path, encoding="utf-8") as fh:

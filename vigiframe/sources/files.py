@@ -178,10 +178,11 @@ def parse_json(col, schema: T.DataType | str) -> Column:
 def rows_after_header(payload, element_schema: T.DataType | str) -> Column:
     """Tabular JSON (array whose element 0 is a header row): the data elements.
     Use with ``posexplode`` semantics via ``F.explode``; an array holding only the
-    header yields nothing."""
+    header yields nothing, a payload that isn't such an array fails the job."""
     c = F.col(payload) if isinstance(payload, str) else payload
     schema = f"array<{element_schema}>" if isinstance(element_schema, str) else T.ArrayType(element_schema)
-    arr = F.from_json(c, schema)
+    parsed = F.from_json(c, schema)
+    arr = F.when(c.isNotNull() & parsed.isNull(), F.raise_error(F.concat(F.lit("broken JSON payload: "), F.substring(c, 1, 80)))).otherwise(parsed)
     return F.slice(arr, 2, F.greatest(F.size(arr) - 1, F.lit(0)))
 
 

@@ -26,6 +26,8 @@ from vigiframe.sources.files import Field, decode_records
 
 DEFAULT_RECORDS_PER_PARTITION = 2_000_000
 BATCH_RECORDS = 200_000
+# Bytes of a batch: its offsets are 32-bit.
+BATCH_BYTES = 64 << 20
 
 
 class RecordRange(InputPartition):
@@ -136,7 +138,7 @@ class FixedWidthReader(DataSourceReader):
             pos = partition.start
             fh.seek(partition.header_len + pos * rlen)
             while pos < partition.end:
-                n = min(BATCH_RECORDS, partition.end - pos)
+                n = min(BATCH_RECORDS, max(1, BATCH_BYTES // rlen), partition.end - pos)
                 buf = fh.read(n * rlen)
                 n = len(buf) // rlen
                 if n == 0:

@@ -17,11 +17,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vigiframe.functions.scalars import state_bucket
 from vigiframe.plans.pipelines import establishments
-from vigiframe.session import ensure_checkpoint_dir
 
 
 def _checkpoint(spark: SparkSession, name: str, checkpoint: str | None) -> str:
-    return checkpoint or os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+    """The stream's own folder, the same in every application: given, or under ``spark.checkpoint.dir`` as configured.
+
+    The session's checkpoint folder itself is new in every application and would lose what was read before.
+    """
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not checkpoint and not base:
+        raise ValueError("give the stream's checkpoint folder, or set spark.checkpoint.dir")
+    return checkpoint or os.path.join(base, "streams", name)
 
 
 def landed_csv(spark: SparkSession, source_dir: str, sample_file: str, sep: str = ";",
