@@ -1,0 +1,126 @@
+import hashlib
+import math
+import random
+import re
+
+from vigiframe.llm import op4_entropy_secrets as sec
+from vigiframe.llm import op5_html_blocks as blocks
+from vigiframe.llm import op8_semicrf_pii as pii
+
+
+def plain_secrets(t):
+    t, spans = t or "", []
+    key = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in sec.KEY_WORDS)
+    for m in re.finditer(rf"""({key})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t):
+        if len(m[2]) >= 6:
+            spans.append((m.start(), 0, m.end()))
+    spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+    base = sorted(spans)
+    for m in re.finditer(sec.CANDIDATE, t):
+        h = m[0]
+        if any(re.search(a, h) for a in sec.ALLOW) or any(b[0] < m.end() and b[2] > m.start() for b in base):
+            continue
+        bits = next(b for _, shape, b in sec.CLASSES if re.search(shape, h))
+        windows = [h[i:i + sec.WINDOW] for i in range(len(h) - sec.WINDOW + 1)]
+        hot = [i for i, w in enumerate(windows) if -sum(w.count(x) / len(w) * math.log2(w.count(x) / len(w)) for x in set(w)) >= bits]
+        if hot:
+            spans.append((m.start() + hot[0], 3, m.start() + hot[-1] + sec.WINDOW))
+    return sorted(spans), base
+
+
+def written(spans):
+    return ",".join(f"{sec.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+
+
+def test_secrets_match_plain_scan(spark, docs, odd_docs):
+    rng = random.Random(4)
+    chars = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
+    made = ["secret=token:abcdefgh x", "é😀 token = \"a=b/c+d9ZXcv\" AKIA" + "A" * 16, "ab12" * 40, "passwd:abc API_KEY:'" + "Z" * 9,
+            "id 123e4567-e89b-12d3-a456-426614174000 my-example-key-0a9s8d7f6g5h4j3k"]
+    made += [" ".join("".join(rng.choice(chars) for _ in range(rng.randint(15, 70))) for _ in range(5)) for _ in range(40)]
+    more = spark.createDataFrame([(10_000 + i, t) for i, t in enumerate(made)], "doc_id bigint, text string")
+    rows = docs.select("doc_id", "text").union(more).union(odd_docs.select("doc_id", "text"))
+    want = sorted((written(a), hashlib.sha256(written(b).encode()).hexdigest()) for a, b in (plain_secrets(r.text) for r in rows.collect()))
+    got = sec.scan(rows).collect()
+    assert sorted((r.spans, r.base_sha256) for r in got) == want
+    assert sum(r.n_entropy for r in got) > 20
+
+
+def test_redaction(spark, odd_docs, no_docs):
+    rows = spark.createDataFrame([(1, "a token=abcdef123 b AKIA" + "A" * 16, 99, "x"), (2, None, None, "y"), (3, "clean", 5, "z")],
+                                 "doc_id bigint, text string, n_chars bigint, secrets string")
+    got = {r.doc_id: r for r in sec.redact(rows).collect()}
+    assert got[1].text == "a <secret> b <secret>" and got[1].n_chars == len(got[1].text) and got[2].text is None and got[3] == (3, "clean", 5, "z")
+    assert sec.redact(odd_docs).columns == odd_docs.columns and sec.redact(odd_docs).count() == odd_docs.count() and sec.redact(no_docs).count() == 0
+
+
+def plain_pii(t):
+    out = [(0, *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [(1, *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = [int(c) for c in re.sub("[^0-9]", "", m[0])][::-1]
+        if 16 <= len(d) <= 19 and sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(d)) % 10 == 0:
+            out.append((2, *m.span()))
+    return sorted(out + [(3, *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 8 <= len(re.sub("[^0-9]", "", m[0])) <= 15])
+
+
+def test_base_spans_match_patterns(docs):
+    rng = random.Random(5)
+    made = ["".join(rng.choice("ab.@-+ 1259.0()%é\n") for _ in range(rng.randint(0, 40))) for _ in range(4000)]
+    for t in made + [r.text for r in docs.collect()] + ["4111 1111 1111 1111", "4111-1111-1111-1112", "1" * 50_000, "a" * 50_000, "a@b@c.d@e.f"]:
+        assert sorted(pii.base_spans(t)) == plain_pii(t)
+
+
+def test_semi_markov_decoding_is_the_best_segmentation():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    text = "call +1 (555) 123-4567 10.0.0.1 a@b.co 4111 1111"
+    region = pii.regions(text)[0]
+    weights = rng.normal(size=(len(pii.KINDS), len(pii.SPAN_FEATURES)))
+
+    def best(j):
+        if j == 0:
+            return 0.0
+        options = [best(j - 1) + 0.3]
+        for i in range(max(0, j - pii.MAX_CHUNKS), j):
+            options.append(best(i) + (pii.span_features(text, region[i][0], region[j - 1][1], j - i) * weights).sum(axis=1).max())
+        return max(options)
+    got = pii.decode(text, region, weights, 0.3)
+    score = sum((pii.span_features(text, region[i][0], region[j][1], j - i + 1) * weights).sum(axis=1)[k] for k, i, j in got)
+    score += 0.3 * (len(region) - sum(j - i + 1 for _, i, j in got))
+    assert abs(score - best(len(region))) < 1e-9
+
+
+def test_pii_rows(docs, odd_docs, no_docs):
+    model = pii.fit(docs)
+    got = pii.scan(odd_docs, model).collect()
+    assert len(got) == odd_docs.count() and all(r.spans == "" for r in got if r.doc_id == 0)
+    assert pii.scan(no_docs, pii.fit(no_docs)).count() == 0
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in pii.scan(docs, model).collect():
+        base = plain_pii(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(pii.written(base).encode()).hexdigest() and r.n_email == sum(k == 0 for k, _, _ in base)
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body><header><h1>Site</h1></header>
+<nav><ul><li><a href="/">Home</a></li></ul></nav><div class="cookie-notice">We use the cookies.</div><!-- ad --><div id="ad-1">Buy it.</div>
+<article><h1>Head &amp; tail</h1><p>First<b>ly</b> the\n day &nbsp; is.<p>Short.<br>Two.</p><form><p>Name</p></form><aside>More</aside><ul><li>one</li></ul></article>
+<section class="comments"><p>Nice one</p></section><footer>&copy; x</footer></body></html>"""
+
+
+def test_main_text():
+    assert blocks.main_text(PAGE)[0] == "Head & tail Firstly the day is. Short. Two. one"
+    prose = "The cat is on the mat and it was not for you to have. " * 6
+    page = f"<div class=sidebar><p>{prose}</p></div><div><h2>Head</h2><p>{prose}</p><p>Short one.</p><p>{prose}</p></div><p><a href=x>link</a></p>"
+    assert blocks.main_text(page)[0] == " ".join(["Head", prose.strip(), "Short one.", prose.strip()])
+    for empty in (None, "", "<p></p>", "<script>x", "<!-- x"):
+        assert blocks.main_text(empty) == ("", 0)
+    assert blocks.main_text("<article>a < b &lt;c&gt; &#233; &am")[0] == "a < b <c> é &am"
+
+
+def test_pages(spark):
+    rows = spark.createDataFrame([(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (2, "v", "")], "page_id bigint, url string, html string")
+    got = blocks.extract(rows).collect()
+    assert sorted(r.n_chars for r in got) == [0, 0, 47, 47] and blocks.extract(rows.limit(0)).count() == 0

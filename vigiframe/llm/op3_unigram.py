@@ -297,13 +297,14 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 def decode(rows: DataFrame, path: str, ids: str = "piece_ids") -> DataFrame:
     """``rows`` plus ``decoded``: the text of each row's ids (null for null)."""
     shared = _Shared(rows.sparkSession, load_vocabulary(path))
-    at = rows.columns.index(ids)
+    names = [*rows.columns, "decoded"]
+    at = names.index(ids)
 
     def run(batches):
         encoder = _encoder(shared)
         for batch in batches:
             texts = [None if x is None else encoder.decode(np.array(x, "<i4").tobytes()) for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*rows.columns, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=names)
 
     return map_batches(rows, run, T.StructType(rows.schema.fields + [T.StructField("decoded", T.StringType())]))
 
