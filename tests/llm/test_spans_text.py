@@ -3,6 +3,8 @@ import math
 import random
 import re
 
+import duckdb
+
 from vigiframe.llm import op4_entropy_secrets as sec
 from vigiframe.llm import op5_html_blocks as blocks
 from vigiframe.llm import op8_semicrf_pii as pii
@@ -42,6 +44,9 @@ def test_secrets_match_plain_scan(spark, docs, odd_docs):
     more = spark.createDataFrame([(10_000 + i, t) for i, t in enumerate(made)], "doc_id bigint, text string")
     rows = docs.select("doc_id", "text").union(more).union(odd_docs.select("doc_id", "text"))
     want = sorted((written(a), hashlib.sha256(written(b).encode()).hexdigest()) for a, b in (plain_secrets(r.text) for r in rows.collect()))
+    rows_table = rows.toPandas()
+    sql = sorted((a, b) for a, b in duckdb.sql(sec.oracle_sql("rows_table")).df()[["spans", "base_sha256"]].itertuples(index=False)) if len(rows_table) else []
+    assert sql == want
     got = sec.scan(rows).collect()
     assert sorted((r.spans, r.base_sha256) for r in got) == want
     assert sum(r.n_entropy for r in got) > 20

@@ -175,3 +175,39 @@ def redact(docs: DataFrame, mark: str = "<secret>") -> DataFrame:
     if "n_chars" in names:
         columns[names["n_chars"]] = F.when(F.size("secrets") > 0, F.length("clean").cast(docs.schema["n_chars"].dataType)).otherwise(F.col(names["n_chars"]))
     return out.select(*[columns.get(c, F.col(c)).alias(c) for c in safe.columns]).toDF(*docs.columns)
+
+
+def oracle_sql(table: str = "documents") -> str:
+    """DuckDB SQL for ``scan``; it counts every window's characters anew."""
+    def quoted(pattern: str) -> str:
+        return "'" + pattern.replace("'", "''") + "'"
+
+    def matches(kind: int, pattern: str) -> str:
+        p = quoted(pattern)
+        return f"""SELECT rid, {kind} AS kind, m[i] AS hit,
+  coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS a
+  FROM (SELECT rid, m, g, unnest(range(1, len(m) + 1)) AS i FROM
+    (SELECT rid, regexp_extract_all(t, {p}) AS m, string_split_regex(t, {p}) AS g FROM d WHERE regexp_matches(t, {p})))"""
+
+    allowed = " OR ".join(f"regexp_matches(hit, {quoted(a)})" for a in ALLOW)
+    limit = "CASE " + " ".join(f"WHEN regexp_matches(hit, {quoted(shape)}) THEN {hot_limit(bits)}" for _, shape, bits in CLASSES[:-1]) + f" ELSE {hot_limit(CLASSES[-1][2])} END"
+    names = "CASE kind " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(KINDS)) + " END"
+    one = f"{names} || ':' || a || ':' || b"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM {table}),
+base AS (SELECT rid, kind, CAST(a AS BIGINT) AS a, CAST(a + length(hit) AS BIGINT) AS b FROM (
+  SELECT * FROM ({matches(0, ASSIGN)}) WHERE length(regexp_replace(hit, {quoted("^" + _LEAD)}, '')) >= 6
+  UNION ALL {matches(1, "AKIA[A-Z0-9]{16,}")}
+  UNION ALL {matches(2, HEX)})),
+runs AS (SELECT rid, hit, CAST(a AS BIGINT) AS a, row_number() OVER () AS run FROM ({matches(3, CANDIDATE)}) WHERE NOT ({allowed})),
+free AS (SELECT * FROM runs r WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = r.rid AND b.a < r.a + length(r.hit) AND b.b > r.a)),
+windows AS (SELECT rid, run, hit, a, unnest(range(0, length(hit) - {WINDOW - 1})) AS i FROM free),
+hot AS (SELECT rid, run, a, i FROM windows
+  WHERE list_sum(list_transform(map_values(list_histogram(string_split(substr(hit, i + 1, {WINDOW}), ''))), lambda x: {WEIGHTED}[CAST(x AS BIGINT) + 1])) <= {limit}),
+spans AS (SELECT rid, kind, a, b FROM base
+  UNION ALL SELECT rid, 3, any_value(a) + min(i), any_value(a) + max(i) + {WINDOW} FROM hot GROUP BY rid, run),
+found AS (SELECT rid, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) AS n1, count(*) FILTER (kind = 2) AS n2, count(*) FILTER (kind = 3) AS n3,
+  string_agg({one}, ',' ORDER BY a, kind) FILTER (kind < 3) AS base, string_agg({one}, ',' ORDER BY a, kind) AS spans FROM spans GROUP BY rid)
+SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(n3, 0) AS n_entropy
+FROM d LEFT JOIN found USING (rid)"""

@@ -67,7 +67,7 @@ def unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_unigram.digest(read_table(spark, sf_dir, "documents"), piece_vocabulary())
 
 
-@query("op4_entropy_secrets")
+@query("op4_entropy_secrets", op4_entropy_secrets.oracle_sql())
 def entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document."""
     return op4_entropy_secrets.scan(read_table(spark, sf_dir, "documents"))
