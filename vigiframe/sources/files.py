@@ -112,54 +112,21 @@ def decode_records(df: DataFrame, record: str, fields: list[Field], keep: list[s
     return type_fields(cut, fields)
 
 
-def _le_int(content: str, offset: int, size: int) -> Column:
-    """Little-endian unsigned integer of ``size`` bytes at 0-based ``offset``."""
-    return F.conv(F.hex(F.reverse(F.substring(content, offset + 1, size))), 16, 10).cast("long")
+def read_fixed_width(spark: SparkSession, path: str, fields: list[Field]) -> DataFrame:
+    """Distributed decode of fixed-width binary files with a DBF-style header, one task per range of records.
 
-
-def read_fixed_width(spark: SparkSession, path: str, fields: list[Field],
-                     num_partitions: int | None = None) -> DataFrame:
-    """Distributed decode of fixed-width binary files with a DBF-style header.
-
-    Header: record count (uint32 at byte 4), header length (uint16 at 8),
-    record length (uint16 at 10). Records start after the header; byte 1 of a
-    record is '*' when it is deleted. A short last record ends the read.
-
-    Each file is one row of ``binaryFile``; its records are cut with
-    ``substring`` over ``sequence(0, n-1)`` and then ``repartition``ed so the
-    decode runs on all cores. Files beyond 2 GB need a splitting reader.
+    Header: record count (uint32 at byte 4), header length (uint16 at 8), record length (uint16 at 10). Records
+    start after the header; byte 1 of a record is '*' when it is deleted. A short last record ends the read.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    hdr = files.select(
-        "path", "content",
-        _le_int("content", 4, 4).alias("n_records"),
-        _le_int("content", 8, 2).cast("int").alias("header_len"),
-        _le_int("content", 10, 2).cast("int").alias("record_len"))
-    # Only whole records are decoded: a short tail record ends the file.
-    hdr = hdr.withColumn("_whole", F.least(
-        F.col("n_records"),
-        F.floor((F.length("content") - F.col("header_len")) / F.col("record_len")).cast("long")))
-    # Records are cut inside one array (the file's bytes once) and only the cut
-    # records are exploded: the whole-file value is not carried into every row.
-    # A file without whole records gives an empty array (sequence(0, -1) would not).
-    idx = F.when(F.col("_whole") > 0, F.sequence(F.lit(0).cast("long"), F.col("_whole") - 1)) \
-           .otherwise(F.array().cast("array<bigint>"))
-    cut = F.transform(idx, lambda i: F.substring(
-        F.col("content"), (F.col("header_len") + i * F.col("record_len") + 1).cast("int"), F.col("record_len")))
-    recs = hdr.select("path", F.posexplode(cut).alias("record_no", "_rec"))
-    recs = recs.withColumn("record_no", F.col("record_no").cast("long"))
-    recs = recs.repartition(num_partitions) if num_partitions else recs.repartition("path", "record_no")
-    return decode_records(recs, "_rec", fields, ["path", "record_no"])
+    from vigiframe.sources.fixed_width_source import read_fixed_width_split
+    return read_fixed_width_split(spark, path, fields)
 
 
 def fixed_width_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Header record count versus whole records present, per file (short tail report)."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(
-        "path",
-        _le_int("content", 4, 4).alias("n_header"),
-        F.floor((F.length("content") - _le_int("content", 8, 2)) / _le_int("content", 10, 2))
-        .cast("long").alias("n_whole"))
+    """Header record count versus whole records present, per file (short tail report); reads the headers only."""
+    from vigiframe.sources.fixed_width_source import header_size_counts, list_files
+    rows = [(f, *header_size_counts(f)) for f in list_files(path)]
+    return spark.createDataFrame(rows, "path string, n_header bigint, n_whole bigint")
 
 
 # ---------------------------------------------------------------- JSON

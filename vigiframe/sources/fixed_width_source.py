@@ -1,8 +1,6 @@
 """Splittable reader for large fixed-width record files (DBF-style header).
 
-``read_fixed_width`` loads each file as one ``binaryFile`` value, which caps a
-file at 2 GB and puts one file in one task. This Python Data Source instead
-plans one partition per range of records: the driver reads only the 12-byte
+This Python Data Source plans one partition per range of records: the driver reads only the 12-byte
 header of each file, every task seeks to its range and hands the raw records
 to Spark as Arrow batches. Field cutting and typing stay Spark expressions
 (``decode_records``), so Python only moves bytes.
@@ -95,6 +93,15 @@ def header_counts(uri: str) -> tuple[int, int, int, int]:
     return n, hlen, rlen, min(n, whole)
 
 
+def header_size_counts(uri: str) -> tuple[int, int]:
+    """(declared records, whole records that the file's size has room for)."""
+    filesystem, path = _filesystem(uri)
+    with filesystem.open_input_file(path) as fh:
+        head, size = fh.read(12), fh.size()
+    n, hlen, rlen = struct.unpack("<IHH", head[4:12])
+    return n, max(0, (size - hlen) // rlen)
+
+
 def read_dbf_fields(path: str) -> list[Field]:
     """Field list from a DBF-style header: 32-byte descriptors after the 32-byte file
     header, up to the 0x0D terminator (name: 11 bytes NUL-padded, type at byte 11,
@@ -132,6 +139,8 @@ class FixedWidthReader(DataSourceReader):
     def read(self, partition: RecordRange):
         import numpy as np
         import pyarrow as pa
+        if not isinstance(partition, RecordRange):      # no records at all: Spark plans one empty partition
+            return
         rlen = partition.record_len
         filesystem, path = _filesystem(partition.path)
         with filesystem.open_input_file(path) as fh:
@@ -166,7 +175,7 @@ class FixedWidthDataSource(DataSource):
 
 def read_fixed_width_split(spark: SparkSession, path: str | list[str], fields: list[Field],
                            records_per_partition: int = DEFAULT_RECORDS_PER_PARTITION) -> DataFrame:
-    """Same result as ``read_fixed_width``, one task per record range. ``path`` is a
+    """Decoded live records, one task per record range. ``path`` is a
     path, folder, glob or URI, or a list of them."""
     spark.dataSource.register(FixedWidthDataSource)
     if not isinstance(path, str):
