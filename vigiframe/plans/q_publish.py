@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from vigiframe.functions import scalars as S
 from vigiframe.functions.dates import date_spine_between
 from vigiframe.operators import quality as Q
-from vigiframe.operators.versions import new_versions, retain_latest
+from vigiframe.operators.versions import new_versions, retain_latest_years
 from vigiframe.plans.q_core import SPINE_SQL, zf
 from vigiframe.plans.q_scalars import DEC_SQL, dec_text
 from vigiframe.plans.registry import query
-from vigiframe.sinks.publish import changed_parts, conform, file_hashes, files_map, fingerprint
+from vigiframe.session import ensure_checkpoint_dir
+from vigiframe.sinks.publish import changed_parts, conform, file_hashes, files_map, fingerprint, publish_nonempty
+from vigiframe.sinks.reference import copy_publish, publish_tables
 from vigiframe.sources import files as SRC
 from vigiframe.tables import TABLES, Tables
 
@@ -38,8 +43,8 @@ def inc_new_versions(spark, sf_dir):
 SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS INTEGER) AS ano FROM lineitem
 WHERE year(l_shipdate) >= (SELECT min(y) FROM (SELECT DISTINCT year(l_shipdate) AS y FROM lineitem ORDER BY y DESC LIMIT 3))""")
 def inc_retain_latest(spark, sf_dir):
-    li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", F.year("l_shipdate").alias("ano"))
-    return retain_latest(li, "ano", 3)
+    li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
+    return retain_latest_years(li, "l_shipdate", 3).select("l_orderkey", "l_linenumber", F.year("l_shipdate").alias("ano"))
 
 
 # ---------------------------------------------------------------- fingerprints and manifests
@@ -301,6 +306,39 @@ def snk_partition_counts(spark, sf_dir):
     return c.groupBy(key.alias("co_uf")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _new_folder(spark, name: str) -> str:
+    """A new folder for written results in the shared checkpoint folder."""
+    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+@query("snk_nonempty", "SELECT o_orderstatus, count(*) AS rows FROM orders GROUP BY 1")
+def snk_nonempty(spark, sf_dir):
+    """K3: written (an empty table would fail), read back and counted."""
+    path = _new_folder(spark, "nonempty")
+    publish_nonempty(Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderstatus"), path)
+    return spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("snk_copy_publish", f"""
+SELECT {zf('c_nationkey', 2)} AS co_uf, count(*) AS rows FROM customer GROUP BY 1""")
+def snk_copy_publish(spark, sf_dir):
+    """K4: processed Parquet published as it is, one folder per state; rows per state of the copy."""
+    source, target = _new_folder(spark, "processed"), _new_folder(spark, "published")
+    c = Tables(spark, sf_dir).customer
+    c.select("c_custkey", S.zfill("c_nationkey", 2).alias("co_uf")).write.parquet(source)
+    return copy_publish(spark, source, target, "co_uf")
+
+
+@query("snk_tables", """
+SELECT 'orders' AS tabela, count(*) AS rows FROM orders UNION ALL SELECT 'customer', count(*) FROM customer""")
+def snk_tables(spark, sf_dir):
+    """K6: several tables of one reference written, and counted as their folders hold them."""
+    t = Tables(spark, sf_dir)
+    done = publish_tables({"orders": t.orders, "customer": t.customer}, _new_folder(spark, "tables"), "1")
+    parts = [spark.read.parquet(x["path"]).select(F.lit(name).alias("tabela")) for name, x in done.items()]
+    return parts[0].unionByName(parts[1]).groupBy("tabela").agg(F.count(F.lit(1)).alias("rows"))
+
+
 # ---------------------------------------------------------------- data quality
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
