@@ -24,6 +24,8 @@ KINDS = ("email", "ip", "card", "phone")
 MAX_CHUNKS = 6
 SAMPLE_REGIONS_DOCS = 1500      # documents with a digit or an at sign that the field is trained on, at most
 SAMPLE_REGIONS = 40             # runs of chunks taken from one of them, at most
+SAMPLE_LINE_CHARS = 4000        # code points of a line that its sample takes, at most
+SAMPLE_CHUNKS = 64              # chunks of a run that the training looks at, at most
 EPOCHS = 6
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -159,7 +161,7 @@ def train(texts: list[str], epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
     for t in texts:
         spans = base_spans(t)
         for region in regions(t)[:SAMPLE_REGIONS]:
-            region = region[:64]
+            region = region[:SAMPLE_CHUNKS]
             cases.append((t, region, gold(region, spans)))
     w, outside = np.zeros((len(KINDS), len(SPAN_FEATURES))), 0.5
     total, total_outside, steps = np.zeros_like(w), 0.0, 0
@@ -204,7 +206,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_REGIONS_DOCS) -> tuple[np.nda
         return train([])
     picked = lines.withColumn("pick", id_hash(8, F.col("doc_id"), F.col("text"))).where(F.col("pick") <= F.lit(most))
     parts = F.filter(F.split("text", "\n"), lambda x: x.rlike("[0-9@]"))
-    rows = picked.select("pick", F.transform(F.slice(parts, 1, SAMPLE_REGIONS), lambda x: F.substring(x, 1, 4000)).alias("lines")).orderBy("pick").limit(sample_docs).collect()
+    rows = picked.select("pick", F.transform(F.slice(parts, 1, SAMPLE_REGIONS), lambda x: F.substring(x, 1, SAMPLE_LINE_CHARS)).alias("lines")).orderBy("pick").limit(sample_docs).collect()
     return train(["\n".join(r["lines"]) for r in rows])
 
 
