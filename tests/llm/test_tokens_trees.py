@@ -76,10 +76,13 @@ def test_blocks_round_trip():
     for n in (1, 2, 5, 127, 128):
         for pick in (lambda: rng.randrange(50_000), lambda: rng.choice([5, 6, 7, 2 ** 32 - 1, 0]), lambda: 7, lambda: rng.choice([1] * 30 + [40_000])):
             ids = np.array([pick() for _ in range(n)], np.uint64)
-            raw = pfor.encode_block(ids)
-            assert (pfor.decode_block(b"xx" + raw, 2) == ids).all() and len(raw) <= 8 + 4 * n + 4
-    few = np.array([3] * 126 + [2 ** 31] * 2, np.uint64)
-    assert len(pfor.encode_block(few)) == 8 + 2 * 5
+            raw, = pfor.encode_blocks(ids[None, :])
+            assert (pfor.decode_blocks(b"xx" + raw, np.array([2])) == ids).all() and len(raw) <= 8 + 4 * n + 4
+    few = np.array([[3] * 126 + [2 ** 31] * 2], np.uint64)
+    assert len(pfor.encode_blocks(few)[0]) == 8 + 2 * 5
+    many = np.array([[rng.choice([1, 9, 500, 49_000]) >> (i % 7) for _ in range(128)] for i in range(300)], np.uint64)
+    raw = pfor.encode_blocks(many)
+    assert (pfor.decode_blocks(b"".join(raw), np.cumsum([0, *map(len, raw[:-1])])) == many.ravel()).all()
 
 
 def test_tokenizer_equals_library():

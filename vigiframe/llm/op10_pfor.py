@@ -18,6 +18,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -34,56 +35,84 @@ BLOCK = 128
 FIT_PERCENT = 90
 END_ID = 1
 NULL_ID = -(1 << 63)
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 400_000      # parts of words kept per Python worker, and as many of those before
+FLUSH_BLOCKS = 512
 _HEADER = np.dtype([("minimum", "<u4"), ("width", "u1"), ("exceptions", "u1"), ("ids", "<u2")])
 
 
-def _pack(values: np.ndarray, width: int) -> bytes:
-    """Low ``width`` bits of each value, one after the other, padded to 32-bit words."""
-    if not width:
-        return b""
-    bits = ((values[:, None] >> np.arange(width, dtype=np.uint32)) & 1).astype(np.uint8).ravel()
-    raw = np.packbits(bits, bitorder="little").tobytes()
-    return raw + b"\0" * (-len(raw) % 4)
+def packed_size(n: int, width: int) -> int:
+    return (n * width + 31) // 32 * 4
 
 
-def _unpack(raw: bytes, width: int, n: int) -> np.ndarray:
-    if not width:
-        return np.zeros(n, np.uint32)
-    bits = np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little")[:n * width].reshape(n, width).astype(np.uint32)
-    return (bits << np.arange(width, dtype=np.uint32)).sum(axis=1, dtype=np.uint32)
+def _pack(values: np.ndarray, width: int) -> np.ndarray:
+    """Low ``width`` bits of each row's values, one after the other, padded to 32-bit words: a row of bytes each."""
+    rows, n = values.shape
+    bits = np.unpackbits(np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(rows, n, 4), axis=2, bitorder="little")[:, :, :width]
+    raw = np.packbits(bits.reshape(rows, n * width), axis=1, bitorder="little")
+    return np.pad(raw, ((0, 0), (0, packed_size(n, width) - raw.shape[1])))
 
 
-def packed_size(n: int, width: int) -> int:
-    return (n * width + 31) // 32 * 4
+def _unpack(raw: np.ndarray, width: int, n: int) -> np.ndarray:
+    """The ``n`` values of each row of packed bytes."""
+    rows = len(raw)
+    bits = np.zeros((rows, n, 32), np.uint8)
+    bits[:, :, :width] = np.unpackbits(raw, axis=1, bitorder="little")[:, :n * width].reshape(rows, n, width)
+    return np.packbits(bits, axis=2, bitorder="little").view("<u4").reshape(rows, n)
 
 
-def encode_block(ids: np.ndarray) -> bytes:
-    """One block of 1 to ``BLOCK`` unsigned 32-bit ids."""
-    low = ids - ids.min()
-    widths = np.frexp(low.astype(np.float64))[1]  # bits of each value: exact below 2 ** 53
-    n = len(ids)
-    beyond = n - np.cumsum(np.bincount(widths, minlength=33))  # values of more bits than each width
-    least = int(np.argmax(beyond <= n - -(-n * FIT_PERCENT // 100)))
-    # From the percentile's width on, a wider one can still be smaller: fewer exceptions of five bytes each.
-    width = min(range(least, int(widths.max()) + 1), key=lambda w: packed_size(n, w) + 5 * int(beyond[w]))
-    over = np.flatnonzero(low >> np.uint64(width))
-    header = np.array((ids.min(), width, len(over), n), _HEADER).tobytes()
-    return header + _pack(low.astype(np.uint32), width) + over.astype(np.uint8).tobytes() + (low[over] >> np.uint64(width)).astype("<u4").tobytes()
-
-
-def decode_block(raw: bytes, at: int = 0) -> np.ndarray:
-    """The ids of the block that starts at ``at``."""
-    head = np.frombuffer(raw, _HEADER, 1, at)[0]
-    n, width, count = int(head["ids"]), int(head["width"]), int(head["exceptions"])
-    at += _HEADER.itemsize
-    size = packed_size(n, width)
-    low = _unpack(raw[at:at + size], width, n).astype(np.uint64)
-    at += size
-    places = np.frombuffer(raw, np.uint8, count, at)
-    high = np.frombuffer(raw, "<u4", count, at + count).astype(np.uint64)
-    low[places] |= high << np.uint64(width)
-    return (low + np.uint64(head["minimum"])).astype("<u4")
+def block_widths(widths: np.ndarray) -> np.ndarray:
+    """Packing width of each block from the bits of its values (blocks x ids).
+
+    The least width that fits ``FIT_PERCENT`` of the values, or a wider one if that makes the block smaller: its
+    packed words and five bytes per value that doesn't fit.
+    """
+    rows, n = widths.shape
+    counts = np.bincount((np.arange(rows)[:, None] * 33 + widths).ravel(), minlength=33 * rows).reshape(rows, 33)
+    beyond = n - np.cumsum(counts, axis=1)
+    size = np.array([packed_size(n, w) for w in range(33)]) + 5 * beyond
+    return np.argmin(np.where(beyond <= n - -(-n * FIT_PERCENT // 100), size, 1 << 30), axis=1)
+
+
+def encode_blocks(ids: np.ndarray) -> list[bytes]:
+    """Blocks of equal length from a table of unsigned 32-bit ids (blocks x ids, 1 to ``BLOCK`` ids each)."""
+    ids = ids.astype(np.int64)
+    least = ids.min(axis=1)
+    low = ids - least[:, None]
+    chosen = block_widths(np.frexp(low.astype(np.float64))[1])  # bits of each value: exact below 2 ** 53
+    over = low >> chosen[:, None]
+    place, column = np.nonzero(over)
+    high, cuts = over[place, column].astype("<u4"), np.searchsorted(place, np.arange(len(ids) + 1))
+    header = np.zeros(len(ids), _HEADER)
+    header["minimum"], header["width"], header["exceptions"], header["ids"] = least, chosen, np.diff(cuts), ids.shape[1]
+    out = [b""] * len(ids)
+    for width in np.unique(chosen).tolist():
+        rows = np.flatnonzero(chosen == width)
+        packed = _pack(low[rows], width)
+        for r, raw in zip(rows.tolist(), packed, strict=True):
+            a, b = cuts[r], cuts[r + 1]
+            out[r] = header[r].tobytes() + raw.tobytes() + column[a:b].astype(np.uint8).tobytes() + high[a:b].tobytes()
+    return out
+
+
+def decode_blocks(raw: bytes, starts: np.ndarray) -> np.ndarray:
+    """The ids of the blocks that start at the given places, one block after the other."""
+    buf = np.frombuffer(raw, np.uint8)
+    size = _HEADER.itemsize
+    head = buf[starts[:, None] + np.arange(size)].reshape(-1).view(_HEADER)
+    begin = np.concatenate([[0], np.cumsum(head["ids"], dtype=np.int64)])
+    out = np.zeros(begin[-1], np.int64)
+    kinds = head["ids"].astype(np.int64) * 64 + head["width"]
+    for kind in np.unique(kinds).tolist():
+        n, width = divmod(kind, 64)
+        rows = np.flatnonzero(kinds == kind)
+        if width:
+            packed = buf[starts[rows][:, None] + np.arange(size, size + packed_size(n, width))]
+            out[begin[rows][:, None] + np.arange(n)] = _unpack(packed, width, n)
+    for r in np.flatnonzero(head["exceptions"]).tolist():
+        n, width, count = int(head["ids"][r]), int(head["width"][r]), int(head["exceptions"][r])
+        at = int(starts[r]) + size + packed_size(n, width)
+        out[begin[r] + buf[at:at + count].astype(np.int64)] |= np.frombuffer(raw, "<u4", count, at + count).astype(np.int64) << width
+    return (out + np.repeat(head["minimum"].astype(np.int64), head["ids"])).astype("<u4")
 
 
 class Tokenizer:
@@ -91,7 +120,7 @@ class Tokenizer:
 
     The tokenizer lower-cases, normalises and splits at white space and between letters, digits and marks before it
     merges, so a text's ids are those of its parts in order. Texts of ASCII and Latin-1 letters are cut into these
-    parts here and only parts not met before go to the library; other white-space-free runs, and texts with the
+    parts here and only parts not met before go to the library's merges; other white-space-free runs, and texts with the
     tokenizer's special strings, go to it as they are.
     """
 
@@ -100,9 +129,11 @@ class Tokenizer:
 
     def __init__(self, path: str, known: int = KNOWN_WORDS):
         from tokenizers import Tokenizer as Library
+        from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.library, self.most, self.known = Library.from_file(path), known, {}
+        self.library, self.most, self.known, self.older = Library.from_file(path), known, {}, {}
+        self.bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
 
     def _runs(self, text: str) -> list[str]:
@@ -113,17 +144,26 @@ class Tokenizer:
             out += self._PARTS.findall(run.lower()) if self._PLAIN.fullmatch(run) else [run] if run else []
         return out
 
+    def _part(self, part: str) -> bytes:
+        """Ids of a part that needs no normalising and splitting any more: straight from the library's merges."""
+        symbols = part if part.isascii() else self.bytes.pre_tokenize_str(part)[0][0]
+        return array("I", [t.id for t in self.library.model.tokenize(symbols)]).tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids (little-endian u32) of each text, without special tokens."""
-        if len(self.known) > self.most:
-            self.known = {}
+        if len(self.known) > self.most:     # what isn't met again while the table fills once more is forgotten
+            self.known, self.older = {}, self.known
         whole = [any(s in t for s in self.special) for t in texts]
         runs = [[] if w else self._runs(t) for t, w in zip(texts, whole, strict=True)]
-        fresh = list({r for own in runs for r in own if r not in self.known})
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at:at + 4096]
-            for r, e in zip(part, self.library.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[r] = np.array(e.ids, "<u4").tobytes()
+        unseen = {r for own in runs for r in own if r not in self.known}
+        fresh = []
+        for r in unseen:
+            if r in self.older:
+                self.known[r] = self.older[r]
+            else:
+                fresh.append(r)
+        for r in fresh:
+            self.known[r] = self._part(r) if self._PLAIN.fullmatch(r) else np.array(self.library.encode(r, add_special_tokens=False).ids, "<u4").tobytes()
         known = self.known
         return [np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if w else b"".join([known[r] for r in own])
                 for t, w, own in zip(texts, whole, runs, strict=True)]
@@ -140,10 +180,10 @@ def tokenizer(path: str) -> Tokenizer:
 
 
 class Writer:
-    """Streams documents into one file; ids wait only until their block is full, the index until the end."""
+    """Streams documents into one file; ids wait until ``FLUSH_BLOCKS`` blocks are full, the index until the end."""
 
     def __init__(self, out):
-        self.out, self.size, self.rest = out, 0, b""
+        self.out, self.size, self.rest, self.waiting = out, 0, [], 0
         self.blocks, self.docs, self.ids = [], [], 0
         self._write(MAGIC)
 
@@ -154,20 +194,28 @@ class Writer:
     def add(self, doc_id: int | None, ids: bytes) -> None:
         self.docs.append((NULL_ID if doc_id is None else doc_id, self.ids))
         self.ids += len(ids) // 4
-        self.rest += ids
-        full = len(self.rest) // (4 * BLOCK) * BLOCK
-        if full:
-            self._blocks(np.frombuffer(self.rest, "<u4", full).astype(np.uint64))
-            self.rest = self.rest[4 * full:]
+        self.rest.append(ids)
+        self.waiting += len(ids) // 4
+        if self.waiting >= FLUSH_BLOCKS * BLOCK:
+            self._flush()
+
+    def _flush(self) -> None:
+        """Write the full blocks of what waits."""
+        ids = np.frombuffer(b"".join(self.rest), "<u4")
+        full = len(ids) // BLOCK * BLOCK
+        for at in range(0, full, FLUSH_BLOCKS * BLOCK):
+            self._blocks(ids[at:min(full, at + FLUSH_BLOCKS * BLOCK)].reshape(-1, BLOCK))
+        self.rest, self.waiting = [ids[full:].tobytes()], len(ids) - full
 
     def _blocks(self, ids: np.ndarray) -> None:
-        for at in range(0, len(ids), BLOCK):
+        for raw in encode_blocks(ids):
             self.blocks.append(self.size)
-            self._write(encode_block(ids[at:at + BLOCK]))
+            self._write(raw)
 
     def close(self) -> None:
-        if self.rest:
-            self._blocks(np.frombuffer(self.rest, "<u4").astype(np.uint64))
+        self._flush()
+        if self.waiting:
+            self._blocks(np.frombuffer(self.rest[0], "<u4").reshape(1, -1))
         index = self.size
         self._write(np.array(self.blocks, "<u8").tobytes())
         self._write(np.array([d for d, _ in self.docs], "<i8").tobytes() + np.array([s for _, s in self.docs], "<u8").tobytes())
@@ -197,8 +245,7 @@ class Reader:
         a, b = first // BLOCK, (last - 1) // BLOCK + 1
         self.source.seek(int(self.blocks[a]))
         raw = self.source.read(int(self.blocks[b] - self.blocks[a]))
-        parts = [decode_block(raw, int(at - self.blocks[a])) for at in self.blocks[a:b]]
-        return np.concatenate(parts)[first - a * BLOCK:last - a * BLOCK]
+        return decode_blocks(raw, self.blocks[a:b] - self.blocks[a])[first - a * BLOCK:last - a * BLOCK]
 
 
 def write_token_files(docs: DataFrame, path: str, folder: str) -> DataFrame:
