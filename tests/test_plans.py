@@ -46,3 +46,13 @@ def test_skew_safe_totals_keep_their_salt(spark):
     plan = plan_of(spark, "win_group_total")
     assert "Generate explode(sequence(0" in plan           # totals replicated per salt value
     assert "_salt" in plan and "xxhash64" in plan          # detail rows salted by a row hash
+
+
+def test_estimate_shuffles_the_cells_once(spark):
+    assert len(re.findall(r"Exchange (?:hashpartitioning|SinglePartition)", plan_of(spark, "jn_apply_weights"))) <= 3
+
+
+@pytest.mark.parametrize("key", ["inc_retain_latest", "pipe_population"])
+def test_retention_cuts_the_raw_date_of_the_main_scan(spark, key):
+    plan = plan_of(spark, key)
+    assert re.search(r"l_shipdate#\d+ >= (scalar-)?[Ss]ubquery", plan)

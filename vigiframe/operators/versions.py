@@ -31,14 +31,14 @@ def retain_latest(df: DataFrame, version: str, n: int, versions: DataFrame | Non
     return df.filter(F.col(version) >= cutoff)
 
 
-def retain_latest_years(df: DataFrame, date: str, n: int) -> DataFrame:
-    """Rows of the ``n`` most recent years of a date column.
+def retain_latest_years(df: DataFrame, date: str, n: int, among: DataFrame | None = None) -> DataFrame:
+    """Rows of the ``n`` most recent years of a date column (of ``among``'s years, if given).
 
     The cut is the first day of the n-th latest year, in the column's own type, compared with the raw column: the
     scan gets it as a pushed filter and skips row groups of older years.
     """
     if n < 1:
         raise ValueError("n must be >= 1 (0 would mean 'all years')")
-    years = df.select(F.year(date).alias("_year")).distinct().orderBy(F.col("_year").desc()).limit(n)
+    years = (df if among is None else among).select(F.year(date).alias("_year")).distinct().orderBy(F.col("_year").desc()).limit(n)
     first_day = F.make_date(F.min("_year"), F.lit(1), F.lit(1)).cast(df.schema[date].dataType)
     return df.filter(F.col(date) >= years.agg(first_day.alias("_cut")).scalar())

@@ -146,9 +146,9 @@ def apply_weights(population: DataFrame, census: DataFrame, top_age: int,
     weight are kept with null weight and estimate, so gaps are visible.
     ``sex_type=None`` keeps sex codes as they are (e.g. letter codes).
 
-    Plan: the weight side is aggregated and windowed on (mun, sex, age); the
-    population side is shuffled once on the same keys; sort-merge join, no
-    broadcast of data that grows with the input.
+    Plan: the census cells are shuffled once by (mun, sex, age), which serves the
+    pooling, the window and the join; the population side is shuffled once on the
+    same keys; sort-merge join, no broadcast of data that grows with the input.
     """
     mun, sex, age = census_keys
 
@@ -159,6 +159,8 @@ def apply_weights(population: DataFrame, census: DataFrame, top_age: int,
              .withColumn("_mun", F.col(mun).cast("string"))
              .withColumn("_sex", sex_key(sex))
              .withColumn("_age", pooled_age(age, top_age))
+             .select("_mun", "_sex", "_age", category, "pop")
+             .repartition("_mun", "_sex", "_age")
              .groupBy("_mun", "_sex", "_age", category)
              .agg(F.sum("pop").cast("long").alias("_pop")))
     weights = share_of_total(cells, ["_mun", "_sex", "_age"], "_pop", "_tot", "peso").drop("_pop", "_tot")

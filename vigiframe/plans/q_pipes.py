@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from vigiframe.functions import scalars as S
 from vigiframe.operators import lookups as L
 from vigiframe.operators.sizing import code_table, sized_broadcast
-from vigiframe.operators.versions import retain_latest
+from vigiframe.operators.versions import retain_latest_years
 from vigiframe.plans import pipelines as P
 from vigiframe.plans.q_core import zf
 from vigiframe.plans.q_scalars import DEC_SQL, dec_text
@@ -55,9 +55,8 @@ POP_FIELDS = [SRC.Field("cod_mun", 7, "N"), SRC.Field("ano", 4, "N"), SRC.Field(
               SRC.Field("idade", 3, "C"), SRC.Field("pop", 9, "N")]
 
 
-def population_records(t: Tables):
-    """Projected population as fixed-width records (line 7 rows flagged deleted)."""
-    li = t.lineitem
+def population_records(li):
+    """Projected population of lineitem rows as fixed-width records (line 7 rows flagged deleted)."""
     cells = (li.groupBy("l_suppkey", F.year("l_shipdate").alias("ano"), "l_linestatus", "l_linenumber")
                .agg(F.sum(F.col("l_quantity").cast("long")).alias("pop")))
     rec = F.concat(
@@ -70,18 +69,12 @@ def population_records(t: Tables):
     return cells.select(F.encode(rec, "ISO-8859-1").alias("rec"))
 
 
-def population_catalog(t: Tables):
-    """Available years, as the source's file catalogue lists them (one file per year
-    holding live records); read from the source columns, not from the decoded records,
-    so the retention cut-off does not recompute the decode."""
-    li = t.lineitem
-    return li.filter(F.col("l_linenumber") != 7).select(F.year("l_shipdate").cast("long").alias("ano"))
-
-
 def population_published(t: Tables, recent_years: int = 3):
-    recs = population_records(t)
-    decoded = SRC.decode_records(recs, "rec", POP_FIELDS)
-    return P.population(retain_latest(decoded, "ano", recent_years, versions=population_catalog(t)))
+    """Only the newest years are decoded: a year stands for a file, and the source's file catalogue lists the years
+    that hold live records. The cut is on the raw date, so the scan skips older years."""
+    live = t.lineitem.filter(F.col("l_linenumber") != 7)
+    li = retain_latest_years(t.lineitem, "l_shipdate", recent_years, among=live)
+    return P.population(SRC.decode_records(population_records(li), "rec", POP_FIELDS))
 
 
 POP_SQL = f"""
