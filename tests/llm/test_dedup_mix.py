@@ -41,6 +41,23 @@ def test_classes_match_all_pairs(spark, docs):
     assert {r.doc_id: r.class_id for r in got} == plain_classes(rows)
 
 
+def test_repeated_passages_stay_links(spark):
+    """Sets are alike although one text has a passage 2 to 10 times: weighted bands alone lose most of these pairs."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(40):
+        passage = " ".join(f"w{x}" for x in rng.integers(0, 5000, 200))
+        rows += [(2 * i, passage), (2 * i + 1, " ".join([passage] * (2, 3, 5, 10)[i % 4]))]
+    got = {r.doc_id: r.class_id for r in dart.near_duplicate_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == plain_classes(rows) == {i: i - i % 2 for i in range(80)}
+
+
+def test_a_text_without_repeats_has_one_hash_per_band(spark):
+    rows = [(b"a", "a b c d e f g"), (b"b", "a b c d e f g " * 3), (b"c", "")]
+    got = {bytes(r.key): r.bands for r in dart.signatures(spark.createDataFrame(rows, "key binary, text string")).collect()}
+    assert len(got[b"a"]) == dart.BANDS and dart.BANDS < len(got[b"b"]) == len(set(got[b"b"])) <= 2 * dart.BANDS and got[b"c"] is None
+
+
 def test_blocks_link_what_the_centre_missed(spark):
     """A chain of texts in one bucket: neighbours are alike, the ends are not."""
     words = [f"w{i}" for i in range(300)]
