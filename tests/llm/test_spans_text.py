@@ -129,3 +129,36 @@ def test_pages(spark):
     rows = spark.createDataFrame([(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (2, "v", "")], "page_id bigint, url string, html string")
     got = blocks.extract(rows).collect()
     assert sorted(r.n_chars for r in got) == [0, 0, 47, 47] and blocks.extract(rows.limit(0)).count() == 0
+
+
+PROSE = "This is the text of the day and it was for all of them to read in the house with the others. " * 4
+
+
+def test_unclosed_hinted_elements_end_at_their_sibling():
+    body = f"<p>{PROSE}</p><p>{PROSE}</p>"
+    want = " ".join([PROSE.strip()] * 2)
+    assert blocks.main_text(f"<body><article><p class=share>Share this{body}</article></body>")[0] == want
+    assert blocks.main_text(f"<body><div><p class=ad>Buy</div>{body}</body>")[0] == want
+    for opened, kind, closed in (("<ul>", "li", "</ul>"), ("<dl>", "dd", "</dl>"), ("<dl>", "dt", "</dl>"), ("<table><tr>", "td", "</table>"), ("<table><tr>", "th", "</table>"),
+                                 ("<table>", "tr", "</table>")):
+        page = f"<article>{opened}<{kind} class=ad>Buy<{kind}>{PROSE}{closed}<p>{PROSE}</p></article>"
+        assert blocks.main_text(page)[0] == want, kind
+        assert blocks.main_text(f"<article>{opened}<{kind} class=ad>Buy{closed}{body}</article>")[0] == want, kind
+    nested = f"<article><ul><li class=ad>Buy<ul><li>one<li>two</ul></li><li>{PROSE}</li></ul><p>{PROSE}</p></article>"
+    assert blocks.main_text(nested)[0] == want
+    assert blocks.main_text(f"<article><select><option class=ad>x<option>y</select>{body}</article>")[0] == want
+
+
+def test_layout_hints_do_not_skip_the_wrapper():
+    for marks in ("content has-sidebar", "no-comments", "with-sidebar", "main-content sidebar"):
+        page = f'<body><div class="{marks}"><h2>Title</h2><p>{PROSE}</p></div><div class="sidebar"><p>{PROSE}</p></div></body>'
+        assert blocks.main_text(page)[0] == "Title " + PROSE.strip(), marks
+    linked = f'<div class="content has-sidebar"><p>{PROSE}</p><p><a>{PROSE[:96]}</a>{PROSE}</p></div>'
+    assert blocks.main_text(linked)[0] == PROSE.strip()
+    assert blocks.main_text(linked.replace(" has-sidebar", ""))[0] != PROSE.strip()
+
+
+def test_header_of_an_article_keeps_its_title():
+    page = f'<article><header class="entry-header"><h1>Title</h1></header><p>{PROSE}</p></article>'
+    assert blocks.main_text(page)[0] == "Title " + PROSE.strip()
+    assert blocks.main_text(page.replace("entry-header", "sidebar"))[0] == PROSE.strip()

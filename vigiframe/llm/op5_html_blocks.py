@@ -1,7 +1,7 @@
 """Main text of HTML pages by two-pass block rules.
 
 The page is cut into blocks at block-level tags. Blocks in menus, headers, footers, sidebars, notices, adverts, forms
-and comments (by tag, role, class or id) are bad. The first pass classifies the others by length, link density and
+and comments (by tag, role, class or id) are bad; in an element with a hint of mere layout half the links suffice. The first pass classifies the others by length, link density and
 stop-word density as good, bad, nearly good or short; inside an article or main element text counts as good whatever
 its words. The second pass gives nearly good and short blocks the label of their nearest decided neighbours.
 """
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -27,6 +28,15 @@ HINTS = frozenset("""ad ads advert adverts advertisement advertising banner brea
 cookies consent disqus footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice pager pagination popup promo related
 respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget""".split())
 CONTAINERS = frozenset(("article", "main"))
+# A hint word after one of these says how the page is laid out, not what the element holds; so does a hint beside a
+# class or id made of wrapper words only.
+STATES = frozenset("has no with without".split())
+WRAPPERS = frozenset("content main article post entry story page".split())
+# Elements that may stay unclosed: the start tags that end one, and the elements that shield such tags inside it.
+_ROWS = frozenset("tr tbody thead tfoot".split())
+UNCLOSED = {"p": (BLOCK_TAGS, frozenset()), "li": (frozenset(("li",)), frozenset(("ul", "ol"))), "tr": (_ROWS, frozenset(("table",))),
+            **{x: (frozenset(("dd", "dt")), frozenset(("dl",))) for x in ("dd", "dt")},
+            **{x: (_ROWS | {"td", "th"}, frozenset(("table",))) for x in ("td", "th")}, "option": (frozenset(("option", "optgroup")), frozenset())}
 LONG, SHORT = 200, 70           # characters
 STOP_HIGH, STOP_LOW = 0.30, 0.15
 LINKS, LINKS_INSIDE = 0.33, 0.66  # share of linked characters that makes a block bad, outside and inside a container
@@ -43,12 +53,24 @@ class Block:
     tag: str
     inside: bool        # in an article or main element
     linked: int         # characters in links
+    doubted: bool       # in an element with a hint of layout
     label: str = ""
 
 
-def _hinted(attributes: str) -> bool:
-    words = (w for _, value in _MARKS.findall(attributes) for w in re.split(r"[^a-z0-9]+", value.lower()))
-    return any(w in HINTS for w in words) or bool(attributes and _HIDDEN.search(attributes))
+def _hinted(attributes: str, inside: bool) -> str:
+    """hard: the element isn't main text; soft: only a hint of layout; else empty. Header hints don't count inside a container."""
+    if not attributes:
+        return ""
+    if _HIDDEN.search(attributes):
+        return "hard"
+    names = [re.split(r"[^a-z0-9]+", x) for _, value in _MARKS.findall(attributes) for x in value.lower().strip("\"'").split()]
+    hard = soft = wrapper = False
+    for words in names:
+        wrapper = wrapper or all(w in WRAPPERS for w in words)
+        for before, w in zip(["", *words], words):
+            if w in HINTS and not (inside and w == "header"):
+                hard, soft = hard or before not in STATES, soft or before in STATES
+    return "hard" if hard and not wrapper else "soft" if hard or soft else ""
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -57,12 +79,14 @@ def blocks_of(page: str) -> list[Block]:
     parts, linked, tag = [], 0, ""
     containers = links = 0
     skip, depth = "", 0     # the skipped element that is open, and how many of its name are open in it
+    inner: Counter = Counter()  # what is open in a skipped element that may stay unclosed
+    doubt, doubts = "", 0   # the outermost element with a hint of layout, and how many of its name are open in it
 
     def close() -> None:
         nonlocal parts, linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, tag, containers > 0, min(linked, len(text))))
+            out.append(Block(text, tag, containers > 0, min(linked, len(text)), bool(doubt)))
         parts, linked = [], 0
 
     at = 0
@@ -77,6 +101,25 @@ def blocks_of(page: str) -> list[Block]:
             continue
         ends, attributes = bool(m[2]), m[4] or ""
         empty = name in VOID or attributes.endswith("/")
+        if skip in UNCLOSED:
+            siblings, shields = UNCLOSED[skip]
+            over = False
+            if not ends:
+                over = name in siblings and not any(inner[x] for x in shields) or name == "body"
+                inner[name] += not empty
+            elif inner[name]:
+                inner[name] -= 1
+                if name in shields and not inner[name]:
+                    for x in (skip, *siblings):  # unclosed ones of the nested list or table
+                        inner[x] = 0
+            elif name == skip:
+                skip = ""
+                continue
+            else:  # the end of an element around the skipped one
+                over = name in BLOCK_TAGS and name not in UNCLOSED or name in SKIPPED or name in CONTAINERS or name in ("body", "html") or name in siblings and skip != "p" and name != "p"
+            if not over and not (name in CONTAINERS and not ends):
+                continue
+            skip = ""
         if skip:
             if name == skip and not empty:
                 depth += -1 if ends else 1
@@ -90,15 +133,22 @@ def blocks_of(page: str) -> list[Block]:
         if name in BLOCK_TAGS or name in SKIPPED:
             close()
             tag = "" if ends else name
+        if name == doubt and not empty:
+            doubts += -1 if ends else 1
+            doubt = doubt if doubts else ""
+        hint = "" if ends or empty or name in ("html", "body") else _hinted(attributes, containers > 0)
         if name in CONTAINERS:
             containers = max(0, containers + (-1 if ends else 1))
-        elif not ends and not empty and (name in SKIPPED or name == "header" and not containers or name not in ("html", "body") and attributes and _hinted(attributes)):
+        elif not ends and not empty and (name in SKIPPED or name == "header" and not containers or hint == "hard"):
             close()
-            skip, depth = name, 1
+            skip, depth, inner = name, 1, Counter()
         elif name == "a":
             links = 0 if ends else 1
         elif name == "br":
             parts.append(" ")
+        if hint == "soft" and not skip and not doubt:
+            close()
+            doubt, doubts = name, 1
     if at < len(page) and not skip:
         parts.append(page[at:])
     close()
@@ -108,7 +158,7 @@ def blocks_of(page: str) -> list[Block]:
 def first_pass(block: Block) -> str:
     """good, bad, near (nearly good) or short."""
     n, density = len(block.text), block.linked / len(block.text)
-    if density > (LINKS_INSIDE if block.inside else LINKS):
+    if density > (LINKS_INSIDE if block.inside else LINKS) / (2 if block.doubted else 1):
         return "bad"
     if block.inside:
         return "good" if n >= SHORT else "short"
