@@ -129,3 +129,19 @@ def test_edits_follow_the_next_document(docs, odd_docs, no_docs):
         common = sum(1 for x in a.leaves() if x in rest and not rest.remove(x))
         assert abs(got[i].near_edited - (1.0 if a.root == b.root else 2 * common / len(n) if n else 1.0)) < 1e-12
     assert tree.fingerprints(odd_docs).count() == odd_docs.count() and tree.fingerprints(no_docs).count() == 0
+
+
+def test_texts_of_any_script_have_many_leaves():
+    rng = np.random.default_rng(5)
+    letters = lambda n, low, high: "".join(map(chr, rng.integers(low, high, n)))
+    logs = " ".join(letters(int(k), 97, 123) for k in rng.integers(2, 9, 400))
+    chinese = "。".join(letters(30, 0x4E00, 0x9FA5) for _ in range(60))
+    arabic = "؟ ".join(letters(30, 0x627, 0x64A) for _ in range(60))
+    hindi = "। ".join(letters(30, 0x905, 0x939) for _ in range(60))
+    for text in (logs, chinese, arabic, hindi, letters(2000, 0xE01, 0xE2E), "a" * 5000, ", ".join(["word"] * 50) + " " + logs):
+        a = tree.merkle_tree(text)
+        assert len(a.leaves()) >= 9 and "".join(tree.clauses(text)) == text
+        changed = tree.merkle_tree(tree.edited(text, letters(3000, 0x410, 0x44F)))
+        assert 0.2 < tree.likeness(a, changed) < 0.8
+    assert tree.likeness(tree.merkle_tree(logs), tree.merkle_tree(letters(7, 97, 123) + logs)) > 0.9
+    assert tree.clauses("One, two. Three") == ["One, ", "two. ", "Three"]

@@ -1,6 +1,7 @@
 """Merkle trees over sections, paragraphs and clauses of a text.
 
-Leaves are the clauses of a paragraph (a line), paragraphs are grouped into sections (up to a blank line, or after
+Leaves are the clauses of a paragraph (a line), cut at sentence marks of many scripts and, where a clause is long, at
+places that its last few code points decide, so an edit moves only cuts near it; paragraphs are grouped into sections (up to a blank line, or after
 a paragraph whose digest ends a group), the root is over the sections. A node's digest covers its children's
 digests under a label of its level. Equal texts have equal roots; to compare two trees only branches with different
 digests are followed down, and the clauses that are reached locate the edits.
@@ -13,22 +14,52 @@ import re
 from collections import Counter
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigiframe.llm.common import map_batches
 from vigiframe.llm.ordering import range_count, range_number, range_starts
+from vigiframe.llm.shingles import mix
 
 LEAF_BYTES = 6              # of a clause's digest
 SECTION_MASK = 7            # a paragraph ends its section if its digest's last bits under the mask are zero
-_CLAUSE = re.compile(r"[^.!?,;:|]*[.!?,;:|]+[^\S\n]*|[^.!?,;:|]+")
+LONG_CLAUSE = 160           # code points; longer clauses are cut further
+CUT_POINTS = 8              # a cut depends on so many code points before it
+CUT_MASK = 31               # ... and falls where the last bits of their hash under the mask are zero
+LONGEST_LEAF = 128          # where no such place comes (periodic text), a leaf ends after so many code points
+# Latin; Chinese and Japanese, full and half width; Arabic and Urdu; Indic; Armenian; Ethiopic; Khmer; Burmese; Tibetan.
+_ENDS = ".!?,;:|…。！？，、；：．｡､؟،؛۔।॥՝։፡።፣፤፥፦፧፨។៕၊။།༎"
+_CLAUSE = re.compile(rf"[^{_ENDS}]*[{_ENDS}]+[^\S\n]*|[^{_ENDS}]+")
+_SALTS = mix(np.arange(1, CUT_POINTS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 def _digest(level: bytes, parts: bytes, size: int = 16) -> bytes:
     return hashlib.blake2b(parts, digest_size=size, person=level).digest()
 
 
+def clauses(line: str) -> list[str]:
+    """The leaves of a line, in order; together they are the line."""
+    out = []
+    for clause in _CLAUSE.findall(line):
+        if len(clause) <= LONG_CLAUSE:
+            out.append(clause)
+            continue
+        codes = np.frombuffer(clause.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        n = len(codes) - CUT_POINTS + 1
+        h = np.zeros(n, np.uint64)
+        for k in range(CUT_POINTS):
+            h += codes[k:k + n] * _SALTS[k]
+        at = 0
+        for cut in [*(np.flatnonzero(mix(h) & np.uint64(CUT_MASK) == 0) + CUT_POINTS).tolist(), len(clause)]:
+            while at < cut:
+                to = min(cut, at + LONGEST_LEAF)
+                out.append(clause[at:to])
+                at = to
+    return out
+
+
 @dataclass
 class Tree:
     """Root, and per section its digest and paragraphs, per paragraph its digest and clause digests."""
@@ -48,7 +79,7 @@ def merkle_tree(text: str) -> Tree:
     """The tree of a whole text. An empty text has one empty paragraph without a clause."""
     sections, current = [], []
     for line in text.split("\n"):
-        leaves = [hashlib.blake2b(c.encode("utf-8", "replace"), digest_size=LEAF_BYTES).digest() for c in _CLAUSE.findall(line)]
+        leaves = [hashlib.blake2b(c.encode("utf-8", "replace"), digest_size=LEAF_BYTES).digest() for c in clauses(line)]
         paragraph = _digest(b"paragraph", b"".join(leaves))
         current.append((paragraph, leaves))
         if not leaves or not line.strip() or paragraph[-1] & SECTION_MASK == 0:
