@@ -47,6 +47,17 @@ def test_gradient_fit_separates_lines():
     assert crf.viterbi(x @ w, trans) == [1, 1, 0, 0]
 
 
+def test_long_notices_are_found_by_their_share_of_cues():
+    at = crf.FEATURES.index("notice")
+    notice = lambda line: crf.line_features(line, line.split(), False, True, True)[at]
+    real = "the day was long and they went to the house by the river with all of them " * 10
+    licence = "This work is licensed under a Creative Commons licence, all rights reserved by the owner of the copyright in the pages of it. " * 3
+    assert len(licence.split()) > 40 and notice(licence) == 1.0 and notice(real) == 0.0
+    assert notice("we use cookies here") == 1.0 and 0 < notice(real + "and ate a cookie") < 0.3
+    x = crf.chain(licence + "\n" + real + "and ate a cookie")[0]
+    assert crf.line_labels(1, x).tolist() == [0, 1]
+
+
 def held_out(key, kept):
     p = f"{SF_ORACLE}/labels.parquet"
     quality = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{p}'").fetchall())

@@ -25,6 +25,7 @@ FEATURES = ("bias", "few_words", "many_words", "symbols", "many_symbols", "upper
 # Wording of licence and site notices, in lower case.
 NOTICES = ("licensed under", "licenced under", "released under", "all rights reserved", "copyright", "©", "terms of use", "terms of service",
            "privacy policy", "cookie", "subscribe", "sign in", "sign up", "log in", "click here", "read more", "creative commons")
+CUE_WORDS = 40              # a line with a cue for so many words (or fewer) is a notice in full, others are by their share
 # Emission weights (of content) and transitions where no labelled document is at hand.
 FALLBACK = {"bias": 1.0, "many_symbols": -3.0, "upper": -3.0, "exclamations": -3.0, "bars": -3.0, "repeats": -3.0, "run": -2.0,
             "notice": -2.0, "seen_before": -1.0}
@@ -39,10 +40,11 @@ def line_features(line: str, words: list[str], seen: bool, first: bool, last: bo
     stops = stop_words(words) / n
     repeats = equal_neighbours(words)
     run = min(longest_run(words) / 5, 1.0) if repeats and n > 4 else 0.0
-    low = line.lower() if n < 40 else ""
+    low = line.lower()
+    notice = min(sum(map(low.count, NOTICES)) * CUE_WORDS / n, 1.0)
     return [1.0, n < 5, n > 30, min(symbols, 1.0), symbols > 0.3, upper > 0 and upper > lower_count(raw), min(raw.count(b"!") / n, 1.0),
             min(raw.count(b" | ") / n, 1.0), repeats / n, run, min(stops * 4, 1.0), n >= 5 and stops < 0.02,
-            raw.rstrip()[-1:] in _SENTENCE_ENDS, min(digit_count(raw) / n, 1.0), any(x in low for x in NOTICES), seen, first, last]
+            raw.rstrip()[-1:] in _SENTENCE_ENDS, min(digit_count(raw) / n, 1.0), notice, seen, first, last]
 
 
 def chain(text: str) -> tuple[np.ndarray, list[int], list[str]]:
@@ -113,7 +115,8 @@ def fit(chains: list[tuple[np.ndarray, np.ndarray]], rounds: int = 250, rate: fl
 
 
 def line_labels(quality: int, x: np.ndarray) -> np.ndarray:
-    """Training labels: a line of a good document is content unless it is a notice or repeats an earlier line."""
+    """Training labels: a line of a good document is content unless it is a notice in full (a cue per
+    ``CUE_WORDS`` words) or repeats an earlier line."""
     if not quality:
         return np.zeros(len(x), int)
     return 1 - np.maximum(x[:, FEATURES.index("notice")], x[:, FEATURES.index("seen_before")]).astype(int)
