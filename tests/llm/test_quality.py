@@ -58,6 +58,16 @@ def test_long_notices_are_found_by_their_share_of_cues():
     assert crf.line_labels(1, x).tolist() == [0, 1]
 
 
+def test_a_repeated_id_does_not_push_out_others(spark, monkeypatch):
+    rows = [(0, f"the day was long {i % 3}") for i in range(90)] + [(i, "# | # | #" if i % 2 else "it was for you and me") for i in range(1, 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(9)], "doc_id bigint, quality bigint, toxic bigint")
+    seen = []
+    monkeypatch.setattr(crf, "fit", lambda chains: seen.extend(chains))
+    crf.train(docs, labels, sample_docs=20)
+    assert [int(y[0]) for _, y in seen] == [1 - i % 2 for i in range(9)]
+
+
 def held_out(key, kept):
     p = f"{SF_ORACLE}/labels.parquet"
     quality = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{p}'").fetchall())

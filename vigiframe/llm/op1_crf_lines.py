@@ -125,7 +125,8 @@ def line_labels(quality: int, x: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.ndarray]:
     """Field fitted on at most ``sample_docs`` of the labelled documents, drawn by a hash of their ids.
 
-    Labels that contradict each other, nulls and documents without a label are left out.
+    Labels that contradict each other, nulls and documents without a label are left out. Of rows that share an id the
+    one with the least text hash counts, so a repeated id weighs no more than any other.
     """
     sure = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("_top"))
     drawn = sure.where("quality = _top").select("doc_id", "quality").orderBy(id_hash(1, F.col("doc_id")), "doc_id").limit(sample_docs)
@@ -138,7 +139,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
 
     # At most sample_docs ids and labels: small enough to send to every task.
     picked = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(drawn.withColumn("quality", F.col("quality").cast("bigint"))), "doc_id")
-    rows = map_batches(picked.select("doc_id", "quality", "text"), chains, "doc_id bigint, quality bigint, x array<float>").orderBy("doc_id", F.hash("x")).limit(2 * sample_docs).collect()
+    picked = picked.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).getField("text").alias("text"))
+    rows = map_batches(picked.select("doc_id", "quality", "text"), chains, "doc_id bigint, quality bigint, x array<float>").orderBy("doc_id").collect()
     xs = [(np.array(r.x, np.float64).reshape(-1, len(FEATURES)), r.quality) for r in rows]
     return fit([(x, line_labels(q, x)) for x, q in xs])
 
