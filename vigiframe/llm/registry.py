@@ -18,6 +18,9 @@ from vigiframe.llm import (
     op8_semicrf_pii,
     op9_merkle,
     op10_pfor,
+    op11_collision_ann,
+    op12_strassen_negatives,
+    op13_qdwh_whitening,
 )
 from vigiframe.llm.common import read_table
 
@@ -109,3 +112,21 @@ def merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pfor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written to files and read back."""
     return op10_pfor.digest(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query("op11_collision_ann")
+def collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return op11_collision_ann.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_strassen_negatives", op12_strassen_negatives.oracle_sql())
+def strassen_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector."""
+    return op12_strassen_negatives.mine(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_qdwh_whitening")
+def qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every vector."""
+    return op13_qdwh_whitening.whiten(read_table(spark, sf_dir, "embeddings"))
