@@ -67,7 +67,8 @@ def in_tiles(rows: DataFrame, queries: DataFrame, fn: Callable[[pa.Table, pa.Tab
     right = block.withColumn("_tile", F.explode(F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: F.col("_block") * shards + s))).drop("_block")
     # Queries may stem from the rows: new names for their columns keep the two sides apart.
     right = right.select(*[F.col(c).alias(c) for c in right.columns])
-    parts = shards * blocks
-    # A fixed number of parts on both sides: the grouping reuses it, and tiles are not packed into fewer tasks.
+    # A fixed number of parts on both sides: the grouping reuses it, and tiles are not packed into fewer tasks. Few tiles
+    # get more parts than there are tiles, so that their hashes seldom meet in one.
+    parts = max(shards * blocks, 16 * spark.sparkContext.defaultParallelism)
     left, right = left.repartition(parts, "_tile"), right.repartition(parts, "_tile")
     return left.groupBy("_tile").cogroup(right.groupBy("_tile")).applyInArrow(fn, schema)
