@@ -3,10 +3,12 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from test_sources import FIELDS, _dbf
 from vigiframe.plans import jobs
+from vigiframe.sinks.reference import open_published, verify_published
 
 
 def load(path):
@@ -30,7 +32,7 @@ def test_establishments_job(spark, tmp_path):
     m = jobs.establishments(spark, str(src), out, "202604")
     assert set(m["files"]) == {"33", "35", "sem_estado"} and m["rows"] == 3
     assert jobs.establishments(spark, str(src), out, "202604") == {"skipped": True, "version": "202604"}
-    pub = spark.read.parquet(os.path.join(out, "cnes", "estabelecimentos", "version=202604"))
+    pub, _ = open_published(spark, os.path.join(out, "cnes", "estabelecimentos"))
     assert dict(pub.dtypes)["dt_atualizacao"] == "date"
 
 
@@ -65,7 +67,7 @@ def test_population_census_weights_jobs(spark, tmp_path):
     assert jobs.census(spark, str(c / "*.json"), out, periods_glob=str(meta / "*.json")) == \
         {"skipped": True, "version": "2022"}
     wm = jobs.weights(spark, os.path.join(out, "ibge", "populacao_raca_censo", "version=2022"), out, "2022")
-    w = spark.read.parquet(os.path.join(out, "ibge", "matriz_pesos_raca", "version=2022"))
+    w, _ = open_published(spark, os.path.join(out, "ibge", "matriz_pesos_raca", "version=2022"))
     got = {(r.co_municipio_ibge, r.co_raca_cor): r.peso_raca for r in w.collect()}
     assert got[("3304557", "1")] == 0.75 and got[("3304557", "4")] == 0.25 and got[("3550308", "1")] == 1.0
     assert wm["rows"] == 4
@@ -73,7 +75,7 @@ def test_population_census_weights_jobs(spark, tmp_path):
                        os.path.join(out, "ibge", "populacao_raca_censo", "version=2022"), out, "2025", top_age=5)
     # 3304557 sex 1 age 5 has weights (0.75/0.25 + 0 for the '-' cell); 3550308 sex 2 age 7 has none
     assert em["unmatched_cells"] == 3 and em["rows"] == 3 * 3 + 3
-    est = spark.read.parquet(os.path.join(out, "ibge", "populacao_estimada_raca", "version=2025"))
+    est, _ = open_published(spark, os.path.join(out, "ibge", "populacao_estimada_raca"))
     got = {(r.co_municipio_ibge, r.ano, r.co_raca_cor): r.pop_estimada for r in est.collect()}
     assert got[("3304557", 2025, "1")] == 90.0 and got[("3550308", 2025, None)] is None
     reg = load(os.path.join(out, "manifest.json"))["references"]
@@ -142,3 +144,132 @@ def test_establishments_picks_newest_version(spark, tmp_path):
     m = jobs.establishments(spark, str(land / "*"), out)
     assert m["version"] == "202604"
     assert jobs.establishments(spark, str(land / "*"), out) == {"skipped": True, "version": "202604"}
+
+
+CENSUS_CELLS = ("ano_censo short, co_municipio_ibge string, co_municipio string, co_uf string, sexo string, no_sexo string, idade short, "
+                "co_raca_cor string, co_raca_cor_sidra string, no_raca_cor string, pop long")
+
+
+def cells(spark, pops):
+    rows = [(2022, f"{uf}00001", f"{uf}0000", uf, "1", "masculino", 5, str(i + 1), str(2776 + i), "r", p) for uf, ps in pops.items() for i, p in enumerate(ps)]
+    return spark.createDataFrame(rows, CENSUS_CELLS)
+
+
+def publish_census(spark, out, pops):
+    from vigiframe.sinks.reference import publish_reference
+    return publish_reference(cells(spark, pops), os.path.join(out, "ibge", "populacao_raca_censo"), "populacao_raca_censo", "2022", "co_uf",
+                             ["co_municipio_ibge"])
+
+
+def matrix(spark, out):
+    rows, m = open_published(spark, os.path.join(out, "ibge", "matriz_pesos_raca"))
+    return {(r.co_uf, r.co_raca_cor): r.peso_raca for r in rows.collect()}, m
+
+
+def test_weights_are_rebuilt_by_state(spark, tmp_path):
+    out = str(tmp_path / "ref")
+    census = os.path.join(out, "ibge", "populacao_raca_censo")
+    publish_census(spark, out, {"11": [3, 1], "33": [1, 1], "35": [2, 6]})
+    first = jobs.weights(spark, census, out)
+    assert first["version"] == "2022" and first["rebuilt"] == ["11", "33", "35"] and first["rows"] == 6
+    assert first["source_reference"].endswith("populacao_raca_censo/manifest.json") and first["title"] and first["formula"]
+    assert jobs.weights(spark, census, out) == {"skipped": True, "version": "2022"}
+    publish_census(spark, out, {"11": [3, 1], "33": [1, 9], "35": [2, 6]})
+    second = jobs.weights(spark, census, out)
+    assert second["rebuilt"] == ["33"] and second["rows"] == 6 and len(second["runs"]) == 2
+    assert {p: f["path"] for p, f in first["files"].items() if p != "33"} == {p: f["path"] for p, f in second["files"].items() if p != "33"}
+    got, _ = matrix(spark, out)
+    assert got == {("11", "1"): 0.75, ("11", "2"): 0.25, ("33", "1"): 0.1, ("33", "2"): 0.9, ("35", "1"): 0.25, ("35", "2"): 0.75}
+    assert {r.status for r in verify_published(spark, os.path.join(out, "ibge", "matriz_pesos_raca", "manifest.json")).collect()} == {"ok"}
+    forced = jobs.weights(spark, census, out, force=True)
+    assert forced["rebuilt"] == ["11", "33", "35"] and len(forced["runs"]) == 1 and matrix(spark, out)[0] == got
+    publish_census(spark, out, {"11": [3, 1], "35": [2, 6]})             # a state went
+    assert jobs.weights(spark, census, out)["rebuilt"] == [] and set(k[0] for k in matrix(spark, out)[0]) == {"11", "35"}
+
+
+def test_weights_of_some_states_leave_the_rest_to_do(spark, tmp_path):
+    out = str(tmp_path / "ref")
+    census = os.path.join(out, "ibge", "populacao_raca_censo")
+    publish_census(spark, out, {"11": [3, 1], "33": [1, 1], "35": [2, 6]})
+    assert jobs.weights(spark, census, out, ufs="33, 11")["rebuilt"] == ["11", "33"]
+    assert jobs.weights(spark, census, out, ufs="33") == {"skipped": True, "version": "2022"}
+    assert jobs.weights(spark, census, out)["rebuilt"] == ["35"] and len(matrix(spark, out)[0]) == 6
+    with pytest.raises(jobs.ValidationError, match="99"):
+        jobs.weights(spark, census, out, ufs="99")
+
+
+def test_weights_from_state_files(spark, tmp_path):
+    """The input is a folder of files named after digit-only state codes; other files are not opened."""
+    land, out = tmp_path / "current", str(tmp_path / "ref")
+    land.mkdir()
+    for uf, pops in {"11": [3, 1], "33": [1, 1]}.items():
+        cells(spark, {uf: pops}).toPandas().to_parquet(land / f"{uf}.parquet")
+    (land / "resumo.parquet").write_bytes(b"not parquet")
+    with pytest.raises(jobs.ValidationError, match="give the version"):
+        jobs.weights(spark, str(land), out)
+    assert jobs.weights(spark, str(land), out, "2022", ufs="33")["rebuilt"] == ["33"]
+    assert jobs.weights(spark, str(land), out, "2022")["rebuilt"] == ["11"]
+    assert jobs.weights(spark, str(land), out, "2022") == {"skipped": True, "version": "2022"}
+    cells(spark, {"11": [1, 0]}).toPandas().to_parquet(land / "11.parquet")
+    assert jobs.weights(spark, str(land), out, "2022")["rebuilt"] == ["11"] and matrix(spark, out)[0][("11", "1")] == 1.0
+
+
+def test_weights_refuse_empty_and_unfit_input(spark, tmp_path):
+    out, land = str(tmp_path / "ref"), tmp_path / "current"
+    land.mkdir()
+    cells(spark, {"11": [1, 1]}).drop("sexo").toPandas().to_parquet(land / "11.parquet")
+    with pytest.raises(jobs.ValidationError, match="missing columns"):
+        jobs.weights(spark, str(land), out, "2022")
+    cells(spark, {"11": []}).toPandas().to_parquet(land / "11.parquet")
+    with pytest.raises(jobs.ValidationError, match="no census cells"):
+        jobs.weights(spark, str(land), out, "2022")
+
+
+def test_census_of_some_states(spark, tmp_path):
+    (tmp_path / "c.json").write_text('[{"D1C":"h"},{"D1C":"3304557","D4C":"2776","D5C":"4","D6N":"5 anos","V":"30"},'
+                                     '{"D1C":"1100015","D4C":"2776","D5C":"4","D6N":"5 anos","V":"3"}]')
+    out = str(tmp_path / "ref")
+    m = jobs.census(spark, str(tmp_path / "c.json"), out, 2022, ufs="33")
+    assert set(m["files"]) == {"33"} and m["rows"] == 1 and m["source_table"] == "9606"
+    assert set(jobs.census(spark, str(tmp_path / "c.json"), out, 2022)["files"]) == {"11", "33"}
+
+
+def test_broken_payload_fails_the_census(spark, tmp_path):
+    (tmp_path / "c.json").write_text('[{"D1C":"h"},{"D1C":"33')
+    with pytest.raises(Exception, match="broken JSON payload"):
+        jobs.census(spark, str(tmp_path / "c.json"), str(tmp_path / "ref"), 2022)
+
+
+def test_establishments_with_surplus_fields_fail(spark, tmp_path):
+    src = tmp_path / "estab.csv"
+    src.write_bytes(b"CO_UNIDADE;CO_ESTADO_GESTOR;CO_MUNICIPIO_GESTOR\n1;33;330455\n2;33;330455;9\n")
+    with pytest.raises(Exception, match="not 3 fields"):
+        jobs.establishments(spark, str(src), str(tmp_path / "ref"), "202604")
+    assert not os.path.exists(tmp_path / "ref" / "cnes" / "estabelecimentos" / "manifest.json")
+
+
+def test_newest_version_in_two_files_fails(spark, tmp_path):
+    for name in ("tbEstabelecimento202604.csv", "TBESTABELECIMENTO202604.CSV"):
+        (tmp_path / name).write_bytes(b"CO_UNIDADE;CO_ESTADO_GESTOR;CO_MUNICIPIO_GESTOR\n1;33;330455\n")
+    with pytest.raises(jobs.ValidationError, match="in 2 files"):
+        jobs.establishments(spark, str(tmp_path / "*"), str(tmp_path / "ref"))
+
+
+def test_population_rows_that_do_not_fit_are_set_aside(spark, tmp_path):
+    _dbf(tmp_path / "POPSBR25.DBF", [" 3304557 20251  5      120", " 355030820259999  7       80"], 2)
+    out = str(tmp_path / "ref")
+    with pytest.raises(Exception):
+        jobs.population(spark, str(tmp_path / "*.DBF"), out)
+    assert not os.path.exists(os.path.join(out, "ibge", "populacao", "manifest.json"))
+
+
+def test_icd10_checks(spark, tmp_path):
+    (tmp_path / "cat.csv").write_bytes("CAT;DESCRICAO;\r\nA00;Colera;\r\n".encode())
+    (tmp_path / "none.csv").write_bytes(b"CAT;DESCRICAO;\n")
+    out = str(tmp_path / "ref")
+    m = jobs.icd10(spark, {"categorias": str(tmp_path / "cat.csv")}, out, columns={"categorias": ["cat", "descricao"]})
+    assert len(m["files"]["categorias"]["sha256"]) == 1 and m["files"]["categorias"]["rows"] == 1 and m["title"] == "CID-10"
+    with pytest.raises(jobs.ValidationError, match="columns"):
+        jobs.icd10(spark, {"categorias": str(tmp_path / "cat.csv")}, out, columns={"categorias": ["cat"]})
+    with pytest.raises(jobs.ValidationError, match="no rows"):
+        jobs.icd10(spark, {"categorias": str(tmp_path / "none.csv")}, out)

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 ZERO_SYMBOLS = ["-", "X", "...", ""]
 # Text tokens that mean "no value" in census neighbourhood text columns.
 NULL_TEXT_TOKENS = ["", "."]
-# Name of the bucket for records without a state code.
+# Names of the buckets for records without a state code: establishments, and population.
 NO_STATE_BUCKET = "sem_estado"
+NO_STATE_BUCKET_POPULATION = "sem_uf"
 
 
 def _c(x) -> Column:
@@ -159,9 +160,9 @@ def split_list(x, pad: int | None = None) -> Column:
     return items
 
 
-def state_bucket(x) -> Column:
+def state_bucket(x, name: str = NO_STATE_BUCKET) -> Column:
     """Null or blank state -> named bucket, so both land in one partition."""
-    return F.coalesce(F.nullif(_c(x).cast("string"), F.lit("")), F.lit(NO_STATE_BUCKET))
+    return F.coalesce(F.nullif(_c(x).cast("string"), F.lit("")), F.lit(name))
 
 
 def sha256(x) -> Column:

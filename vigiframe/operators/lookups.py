@@ -26,8 +26,10 @@ def strict_lookup(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
     unknown = F.col(left_key).isNotNull() & F.col("_hit").isNull()
     fail = F.raise_error(F.concat(F.lit(f"unknown {what}: "), F.col(left_key).cast("string")))
     guarded = {left_key, *(c for c in dim.columns if c != dim_key)}
-    return j.select(*[F.when(unknown, fail).otherwise(F.col(f"`{c}`")).alias(c) if c in guarded else F.col(f"`{c}`")
-                      for c in j.columns if c not in ("_dim_key", "_hit")])
+    # The test is one column, which each guarded column reads: a row is tested once.
+    j = j.withColumn("_known", F.when(unknown, fail.cast("boolean")).otherwise(F.lit(True)))
+    return j.select(*[F.when(F.col("_known"), F.col(f"`{c}`")).alias(c) if c in guarded else F.col(f"`{c}`")
+                      for c in j.columns if c not in ("_dim_key", "_hit", "_known")])
 
 
 def unknown_codes(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str) -> DataFrame:

@@ -10,24 +10,26 @@ part of this package: a job starts from files already landed in a folder.
 from __future__ import annotations
 
 import argparse
-import json
 import os
 import posixpath
 import re
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigiframe.functions import dates as D
+from vigiframe.functions.scalars import NO_STATE_BUCKET_POPULATION
 from vigiframe.operators import quality as Q
-from vigiframe.operators.columns import in_text_list
 from vigiframe.operators.sizing import code_table
 from vigiframe.operators.versions import retain_latest
 from vigiframe.operators.weights import GROUP_KEYS, race_weights, weight_sum_report
 from vigiframe.plans import pipelines as P
-from vigiframe.sinks.publish import publish_if_changed
-from vigiframe.sinks.reference import (ValidationError, already_published, path_exists, publish_reference, publish_tables,
+from vigiframe.sinks.publish import Run, ValidationError, fingerprint, fit, live_listing, publish_if_changed, read_run, write_manifest
+from vigiframe.sinks.reference import (already_published, files_there, manifest_document, open_published, publish_reference, publish_tables,
                                        register, require_clean)
+from vigiframe.session import apply_job_conf, ensure_checkpoint_dir
 from vigiframe.sources import files as SRC
 from vigiframe.sources.fixed_width_source import header_counts, list_files, read_dbf_fields, read_fixed_width_split
 
@@ -47,6 +49,49 @@ MUNICIPALITY_DOC = (f"id int, nome string, microrregiao struct<id: int, nome: st
 CENSUS_ROW = "struct<D1C: string, D4C: string, D5C: string, D6N: string, V: string>"
 
 
+def _schema(text: str, required: tuple[str, ...] = ()) -> T.StructType:
+    """A declared schema (``name type, ...``); the required columns allow no null."""
+    kinds = {"string": T.StringType, "date": T.DateType, "tinyint": T.ByteType, "smallint": T.ShortType, "bigint": T.LongType,
+             "double": T.DoubleType}
+    fields = [f.split() for f in text.split(", ")]
+    return T.StructType([T.StructField(name, kinds[kind](), name not in required) for name, kind in fields])
+
+
+# Published columns and types.
+POPULATION_SCHEMA = _schema("co_municipio_ibge string, co_municipio string, co_uf string, ano smallint, sexo tinyint, idade string, pop bigint",
+                            ("co_municipio_ibge", "ano", "sexo", "idade", "pop"))
+CENSUS_SCHEMA = _schema("ano_censo smallint, co_municipio_ibge string, co_municipio string, co_uf string, sexo string, no_sexo string, "
+                        "idade smallint, co_raca_cor string, co_raca_cor_sidra string, no_raca_cor string, pop bigint",
+                        ("ano_censo", "co_municipio_ibge", "sexo", "idade", "co_raca_cor", "pop"))
+MATRIX_SCHEMA = _schema("ano_censo smallint, co_municipio_ibge string, co_municipio string, co_uf string, sexo string, no_sexo string, "
+                        "idade smallint, co_raca_cor string, co_raca_cor_sidra string, no_raca_cor string, pop_raca bigint, "
+                        "pop_total_grupo bigint, peso_raca double")
+NB_SCHEMA = _schema(", ".join(f"{c} {'string' if c in NB_TEXT else 'bigint' if c in NB_INT else 'double'}" for c in NB_ORDER))
+CALENDAR_SCHEMA = _schema("data date, ano bigint, mes bigint, dia bigint, ano_epi bigint, semana_epi bigint, ano_semana_epi string, "
+                          "ano_semana_epi_num bigint", ("data",))
+# What the manifests say of each reference.
+META = {
+    "cnes_estabelecimentos": {"title": "CNES - Estabelecimentos", "municipality_filter_column": "co_municipio_gestor"},
+    "uf": {"title": "IBGE - Unidades da Federacao", "source": "https://servicodados.ibge.gov.br/api/v1/localidades/estados?orderBy=nome"},
+    "municipios": {"title": "IBGE - Municipios", "source": "https://servicodados.ibge.gov.br/api/v1/localidades/municipios?orderBy=nome"},
+    "populacao": {"title": "IBGE/DATASUS POPSVS - Populacao", "source": "ftp://ftp.datasus.gov.br/dissemin/publicos/IBGE/POPSVS/",
+                  "municipality_filter_column": "co_municipio_ibge"},
+    "populacao_raca_censo": {"title": "IBGE Censo 2022 - Populacao por Raca/Cor", "source": "SIDRA IBGE v1", "source_table": "9606",
+                             "source_variable": "93", "source_url": "https://apisidra.ibge.gov.br/values",
+                             "municipality_filter_column": "co_municipio_ibge"},
+    "matriz_pesos_raca": {"title": "IBGE Censo 2022 - Matriz de Pesos por Raca/Cor", "method": "peso_raca = pop_raca / pop_total_grupo",
+                          "formula": "PopEstimada(ano,mun,sexo,idade,raca) = TotalProjetadoDATASUS(ano,mun,sexo,idade) * PesoRacaCenso2022",
+                          "municipality_filter_column": "co_municipio_ibge"},
+    "populacao_estimada_raca": {"title": "Populacao estimada por Raca/Cor", "formula": "total(ano,mun,sexo,idade) * peso(mun,sexo,idade,raca)",
+                                "municipality_filter_column": "co_municipio_ibge"},
+    "bairros_censo": {"title": "IBGE Censo 2022 - Agregados por Bairros", "main_fields": {"neighborhood_name": "nm_bairro"},
+                      "update_policy": "Referencia estatica sem cron; copia mantida no repositorio."},
+    "cid10": {"title": "CID-10", "update_policy": "Referencia estatica sem cron; copia mantida no repositorio."},
+    "calendario_epidemiologico": {"title": "Calendario Epidemiologico",
+                                  "rule": "Semanas epidemiologicas de domingo a sabado; a semana 1 e a semana que contem a maioria dos dias em janeiro."},
+}
+
+
 # Id and folder of each published reference (consumers find a
 # reference through the registry by id, then its manifest in this folder).
 LAYOUT = {
@@ -76,8 +121,8 @@ ESTABLISHMENTS_FILE = r"(?i)^tbEstabelecimento(\d{6})\.csv$"
 
 
 def latest_by_version(files: list[str], pattern: str) -> tuple[str, str] | None:
-    """The file holding the highest version in its name (versions compared as
-    integers), from a listing; None when no name carries a version."""
+    """The one file holding the highest version in its name (versions compared as
+    integers), from a listing; None when no name carries a version, an error when two files carry it."""
     found = []
     for f in files:
         m = re.search(pattern, posixpath.basename(f))
@@ -85,10 +130,24 @@ def latest_by_version(files: list[str], pattern: str) -> tuple[str, str] | None:
             found.append((int(m.group(1)), m.group(1), f))
     if not found:
         return None
-    _, version, path = max(found)
+    highest = max(number for number, _, _ in found)
+    newest = [(version, path) for number, version, path in found if number == highest]
+    if len(newest) != 1:
+        raise ValidationError(f"version {highest} is in {len(newest)} files: {sorted(path for _, path in newest)}")
+    version, path = newest[0]
     return path, version
 
 
+def parse_states(ufs: str | None) -> list[str] | None:
+    """State codes of a comma list, zero-padded; None for all states."""
+    if ufs is None:
+        return None
+    states = sorted({u.strip().zfill(2) for u in ufs.split(",") if u.strip()})
+    if not states:
+        raise ValidationError("empty list of states")
+    return states
+
+
 def establishments(spark: SparkSession, source: str, out: str, version: str | None = None,
                    name_pattern: str = ESTABLISHMENTS_FILE, force: bool = False) -> dict:
     """Semicolon latin-1 text -> repaired, typed rows -> one folder per managing state.
@@ -102,15 +161,12 @@ def establishments(spark: SparkSession, source: str, out: str, version: str | No
     root = _ref(out, "cnes_estabelecimentos")
     if not force and already_published(os.path.join(root, "manifest.json"), version):
         return {"skipped": True, "version": version}
-    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = P.establishments(SRC.read_delimited(spark, source, partitions=spread))
+    rows = P.establishments(SRC.read_delimited_strict(spark, source))
     missing = {"co_estado_gestor", "co_municipio_gestor"} - set(rows.columns)
     if missing:
         raise ValidationError(f"missing columns {sorted(missing)}")
-    report = Q.report(rows, {})
-    return publish_reference(rows, root, "cnes_estabelecimentos", version, "co_estado_gestor",
-                             ["co_municipio_gestor"], report,
-                             {"municipality_filter_column": "co_municipio_gestor"}, _registry(out))
+    return publish_reference(rows, root, "cnes_estabelecimentos", version, "co_estado_gestor", ["co_municipio_gestor"],
+                             extra=META["cnes_estabelecimentos"], registry_path=_registry(out), schema=rows.schema)
 
 
 # Fixed value: name of a yearly population file; the two digits are the year - 2000.
@@ -142,13 +198,9 @@ def population(spark: SparkSession, source_glob: str, out: str, recent_years: in
         if not chosen_years:
             raise ValidationError(f"no file of {start_year} or later at {source_glob}")
         chosen = [by_year[y] for y in chosen_years]
-        man = os.path.join(root, "manifest.json")
-        if os.path.exists(man):
-            with open(man, encoding="utf-8") as fh:
-                old = json.load(fh)
-            there = all(path_exists(f["path"]) for f in (old.get("files") or {}).values())
-            if not force and there and sorted(old.get("years") or []) == chosen_years:
-                return {"skipped": True, "years": chosen_years}
+        old = manifest_document(spark, posixpath.join(root, "manifest.json")).read()
+        if not force and old and sorted(old.get("years") or []) == chosen_years and files_there(spark, old):
+            return {"skipped": True, "years": chosen_years}
     else:
         chosen = files
     fields = read_dbf_fields(chosen[0])
@@ -159,16 +211,21 @@ def population(spark: SparkSession, source_glob: str, out: str, recent_years: in
         declared, _, _, whole = header_counts(f)
         records[posixpath.basename(f)] = {"declared": declared, "whole": whole}
     decoded = read_fixed_width_split(spark, chosen, fields)
-    if not by_year:
+    if by_year:
+        years = chosen_years
+    else:
         decoded = retain_latest(decoded, "ano", recent_years)
-    rows = P.population(decoded)
-    years = sorted(r.ano for r in rows.select("ano").distinct().collect())   # a handful of years
+        years = sorted(int(r.ano) for r in decoded.select("ano").where(F.col("ano").isNotNull()).distinct().collect())   # a handful of years
     version = f"{years[0]}-{years[-1]}" if years else ""
-    report = Q.report(rows, {"ano_ok": F.col("ano").isNotNull()})
-    return publish_reference(rows, root, "populacao", version, "co_uf",
-                             ["co_municipio_ibge", "ano", "sexo", "idade"], report,
-                             {"years": years, "records": records,
-                              "municipality_filter_column": "co_municipio_ibge"}, _registry(out))
+
+    def written_years(rows: DataFrame) -> dict:
+        return {"years": sorted(r.ano for r in rows.select("ano").distinct().collect())}
+
+    source_files = {str(y): posixpath.basename(by_year[y]) for y in years} if by_year else {}
+    return publish_reference(P.population(decoded, strict=False), root, "populacao", version, "co_uf",
+                             ["co_municipio_ibge", "ano", "sexo", "idade"],
+                             extra={**META["populacao"], "records": records, "source_files": source_files}, registry_path=_registry(out),
+                             schema=POPULATION_SCHEMA, blank=NO_STATE_BUCKET_POPULATION, inspect=written_years)
 
 
 def latest_period(spark: SparkSession, metadata_glob: str) -> int | None:
@@ -180,20 +237,27 @@ def latest_period(spark: SparkSession, metadata_glob: str) -> int | None:
 
 
 def census(spark: SparkSession, source_glob: str, out: str, year: int | None = None,
-           periods_glob: str | None = None, force: bool = False) -> dict:
+           periods_glob: str | None = None, force: bool = False, ufs: str | None = None) -> dict:
     """Tabular JSON payloads (header element first) -> typed census cells by state.
     Without ``year`` the latest period of the metadata at ``periods_glob`` is used,
-    and a period already published is skipped."""
+    and a period already published (for the states asked for) is skipped. ``ufs`` publishes those states only."""
+    states = parse_states(ufs)
+    root = _ref(out, "populacao_raca_censo")
     if year is None:
         if not periods_glob:
             raise ValidationError("give year or periods_glob")
         year = latest_period(spark, periods_glob)
         if year is None:
             raise ValidationError(f"no period ids at {periods_glob}")
-        if not force and already_published(os.path.join(_ref(out, "populacao_raca_censo"), "manifest.json"), str(year)):
+        if not force and already_published(posixpath.join(root, "manifest.json"), str(year), states):
             return {"skipped": True, "version": str(year)}
     payloads = spark.read.option("wholetext", True).text(source_glob).withColumnRenamed("value", "payload")
     rows = payloads.select(F.explode(SRC.rows_after_header("payload", CENSUS_ROW)).alias("r")).select("r.*")
+    if states is not None:
+        rows = rows.where(F.substring(F.lpad(F.col("D1C"), 7, "0"), 1, 2).isin(states))
+    # Parsed once: the warnings and the write read the parsed rows again from the shared checkpoint folder.
+    ensure_checkpoint_dir(spark)
+    rows = rows.checkpoint()
     # Kept as the source rules do, but reported: labels with no number become age 0,
     # and "Menos de 1" also matches labels such as "Menos de 10".
     warnings = {r["check"]: int(r["failures"]) for r in Q.report(rows, {
@@ -202,27 +266,80 @@ def census(spark: SparkSession, source_glob: str, out: str, year: int | None = N
     }).collect()}
     races = code_table(spark, P.RACES, ["race_id", "co_raca_cor", "no_raca_cor"])
     sexes = code_table(spark, P.SEXES, ["sex_id", "sexo", "no_sexo"])
-    cells = P.census(rows, races, sexes, year)
-    return publish_reference(cells, _ref(out, "populacao_raca_censo"), "populacao_raca_censo", str(year),
-                             "co_uf", ["co_municipio_ibge", "sexo", "idade", "co_raca_cor"], Q.report(cells, {}),
-                             {"municipality_filter_column": "co_municipio_ibge", "warnings": warnings},
-                             _registry(out))
+    return publish_reference(P.census(rows, races, sexes, year), root, "populacao_raca_censo", str(year), "co_uf",
+                             ["co_municipio_ibge", "sexo", "idade", "co_raca_cor"],
+                             extra={**META["populacao_raca_censo"], "warnings": warnings, "states": states}, registry_path=_registry(out),
+                             schema=CENSUS_SCHEMA)
+
+
+def _part_inputs(spark: SparkSession, rows: DataFrame, manifest: dict | None, key: str, parts: list[str] | None) -> dict[str, list[str]]:
+    """Rows and content fingerprint of every part of an input: from its listing if it has a manifest, else from a pass
+    over its rows. One entry per state."""
+    if manifest is not None:
+        listed = live_listing(spark, manifest["runs"])
+        found = listed.groupBy("part").agg(F.sum("rows").alias("rows"), F.sum(F.col("fingerprint").cast("decimal(38,0)")).alias("fingerprint"))
+    else:
+        found = fingerprint(rows, sorted(rows.columns), [key]).withColumnRenamed(key, "part")
+    return {r["part"]: [str(r["rows"]), str(Decimal(r["fingerprint"]).to_integral_value())] for r in found.collect() if parts is None or r["part"] in parts}
 
 
-def weights(spark: SparkSession, census_dir: str, out: str, version: str, ufs: str | None = None) -> dict:
-    """Published census -> race-weight matrix, checked (weights of a group sum to 1)."""
-    from vigiframe.session import apply_job_conf
+def weights(spark: SparkSession, census_dir: str, out: str, version: str | None = None, ufs: str | None = None, force: bool = False) -> dict:
+    """Published census -> race-weight matrix, checked (weights of a group sum to 1).
+
+    ``census_dir`` is the census reference (its folder, version folder or manifest, whose version is then the matrix's
+    own), or a folder of files named after state codes. The manifest keeps each state's input fingerprint: only states
+    whose input differs from what their published weights were made of are computed, written as a run of their own, and
+    put in place of the earlier ones; a run with nothing to do is skipped. ``force`` makes all (or all ``ufs``) anew.
+    """
+    states = parse_states(ufs)
     apply_job_conf(spark)                       # state folders stay text ('01', not 1)
-    cells = spark.read.option("basePath", census_dir).parquet(census_dir)
-    if ufs:
-        cells = cells.filter(in_text_list("co_uf", ufs, 2))
-    matrix = race_weights(cells, GROUP_KEYS)
-    inv = weight_sum_report(matrix).select(F.lit("weights_sum_to_one").alias("check"),
-                                           F.col("falhas").alias("failures"))
-    return publish_reference(matrix, _ref(out, "matriz_pesos_raca"), "matriz_pesos_raca", version,
-                             "co_uf", ["co_municipio_ibge", "sexo", "idade", "co_raca_cor"], inv,
-                             {"method": "peso_raca = pop_raca / pop_total_grupo",
-                              "municipality_filter_column": "co_municipio_ibge"}, _registry(out))
+    cells, source = open_published(spark, census_dir, states)
+    version = version or (source or {}).get("version")
+    if not version:
+        raise ValidationError(f"{census_dir} has no manifest: give the version")
+    inputs = _part_inputs(spark, cells, source, "co_uf", states)
+    if states is not None and set(states) - set(inputs):
+        raise ValidationError(f"no census cells of states {sorted(set(states) - set(inputs))}")
+    if not inputs:
+        raise ValidationError(f"no census cells at {census_dir}")
+    root = _ref(out, "matriz_pesos_raca")
+    old = manifest_document(spark, posixpath.join(root, "manifest.json")).read() or {}
+    kept = old.get("inputs") or {} if old.get("version") == version and files_there(spark, old) else {}
+    changed = sorted(p for p in inputs if force or kept.get(p) != inputs[p])
+    gone = sorted(set(kept) - set(inputs)) if states is None else []
+    if not changed and not gone:
+        return {"skipped": True, "version": version}
+    left = {p: v for p, v in kept.items() if p not in changed and p not in gone}
+    replaced = sorted(set(kept) - set(left))
+    if not changed:                             # states were only taken away
+        m = write_manifest(spark, posixpath.join(root, "manifest.json"), "matriz_pesos_raca", version, _carried(spark, old, replaced),
+                           {**{k: old[k] for k in old if k not in ("files", "rows", "runs", "generated_at_utc")}, "inputs": left, "rebuilt": []})
+        return m
+    missing = sorted({"co_uf", "pop", *GROUP_KEYS} - set(cells.columns))
+    if missing:
+        raise ValidationError(f"missing columns {missing}")
+    matrix = race_weights(cells.where(F.col("co_uf").isin(changed)), GROUP_KEYS)
+
+    def sums_to_one(rows: DataFrame) -> dict:
+        require_clean(weight_sum_report(rows).select(F.lit("weights_sum_to_one").alias("check"), F.col("falhas").alias("failures")))
+        return {}
+
+    return publish_reference(matrix, root, "matriz_pesos_raca", version, "co_uf", ["co_municipio_ibge", "sexo", "idade", "co_raca_cor"],
+                             extra={**META["matriz_pesos_raca"], "source_reference": _source_reference(out, census_dir), "rebuilt": changed,
+                                    "inputs": {**left, **{p: inputs[p] for p in changed}}},
+                             registry_path=_registry(out), schema=MATRIX_SCHEMA, inspect=sums_to_one,
+                             carry=lambda _: _carried(spark, old, replaced) if left else [])
+
+
+def _carried(spark: SparkSession, manifest: dict, replaced: list[str]) -> list[dict]:
+    """A manifest's runs without the replaced parts; runs of which nothing is left are dropped."""
+    runs = [{**r, "without": sorted({*r.get("without", []), *replaced})} for r in manifest["runs"]]
+    return [r for r in runs if not live_listing(spark, [r]).isEmpty()]
+
+
+def _source_reference(out: str, census_dir: str) -> str:
+    root = _ref(out, "populacao_raca_censo")
+    return posixpath.join(root, "manifest.json") if census_dir.startswith(root) else census_dir
 
 
 def estimate(spark: SparkSession, population_dir: str, census_dir: str, out: str, version: str,
@@ -230,78 +347,99 @@ def estimate(spark: SparkSession, population_dir: str, census_dir: str, out: str
     """Projected totals x census race weights. Census ages at or above ``top_age``
     are pooled before the weights are formed; population cells without a weight are
     kept (null estimate) and counted in the manifest, never dropped."""
-    from vigiframe.session import apply_job_conf
     apply_job_conf(spark)
-    pop = spark.read.option("basePath", population_dir).parquet(population_dir)
-    cens = spark.read.option("basePath", census_dir).parquet(census_dir)
+    pop, _ = open_published(spark, population_dir)
+    cens, _ = open_published(spark, census_dir)
     est = P.estimate(pop, cens, top_age)
-    counts = est.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("peso").isNull()).alias("unmatched")).collect()[0]
-    return publish_reference(est, _ref(out, "populacao_estimada_raca"), "populacao_estimada_raca", version,
-                             "co_uf", ["co_municipio_ibge", "ano", "sexo", "idade"], None,
-                             {"formula": "total(ano,mun,sexo,idade) * peso(mun,sexo,idade,raca)", "top_age": top_age,
-                              "unmatched_cells": int(counts["unmatched"])}, _registry(out))
+
+    def unmatched(rows: DataFrame) -> dict:
+        return {"unmatched_cells": rows.where(F.col("peso").isNull()).count()}
+
+    return publish_reference(est, _ref(out, "populacao_estimada_raca"), "populacao_estimada_raca", version, "co_uf",
+                             ["co_municipio_ibge", "ano", "sexo", "idade"],
+                             extra={**META["populacao_estimada_raca"], "top_age": top_age}, registry_path=_registry(out), schema=est.schema,
+                             inspect=unmatched)
 
 
 def neighbourhoods(spark: SparkSession, source: str, out: str, version: str,
                    required_key: str | None = None) -> dict:
     """Latin-1 text with decimal commas -> typed table, with a sentinel-row check."""
-    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    nb = P.neighbourhoods(SRC.read_delimited(spark, source, partitions=spread), NB_TEXT, NB_INT, NB_FLOAT, NB_ORDER)
-    if required_key and nb.filter(F.col("cd_bairro") == required_key).limit(1).count() == 0:
-        raise ValidationError(f"required neighbourhood {required_key} not found")
-    require_clean(Q.report(nb, {}))                 # not empty
-    root = _ref(out, "bairros_censo")
-    m = publish_if_changed(nb.orderBy("cd_bairro"), root, "bairros_censo", version, NB_ORDER,
-                           os.path.join(root, "manifest.json"))
-    register(_registry(out), "bairros_censo", os.path.join(root, "manifest.json"))
-    return m
-
-
-def icd10(spark: SparkSession, sources: dict[str, str], out: str, version: str = "static") -> dict:
-    """The ICD-10 tables (chapters, groups, categories, subcategories) as text tables."""
-    tables = {name: SRC.read_csv_clean(spark, path) for name, path in sources.items()}
-    files = publish_tables(tables, _ref(out, "cid10"), version)
-    from vigiframe.sinks.publish import write_manifest
-    man = os.path.join(_ref(out, "cid10"), "manifest.json")
-    m = write_manifest(man, "cid10", version, files, sum(f["rows"] for f in files.values()))
+    nb = P.neighbourhoods(SRC.read_delimited_strict(spark, source), NB_TEXT, NB_INT, NB_FLOAT, NB_ORDER)
+
+    def sentinel(run: Run) -> None:
+        if run.rows == 0:
+            raise ValidationError("no neighbourhoods")
+        if required_key and read_run(spark, run.entry()).where(F.col("cd_bairro") == required_key).isEmpty():
+            raise ValidationError(f"required neighbourhood {required_key} not found")
+
+    return _single_table(nb.orderBy(F.col("cd_bairro").asc_nulls_last()), out, "bairros_censo", version, NB_SCHEMA, sentinel)
+
+
+def icd10(spark: SparkSession, sources: dict[str, str], out: str, version: str = "static", columns: dict[str, list[str]] | None = None) -> dict:
+    """The ICD-10 tables (chapters, groups, categories, subcategories) as text tables, each checked (rows, lower-case
+    names, the ``columns`` given for it) and hashed; the manifest switches when all are written."""
+    tables = {}
+    for name, path in sources.items():
+        table = SRC.read_csv_clean(spark, path)
+        tables[name] = fit(table, T.StructType([T.StructField(c, T.StringType()) for c in table.columns]))
+    files = publish_tables(tables, _ref(out, "cid10"), version, columns=columns)
+    man = posixpath.join(_ref(out, "cid10"), "manifest.json")
+    for name, f in files.items():
+        f.update(csv_path=sources[name], parquet_path=f["path"])
+    m = write_manifest(spark, man, "cid10", version, [], {**META["cid10"], "files": files, "rows": sum(f["rows"] for f in files.values())})
     register(_registry(out), "cid10", man)
     return m
 
 
-def _json_reference(df: DataFrame, out: str, rid: str, version: str, columns: list[str]) -> dict:
+def _single_table(df: DataFrame, out: str, rid: str, version: str, schema: T.StructType, check) -> dict:
+    """A reference of one table: published as a new run when its content changed, and registered."""
     root = _ref(out, rid)
-    m = publish_if_changed(df, root, rid, version, columns, os.path.join(root, "manifest.json"))
-    register(_registry(out), rid, os.path.join(root, "manifest.json"))
+    man = posixpath.join(root, "manifest.json")
+    m = publish_if_changed(fit(df, schema), root, rid, version, [f.name for f in schema.fields], man, META[rid], check)
+    register(_registry(out), rid, man)
     return m
 
 
 def states(spark: SparkSession, source: str, out: str, expected_rows: int = 27) -> dict:
     """JSON array of states -> flat table; exact row count checked."""
     df = P.states(SRC.read_json_array(spark, source, STATE_DOC).select(F.struct("*").alias("s")), "s")
-    n = df.count()
-    if n != expected_rows:
-        raise ValidationError(f"expected {expected_rows} states, got {n}")
-    return _json_reference(df.orderBy("co_uf"), out, "uf", "current", list(df.columns))
+
+    def exact(run: Run) -> None:
+        if run.rows != expected_rows:
+            raise ValidationError(f"expected {expected_rows} states, got {run.rows}")
+
+    return _single_table(df.orderBy("co_uf"), out, "uf", "current", _text_schema(df), exact)
+
+
+def _text_schema(df: DataFrame) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType(), False) for c in df.columns])
 
 
 def municipalities(spark: SparkSession, source: str, out: str, minimum_rows: int = 5570) -> dict:
     """JSON array of municipalities -> 17 flat columns; unique codes and a minimum count."""
     df = P.municipalities(SRC.read_json_array(spark, source, MUNICIPALITY_DOC).select(F.struct("*").alias("m")), "m")
-    dup = Q.unique_key_failures(df, ["co_municipio_ibge"]).collect()[0]
-    n = df.count()
-    if dup.duplicated_keys or n < minimum_rows:
-        raise ValidationError(f"municipalities: {dup.duplicated_keys} duplicated codes, {n} rows")
-    return _json_reference(df.orderBy("co_municipio_ibge"), out, "municipios", "current", list(df.columns))
+
+    def unique(run: Run) -> None:
+        dup = Q.unique_key_failures(read_run(spark, run.entry()), ["co_municipio_ibge"]).collect()[0]
+        if dup.duplicated_keys or run.rows < minimum_rows:
+            raise ValidationError(f"municipalities: {dup.duplicated_keys} duplicated codes, {run.rows} rows")
+
+    return _single_table(df.orderBy("co_municipio_ibge"), out, "municipios", "current", _text_schema(df), unique)
 
 
 def calendar(spark: SparkSession, out: str, start_year: int = 1900, end_year: int = 2100) -> dict:
     """Epidemiological calendar, one row per day."""
     cal = P.calendar(D.date_spine(spark, start_year, end_year))
-    return _json_reference(cal, out, "calendario_epidemiologico", f"{start_year}-{end_year}", list(cal.columns))
+
+    def whole(run: Run) -> None:
+        if run.rows == 0:
+            raise ValidationError("empty calendar")
+
+    return _single_table(cal, out, "calendario_epidemiologico", f"{start_year}-{end_year}", CALENDAR_SCHEMA, whole)
 
 
 def main(argv: list[str] | None = None) -> None:
-    from vigiframe.session import apply_job_conf, build_session
+    from vigiframe.session import build_session
     ap = argparse.ArgumentParser(prog="vigiframe.plans.jobs")
     ap.add_argument("job", choices=["establishments", "population", "census", "weights", "estimate",
                                     "neighbourhoods", "icd10", "states", "municipalities", "calendar"])
@@ -313,21 +451,25 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--ufs")
     ap.add_argument("--census", help="published census folder (estimate job)")
     ap.add_argument("--top-age", type=int, default=80)
+    ap.add_argument("--recent-years", type=int, default=3, help="population: newest years to publish")
+    ap.add_argument("--start-year", type=int, default=None, help="population: first year; calendar: first year (1900)")
+    ap.add_argument("--end-year", type=int, default=2100, help="calendar: last year")
+    ap.add_argument("--force", action="store_true", help="publish again what is published already")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     spark = build_session(master=a.master) if a.master else SparkSession.builder.getOrCreate()
     apply_job_conf(spark)
     job = a.job
     if job == "calendar":
-        print(calendar(spark, a.out))
+        print(calendar(spark, a.out, a.start_year or 1900, a.end_year))
     elif job == "establishments":
-        print(establishments(spark, a.source, a.out, None if a.version == "current" else a.version))
+        print(establishments(spark, a.source, a.out, None if a.version == "current" else a.version, force=a.force))
     elif job == "population":
-        print(population(spark, a.source, a.out))
+        print(population(spark, a.source, a.out, a.recent_years, start_year=a.start_year, force=a.force))
     elif job == "census":
-        print(census(spark, a.source, a.out, a.year, a.periods))
+        print(census(spark, a.source, a.out, a.year, a.periods, a.force, a.ufs))
     elif job == "weights":
-        print(weights(spark, a.source, a.out, a.version, a.ufs))
+        print(weights(spark, a.source, a.out, None if a.version == "current" else a.version, a.ufs, a.force))
     elif job == "estimate":
         print(estimate(spark, a.source, a.census, a.out, a.version, a.top_age))
     elif job == "neighbourhoods":

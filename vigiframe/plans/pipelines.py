@@ -23,10 +23,10 @@ CENSUS_COLUMNS = ["ano_censo", "co_municipio_ibge", "co_municipio", "co_uf", "se
 POPULATION_COLUMNS = ["co_municipio_ibge", "co_municipio", "co_uf", "ano", "sexo", "idade", "pop"]
 
 
-def municipality_codes(df: DataFrame, raw: str, out: str = "co_municipio_ibge") -> DataFrame:
+def municipality_codes(df: DataFrame, raw: str, out: str = "co_municipio_ibge", strict: bool = True) -> DataFrame:
     """7-digit municipality code plus its 6-digit and state prefixes; a missing code
-    fails the job (the reference turned it into the text "000None")."""
-    code = zfill(required(raw, f"missing municipality code in {raw}"), 7)
+    fails the job (the reference turned it into the text "000None"), or stays null unless ``strict``."""
+    code = zfill(required(raw, f"missing municipality code in {raw}") if strict else F.col(raw), 7)
     return (df.withColumn(out, code)
               .withColumn("co_municipio", code_prefix(out, 6))
               .withColumn("co_uf", code_prefix(out, 2)))
@@ -50,12 +50,16 @@ def census(rows: DataFrame, races: DataFrame, sexes: DataFrame, year: int) -> Da
                        for c in CENSUS_COLUMNS])
 
 
-def population(decoded: DataFrame) -> DataFrame:
-    """R2: decoded fixed-width population rows (cod_mun, ano, sexo, idade, pop) -> published shape."""
+def population(decoded: DataFrame, strict: bool = True) -> DataFrame:
+    """R2: decoded fixed-width population rows (cod_mun, ano, sexo, idade, pop) -> published shape.
+
+    A missing or unfitting value fails at once; unless ``strict`` it stays as it is, for ``sinks.publish.fit`` to judge."""
     missing = sorted({"cod_mun", "ano", "sexo", "idade", "pop"} - set(decoded.columns))
     if missing:
         raise ValueError(f"missing fields: {missing}")
-    df = municipality_codes(decoded, "cod_mun")
+    df = municipality_codes(decoded, "cod_mun", strict=strict)
+    if not strict:
+        return df.select("co_municipio_ibge", "co_municipio", "co_uf", "ano", "sexo", zfill(F.col("idade").cast("string"), 3).alias("idade"), "pop")
     return df.select("co_municipio_ibge", "co_municipio", "co_uf",
                      required("ano", "missing ano").cast("short").alias("ano"),
                      required("sexo", "missing sexo").cast("byte").alias("sexo"),

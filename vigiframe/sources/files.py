@@ -7,9 +7,10 @@ from data), so a scan costs one pass and Catalyst can prune and push filters.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +38,86 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ";", encoding: str
     return df.na.fill("")
 
 
+def read_delimited_strict(spark: SparkSession, path: str, sep: str = ";", encoding: str = "ISO-8859-1") -> DataFrame:
+    """Like ``read_delimited``, but a file with quoted line breaks is read by many tasks, and a record with surplus or
+    missing fields fails the job. Blank lines are skipped. The first record of a file is its header; files of one path
+    must have the same. ``encoding`` must write quotes, separators and line ends as ASCII does.
+
+    One pass counts the lines with an odd number of quotes. Where there is none no field holds a line break, and the
+    plain splitting reader serves. Otherwise ``quoted_records`` puts lines together.
+    """
+    names = (spark.read.option("sep", sep).option("quote", '"').option("escape", '"').option("header", True)
+             .option("encoding", encoding).option("inferSchema", False).csv(path).columns)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BROKEN]])
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    lines = _lines(spark, path, encoding)
+    if lines.where(F.regexp_count("line", F.lit('"')) % 2 == 1).isEmpty():
+        rows = spark.read.schema(schema).options(**options).option("header", True).option("encoding", encoding).csv(path)
+    else:
+        records = quoted_records(lines)
+        heads = records.where("is_first").select("record").distinct().limit(2).collect()
+        if len(heads) > 1:
+            raise ValueError(f"files at {path} have different headers")
+        parsed = records.where(~F.col("is_first")).select(F.from_csv("record", _ddl(schema), options).alias("r"))
+        rows = parsed.select("r.*")
+    wrong = F.col(_BROKEN).isNotNull()
+    fail = F.raise_error(F.concat(F.lit(f"not {len(names)} fields: "), F.substring(F.col(_BROKEN), 1, 200)))
+    # The test sits in every column, so that reading any of them runs it.
+    rows = rows.withColumn("_sound", F.when(wrong, fail.cast("boolean")).otherwise(F.lit(True)))
+    return rows.select(*[F.when(F.col("_sound"), F.coalesce(F.col(f"`{n}`"), F.lit(""))).alias(n) for n in names])
+
+
+_BROKEN = "_broken"
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """Lines with their place: file, block of the file (as Spark splits it), and order in the block."""
+    raw = spark.read.option("lineSep", "\n").text(path)
+    return raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                      F.monotonically_increasing_id().alias("place"), F.decode(F.col("value").cast("binary"), encoding).alias("line"))
+
+
+def quoted_records(lines: DataFrame) -> DataFrame:
+    """Lines (file, block, place, line) -> records: ``record``, and ``is_first`` of its file.
+
+    A line end inside quotes belongs to the record, and whether a block starts inside quotes depends on all before it. A
+    block has an even or an odd number of quotes, and that alone decides how it changes either state; so the blocks'
+    parities are computed side by side, a running sum over the few blocks of a file gives each one's start state, and
+    every block is then cut by itself. A record that runs over blocks carries the place where it starts.
+    """
+    counted = lines.withColumn("quotes", F.regexp_count("line", F.lit('"')) % 2)
+    blocks = counted.groupBy("file", "block").agg((F.sum("quotes") % 2).alias("odd"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("start", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
+    within = Window.partitionBy("file", "block").orderBy("place")
+    earlier = within.rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.join(blocks.select("file", "block", "start"), ["file", "block"])
+    # 0: the line begins outside quotes, so it begins a record.
+    placed = placed.withColumn("inside", (F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) + F.col("start")) % 2)
+    placed = placed.withColumn("is_first", (F.col("block") == 0) & (F.row_number().over(within) == 1))
+    placed = placed.withColumn("own", F.max(F.when(F.col("inside") == 0, F.col("place"))).over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = placed.where((F.col("inside") == 0) & (F.col("quotes") == 0)).select(F.col("line").alias("record"), "is_first")
+    pieces = placed.where((F.col("inside") == 1) | (F.col("quotes") == 1))
+    # Lines of a block before its first record start belong to the last record that started in an earlier block.
+    starts = pieces.where("inside = 0").groupBy("file", "block").agg(F.max("place").alias("last"))
+    heads = pieces.where(F.col("own").isNull()).select("file", "block").distinct()
+    tail = starts.select("file", F.col("block").alias("from_block"), F.col("last").alias("from_place"))
+    owners = (heads.join(tail, "file").where(F.col("from_block") < F.col("block"))
+              .groupBy("file", "block").agg(F.max(F.struct("from_block", "from_place")).alias("owner")))
+    joined = pieces.join(owners, ["file", "block"], "left").select(
+        "file", "block", "place", "line", "is_first", F.coalesce(F.when(F.col("own").isNotNull(), F.struct(F.col("block").alias("from_block"), F.col("own").alias("from_place"))),
+        F.col("owner")).alias("key"))
+    # A record's own lines, in file order.
+    long = joined.groupBy("file", "key").agg(F.array_sort(F.collect_list(F.struct("block", "place", "line", "is_first"))).alias("parts"))
+    long = long.select(F.array_join(F.col("parts.line"), "\n").alias("record"), F.element_at("parts", 1)["is_first"].alias("is_first"))
+    text = F.regexp_replace(F.regexp_replace("record", "\r$", ""), "\r\n", "\n")
+    return whole.unionByName(long).select(text.alias("record"), "is_first").where(F.trim("record") != "")
+
+
 def parse_delimited(line, schema: str, sep: str = ";") -> Column:
     """Column form of the delimited reader: one text line -> struct of text fields."""
     line = F.col(line) if isinstance(line, str) else line
@@ -148,9 +229,9 @@ def rows_after_header(payload, element_schema: T.DataType | str) -> Column:
     header yields nothing, a payload that isn't such an array fails the job."""
     c = F.col(payload) if isinstance(payload, str) else payload
     schema = f"array<{element_schema}>" if isinstance(element_schema, str) else T.ArrayType(element_schema)
-    parsed = F.from_json(c, schema)
-    arr = F.when(c.isNotNull() & parsed.isNull(), F.raise_error(F.concat(F.lit("broken JSON payload: "), F.substring(c, 1, 80)))).otherwise(parsed)
-    return F.slice(arr, 2, F.greatest(F.size(arr) - 1, F.lit(0)))
+    broken = F.raise_error(F.concat(F.lit("broken JSON payload: "), F.substring(c, 1, 80)))
+    # Every expression stands once, so a payload is parsed once.
+    return F.filter(F.coalesce(F.from_json(c, schema), F.when(c.isNotNull(), broken)), lambda _, place: place > 0)
 
 
 def period_ids(payload) -> Column:
@@ -173,11 +254,31 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
-def read_state_files(spark: SparkSession, folder: str) -> DataFrame:
-    """``folder/*.parquet`` whose stem is all digits; the stem (state code) becomes a column."""
-    df = spark.read.parquet(folder)
-    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.parquet$", 1)
-    return df.withColumn("_stem", stem).filter(F.col("_stem").rlike("^[0-9]+$")).withColumnRenamed("_stem", "co_uf")
+STATE_FILE = r"[0-9]+\.parquet"
+
+
+def has_state_files(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder holds files named after digit-only state codes."""
+    from vigiframe.sinks.store import names
+    return any(re.fullmatch(STATE_FILE, n) for n in names(spark, folder))
+
+
+def read_state_files(spark: SparkSession, folder: str, states: list[str] | None = None) -> DataFrame:
+    """``folder/*.parquet`` whose stem is all digits, with the stem (the state's code) as column ``co_uf``.
+
+    The listing decides which files are read: other stems, and with ``states`` other states, are never opened. A file's
+    own ``co_uf`` column gives way to its name.
+    """
+    from vigiframe.sinks.store import names
+    stems = [n.removesuffix(".parquet") for n in names(spark, folder) if re.fullmatch(STATE_FILE, n)]
+    missing = sorted(set(states or []) - set(stems))
+    if missing:
+        raise ValueError(f"no state files {missing} in {folder}")
+    wanted = [s for s in stems if states is None or s in states]
+    if not wanted:
+        raise ValueError(f"no state files in {folder}")
+    df = spark.read.parquet(*[f"{folder.rstrip('/')}/{s}.parquet" for s in wanted])
+    return df.withColumn("co_uf", F.regexp_extract(F.col("_metadata.file_name"), r"^([0-9]+)\.parquet$", 1))
 
 
 # ---------------------------------------------------------------- manifests
@@ -216,8 +317,8 @@ def manifest_files(manifests: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- catalogues
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """File listing (name, size, time) without reading contents."""
+def list_files(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
+    """File listing (name, size, time) of one or more folders without reading contents."""
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
           .option("recursiveFileLookup", True).load(path))
     return df.select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),

@@ -38,6 +38,8 @@ class RecordRange(InputPartition):
 def _filesystem(uri: str):
     """(filesystem, path) for a local path or a URI with a scheme."""
     from pyarrow import fs
+    if uri.startswith("file:/") and "://" not in uri:       # as Hadoop writes local URIs
+        uri = uri.removeprefix("file:")
     if "://" in uri:
         return fs.FileSystem.from_uri(uri)
     return fs.LocalFileSystem(), os.path.abspath(uri)
