@@ -15,8 +15,10 @@ from vigiframe.plans.q_core import SPINE_SQL, zf
 from vigiframe.plans.q_scalars import DEC_SQL, dec_text
 from vigiframe.plans.registry import query
 from vigiframe.session import ensure_checkpoint_dir
-from vigiframe.sinks.publish import changed_parts, conform, file_hashes, files_map, fingerprint, publish_nonempty
-from vigiframe.sinks.reference import copy_publish, publish_tables
+from vigiframe.sinks import store
+from vigiframe.sinks.publish import (changed_parts, conform, file_hashes, files_map, fingerprint, publish_nonempty, publish_partitioned,
+                                     read_table)
+from vigiframe.sinks.reference import (copy_publish, publish_reference, publish_tables, read_reference, register, verify_published)
 from vigiframe.sources import files as SRC
 from vigiframe.tables import TABLES, Tables
 
@@ -111,25 +113,33 @@ def man_files_map(spark, sf_dir):
 @query("src_manifest_map", f"""
 SELECT co_uf AS part, 'referencias/clientes/co_uf=' || co_uf AS path, rows FROM ({PART_COUNTS_SQL})""")
 def src_manifest_map(spark, sf_dir):
+    """A manifest document written as JSON, found by the manifest reader, one row per entry of its files map."""
+    path = _new_folder(spark, "manifest")
     m = files_map(customer_part_counts(Tables(spark, sf_dir)), "co_uf", "referencias/clientes/")
-    return m.select(F.explode("files").alias("part", "entry")).select("part", "entry.path", "entry.rows")
+    m.select(F.to_json(F.struct(F.lit("clientes").alias("reference_id"), F.lit("1").alias("version"), "files", "rows")).alias("value")).write.text(path)
+    return SRC.manifest_files(SRC.read_manifests(spark, path)).select("part", "path", "rows")
 
 
 @query("man_registry", " UNION ALL ".join(
     f"SELECT '{t}' AS reference_id, count(*) AS rows FROM {t}" for t in TABLES))
 def man_registry(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    parts = [getattr(t, name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("reference_id"), "rows")
-             for name in TABLES]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """M4: a manifest per table with its counted rows, each entered in the registry; read back from the documents."""
+    t, root = Tables(spark, sf_dir), _new_folder(spark, "registry")
+    registry = os.path.join(root, "manifest.json")
+    for name in TABLES:
+        manifest, rows = os.path.join(root, name, "manifest.json"), getattr(t, name).count()
+        store.Document(spark, manifest).update(lambda _, name=name, rows=rows: {"reference_id": name, "version": "1", "rows": rows})
+        register(registry, name, manifest)
+    known = store.Document(spark, registry).read()["references"]
+    return SRC.read_manifests(spark, sorted(known.values())).select("reference_id", "rows")
 
 
-@query("man_file_hashes")
+@query("man_file_hashes", """
+SELECT regexp_extract(filename, '([^/]+)\.parquet$', 1) AS tabela, size AS length, sha256(content) AS sha256
+FROM read_blob('/root/testdata/sf0.01/*.parquet')""")
 def man_file_hashes(spark, sf_dir):
-    """M1: SHA-256 of every input table file (one task per file; no SQL form over table views)."""
+    """M1: SHA-256 of every input table file (one task per file, read in blocks). The SQL names the folder of the
+    correctness run, as views don't tell their files; other folders are checked against hashlib in the tests."""
     h = file_hashes(spark, sf_dir, "*.parquet")
     return h.select(F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("tabela"), "length", "sha256")
 
@@ -170,11 +180,25 @@ def man_missing_files(spark, sf_dir):
 @query("con_partition_lookup", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE o_orderstatus = 'F' AND o_custkey = 10""")
 def con_partition_lookup(spark, sf_dir):
-    o = Tables(spark, sf_dir).orders
-    # On the published table o_orderstatus is the partition column: the first
-    # predicate prunes folders, the second is pushed into the parquet scan.
-    return o.filter((F.col("o_orderstatus") == "F") & (F.col("o_custkey") == 10)) \
-            .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    """M7: orders published by status and registered; the consumer's lookup goes registry -> manifest -> one part's
+    folder, with the key filter pushed into its scan."""
+    root = _new_folder(spark, "lookup")
+    registry = os.path.join(root, "manifest.json")
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    publish_reference(o, os.path.join(root, "orders"), "orders", "1", "o_orderstatus", ["o_custkey"],
+                      extra={"municipality_filter_column": "o_custkey"}, registry_path=registry)
+    return read_reference(spark, registry, "orders", part="F", municipality=10).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+
+
+@query("man_verify", f"""
+SELECT {zf('c_nationkey', 2)} AS part, 'ok' AS status, count(*) > 0 AS ok FROM customer GROUP BY 1""")
+def man_verify(spark, sf_dir):
+    """Q7/Q11: customers published by state, then every published file compared with what the manifest says of it."""
+    root = _new_folder(spark, "verify")
+    c = Tables(spark, sf_dir).customer.select("c_custkey", S.zfill("c_nationkey", 2).alias("co_uf"))
+    publish_reference(c, root, "clientes", "1", "co_uf", ["c_custkey"])
+    found = verify_published(spark, os.path.join(root, "manifest.json"))
+    return found.groupBy("part", "status").agg((F.count(F.lit(1)) > 0).alias("ok"))
 
 
 # ---------------------------------------------------------------- sources
@@ -196,6 +220,36 @@ def src_delimited(spark, sf_dir):
     return parsed.select(*[F.coalesce(F.col(f"r.{n}"), F.lit("")).alias(n) for n in names])
 
 
+@query("src_delimited_file", f"""
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name || chr(10) || ';"x"' AS c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       {DEC_SQL.format(c='c_acctbal')} AS c_acctbal, CASE WHEN c_acctbal < 0 THEN '' ELSE c_mktsegment END AS c_mktsegment
+FROM customer""")
+def src_delimited_file(spark, sf_dir):
+    """Files with a quoted line break in every record, cut by the splitting reader."""
+    path = _new_folder(spark, "delimited")
+    c = Tables(spark, sf_dir).customer.select(
+        F.col("c_custkey").cast("string").alias("c_custkey"), F.concat("c_name", F.lit('\n;"x"')).alias("c_name"),
+        F.col("c_nationkey").cast("string").alias("c_nationkey"), dec_text("c_acctbal").alias("c_acctbal"),
+        F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
+    c.write.options(sep=";", header=True, quote='"', escape='"', encoding="ISO-8859-1").csv(path)
+    return SRC.read_delimited_strict(spark, path)
+
+
+@query("src_state_files", f"""
+SELECT {zf('c_nationkey', 2)} AS co_uf, count(*) AS rows FROM customer WHERE c_nationkey BETWEEN 5 AND 14 GROUP BY 1""")
+def src_state_files(spark, sf_dir):
+    """A folder of files named after state codes, of which ten states are read."""
+    folder, land = _new_folder(spark, "states"), _new_folder(spark, "by-state")
+    c = Tables(spark, sf_dir).customer.select("c_custkey", S.zfill("c_nationkey", 2).alias("co_uf"))
+    c.repartition("co_uf").write.partitionBy("co_uf").parquet(land)
+    for part in store.names(spark, land):
+        for file in store.names(spark, os.path.join(land, part)):
+            if file.endswith(".parquet"):
+                store.move(spark, os.path.join(land, part, file), os.path.join(folder, f"{part.removeprefix('co_uf=')}.parquet"))
+    wanted = [f"{n:02d}" for n in range(5, 15)]
+    return SRC.read_state_files(spark, folder, wanted).groupBy("co_uf").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("src_cr_clean", """
 SELECT p_partkey, p_name AS nome, CASE WHEN p_size <= 25 THEN p_type || ' x' ELSE p_type END AS tipo FROM part""")
 def src_cr_clean(spark, sf_dir):
@@ -301,9 +355,9 @@ def snk_conform(spark, sf_dir):
 SELECT coalesce(nullif(nullif({zf('c_nationkey', 2)}, '24'), ''), 'sem_estado') AS co_uf, count(*) AS rows
 FROM customer GROUP BY 1""")
 def snk_partition_counts(spark, sf_dir):
-    c = Tables(spark, sf_dir).customer
-    key = S.state_bucket(F.nullif(S.zfill("c_nationkey", 2), F.lit("24")))
-    return c.groupBy(key.alias("co_uf")).agg(F.count(F.lit(1)).alias("rows"))
+    """Customers published by state, blank states in their bucket; rows per state as the files read back."""
+    c = Tables(spark, sf_dir).customer.select("c_custkey", F.nullif(S.zfill("c_nationkey", 2), F.lit("24")).alias("co_uf"))
+    return publish_partitioned(c, _new_folder(spark, "parts"), "co_uf", ["c_custkey"])
 
 
 def _new_folder(spark, name: str) -> str:
@@ -326,7 +380,8 @@ def snk_copy_publish(spark, sf_dir):
     source, target = _new_folder(spark, "processed"), _new_folder(spark, "published")
     c = Tables(spark, sf_dir).customer
     c.select("c_custkey", S.zfill("c_nationkey", 2).alias("co_uf")).write.parquet(source)
-    return copy_publish(spark, source, target, "co_uf")
+    copy_publish(spark, source, target, "co_uf")
+    return read_table(spark, target).groupBy("co_uf").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("snk_tables", """

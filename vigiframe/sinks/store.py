@@ -71,6 +71,13 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file to a place where there is none yet."""
+    fs, to = _path(spark, target)
+    fs.mkdirs(to.getParent())
+    _rename(spark, _path(spark, source)[1], to, False)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _path(spark, path)
     if not fs.exists(p):

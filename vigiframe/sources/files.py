@@ -302,7 +302,7 @@ MANIFEST_SCHEMA = T.StructType([
 ])
 
 
-def read_manifests(spark: SparkSession, path: str) -> DataFrame:
+def read_manifests(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Manifest JSON documents (all fields optional)."""
     return spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(path)
 
