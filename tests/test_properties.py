@@ -222,3 +222,30 @@ def test_week_labels_format(spark, pairs):
     df = spark.createDataFrame(pairs, "y long, w long")
     got = [(r[0], r[1]) for r in df.select(D.epi_week_label("y", "w"), D.epi_week_number("y", "w")).collect()]
     assert got == [(f"{y}{w:02d}", y * 100 + w) for y, w in pairs]
+
+
+def test_missing_cells_against_the_whole_product(spark):
+    """Nulls are values, a hot entity is complete, a domain spans several words."""
+    import itertools
+    import random
+    from vigiframe.operators.lookups import missing_cells
+    rng = random.Random(4)
+    xs, ys = [None, "a", "b", "c"], [None, *range(40)]
+    rows = [(rng.choice([None, 1, 2, 3]), rng.choice(xs), rng.choice(ys)) for _ in range(300)]
+    rows += [(9, x, y) for x in xs for y in ys] * 3
+    df = spark.createDataFrame(rows, "e int, x string, y int")
+    entities, seen_x, seen_y = ({r[i] for r in rows} for i in range(3))
+    want = set(itertools.product(entities, seen_x, seen_y)) - set(rows)
+    got = [tuple(r) for r in missing_cells(df, "e", ["x", "y"]).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and not any(g[0] == 9 for g in got)
+    assert missing_cells(df, "e", ["x"]).count() == len(set(itertools.product(entities, seen_x)) - {r[:2] for r in rows})
+    assert missing_cells(df.limit(0), "e", ["x", "y"]).collect() == []
+
+
+def test_value_numbers_are_dense(spark):
+    from vigiframe.operators.lookups import value_numbers
+    df = spark.range(3000).selectExpr("if(id % 10 = 0, null, id % 1000) AS a", "cast(id % 3 AS string) AS b")
+    numbers = {}
+    for r in value_numbers(df, ["a", "b"]).collect():
+        numbers.setdefault(r["_dim"], []).append(r["_no"])
+    assert sorted(numbers[0]) == list(range(901)) and sorted(numbers[1]) == list(range(3))

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vigiframe.operators.aggregates import block_ids
-from vigiframe.operators.weights import (apply_weights, join_group_total, race_weights, weight_sum_failures,
+from vigiframe.operators.weights import (apply_weights, join_group_total, race_weights, stable_salt, weight_sum_failures,
                                          weight_sum_report, with_group_total)
 
 KEYS = ["ano_censo", "co_municipio_ibge", "sexo", "idade"]
@@ -76,3 +76,28 @@ def test_salted_totals_match_window_on_hot_key(spark):
     b = join_group_total(df, ["k"], "v", "t", hot_rows=300)      # null and 7 are hot: fan 7
     assert a.count() == b.count() == 6000
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def salted(df):
+    return sorted(map(str, stable_salt(df, ["k"], "f", "s").collect()))
+
+
+def test_salt_is_the_same_when_a_task_gets_its_rows_in_another_order(spark):
+    """What a lost executor's map task gets again is the same rows in another order."""
+    rows = [(i % 2, i % 7, None if i % 5 == 0 else f"v{i % 3}", 6 if i % 2 else 1) for i in range(2000)]
+    kinds = "k int, v int, t string, f int"
+    first = salted(spark.createDataFrame(rows, kinds).coalesce(1))
+    again = salted(spark.createDataFrame(rows[::-1], kinds).coalesce(1))
+    third = salted(spark.createDataFrame(sorted(rows, key=lambda r: (r[1], str(r[2]))), kinds).coalesce(1))
+    assert first == again == third
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    rows = spark.createDataFrame([(1, 5, 6)] * 3000 + [(2, 5, 1)] * 50, "k int, v int, f int").coalesce(1)
+    counts = {(r.k, r.s): r["count"] for r in stable_salt(rows, ["k"], "f", "s").groupBy("k", "s").count().collect()}
+    assert counts == {**{(1, s): 500 for s in range(6)}, (2, 0): 50}
+
+
+def test_salt_of_rows_with_maps(spark):
+    rows = spark.sql("SELECT 1 AS k, map('a', id % 3) AS m, 4 AS f FROM range(40)").coalesce(1)
+    assert sorted(r["count"] for r in stable_salt(rows, ["k"], "f", "s").groupBy("s").count().collect()) == [10] * 4

@@ -1,16 +1,18 @@
 """Dimension lookups, semi/anti tests and completeness grids.
 
 Dimensions (codes, calendar, regions) are small and bounded; they are
-broadcast only behind ``sized_broadcast``'s row check, otherwise Spark keeps
+broadcast only behind ``sized_broadcast``'s check of bytes, otherwise Spark keeps
 a shuffle join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigiframe.operators.sizing import sized_broadcast
+from vigiframe.operators.sizing import sized_broadcast, staged
 
 
 def strict_lookup(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
@@ -56,24 +58,87 @@ def semi_join(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     return df.join(keys.distinct(), on, "left_semi")
 
 
+# Buckets that the values of a dimension are numbered in, side by side.
+NUMBER_BUCKETS = 256
+WORD_BITS = 64
+# Most elements of an array that is laid out in one row.
+RUN = 4096
+
+
+def value_numbers(df: DataFrame, dims: list[str]) -> DataFrame:
+    """The distinct values of each column (null is one), numbered 0, 1, ... in ``_no``: ``_dim`` is the column's place
+    in ``dims``, ``_v`` a struct of all columns in which only that one is set.
+
+    Values are dealt into buckets by a hash and numbered there; a bucket starts where the ones before it end. Only the
+    buckets' counts, ``NUMBER_BUCKETS`` rows a column, are put in one order.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    alone = [F.struct(F.lit(i).alias("_dim"), F.struct(*[(F.col(f"`{c}`") if c == d else F.lit(None).cast(kinds[c])).alias(c) for c in dims]).alias("_v"))
+             for i, d in enumerate(dims)]
+    values = df.select(F.explode(F.array(*alone)).alias("_r")).select("_r.*").distinct()
+    values = values.withColumn("_bucket", F.pmod(F.xxhash64("_v"), F.lit(NUMBER_BUCKETS)))
+    starts = values.groupBy("_dim", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_dim").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select("_dim", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_dim", "_bucket").orderBy("_v")) - 1
+    return values.withColumn("_place", place).join(starts, ["_dim", "_bucket"]).select("_dim", "_v", (F.col("_place") + F.col("_start")).cast("long").alias("_no"))
+
+
+def _div(a: Column, b: int) -> Column:
+    """Whole quotient of numbers that are not negative; a division of doubles would round beyond 2^53."""
+    return F.call_function("div", a, F.lit(b).cast("long"))
+
+
+def _lay_out(n: Column) -> list[Column]:
+    """0 .. n-1 as two nested explodes' arrays, so that no row holds more than about sqrt(n) or ``RUN`` elements."""
+    return [F.sequence(F.lit(0).cast("long"), _div(n - 1, RUN)),
+            F.sequence(F.col("_run") * RUN, F.least(F.col("_run") * RUN + RUN - 1, n - 1))]
+
+
 def missing_cells(df: DataFrame, entity: str, dims: list[str]) -> DataFrame:
     """Cells of the grid entity x dim1 x dim2 ... that have no row in ``df``; null is a value like any other.
 
-    The values of a dimension are gathered into a one-row scalar subquery (they are distinct first, so the
-    gathering follows the domain, not the rows), and each distinct entity is laid out over them one dimension
-    after the other. The grid is what is asked for, so this is as large as the answer plus the cells there are:
-    nothing is held per entity, and there is no limit on the domain. An anti join with the distinct cells leaves
-    the gaps.
+    The values of each dimension are numbered, which numbers the cells of the grid; an entity's cells become bits of
+    64-bit words (``bit_or`` in the aggregation). Entities whose bits are all set drop out, and of the others only the
+    words with a gap, and of these only the bits that are not set, become rows, which get their values back from the
+    numbers. So the work follows the rows there are and the gaps, plus one word per 64 cells of an incomplete entity;
+    nothing is gathered per dimension or per entity.
     """
-    grid = df.select(entity).distinct()
-    for d in dims:
-        values = df.select(F.struct(d).alias("_v")).distinct().agg(F.array_sort(F.collect_list("_v")).alias("_values"))
-        grid = grid.withColumn("_v", F.explode(values.scalar())).select(*grid.columns, F.col(f"_v.{d}").alias(d))
-    have = df.select(entity, *dims).distinct()
-    same = F.lit(True)
-    for c in [entity, *dims]:
-        same = same & F.col(f"g.{c}").eqNullSafe(F.col(f"h.{c}"))
-    return grid.alias("g").join(have.alias("h"), same, "left_anti")
+    # Written once, as it is read often; the planner broadcasts it where the file is small.
+    numbered = staged(value_numbers(df, dims))
+    counts = {r["_dim"]: r["n"] for r in numbered.groupBy("_dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = [counts.get(i, 0) for i in range(len(dims))]
+
+    def numbers(i: int) -> DataFrame:
+        return numbered.where(F.col("_dim") == i).select(F.struct(F.col(f"_v.`{dims[i]}`").alias(dims[i])).alias(f"_v{i}"), F.col("_no").alias(f"_n{i}"))
+
+    total = math.prod(sizes)
+    if total >= 1 << 62:
+        raise ValueError(f"a grid of {total} cells an entity can't be numbered")
+    cells, words = F.lit(total).cast("long"), F.lit(-(-total // WORD_BITS)).cast("long")
+
+    have = df.select(F.struct(F.col(f"`{entity}`").alias(entity)).alias("_e"), *[F.struct(F.col(f"`{d}`").alias(d)).alias(f"_v{i}") for i, d in enumerate(dims)]).distinct()
+    cell = F.lit(0).cast("long")
+    for i, d in enumerate(dims):
+        have = have.join(numbers(i), f"_v{i}")
+        cell = cell * F.lit(sizes[i]).cast("long") + F.col(f"_n{i}")
+    bits = (have.withColumn("_cell", cell)
+            .groupBy("_e", _div(F.col("_cell"), WORD_BITS).alias("_word"))
+            .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_cell") % WORD_BITS).cast("int"))).alias("_bits")))
+    open_entities = bits.groupBy("_e").agg(F.sum(F.bit_count("_bits")).alias("_set")).where(F.col("_set") < cells).select("_e")
+    runs, in_run = _lay_out(words)
+    wanted = open_entities.withColumn("_run", F.explode(runs)).withColumn("_word", F.explode(in_run)).drop("_run")
+    full = F.lit(-1).cast("long")
+    rest = (cells - F.col("_word") * WORD_BITS).cast("int")
+    mask = F.when(rest >= WORD_BITS, full).otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), rest) - 1)
+    gaps = wanted.join(bits, ["_e", "_word"], "left").withColumn("_gap", F.coalesce(F.bitwise_not("_bits"), full).bitwiseAND(mask)).where("_gap <> 0")
+    bit = F.explode(F.filter(F.sequence(F.lit(0), F.lit(WORD_BITS - 1)), lambda b: F.getbit("_gap", b) == 1))
+    out = gaps.select("_e", "_word", bit.alias("_bit")).select("_e", (F.col("_word") * WORD_BITS + F.col("_bit")).alias("_cell"))
+    for i in reversed(range(len(dims))):
+        out = out.withColumn(f"_n{i}", F.col("_cell") % sizes[i]).withColumn("_cell", _div(F.col("_cell"), sizes[i]))
+    for i, d in enumerate(dims):
+        out = out.join(numbers(i), f"_n{i}")
+    return out.select(F.col(f"_e.`{entity}`").alias(entity), *[F.col(f"_v{i}.`{d}`").alias(d) for i, d in enumerate(dims)])
 
 
 def chain(df: DataFrame, *steps: tuple[DataFrame, Column | str | list]) -> DataFrame:

@@ -2,44 +2,36 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension broadcast to every task must stay small whatever the input size.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+from vigiframe.session import ensure_checkpoint_dir
+
+# Planned bytes up to which a dimension is hinted for broadcast. For a scan these are its files' bytes, which Parquet
+# keeps compressed, so in memory it may be several times as many.
+BROADCAST_BYTES = 16 << 20
 
 
-def known_row_count(df: DataFrame) -> int | None:
-    """Exact row count when the plan already knows it (in-memory local data), else None.
-    (None as well on sessions without JVM plan access, e.g. Spark Connect.)"""
+def planned_bytes(df: DataFrame) -> int | None:
+    """Bytes that the planner takes the frame to have, an upper bound for plain scans and in-memory data (filters only
+    make it less); None on sessions without JVM plan access, e.g. Spark Connect."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
     except Exception:  # noqa: BLE001
         return None
-    rc = stats.rowCount()
-    if not rc.isDefined():
-        return None
-    v = rc.get()
-    return int(v.toString()) if hasattr(v, "toString") else int(v)
 
 
 def code_table(spark, rows: list[tuple], names: list[str]) -> DataFrame:
     """A small fixed code table as an in-memory relation (SQL ``VALUES``): its exact
-    row count is known to the planner, so broadcasting it needs no counting job."""
+    size is known to the planner, so broadcasting it needs no job."""
     def lit(v):
         return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
     values = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
-    known = known_row_count(df)
-    if known is not None:
-        return known <= max_rows
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 _PLAIN_NODES = ("Project", "Filter", "SubqueryAlias", "View", "LogicalRelation", "LogicalRDD", "LocalRelation", "ResolvedHint")
 
 
@@ -59,15 +51,23 @@ def _is_derived(df: DataFrame) -> bool:
         return True
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked row bound.
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared checkpoint folder and read back: computed once, safe when executors are
+    lost, and of a size that the planner knows from its files."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def sized_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only behind a check of the planned bytes, which runs no job.
 
-    A scanned or local dimension is counted (at most ``max_rows + 1`` rows are
-    read). A derived dimension (aggregate, join, ...) is not computed twice just
-    to be measured: it gets no hint, and AQE turns the join into a broadcast
-    join at run time when the dimension's measured shuffle output is small.
-    Beyond the bound the join stays a shuffle join, never forced into memory.
+    A derived dimension (aggregate, join, ...) gets no hint: its planned size is a guess, and AQE turns the join into a
+    broadcast join at run time when the dimension's measured shuffle output is small. Beyond the bound the join stays a
+    shuffle join, never forced into memory.
     """
     if _is_derived(df):
         return df
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+    size = planned_bytes(df)
+    return F.broadcast(df) if size is not None and size <= max_bytes else df

@@ -65,10 +65,10 @@ def join_group_total(df: DataFrame, keys: list[str], value: str, total: str,
     null-safe key match (a null key meets the null-key group, as in pandas).
 
     With ``hot_rows`` the join is salted so no group's rows meet in one task: keys
-    with more than ``hot_rows`` rows (at most rows/hot_rows of them, a list bounded
-    by construction and broadcast) get ``fan = ceil(n / hot_rows)``; each of their
-    detail rows takes a deterministic salt in [0, fan) from a row hash, their total
-    is replicated once per salt, and the join runs on (keys, salt).
+    with more than ``hot_rows`` rows (at most rows/hot_rows of them) get
+    ``fan = ceil(n / hot_rows)``; each of their detail rows takes a salt in [0, fan)
+    (``stable_salt``), their total is replicated once per salt, and the join runs on
+    (keys, salt).
     """
     totals = df.groupBy(*keys).agg(F.coalesce(F.sum(value), F.lit(0)).cast("long").alias(total),
                                    F.count(F.lit(1)).alias("_n"))
@@ -92,14 +92,37 @@ def join_group_total(df: DataFrame, keys: list[str], value: str, total: str,
     hot_b = hot.alias("h")
     d = (df.alias("d").join(hot_b, on("d", "h"), "left")
          .select("d.*", F.coalesce(F.col("h._fan"), F.lit(1)).alias("_fan")))
-    # The salt hashes the row's place, not its content, so that equal rows of a hot key are spread as well.
-    d = d.withColumn("_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_fan").cast("long")).cast("int")).drop("_fan")
+    d = stable_salt(d, keys, "_fan", "_salt").drop("_fan")
     t = (totals.drop("_n").alias("t").join(hot_b, on("t", "h"), "left")
          .select("t.*", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("h._fan"), F.lit(1)) - 1)).alias("_salt")))
     j = d.alias("d").join(t.alias("t"), on("d", "t", ["_salt"]), "left")
     return j.select(*[F.col(f"d.`{c}`") for c in df.columns], F.col(f"t.{total}"))
 
 
+# Low bits of ``monotonically_increasing_id``: a row's place in its partition.
+_PLACE_BITS = (1 << 33) - 1
+
+
+def stable_salt(df: DataFrame, keys: list[str], fan: str, salt: str) -> DataFrame:
+    """Deal the rows of each key over ``fan`` salts, evenly, equal rows too, and alike whenever a task is run again.
+
+    Rows with a fan above 1 are sorted by key and content inside their partition, and the place decides the salt. A
+    task that is run again gets the same rows, perhaps in another order; sorted, they stand in the same places, but for
+    equal rows, which may change places with each other: which rows go where stays the same.
+    """
+    def orderable(f) -> Column:
+        c = F.col(f"`{f.name}`")
+        return F.to_json(F.struct(c)) if "map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString() else c
+
+    fields = {f.name: f for f in df.schema.fields}
+    order = [orderable(fields[k]) for k in keys] + [orderable(f) for n, f in fields.items() if n not in keys]
+    hot = F.col(fan) > 1
+    # Rows of other keys all compare equal and are not looked at further.
+    placed = df.sortWithinPartitions(F.when(hot, F.struct(*[c.alias(f"c{i}") for i, c in enumerate(order)])))
+    place = F.monotonically_increasing_id().bitwiseAND(_PLACE_BITS)
+    return placed.withColumn(salt, F.when(hot, F.pmod(place, F.col(fan).cast("long"))).otherwise(F.lit(0)).cast("int"))
+
+
 def weight_sum_failures(matrix: DataFrame, keys: list[str] = GROUP_KEYS, weight: str = "peso_raca",
                         tol: float = WEIGHT_TOLERANCE) -> DataFrame:
     """Groups whose weights do not sum to 1 (groups summing to 0 pass).
@@ -149,26 +172,47 @@ def apply_weights(population: DataFrame, census: DataFrame, top_age: int,
     Plan: the census cells are shuffled once by (mun, sex, age), which serves the
     pooling, the window and the join; the population side is shuffled once on the
     same keys; sort-merge join, no broadcast of data that grows with the input.
+    Where both sides are published in buckets of the keys, ``join_weights`` shuffles
+    neither.
     """
-    mun, sex, age = census_keys
+    weights = weight_cells(census, top_age, census_keys, category, sex_type)
+    return join_weights(population_cells(population, top_age, pop_keys, sex_type), weights)
+
 
-    def sex_key(c: str):
-        return F.col(c).cast(sex_type) if sex_type else F.col(c)
+# Join keys of the estimate, alike in type on both sides.
+CELL_KEYS = ["_mun", "_sex", "_age"]
 
+
+def _sex_key(c: str, sex_type: str | None) -> Column:
+    return F.col(c).cast(sex_type) if sex_type else F.col(c)
+
+
+def weight_cells(census: DataFrame, top_age: int, keys: tuple[str, str, str] = ("co_municipio_ibge", "sexo", "idade"),
+                 category: str = CATEGORY, sex_type: str | None = "int") -> DataFrame:
+    """Census cells -> weight of each category per (mun, sex, pooled age), partitioned by these keys."""
+    mun, sex, age = keys
     cells = (census
              .withColumn("_mun", F.col(mun).cast("string"))
-             .withColumn("_sex", sex_key(sex))
+             .withColumn("_sex", _sex_key(sex, sex_type))
              .withColumn("_age", pooled_age(age, top_age))
-             .select("_mun", "_sex", "_age", category, "pop")
-             .repartition("_mun", "_sex", "_age")
-             .groupBy("_mun", "_sex", "_age", category)
+             .select(*CELL_KEYS, category, "pop")
+             .repartition(*CELL_KEYS)
+             .groupBy(*CELL_KEYS, category)
              .agg(F.sum("pop").cast("long").alias("_pop")))
-    weights = share_of_total(cells, ["_mun", "_sex", "_age"], "_pop", "_tot", "peso").drop("_pop", "_tot")
-    pmun, psex, page = pop_keys
-    p = (population
-         .withColumn("_mun", F.col(pmun).cast("string"))
-         .withColumn("_sex", sex_key(psex))
-         .withColumn("_age", pooled_age(page, top_age)))
-    out = p.join(weights, ["_mun", "_sex", "_age"], "left")
-    return (out.withColumn("pop_estimada", F.col("pop").cast("double") * F.col("peso"))
-               .drop("_mun", "_sex", "_age"))
+    return share_of_total(cells, CELL_KEYS, "_pop", "_tot", "peso").drop("_pop", "_tot")
+
+
+def population_cells(population: DataFrame, top_age: int, keys: tuple[str, str, str] = ("co_municipio_ibge", "sexo", "idade"),
+                     sex_type: str | None = "int") -> DataFrame:
+    """Population rows with the estimate's join keys."""
+    mun, sex, age = keys
+    return (population
+            .withColumn("_mun", F.col(mun).cast("string"))
+            .withColumn("_sex", _sex_key(sex, sex_type))
+            .withColumn("_age", pooled_age(age, top_age)))
+
+
+def join_weights(population: DataFrame, weights: DataFrame) -> DataFrame:
+    """``population_cells`` x ``weight_cells``; neither side is shuffled where it is stored in buckets of the keys."""
+    out = population.join(weights, CELL_KEYS, "left")
+    return out.withColumn("pop_estimada", F.col("pop").cast("double") * F.col("peso")).drop(*CELL_KEYS)

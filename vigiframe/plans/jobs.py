@@ -343,19 +343,24 @@ def _source_reference(out: str, census_dir: str) -> str:
 
 
 def estimate(spark: SparkSession, population_dir: str, census_dir: str, out: str, version: str,
-             top_age: int = 80) -> dict:
+             top_age: int = 80, buckets: int | None = None) -> dict:
     """Projected totals x census race weights. Census ages at or above ``top_age``
     are pooled before the weights are formed; population cells without a weight are
-    kept (null estimate) and counted in the manifest, never dropped."""
+    kept (null estimate) and counted in the manifest, never dropped.
+
+    With ``buckets`` both sides are published beside the estimate as tables in that many
+    buckets of (municipality, sex, pooled age), and joined without a shuffle; they serve
+    later joins as well."""
     apply_job_conf(spark)
     pop, _ = open_published(spark, population_dir)
     cens, _ = open_published(spark, census_dir)
-    est = P.estimate(pop, cens, top_age)
+    root = _ref(out, "populacao_estimada_raca")
+    est = P.estimate_bucketed(pop, cens, top_age, root, buckets) if buckets else P.estimate(pop, cens, top_age)
 
     def unmatched(rows: DataFrame) -> dict:
         return {"unmatched_cells": rows.where(F.col("peso").isNull()).count()}
 
-    return publish_reference(est, _ref(out, "populacao_estimada_raca"), "populacao_estimada_raca", version, "co_uf",
+    return publish_reference(est, root, "populacao_estimada_raca", version, "co_uf",
                              ["co_municipio_ibge", "ano", "sexo", "idade"],
                              extra={**META["populacao_estimada_raca"], "top_age": top_age}, registry_path=_registry(out), schema=est.schema,
                              inspect=unmatched)
@@ -451,6 +456,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--ufs")
     ap.add_argument("--census", help="published census folder (estimate job)")
     ap.add_argument("--top-age", type=int, default=80)
+    ap.add_argument("--buckets", type=int, default=None, help="estimate: publish both sides in so many buckets and join without a shuffle")
     ap.add_argument("--recent-years", type=int, default=3, help="population: newest years to publish")
     ap.add_argument("--start-year", type=int, default=None, help="population: first year; calendar: first year (1900)")
     ap.add_argument("--end-year", type=int, default=2100, help="calendar: last year")
@@ -471,7 +477,7 @@ def main(argv: list[str] | None = None) -> None:
     elif job == "weights":
         print(weights(spark, a.source, a.out, None if a.version == "current" else a.version, a.ufs, a.force))
     elif job == "estimate":
-        print(estimate(spark, a.source, a.census, a.out, a.version, a.top_age))
+        print(estimate(spark, a.source, a.census, a.out, a.version, a.top_age, a.buckets))
     elif job == "neighbourhoods":
         print(neighbourhoods(spark, a.source, a.out, a.version))
     elif job == "icd10":

@@ -11,7 +11,8 @@ from vigiframe.functions.scalars import (age_label, clean_text, code_prefix, dec
                                          nested_default, required, symbol_count, try_int, zfill)
 from vigiframe.operators.columns import normalize_names, repair_headers, type_by_prefix
 from vigiframe.operators.lookups import strict_lookup
-from vigiframe.operators.weights import apply_weights, race_weights
+from vigiframe.operators.weights import CELL_KEYS, apply_weights, join_weights, population_cells, race_weights, weight_cells
+from vigiframe.sinks.publish import publish_bucketed
 
 # Codes of the census race and sex classifications
 # (source id -> published code, name).
@@ -155,3 +156,11 @@ def calendar(days: DataFrame, col: str = "data") -> DataFrame:
 def estimate(population_df: DataFrame, census_df: DataFrame, top_age: int) -> DataFrame:
     """Projected totals x census race weights."""
     return apply_weights(population_df, census_df, top_age)
+
+
+def estimate_bucketed(population_df: DataFrame, census_df: DataFrame, top_age: int, root: str, buckets: int) -> DataFrame:
+    """R10 on published tables: population and weights stored in buckets of the join keys below ``root``, then joined
+    where they lie."""
+    population = publish_bucketed(population_cells(population_df, top_age), f"{root}/population_cells", CELL_KEYS, buckets)
+    weights = publish_bucketed(weight_cells(census_df, top_age), f"{root}/weight_cells", CELL_KEYS, buckets)
+    return join_weights(population, weights)

@@ -8,6 +8,8 @@ scan -> repair -> type -> lookup -> publish-shape plan is exercised at scale.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from vigiframe.functions import scalars as S
@@ -18,6 +20,7 @@ from vigiframe.plans import pipelines as P
 from vigiframe.plans.q_core import zf
 from vigiframe.plans.q_scalars import DEC_SQL, dec_text
 from vigiframe.plans.registry import query
+from vigiframe.session import ensure_checkpoint_dir
 from vigiframe.sources import files as SRC
 from vigiframe.tables import Tables
 
@@ -153,7 +156,7 @@ def pipe_census(spark, sf_dir):
 TOP_AGE = 5
 
 
-@query("pipe_estimate", f"""
+ESTIMATE_SQL = f"""
 WITH {POP_SQL}, {CENSUS_SQL},
 wc AS (SELECT co_municipio_ibge AS mun, CAST(sexo AS INTEGER) AS sx, least(CAST(idade AS INTEGER), {TOP_AGE}) AS ag,
               co_raca_cor, CAST(sum(pop) AS BIGINT) AS p FROM cens GROUP BY 1, 2, 3, 4),
@@ -163,7 +166,10 @@ w AS (SELECT mun, sx, ag, co_raca_cor,
 SELECT popu.co_municipio_ibge, popu.ano, popu.sexo, popu.idade, popu.pop, w.co_raca_cor, w.peso,
        CAST(popu.pop AS DOUBLE) * w.peso AS pop_estimada
 FROM popu LEFT JOIN w ON popu.co_municipio_ibge = w.mun AND CAST(popu.sexo AS INTEGER) = w.sx
-                      AND least(CAST(popu.idade AS INTEGER), {TOP_AGE}) = w.ag""")
+                      AND least(CAST(popu.idade AS INTEGER), {TOP_AGE}) = w.ag"""
+
+
+@query("pipe_estimate", ESTIMATE_SQL)
 def pipe_estimate(spark, sf_dir):
     t = Tables(spark, sf_dir)
     pop = population_published(t)
@@ -172,6 +178,15 @@ def pipe_estimate(spark, sf_dir):
     return out.select("co_municipio_ibge", "ano", "sexo", "idade", "pop", "co_raca_cor", "peso", "pop_estimada")
 
 
+@query("pipe_estimate_bucketed", ESTIMATE_SQL)
+def pipe_estimate_bucketed(spark, sf_dir):
+    """R10 on published tables in buckets of the join keys: the join shuffles neither side."""
+    t = Tables(spark, sf_dir)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/estimate-{uuid.uuid4().hex}"
+    out = P.estimate_bucketed(population_published(t), census_published(spark, t), TOP_AGE, root, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return out.select("co_municipio_ibge", "ano", "sexo", "idade", "pop", "co_raca_cor", "peso", "pop_estimada")
+
+
 # ---------------------------------------------------------------- R5 neighbourhoods
 
 NB_TEXT = ["cd_bairro", "nm_bairro", "cd_uf"]

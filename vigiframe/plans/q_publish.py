@@ -134,7 +134,7 @@ def man_registry(spark, sf_dir):
     return SRC.read_manifests(spark, sorted(known.values())).select("reference_id", "rows")
 
 
-@query("man_file_hashes", """
+@query("man_file_hashes", r"""
 SELECT regexp_extract(filename, '([^/]+)\.parquet$', 1) AS tabela, size AS length, sha256(content) AS sha256
 FROM read_blob('/root/testdata/sf0.01/*.parquet')""")
 def man_file_hashes(spark, sf_dir):

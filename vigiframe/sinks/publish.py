@@ -91,11 +91,14 @@ class Run:
     rows: int
     fingerprint: str
     listing: str
+    buckets: int = 0
+    bucket_keys: tuple[str, ...] = ()
 
     def entry(self) -> dict:
         """How documents describe the run."""
+        bucketed = {"buckets": self.buckets, "bucket_keys": list(self.bucket_keys)} if self.buckets else {}
         return {"path": self.path, "key": self.key, "schema": self.schema.json(), "rows": self.rows, "fingerprint": self.fingerprint,
-                "listing": self.listing}
+                "listing": self.listing, **bucketed}
 
 
 def partition_layout(df: DataFrame, key: str, sort_keys: list[str], blank: str = NO_STATE_BUCKET) -> DataFrame:
@@ -133,12 +136,38 @@ def _written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def read_run(spark: SparkSession, entry: dict) -> DataFrame:
     """The rows of a run as a document describes it; parts that a later run has replaced are pruned."""
+    if entry.get("buckets"):
+        return spark.table(_bucket_table(spark, entry))
     rows = _written(spark, entry["path"], T.StructType.fromJson(json.loads(entry["schema"])))
     return rows.where(~F.col(f"`{entry['key']}`").isin(entry["without"])) if entry.get("without") else rows
 
 
+def _bucket_name(path: str) -> str:
+    return f"vigiframe_{posixpath.basename(path).replace('-', '_').lower()}"
+
+
+def _bucket_table(spark: SparkSession, entry: dict) -> str:
+    """The session's name for a bucketed run. Only tables carry buckets, so a session that doesn't know the run yet
+    enters it, as an external table over the run's files."""
+    name = _bucket_name(entry["path"])
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromJson(json.loads(entry["schema"])).fields)
+        keys = ", ".join(f"`{k}`" for k in entry["bucket_keys"])
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+                  f"INTO {int(entry['buckets'])} BUCKETS LOCATION '{entry['path']}'")
+    return name
+
+
+def publish_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Publish ``df`` as the new table at ``path``, in ``buckets`` files by hash of ``keys``, sorted by them, and return
+    it as read back. Tables with the same keys (and types) and number of buckets join and group by the keys without a
+    shuffle."""
+    run = write_run(df, path, buckets=buckets, bucket_keys=keys)
+    return read_run(df.sparkSession, commit_run(df.sparkSession, path, run))
+
+
 def write_run(df: DataFrame, target: str, key: str | None = None, sort_keys: list[str] | None = None, blank: str = NO_STATE_BUCKET,
-              max_records_per_file: int = 5_000_000, allow_empty: bool = True) -> Run:
+              max_records_per_file: int = 5_000_000, allow_empty: bool = True, buckets: int = 0, bucket_keys: list[str] | None = None) -> Run:
     """Write rows to a new folder below ``target`` and prove that what can be read there is what was written.
 
     Count and content fingerprint are observed in the writing stage itself (after the last shuffle, so that a task that
@@ -150,6 +179,8 @@ def write_run(df: DataFrame, target: str, key: str | None = None, sort_keys: lis
     run_id = new_run_id()
     path = qualified(spark, posixpath.join(target, "_runs", run_id))
     laid = partition_layout(df, key, sort_keys or [], blank) if key else df
+    if buckets:                                     # one task a bucket, so one file a bucket
+        laid = df.repartition(buckets, *bucket_keys)
     columns = [c for c in laid.columns if c not in (MISFIT, RAW)]
     fits = F.size(MISFIT) == 0 if MISFIT in laid.columns else F.lit(True)
     hashed = row_fingerprint(*columns)
@@ -157,8 +188,11 @@ def write_run(df: DataFrame, target: str, key: str | None = None, sort_keys: lis
     observed = laid.observe(seen, F.count_if(fits).alias("rows"), F.count_if(~fits).alias("misfits"),
                             *[F.sum(F.when(fits, limb)).alias(name) for name, limb in _limbs(hashed)])
     kept = observed.where(fits).select(*[F.col(f"`{c}`") for c in columns])
-    writer = kept.write.option("maxRecordsPerFile", max_records_per_file)
-    (writer.partitionBy(key) if key else writer).parquet(path)
+    if buckets:
+        kept.write.bucketBy(buckets, *bucket_keys).sortBy(*bucket_keys).format("parquet").option("path", path).saveAsTable(_bucket_name(path))
+    else:
+        writer = kept.write.option("maxRecordsPerFile", max_records_per_file)
+        (writer.partitionBy(key) if key else writer).parquet(path)
     counts = seen.get
     if counts["misfits"]:
         aside = qualified(spark, posixpath.join(target, "_quarantine", run_id))
@@ -174,7 +208,7 @@ def write_run(df: DataFrame, target: str, key: str | None = None, sort_keys: lis
                                              F.count_if(F.col("sha256").isNull()).alias("unhashed")).first()
     if found["rows"] != counts["rows"] or int(found["fp"]) != total or found["unhashed"]:
         raise ValidationError(f"{path} does not hold what was written: {found['rows']} of {counts['rows']} rows read back")
-    return Run(path, key, schema, counts["rows"], str(total), listing)
+    return Run(path, key, schema, counts["rows"], str(total), listing, buckets, tuple(bucket_keys or ()))
 
 
 def _list_run(spark: SparkSession, path: str, run_id: str, key: str | None, schema: T.StructType, listing: str) -> str:
