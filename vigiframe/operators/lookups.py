@@ -117,7 +117,9 @@ def missing_cells(df: DataFrame, entity: str, dims: list[str]) -> DataFrame:
         raise ValueError(f"a grid of {total} cells an entity can't be numbered")
     cells, words = F.lit(total).cast("long"), F.lit(-(-total // WORD_BITS)).cast("long")
 
-    have = df.select(F.struct(F.col(f"`{entity}`").alias(entity)).alias("_e"), *[F.struct(F.col(f"`{d}`").alias(d)).alias(f"_v{i}") for i, d in enumerate(dims)]).distinct()
+    # Not made distinct: setting a bit twice is setting it once, and the aggregation combines before its shuffle.
+    have = df.select(F.struct(F.col(f"`{entity}`").alias(entity)).alias("_e"),
+                     *[F.struct(F.col(f"`{d}`").alias(d)).alias(f"_v{i}") for i, d in enumerate(dims)])
     cell = F.lit(0).cast("long")
     for i, d in enumerate(dims):
         have = have.join(numbers(i), f"_v{i}")
