@@ -28,6 +28,11 @@ HINTS = frozenset("""ad ads advert adverts advertisement advertising banner brea
 cookies consent disqus footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice pager pagination popup promo related
 respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget""".split())
 CONTAINERS = frozenset(("article", "main"))
+# Words that may stand beside a hint word in a compound ("cookie-notice", "ad-top", "site-footer") without changing it. In
+# a compound with any other word ("social-policy", "search-results") the hint may be part of the page's subject: it
+# only halves the links a block may have.
+NEUTRAL = frozenset("""area bar block body bottom box button buttons col column container floating foot global group head home icon icons inner item items
+left list main middle mobile outer page panel post primary right row secondary section site small sticky sub the tool tools top wrap wrapper""".split())
 # A hint word after one of these says how the page is laid out, not what the element holds; so does a hint beside a
 # class or id made of wrapper words only.
 STATES = frozenset("has no with without".split())
@@ -41,10 +46,75 @@ LONG, SHORT = 200, 70           # characters
 STOP_HIGH, STOP_LOW = 0.30, 0.15
 LINKS, LINKS_INSIDE = 0.33, 0.66  # share of linked characters that makes a block bad, outside and inside a container
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<(script|style)\b[^>]*>.*?(?:</\1\s*>|$)|"""
-                    r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>|<[/!?a-zA-Z][^>]*>""", re.S | re.I)
-_MARKS = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+# Scripts written without spaces between words: Thai to Burmese, Khmer, kana, Chinese characters.
+_UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+UNSPACED_SHARE, UNSPACED_LENGTH = 0.5, 3    # share of such characters that makes a text unspaced; how many others one of them stands for
+
+_NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
+_ENDS = {x: re.compile(rf"</{x}(?=[\s>/])", re.I) for x in ("script", "style")}
+_IN_TAG = re.compile(r"""[>"']""")
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:[ \t\n\r\f]*+=[ \t\n\r\f]*+("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
+
+
+def tokens(page: str):
+    """Comments, scripts, styles and tags of a page: (start, end, name, whether it is an end tag, attributes); the name
+    is empty where there is nothing to look at.
+
+    Every search that found nothing is not made again further on, and a tag that, its quotes heeded, never ends puts an
+    end to the heeding of quotes, so the time is linear in the page's length whatever it holds.
+    """
+    absent: dict[str, bool] = {}
+    quotes, at, size = True, 0, len(page)
+
+    def find(mark: str, start: int) -> int:
+        if absent.get(mark):
+            return -1
+        found = page.find(mark, start)
+        absent[mark] = found < 0
+        return found
+
+    while (i := page.find("<", at)) >= 0:
+        if page.startswith("<!--", i):
+            end = find("-->", i + 4)
+            at = size if end < 0 else end + 3
+            yield i, at, "", False, ""
+            continue
+        if page.startswith("<![CDATA[", i) and (end := find("]]>", i)) >= 0:
+            at = end + 3
+            yield i, at, "", False, ""
+            continue
+        ends = page.startswith("/", i + 1)
+        m = _NAME.match(page, i + 1 + ends)
+        if m is None:
+            end = find(">", i) if page[i + 1:i + 2] in ("/", "!", "?") and i + 1 < size else -1
+            at = i + 1 if end < 0 else end + 1
+            if end >= 0:
+                yield i, at, "", False, ""
+            continue
+        end, close = -1, m.end()
+        while quotes and not absent.get(">") and (mark := _IN_TAG.search(page, close)):
+            if mark[0] == ">":
+                end = mark.start()
+                break
+            close = page.find(mark[0], mark.end()) + 1
+            if not close:
+                break
+        if end < 0:
+            quotes = False                          # looked at to the end of the page in vain
+            end = find(">", m.end())
+        if end < 0:                                 # no tag ends any more: the rest is text
+            at = i + 1
+            continue
+        name, at = m[0].lower(), end + 1
+        if name in _ENDS and not ends:
+            over = None if absent.get(name) else _ENDS[name].search(page, at)
+            absent[name] = over is None
+            shut = find(">", over.end()) if over else -1
+            at = size if shut < 0 else shut + 1
+            yield i, at, "", False, ""
+            continue
+        yield i, at, name, ends, page[m.end():end]
 
 
 @dataclass
@@ -61,15 +131,18 @@ def _hinted(attributes: str, inside: bool) -> str:
     """hard: the element isn't main text; soft: only a hint of layout; else empty. Header hints don't count inside a container."""
     if not attributes:
         return ""
-    if _HIDDEN.search(attributes):
+    values = [(name.lower(), value.strip("\"'").lower()) for name, value in _ATTRIBUTE.findall(attributes)]
+    if any(n == "hidden" or n == "aria-hidden" and v == "true" or n == "style" and _NONE.search(v) for n, v in values):
         return "hard"
-    names = [re.split(r"[^a-z0-9]+", x) for _, value in _MARKS.findall(attributes) for x in value.lower().strip("\"'").split()]
+    names = [re.split(r"[^a-z0-9]+", x) for n, value in values if n in ("class", "id", "role") for x in value.split()]
     hard = soft = wrapper = False
     for words in names:
         wrapper = wrapper or all(w in WRAPPERS for w in words)
+        alone = all(w in HINTS or w in NEUTRAL or w in STATES or w.isdigit() or not w for w in words)
         for before, w in zip(["", *words], words):
             if w in HINTS and not (inside and w == "header"):
-                hard, soft = hard or before not in STATES, soft or before in STATES
+                state = before in STATES or not alone
+                hard, soft = hard or not state, soft or state
     return "hard" if hard and not wrapper else "soft" if hard or soft else ""
 
 
@@ -90,16 +163,14 @@ def blocks_of(page: str) -> list[Block]:
         parts, linked = [], 0
 
     at = 0
-    for m in _TOKEN.finditer(page):
-        if at < m.start() and not skip:
-            piece = page[at:m.start()]
+    for start, end, name, ends, attributes in tokens(page):
+        if at < start and not skip:
+            piece = page[at:start]
             parts.append(piece)
             linked += len(html.unescape(piece).strip()) if links else 0
-        at = m.end()
-        name = (m[3] or "").lower()
+        at = end
         if not name:
             continue
-        ends, attributes = bool(m[2]), m[4] or ""
         empty = name in VOID or attributes.endswith("/")
         if skip in UNCLOSED:
             siblings, shields = UNCLOSED[skip]
@@ -156,8 +227,13 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def first_pass(block: Block) -> str:
-    """good, bad, near (nearly good) or short."""
+    """good, bad, near (nearly good) or short; plain: bad for its words alone, which may be of a language without a list.
+
+    A text in a script without spaces has no words to count: its length and links decide."""
     n, density = len(block.text), block.linked / len(block.text)
+    unspaced = len(_UNSPACED.findall(block.text))
+    whole = unspaced >= UNSPACED_SHARE * n
+    n += unspaced * (UNSPACED_LENGTH - 1)
     if density > (LINKS_INSIDE if block.inside else LINKS) / (2 if block.doubted else 1):
         return "bad"
     if block.inside:
@@ -166,9 +242,11 @@ def first_pass(block: Block) -> str:
     stops = stop_words(words) / len(words)
     if n < SHORT:
         return "bad" if block.linked else "short"
+    if whole:
+        return "good" if n > LONG else "near"
     if stops >= STOP_HIGH:
         return "good" if n > LONG else "near"
-    return "near" if stops >= STOP_LOW else "bad"
+    return "near" if stops >= STOP_LOW else "plain" if n > LONG else "bad"
 
 
 def second_pass(blocks: list[Block]) -> None:
@@ -206,14 +284,17 @@ def second_pass(blocks: list[Block]) -> None:
 def main_text(page: str | None) -> tuple[str, int]:
     """The main text of a page, its good blocks joined by one space, and their number.
 
-    If no block is good, nearly good blocks stand in; a null or empty page has an empty text.
+    If no block is good, nearly good blocks stand in, and if there are none of these, long blocks without a stop word; a
+    null or empty page has an empty text.
     """
     blocks = blocks_of(page or "")
     for b in blocks:
         b.label = first_pass(b)
-    near = [b for b in blocks if b.label == "near"]
+    near, plain = ([b for b in blocks if b.label == x] for x in ("near", "plain"))
+    for b in plain:
+        b.label = "bad"
     second_pass(blocks)
-    good = [b for b in blocks if b.label == "good"] or near
+    good = [b for b in blocks if b.label == "good"] or near or plain
     return " ".join(b.text for b in good), len(good)
 
 
