@@ -106,3 +106,16 @@ def test_odd_rows(spark, odd_docs, no_docs):
     kept = weak.keep_good(odd_docs)
     assert kept.columns == odd_docs.columns and kept.where("text is null or length(text) < 50").count() == odd_docs.where("text is null or length(text) < 50").count()
     assert weak.keep_good(no_docs).count() == 0 and weak.classify(no_docs).count() == 0
+
+
+def test_copies_do_not_fill_the_classifiers_sample(spark, monkeypatch):
+    """A third of the rows are one text, under many ids: it is drawn once, and every other text has its chance."""
+    seen = []
+    real = weak.fit_scorer
+    monkeypatch.setattr(weak, "SAMPLE_ROWS", 60)
+    monkeypatch.setattr(weak, "fit_scorer", lambda x, y, prior: seen.append(x) or real(x, y, prior))
+    good = "The {} of the day and it was for all of them to read in the house with number {} of the others, as they said. "
+    rows = [(i, good.format("hot", 1) * 3) for i in range(200)] + [(1000 + i, good.format(f"cold{i}", i) * 3) for i in range(400)]
+    rows += [(5000 + i, f"buy {i} now !!! $$$ ### " * 30) for i in range(20)]
+    weak.fit(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert 30 <= len(seen[0]) <= 60 and len(np.unique(seen[0], axis=0)) == len(seen[0])

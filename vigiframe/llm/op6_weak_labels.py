@@ -133,23 +133,25 @@ def fit_scorer(x: np.ndarray, y: np.ndarray, prior: float, rounds: int = 200, ra
 
 
 def vote_patterns(docs: DataFrame) -> DataFrame:
-    """``(doc_id, pick, pattern)`` per row: the vote pattern, and the number that draws the sample."""
+    """``(doc_id, pick, pattern)`` per row: the vote pattern, and the number that draws the sample (equal texts share it)."""
     def run(batches):
         for batch in batches:
             numbers = [pattern_number(votes(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("pick"), pa.array(numbers, pa.int32())], names=["doc_id", "pick", "pattern"])
 
-    picked = docs.select("doc_id", "text", id_hash(6, F.col("doc_id"), F.col("text")).alias("pick"))
+    picked = docs.select("doc_id", "text", id_hash(6, F.col("text")).alias("pick"))
     return map_batches(picked, run, "doc_id bigint, pick double, pattern int")
 
 
 def fit(docs: DataFrame) -> dict:
-    """The label model over all rows of ``docs`` and the scorer fitted to a bounded sample of them.
+    """The label model over all rows of ``docs`` and the scorer fitted to a bounded sample of their different texts.
 
-    At most 3 ** labellers patterns and ``SAMPLE_ROWS`` vectors reach the driver.
+    At most 3 ** labellers patterns and ``SAMPLE_ROWS`` vectors reach the driver. Half the sample is to be of either
+    label; a text that many rows repeat is drawn once.
     """
     patterns = staged(vote_patterns(docs))
-    found = patterns.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()
+    found = patterns.groupBy("pattern").agg(F.count("*").alias("n"), F.approx_count_distinct("pick").alias("texts")).orderBy("pattern").collect()
+    different = {r.pattern: r.texts for r in found}
     numbers, counts = np.array([r.pattern for r in found], np.int64), np.array([r.n for r in found], np.int64)
     prior, table = fit_accuracies(numbers, counts)
     p = posteriors(numbers, prior, table) if len(numbers) else np.zeros(0)
@@ -158,7 +160,7 @@ def fit(docs: DataFrame) -> dict:
     good = set(numbers[p >= 0.5].tolist())
     shares = {}
     for label, own in (("good", good), ("bad", set(numbers.tolist()) - good)):
-        total = sum(n for k, n in zip(numbers.tolist(), counts.tolist(), strict=True) if k in own)
+        total = sum(n for k, n in different.items() if k in own)
         shares[label] = min(1.0, half / total) if total else 0.0
 
     labels = dict(zip(numbers.tolist(), p.tolist(), strict=True))
@@ -169,16 +171,18 @@ def fit(docs: DataFrame) -> dict:
             for pick, t in zip(picks, batch.column("text").to_pylist(), strict=True):
                 if pick < max(shares.values()):
                     y = labels[pattern_number(votes(t))]
-                    if pick < shares["good" if y >= 0.5 else "bad"]:
+                    share = shares["good" if y >= 0.5 else "bad"]
+                    if pick < share:
                         x = document_vector(t)
                         at = np.flatnonzero(x)
-                        rows.append((pick, y, at.astype(np.int32), x[at]))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.float64()), pa.array([r[1] for r in rows], pa.float64()),
-                                              pa.array([r[2] for r in rows], pa.list_(pa.int32())), pa.array([r[3] for r in rows], pa.list_(pa.float32()))],
-                                             names=["pick", "y", "at", "x"])
-
-    picked = docs.select("text", id_hash(6, F.col("doc_id"), F.col("text")).alias("pick")).where(F.col("pick") < F.lit(max(shares.values())))
-    rows = map_batches(picked, vectors, "pick double, y double, at array<int>, x array<float>").orderBy("pick", "y").limit(2 * SAMPLE_ROWS).collect()
+                        rows.append((pick, pick / share, y, at.astype(np.int32), x[at]))
+            kinds = [pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.float32())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["pick", "place", "y", "at", "x"])
+
+    picked = docs.select("text", id_hash(6, F.col("text")).alias("pick")).where(F.col("pick") < F.lit(max(shares.values())))
+    drawn = map_batches(picked, vectors, "pick double, place double, y double, at array<int>, x array<float>").dropDuplicates(["pick"])
+    # By the place in the label's share, so that a slight surplus is cut from both labels alike.
+    rows = drawn.orderBy("place", "pick").limit(SAMPLE_ROWS).collect()
     x, y = np.zeros((len(rows), 1 << BITS), np.float32), np.array([r.y for r in rows])
     for i, r in enumerate(rows):
         x[i, r.at] = r.x
