@@ -136,3 +136,14 @@ def test_sampling_odd_rows(odd_docs, no_docs):
     assert got.columns == odd_docs.columns and not [r for r in got.collect() if not (r.text or "").split()]
     assert rak.sample(no_docs).count() == 0 and rak.calibrate(no_docs).count() == 0
     assert rak.calibrate(odd_docs).count() == odd_docs.count()
+
+
+def test_impossible_targets_end_with_their_error(spark):
+    """English stands in one topic only and all else in another: the shares asked for can't be met together."""
+    rows = [(i, "plain words of it " * 5, "en", "a") for i in range(50)] + [(100 + i, "licensed under it " * 5, "de", "b") for i in range(50)]
+    df = rak.calibrate(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string"))
+    errors = {r.raking_error for r in df.collect()}
+    assert len(errors) == 1 and errors.pop() > 0.01
+    possible = [(i, "plain words of it " * 5, lang, "a") for i, lang in enumerate(["en", "de", "fr", "es"] * 20)]
+    df = rak.calibrate(spark.createDataFrame(possible, "doc_id bigint, text string, lang string, source string"))
+    assert {r.raking_error < rak.TOLERANCE for r in df.collect()} == {True}

@@ -26,8 +26,9 @@ TOPICS = {"licence": ("licensed under|released under|all rights reserved|copyrig
           "data": ("[0-9]{3}| [|] ", 0.10), OTHER: ("", 0.70)}
 SOURCE_POWER = 0.5          # a source's target share is its share of the tokens to this power, scaled to sum to one
 BUDGET = 0.5                # share of all tokens that the sample should have
-MAX_ROUNDS = 50
 TOLERANCE = 1e-6
+# Raking that has not come nearer by this factor in so many rounds is at its end: empty cells keep it from its targets.
+STALLED, STALL_ROUNDS = 0.99, 10
 SEED = 2
 
 
@@ -66,14 +67,15 @@ def _dot(n: Column, factors: np.ndarray) -> Column:
 def rake(sources: DataFrame) -> dict:
     """Raking factors: ``lang`` and ``topic`` arrays; a source's factor is ``share / (n . (lang x topic))``.
 
-    Targets of languages or topics without tokens drop out and the rest is scaled up. The rounds stop when every
-    marginal is met to ``TOLERANCE`` or after ``MAX_ROUNDS`` (targets that the empty cells make impossible).
+    Targets of languages or topics without tokens drop out and the rest is scaled up. The rounds go on until every
+    marginal is met to ``TOLERANCE``, or until they no longer come nearer (targets that the empty cells make
+    impossible); ``error`` is the largest miss that is left, ``met`` whether it is within the tolerance.
     """
     shape = (len(LANGUAGES), len(TOPICS))
     size = shape[0] * shape[1]
     total = sources.agg(F.sum(F.pow("mass", F.lit(SOURCE_POWER))).alias("power"), *[F.sum(F.element_at("n", k + 1)).alias(f"t{k}") for k in range(size)]).first()
     tokens = np.array([total[f"t{k}"] or 0.0 for k in range(size)]).reshape(shape)
-    out = {"power": total["power"] or 1.0, "lang": np.ones(shape[0]), "topic": np.ones(shape[1]), "rounds": 0, "error": 0.0, "tokens": float(tokens.sum())}
+    out = {"power": total["power"] or 1.0, "lang": np.ones(shape[0]), "topic": np.ones(shape[1]), "rounds": 0, "error": 0.0, "met": True, "tokens": float(tokens.sum())}
     if not tokens.sum():
         return out
     targets = []
@@ -81,14 +83,17 @@ def rake(sources: DataFrame) -> dict:
         t = np.where(tokens.sum(axis=axis) > 0, shares, 0.0)
         targets.append(t / t.sum() if t.sum() else np.where(tokens.sum(axis=axis) > 0, 1.0, 0.0) / (tokens.sum(axis=axis) > 0).sum())
     lang, topic = out["lang"], out["topic"]
-    for out["rounds"] in range(1, MAX_ROUNDS + 1):
+    errors: list[float] = []
+    while True:
         share = F.pow("mass", F.lit(SOURCE_POWER)) / F.lit(out["power"])
         factor = share / _dot(F.col("n"), np.outer(lang, topic).ravel())
         got = sources.select("n", factor.alias("a")).agg(*[F.sum(F.element_at("n", k + 1) * F.col("a")).alias(f"g{k}") for k in range(size)]).first()
         g = np.array([got[f"g{k}"] or 0.0 for k in range(size)]).reshape(shape)
         m = g * np.outer(lang, topic)
         out["error"] = float(max(np.abs(m.sum(axis=1) - targets[0]).max(), np.abs(m.sum(axis=0) - targets[1]).max()))
-        if out["error"] < TOLERANCE:
+        errors.append(out["error"])
+        out["rounds"], out["met"] = len(errors), out["error"] < TOLERANCE
+        if out["met"] or len(errors) > STALL_ROUNDS and not errors[-1] < STALLED * errors[-1 - STALL_ROUNDS]:
             break
         # With the source factors held, language and topic are raked in turn on the summed table.
         for _ in range(100):
@@ -104,14 +109,14 @@ def scale_to_budget(sources: DataFrame, fit: dict, budget: float = BUDGET) -> fl
     """The lambda with which min(1, lambda * weight) keeps ``budget`` of the tokens in expectation.
 
     Starts at the lambda of weights that are never cut off at 1; each round takes the cells that are cut off as
-    kept whole and solves for the others, which ends after a few rounds because cells only ever join the first.
+    kept whole and solves for the others, which ends because cells only ever join the first.
     """
     goal = budget * fit["tokens"]
     factors = np.outer(fit["lang"], fit["topic"]).ravel()
     share = F.pow("mass", F.lit(SOURCE_POWER)) / F.lit(fit["power"])
     base = sources.select("n", (share / _dot(F.col("n"), factors)).alias("a"))
     scale = goal
-    for _ in range(MAX_ROUNDS if fit["tokens"] else 0):
+    while fit["tokens"]:
         weights = [(F.element_at("n", k + 1), F.col("a") * F.lit(float(w))) for k, w in enumerate(factors)]
         cut = sum((F.when(w * F.lit(scale) >= 1, n).otherwise(0.0) for n, w in weights), F.lit(0.0))
         free = sum((F.when(w * F.lit(scale) >= 1, 0.0).otherwise(n * w) for n, w in weights), F.lit(0.0))
@@ -126,8 +131,8 @@ def scale_to_budget(sources: DataFrame, fit: dict, budget: float = BUDGET) -> fl
 
 
 def calibrate(docs: DataFrame, budget: float = BUDGET) -> DataFrame:
-    """``docs(doc_id, text, lang, source)`` without the text, plus ``topic``, ``tokens``, ``weight``, ``probability``
-    and ``kept``, per row.
+    """``docs(doc_id, text, lang, source)`` without the text, plus ``topic``, ``tokens``, ``weight``, ``probability``,
+    ``kept`` and ``raking_error`` (the largest miss of a target share that raking left), per row.
 
     A null source is a source of its own (shown as an empty text), a language or topic without a target pools under
     ``other``. Documents without a token (null and empty texts) have weight and probability 0 and are not drawn.
@@ -135,11 +140,11 @@ def calibrate(docs: DataFrame, budget: float = BUDGET) -> DataFrame:
     """
     return calibrated(docs.select("doc_id", "text", "lang", "source"), budget).select(
         "doc_id", F.col("cell_source").alias("source"), F.col("cell_lang").alias("lang"), F.col("cell_topic").alias("topic"), "tokens",
-        "weight", "probability", "kept")
+        "weight", "probability", "kept", "raking_error")
 
 
 def calibrated(docs: DataFrame, budget: float = BUDGET, names: dict[str, str] | None = None) -> DataFrame:
-    """``docs`` plus its cell columns, ``weight``, ``probability`` and ``kept``."""
+    """``docs`` plus its cell columns, ``weight``, ``probability``, ``kept`` and ``raking_error``."""
     names = names or {c: c for c in docs.columns}
     cells = with_cells(docs, names["source"], names["lang"], names["text"])
     arrays = source_arrays(cells)
@@ -157,7 +162,7 @@ def calibrated(docs: DataFrame, budget: float = BUDGET, names: dict[str, str] |
     out = cells.withColumn("draw", draw).join(factor, "cell_source", "left")
     weight = F.when(F.col("tokens") > 0, F.coalesce(F.col("factor") * pair, F.lit(0.0))).otherwise(F.lit(0.0))
     out = out.withColumn("weight", weight).withColumn("probability", F.least(F.lit(1.0), F.col("weight") * F.lit(scale)))
-    return out.withColumn("kept", F.col("draw") < F.col("probability"))
+    return out.withColumn("kept", F.col("draw") < F.col("probability")).withColumn("raking_error", F.lit(fit["error"]))
 
 
 def sample(docs: DataFrame, budget: float = BUDGET) -> DataFrame:
