@@ -273,3 +273,28 @@ def test_icd10_checks(spark, tmp_path):
         jobs.icd10(spark, {"categorias": str(tmp_path / "cat.csv")}, out, columns={"categorias": ["cat"]})
     with pytest.raises(jobs.ValidationError, match="no rows"):
         jobs.icd10(spark, {"categorias": str(tmp_path / "none.csv")}, out)
+
+
+def test_estimate_on_bucketed_tables_equals_the_plain_one(spark, tmp_path):
+    from vigiframe.sinks.publish import read_table, table_document
+    census = cells(spark, {"11": [3, 1], "33": [1, 1]})
+    pop = spark.createDataFrame([(f"{uf}00001", f"{uf}0000", uf, 2024, 1, a, 100) for uf in ("11", "33", "35") for a in ("005", "090")],
+                                "co_municipio_ibge string, co_municipio string, co_uf string, ano short, sexo byte, idade string, pop long")
+    census.write.parquet(str(tmp_path / "census"))
+    pop.write.parquet(str(tmp_path / "pop"))
+    rows = {}
+    for name, buckets in (("plain", None), ("bucketed", 4)):
+        out = str(tmp_path / name)
+        m = jobs.estimate(spark, str(tmp_path / "pop"), str(tmp_path / "census"), out, "2025", top_age=5, buckets=buckets)
+        assert m["unmatched_cells"] == 2 and m["rows"] == 10
+        published, _ = open_published(spark, os.path.join(out, "ibge", "populacao_estimada_raca"))
+        rows[name] = sorted(map(str, published.collect()))
+    assert rows["plain"] == rows["bucketed"]
+    # Another session knows the buckets from the pointer alone.
+    target = os.path.join(str(tmp_path / "bucketed"), "ibge", "populacao_estimada_raca", "weight_cells")
+    entry = table_document(spark, target).read()
+    assert entry["buckets"] == 4
+    other = spark.newSession()
+    other.sql(f"DROP TABLE vigiframe_{entry['path'].rsplit('/', 1)[1].replace('-', '_').lower()}")
+    again = read_table(other, target)
+    assert again.count() == 4 and "Bucketed" in again._jdf.queryExecution().executedPlan().toString()
