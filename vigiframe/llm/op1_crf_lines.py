@@ -17,6 +17,7 @@ from vigiframe.llm.common import id_hash, map_batches
 from vigiframe.llm.features import digit_count, equal_neighbours, longest_run, lower_count, stop_words, symbol_count, upper_count
 
 SAMPLE_DOCS = 1200          # labelled documents that the field is fitted on, at most
+SAMPLE_LINES = 500          # documents of more lines are not drawn: the fit gets SAMPLE_DOCS * SAMPLE_LINES lines at most
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_CONTENT_SHARE = 0.5
@@ -123,7 +124,8 @@ def line_labels(quality: int, x: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.ndarray]:
-    """Field fitted on at most ``sample_docs`` of the labelled documents, drawn by a hash of their ids.
+    """Field fitted on at most ``sample_docs`` of the labelled documents, drawn by a hash of their ids; of these, documents
+    of more than ``SAMPLE_LINES`` lines are left out whole (they are decoded and judged like any other).
 
     Labels that contradict each other, nulls and documents without a label are left out. Of rows that share an id the
     one with the least text hash counts, so a repeated id weighs no more than any other.
@@ -138,7 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
                                              names=["doc_id", "quality", "x"])
 
     # At most sample_docs ids and labels: small enough to send to every task.
-    picked = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(drawn.withColumn("quality", F.col("quality").cast("bigint"))), "doc_id")
+    picked = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.size(F.split("text", "\n")) <= SAMPLE_LINES)).join(F.broadcast(drawn.withColumn("quality", F.col("quality").cast("bigint"))), "doc_id")
     picked = picked.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).getField("text").alias("text"))
     rows = map_batches(picked.select("doc_id", "quality", "text"), chains, "doc_id bigint, quality bigint, x array<float>").orderBy("doc_id").collect()
     xs = [(np.array(r.x, np.float64).reshape(-1, len(FEATURES)), r.quality) for r in rows]
