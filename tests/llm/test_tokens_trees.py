@@ -1,14 +1,18 @@
+import bisect
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from vigiframe.llm import op3_unigram as uni
 from vigiframe.llm import op9_merkle as tree
 from vigiframe.llm import op10_pfor as pfor
+from vigiframe.llm import ordering
 from vigiframe.llm.registry import piece_vocabulary, tokenizer_file
 
 WORDS = tokenizer_file("word_bpe_49k.json")
@@ -93,17 +97,52 @@ def test_tokenizer_equals_library():
         assert np.frombuffer(own.encode([t])[0], "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+def assert_stream(rows, got, library):
+    """The files hold every row once, in ascending order of id (null first), without a gap."""
+    want = [(i, np.array([*library.encode(t or "", add_special_tokens=False).ids, 1], "<u4")) for i, t in rows]
+    key = lambda x: (x[0] is not None, x[0] or 0, *x[1:])
+    assert sorted(((i, len(ids), zlib.crc32(ids.tobytes())) for i, ids in want), key=key) == sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=key)
+    stream = sorted(got, key=lambda r: r.start)
+    assert [key((r.doc_id,)) for r in stream] == sorted(key((i,)) for i, _ in rows)
+    assert [r.start for r in stream] == np.cumsum([0, *[r.n_tokens for r in stream]])[:-1].tolist()
+
+
+@pytest.fixture(scope="module")
+def hot_docs(spark):
+    """One id and null hold a third of the rows each; the least id there is, repeated rows, and texts of all kinds."""
+    rng = random.Random(9)
+    ids = [7] * 300 + [None] * 300 + [-(1 << 63), (1 << 63) - 1] + list(range(100, 398))
+    rows = [(i, " ".join(rng.choice(["one", "two", "three", "Four.", "\n"]) for _ in range(rng.randint(0, 40)))) for i in ids]
+    return spark.createDataFrame(rows + rows[:5] + [(7, None)], "doc_id bigint, text string").repartition(4).cache()
+
+
+def test_frequent_ids_spread_over_ranges(hot_docs, no_docs):
+    for parts in (1, 16, 3000):
+        starts = ordering.range_starts(hot_docs, "doc_id", parts)
+        key = [(i is not None, i or 0, c) for i, c in starts]
+        assert key == sorted(set(key)) and len(starts) <= 1.5 * parts + 3
+        rows = hot_docs.select("doc_id", ordering.text_order().alias("h")).withColumn("n", ordering.range_number(F.col("doc_id"), F.col("h"), starts)).collect()
+        for r in rows:
+            assert r.n == max(0, bisect.bisect_right(key, (r.doc_id is not None, r.doc_id or 0, r.h)) - 1)
+        if parts == 16:
+            assert max(Counter(r.n for r in rows).values()) < 3 * len(rows) / parts
+    assert ordering.range_starts(no_docs, "doc_id", 8) == []
+
+
+def test_frequent_ids_in_files_and_trees(hot_docs):
+    rows = [(r.doc_id, r.text) for r in hot_docs.collect()]
+    assert_stream(rows, pfor.digest(hot_docs, WORDS).collect(), Tokenizer.from_file(WORDS))
+    hashes = {r.text: r.h for r in hot_docs.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).distinct().collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]]))
+    want = Counter((i, hashlib.sha256(tree.edited(t or "", nxt or "").encode()).hexdigest()) for (i, t), (_, nxt) in zip(order, order[1:] + order[:1], strict=True))
+    got = tree.fingerprints(hot_docs).collect()
+    assert Counter((r.doc_id, r.edited_sha256) for r in got) == want
+
+
 def test_files_hold_the_stream_in_order(docs, odd_docs, no_docs):
     library = Tokenizer.from_file(WORDS)
     for table in (docs, odd_docs):
-        rows = sorted(((-1 if r.doc_id is None else r.doc_id), r.text or "") for r in table.collect())
-        start, want = 0, []
-        for i, t in rows:
-            ids = np.array([*library.encode(t, add_special_tokens=False).ids, 1], "<u4")
-            want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
-            start += len(ids)
-        got = sorted(((-1 if r.doc_id is None else r.doc_id), r.start, r.n_tokens, r.ids_crc32) for r in pfor.digest(table, WORDS).collect())
-        assert got == sorted(want)
+        assert_stream([(r.doc_id, r.text) for r in table.collect()], pfor.digest(table, WORDS).collect(), library)
     assert pfor.digest(no_docs, WORDS).count() == 0
 
 
@@ -123,6 +162,8 @@ def test_edits_follow_the_next_document(docs, odd_docs, no_docs):
         changed = t[:len(t) - half] + following[:half]
         a, b = tree.merkle_tree(t), tree.merkle_tree(changed)
         assert got[i].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest() and got[i].n_chars == len(t)
+        places = tree.edited_clauses(a, b)
+        assert got[i].edited_places == (f"{places[0][0]}.{places[0][1]}-{places[-1][0]}.{places[-1][1]}" if places else "")
         assert got[i].fingerprint == a.fingerprint() and got[i].edited_fingerprint == b.fingerprint()
         n = a.leaves() + b.leaves()
         rest = list(b.leaves())
@@ -144,4 +185,7 @@ def test_texts_of_any_script_have_many_leaves():
         changed = tree.merkle_tree(tree.edited(text, letters(3000, 0x410, 0x44F)))
         assert 0.2 < tree.likeness(a, changed) < 0.8
     assert tree.likeness(tree.merkle_tree(logs), tree.merkle_tree(letters(7, 97, 123) + logs)) > 0.9
+    clause = letters(160, 97, 123)
+    a, b = tree.merkle_tree(clause), tree.merkle_tree(clause + "x")
+    assert len(a.leaves()) > 1 and a.leaves()[:-1] == b.leaves()[:len(a.leaves()) - 1]
     assert tree.clauses("One, two. Three") == ["One, ", "two. ", "Three"]

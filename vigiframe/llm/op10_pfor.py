@@ -4,12 +4,13 @@ A block holds up to 128 ids of the token stream: its minimum is subtracted, the
 smallest width that fits at least ``FIT_PERCENT`` of them (a wider one where that makes the block smaller), and the
 few that don't fit are listed as exceptions (place and high bits). Little-endian throughout:
 
-file  = magic "PFOR1\\0\\0\\0", blocks, index, footer
+file  = magic "PFOR2\\0\\0\\0", blocks, index, footer
 block = u32 minimum, u8 width, u8 exceptions, u16 ids, packed low bits (u32 words), exceptions' places (u8 each), high bits (u32 each)
-index = u64 offset of every block; per document: i64 id (or the least i64 for null), u64 ids before it in the file
-footer= u64 offset of the index, u64 blocks, u64 documents, u64 ids, magic
+index = u64 offset of every block; i64 id of every document (0 for null), u64 ids before it in the file, of every document
+footer= u64 offset of the index, u64 blocks, u64 documents, u64 ids, u64 documents with a null id, magic
 
-Documents are in ascending order of id over all files and inside each; a document may start inside a block.
+Documents are in ascending order of id over all files and inside each, null ids first; a document may start inside a
+block. Writing and reading hold a file's index as plain numbers: 16 bytes a document and 8 a block.
 """
 
 from __future__ import annotations
@@ -27,14 +28,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigiframe.llm.common import map_batches, staged
-from vigiframe.llm.ordering import range_count, range_number, range_starts
+from vigiframe.llm.ordering import range_count, range_number, range_starts, text_order
 from vigiframe.session import ensure_checkpoint_dir
 
-MAGIC = b"PFOR1\0\0\0"
+MAGIC = b"PFOR2\0\0\0"
 BLOCK = 128
 FIT_PERCENT = 90
 END_ID = 1
-NULL_ID = -(1 << 63)
+FOOTER = 48
 KNOWN_WORDS = 400_000      # parts of words kept per Python worker, and as many of those before
 FLUSH_BLOCKS = 512
 _HEADER = np.dtype([("minimum", "<u4"), ("width", "u1"), ("exceptions", "u1"), ("ids", "<u2")])
@@ -180,11 +181,11 @@ def tokenizer(path: str) -> Tokenizer:
 
 
 class Writer:
-    """Streams documents into one file; ids wait until ``FLUSH_BLOCKS`` blocks are full, the index until the end."""
+    """Streams documents into one file, those with a null id first; ids wait until ``FLUSH_BLOCKS`` blocks are full, the index until the end."""
 
     def __init__(self, out):
         self.out, self.size, self.rest, self.waiting = out, 0, [], 0
-        self.blocks, self.docs, self.ids = [], [], 0
+        self.blocks, self.docs, self.starts, self.ids, self.nulls = array("q"), array("q"), array("q"), 0, 0
         self._write(MAGIC)
 
     def _write(self, raw: bytes) -> None:
@@ -192,7 +193,11 @@ class Writer:
         self.size += len(raw)
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.docs.append((NULL_ID if doc_id is None else doc_id, self.ids))
+        if doc_id is None and self.nulls < len(self.docs):
+            raise ValueError("null ids come before all others")
+        self.nulls += doc_id is None
+        self.docs.append(doc_id or 0)
+        self.starts.append(self.ids)
         self.ids += len(ids) // 4
         self.rest.append(ids)
         self.waiting += len(ids) // 4
@@ -217,9 +222,9 @@ class Writer:
         if self.waiting:
             self._blocks(np.frombuffer(self.rest[0], "<u4").reshape(1, -1))
         index = self.size
-        self._write(np.array(self.blocks, "<u8").tobytes())
-        self._write(np.array([d for d, _ in self.docs], "<i8").tobytes() + np.array([s for _, s in self.docs], "<u8").tobytes())
-        self._write(np.array([index, len(self.blocks), len(self.docs), self.ids], "<u8").tobytes() + MAGIC)
+        for numbers in (self.blocks, self.docs, self.starts):
+            self._write(np.asarray(numbers, "<i8").tobytes())
+        self._write(np.array([index, len(self.blocks), len(self.docs), self.ids, self.nulls], "<u8").tobytes() + MAGIC)
 
 
 class Reader:
@@ -227,11 +232,11 @@ class Reader:
 
     def __init__(self, source, size: int):
         self.source = source
-        source.seek(size - 40)
-        footer = source.read(40)
-        if footer[32:] != MAGIC:
+        source.seek(size - FOOTER)
+        footer = source.read(FOOTER)
+        if footer[-len(MAGIC):] != MAGIC:
             raise ValueError("not a token file, or cut off")
-        self.index, blocks, docs, self.ids = np.frombuffer(footer, "<u8", 4).astype(int).tolist()
+        self.index, blocks, docs, self.ids, self.nulls = np.frombuffer(footer, "<u8", 5).astype(int).tolist()
         source.seek(self.index)
         raw = source.read(8 * blocks + 16 * docs)
         self.blocks = np.append(np.frombuffer(raw, "<u8", blocks).astype(np.int64), self.index)
@@ -251,16 +256,17 @@ class Reader:
 def write_token_files(docs: DataFrame, path: str, folder: str) -> DataFrame:
     """Tokenise every text and write the files; returns the manifest ``(place, file, docs, ids, start)``.
 
-    One file per range of ids. A file's name is new for every attempt of its task and only files of attempts that
+    One file per range of (id, text hash), so a frequent id spreads over files. A file's name is new for every attempt of its task and only files of attempts that
     Spark commits get into the manifest, so lost or repeated tasks do no harm. Null texts count as empty (one end
-    id), null ids come first, repeated ids follow each other in the order of their texts. An empty table makes no
+    id), null ids come first, repeated ids follow each other in the order of their texts' hashes. An empty table makes no
     file. ``start`` counts the ids of all files before.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     starts = range_starts(rows.select("doc_id"), "doc_id", range_count(spark))
-    placed = rows.withColumn("place", range_number(F.col("doc_id"), starts) + 1).repartitionById(len(starts) + 1, F.col("place"))
-    placed = placed.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    placed = rows.withColumn("order", text_order())
+    placed = placed.withColumn("place", range_number(F.col("doc_id"), F.col("order"), starts)).repartitionById(max(1, len(starts)), F.col("place"))
+    placed = placed.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "order", "text").select("doc_id", "text", "place")
 
     def run(batches):
         store, base = fs.FileSystem.from_uri(folder)
@@ -309,11 +315,11 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                                 ids = reader.read(*have)
                             crcs.append(zlib.crc32(ids[a - have[0]:b - have[0]].tobytes()))
                         numbers = reader.doc_ids[at:stop]
-                        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64(), mask=numbers == NULL_ID), pa.array(cuts[:-1] + before, pa.int64()),
+                        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64(), mask=np.arange(at, stop) < reader.nulls), pa.array(cuts[:-1] + before, pa.int64()),
                                                           pa.array(np.diff(cuts), pa.int64()), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     files = manifest.select("file", "bytes", "start", "place")
-    spread = files.repartitionById(range_count(files.sparkSession) + 1, F.col("place")).select("file", "bytes", "start")
+    spread = files.repartitionById(range_count(files.sparkSession), F.col("place") % range_count(files.sparkSession)).select("file", "bytes", "start")
     return map_batches(spread, run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 

@@ -1,7 +1,7 @@
 """Merkle trees over sections, paragraphs and clauses of a text.
 
-Leaves are the clauses of a paragraph (a line), cut at sentence marks of many scripts and, where a clause is long, at
-places that its last few code points decide, so an edit moves only cuts near it; paragraphs are grouped into sections (up to a blank line, or after
+Leaves are the clauses of a paragraph (a line), cut at sentence marks of many scripts and, whatever their length, at
+places that the last few code points decide, so an edit moves only cuts near it; paragraphs are grouped into sections (up to a blank line, or after
 a paragraph whose digest ends a group), the root is over the sections. A node's digest covers its children's
 digests under a label of its level. Equal texts have equal roots; to compare two trees only branches with different
 digests are followed down, and the clauses that are reached locate the edits.
@@ -20,15 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigiframe.llm.common import map_batches
-from vigiframe.llm.ordering import range_count, range_number, range_starts
+from vigiframe.llm.ordering import range_count, range_number, range_starts, text_order
 from vigiframe.llm.shingles import mix
 
 LEAF_BYTES = 6              # of a clause's digest
 SECTION_MASK = 7            # a paragraph ends its section if its digest's last bits under the mask are zero
-LONG_CLAUSE = 160           # code points; longer clauses are cut further
 CUT_POINTS = 8              # a cut depends on so many code points before it
-CUT_MASK = 31               # ... and falls where the last bits of their hash under the mask are zero
-LONGEST_LEAF = 128          # where no such place comes (periodic text), a leaf ends after so many code points
+CUT_MASK = 63               # ... and falls where the last bits of their hash under the mask are zero
+LONGEST_LEAF = 256          # where no such place comes (periodic text), a leaf ends after so many code points
 # Latin; Chinese and Japanese, full and half width; Arabic and Urdu; Indic; Armenian; Ethiopic; Khmer; Burmese; Tibetan.
 _ENDS = ".!?,;:|…。！？，、；：．｡､؟،؛۔।॥՝։፡።፣፤፥፦፧፨។៕၊။།༎"
 _CLAUSE = re.compile(rf"[^{_ENDS}]*[{_ENDS}]+[^\S\n]*|[^{_ENDS}]+")
@@ -41,22 +40,25 @@ def _digest(level: bytes, parts: bytes, size: int = 16) -> bytes:
 
 def clauses(line: str) -> list[str]:
     """The leaves of a line, in order; together they are the line."""
-    out = []
-    for clause in _CLAUSE.findall(line):
-        if len(clause) <= LONG_CLAUSE:
-            out.append(clause)
-            continue
-        codes = np.frombuffer(clause.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    ends = [m.end() for m in _CLAUSE.finditer(line)]
+    if len(line) > CUT_POINTS:
+        codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         n = len(codes) - CUT_POINTS + 1
         h = np.zeros(n, np.uint64)
         for k in range(CUT_POINTS):
             h += codes[k:k + n] * _SALTS[k]
-        at = 0
-        for cut in [*(np.flatnonzero(mix(h) & np.uint64(CUT_MASK) == 0) + CUT_POINTS).tolist(), len(clause)]:
-            while at < cut:
-                to = min(cut, at + LONGEST_LEAF)
-                out.append(clause[at:to])
-                at = to
+        hit = mix(h) & np.uint64(CUT_MASK) == 0
+        hit[1:] &= ~hit[:-1].copy()     # of neighbouring places (a repeated character) the first counts
+        cuts = np.flatnonzero(hit) + CUT_POINTS
+        begins = np.array([0, *ends])
+        # The points that decide a cut lie in its clause.
+        ends += cuts[cuts - CUT_POINTS >= begins[np.searchsorted(begins, cuts, "left") - 1]].tolist()
+    out, at = [], 0
+    for cut in sorted(ends):
+        while at < cut:
+            to = min(cut, at + LONGEST_LEAF)
+            out.append(line[at:to])
+            at = to
     return out
 
 
@@ -147,35 +149,35 @@ def edited(text: str, following: str) -> str:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)`` per row.
+    """``(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, edited_places)`` per row.
 
-    The next document is the next row in ascending order of id, then of text (repeated rows follow each other), and
-    after the last row the first. Rows without an id come before all others, ordered by text. Null texts count as
-    empty. A single row is its own next.
+    The next document is the next row in ascending order of id, then of the text's hash (repeated rows follow each
+    other), and after the last row the first. Rows without an id come before all others, ordered by the hash. Null
+    texts count as empty. A single row is its own next. ``edited_places`` locates the edit: the ``section.paragraph``
+    places (from 0) of the first and the last paragraph of the edited text that the text has not, empty if there is none.
 
-    Rows go to ranges of ids once; the first row of every range also goes to the end of the range before, so each
-    range is walked by itself with two texts in memory. Ids repeated across a third of the rows would share a range:
-    the walk streams, so that costs time but no memory.
+    Rows go to ranges of (id, hash) once; the first row of every range also goes to the end of the range before, so each
+    range is walked by itself with two texts in memory. A frequent id spreads over ranges; only rows that are equal in
+    id and text share one, where they stream by.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("place_in_id", text_order())
     parts = range_count(docs.sparkSession)
     starts = range_starts(rows.select("doc_id"), "doc_id", parts)
-    part = rows.withColumn("part", range_number(F.col("doc_id"), starts) + 1)
-    # The least row of every range, by id and then by the text's digest: one small row per range.
-    digest = F.sha2(F.col("text").cast("binary"), 256)
-    found = part.groupBy("part").agg(F.min(F.struct(F.col("doc_id"), digest.alias("digest"))).alias("m")).orderBy("part").collect()
-    first = [(r["part"], r["m"]["doc_id"], r["m"]["digest"]) for r in found]
-    # One row per range, at most MAX_RANGES: small enough to send to every task.
-    leads = docs.sparkSession.createDataFrame([(number, at, (at - 1) % len(first), doc_id, sha) for at, (number, doc_id, sha) in enumerate(first)],
-                                              "part int, place int, ahead int, lead_id bigint, lead_digest string")
+    part = rows.withColumn("part", range_number(F.col("doc_id"), F.col("place_in_id"), starts))
+    # The least row of every range: one small row per range.
+    found = part.groupBy("part").agg(F.min(F.struct("doc_id", "place_in_id")).alias("m")).orderBy("part").collect()
+    first = [(r["part"], r["m"]["doc_id"], r["m"]["place_in_id"]) for r in found]
+    # One row of three numbers per range: small enough to send to every task.
+    leads = docs.sparkSession.createDataFrame([(number, at, (at - 1) % len(first), doc_id, h) for at, (number, doc_id, h) in enumerate(first)],
+                                              "part int, place int, ahead int, lead_id bigint, lead_hash bigint")
     dealt = part.join(F.broadcast(leads), "part")
-    is_lead = F.col("doc_id").eqNullSafe(F.col("lead_id")) & (digest == F.col("lead_digest"))
+    is_lead = F.col("doc_id").eqNullSafe(F.col("lead_id")) & (F.col("place_in_id") == F.col("lead_hash"))
     own, ahead = (F.struct(F.col(p).alias("place"), F.lit(last).alias("last")) for p, last in (("place", 0), ("ahead", 1)))
-    dealt = dealt.select(F.explode(F.when(is_lead, F.array(own, ahead)).otherwise(F.array(own))).alias("p"), "doc_id", "text")
-    walk = dealt.select("p.place", "p.last", "doc_id", "text").repartitionById(max(1, len(first)), F.col("place"))
-    walk = walk.sortWithinPartitions("last", F.col("doc_id").asc_nulls_first(), digest)
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    dealt = dealt.select(F.explode(F.when(is_lead, F.array(own, ahead)).otherwise(F.array(own))).alias("p"), "doc_id", "place_in_id", "text")
+    walk = dealt.select("p.place", "p.last", "doc_id", "place_in_id", "text").repartitionById(max(1, len(first)), F.col("place"))
+    walk = walk.sortWithinPartitions("last", F.col("doc_id").asc_nulls_first(), "place_in_id", "text")
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "edited_places"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.string()]
 
     def run(batches):
         held = None
@@ -190,12 +192,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     return map_batches(walk.select("last", "doc_id", "text"), run,
-                       "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+                       "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, edited_places string")
 
 
 def _compared(own: tuple, tree: Tree, following: str, next_tree: Tree) -> tuple:
     doc_id, text = own
     changed = edited(text, following)
     changed_tree = merkle_tree(changed)
+    places = [f"{i}.{j}" for i, j in edited_clauses(tree, changed_tree)]
     return (doc_id, len(text), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(), tree.fingerprint(), changed_tree.fingerprint(),
-            likeness(tree, changed_tree), likeness(tree, next_tree))
+            likeness(tree, changed_tree), likeness(tree, next_tree), "-".join((places[0], places[-1])) if places else "")
