@@ -38,28 +38,51 @@ def _digest(level: bytes, parts: bytes, size: int = 16) -> bytes:
     return hashlib.blake2b(parts, digest_size=size, person=level).digest()
 
 
+def _cut_places(text: str) -> np.ndarray:
+    """Places of a text, in ascending order, at which the code points before them (of one line) call for a cut."""
+    if len(text) <= CUT_POINTS:
+        return np.zeros(0, np.int64)
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = len(codes) - CUT_POINTS + 1
+    h = np.zeros(n, np.uint64)
+    for k in range(CUT_POINTS):
+        h += codes[k:k + n] * _SALTS[k]
+    at = np.flatnonzero(mix(h) & np.uint64(CUT_MASK) == 0)
+    breaks = np.flatnonzero(codes == 10)
+    at = at[np.searchsorted(breaks, at) == np.searchsorted(breaks, at + CUT_POINTS)]
+    # Of neighbouring places (a repeated character) the first counts.
+    return at[np.diff(at, prepend=-2) > 1] + CUT_POINTS
+
+
+def _leaves(text: str) -> list[list[str]]:
+    """The leaves of every line of a text."""
+    cuts = _cut_places(text).tolist()
+    out, begin, k = [], 0, 0
+    for line in text.split("\n"):
+        leaves, at = [], 0
+        for clause in _CLAUSE.findall(line):
+            end = at + len(clause)
+            start = begin + at + CUT_POINTS     # the points that decide a cut lie in its clause
+            while k < len(cuts) and cuts[k] < start:
+                k += 1
+            ends = [end]
+            while k < len(cuts) and cuts[k] < begin + end:
+                ends.insert(-1, cuts[k] - begin)
+                k += 1
+            for to in ends:
+                while to - at > LONGEST_LEAF:
+                    leaves.append(line[at:at + LONGEST_LEAF])
+                    at += LONGEST_LEAF
+                leaves.append(line[at:to])
+                at = to
+        out.append(leaves)
+        begin += len(line) + 1
+    return out
+
+
 def clauses(line: str) -> list[str]:
     """The leaves of a line, in order; together they are the line."""
-    ends = [m.end() for m in _CLAUSE.finditer(line)]
-    if len(line) > CUT_POINTS:
-        codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        n = len(codes) - CUT_POINTS + 1
-        h = np.zeros(n, np.uint64)
-        for k in range(CUT_POINTS):
-            h += codes[k:k + n] * _SALTS[k]
-        hit = mix(h) & np.uint64(CUT_MASK) == 0
-        hit[1:] &= ~hit[:-1].copy()     # of neighbouring places (a repeated character) the first counts
-        cuts = np.flatnonzero(hit) + CUT_POINTS
-        begins = np.array([0, *ends])
-        # The points that decide a cut lie in its clause.
-        ends += cuts[cuts - CUT_POINTS >= begins[np.searchsorted(begins, cuts, "left") - 1]].tolist()
-    out, at = [], 0
-    for cut in sorted(ends):
-        while at < cut:
-            to = min(cut, at + LONGEST_LEAF)
-            out.append(line[at:to])
-            at = to
-    return out
+    return _leaves(line)[0]
 
 
 @dataclass
@@ -80,8 +103,8 @@ class Tree:
 def merkle_tree(text: str) -> Tree:
     """The tree of a whole text. An empty text has one empty paragraph without a clause."""
     sections, current = [], []
-    for line in text.split("\n"):
-        leaves = [hashlib.blake2b(c.encode("utf-8", "replace"), digest_size=LEAF_BYTES).digest() for c in clauses(line)]
+    for line, own in zip(text.split("\n"), _leaves(text), strict=True):
+        leaves = [hashlib.blake2b(c.encode("utf-8", "replace"), digest_size=LEAF_BYTES).digest() for c in own]
         paragraph = _digest(b"paragraph", b"".join(leaves))
         current.append((paragraph, leaves))
         if not leaves or not line.strip() or paragraph[-1] & SECTION_MASK == 0:
