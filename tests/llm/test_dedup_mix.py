@@ -69,6 +69,32 @@ def test_blocks_link_what_the_centre_missed(spark):
     assert got == {(i, i + 1) for i in range(7)}
 
 
+def test_tiles_of_a_large_bucket_meet_every_pair_once(spark, monkeypatch):
+    """A bucket cut into many blocks and pieces gives the links that all pairs give."""
+    monkeypatch.setattr(dart, "TILE_ROWS", 7)
+    monkeypatch.setattr(dart, "TILE_SHINGLES", 900)
+    rng = np.random.default_rng(5)
+    texts = {}
+    for i in range(60):
+        words = [f"w{i % 12}x{k}" for k in range(120)]
+        for at in rng.integers(0, 120, rng.integers(0, 4)):
+            words[at] = f"new{i}x{at}"
+        texts[i] = " ".join(words)
+    key = {i: bytes([i]) * 16 for i in texts}
+    members = spark.createDataFrame([(h, key[i], 116, key[i], key[0]) for i in texts for h in (1, 2)], "hash bigint, key binary, n int, root binary, top binary")
+    table = spark.createDataFrame([(key[i], t) for i, t in texts.items()], "key binary, text string")
+    got = {(bytes(r.a)[0], bytes(r.b)[0]) for r in dart.linked_in_blocks(members, table).collect()}
+    sets = {i: plain_set(t) for i, t in texts.items()}
+    want = {(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert got == want and len(want) > 40
+
+
+def test_shingle_index_counts():
+    sets = [np.array(x, np.uint64) for x in ([1, 4, 9], [], [4, 5], [2])]
+    index = dart.ShingleIndex(sets)
+    assert index.shared(np.array([0, 4, 9, 11], np.uint64)).tolist() == [2, 0, 1, 0] and index.shared(np.array([7], np.uint64)).tolist() == [0] * 4
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(3)
     items = rng.integers(1, 1 << 62, 400, dtype=np.uint64)

@@ -28,7 +28,9 @@ BANDS = 20
 ROWS = 4
 SIMILARITY = 0.8
 PROBES = 4              # further members of a bucket's leading class that the texts outside it are compared with
-BLOCK_QUERIES = 64
+# Rows of either side of a tile, and shingles of its queries, which are in memory at once (8 bytes each).
+TILE_ROWS = 256
+TILE_SHINGLES = 1 << 20
 
 
 def _uniform(h: np.ndarray) -> np.ndarray:
@@ -195,45 +197,66 @@ def open_members(cells: DataFrame, roots: DataFrame) -> DataFrame:
     return staged(member.join(most.select("hash", F.col("top.root").alias("top")), "hash"))
 
 
+class ShingleIndex:
+    """Shingles of several sets in one sorted array, with the set each comes from."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        joined = np.concatenate(sets)
+        order = np.argsort(joined, kind="stable")
+        self.count, self.shingles = len(sets), joined[order]
+        self.owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[order]
+
+    def shared(self, own: np.ndarray) -> np.ndarray:
+        """How many shingles each set shares with ``own`` (distinct ones)."""
+        low = np.searchsorted(self.shingles, own, "left")
+        runs = np.searchsorted(self.shingles, own, "right") - low
+        shift = np.repeat(low - (np.cumsum(runs) - runs), runs)
+        return np.bincount(self.owner[shift + np.arange(len(shift))], minlength=self.count)
+
+
 def linked_in_blocks(members: DataFrame, texts: DataFrame, words: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """``(a, b)``: links between each text outside its bucket's leading class and the bucket's texts of other classes.
 
-    The texts outside are queries, dealt into blocks of about ``BLOCK_QUERIES``; every member of the bucket passes
-    by every block once and is compared with the block's queries there, so no pair becomes a row unless it is a
-    link that joins two classes (one per query and class).
+    A bucket is a grid of tiles: its texts outside are queries, dealt into blocks, and all its members are dealt into
+    pieces. The queries of a tile form one index of shingles, and the tile's members pass by it one after the other, so
+    no pair becomes a row unless it is a link that joins two classes (one per query, class and piece). A query and a
+    member meet in one tile, and no tile grows with its bucket.
     """
     queries = members.where("root <> top")
-    blocks = queries.groupBy("hash").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("blocks"))
-    asked = queries.join(blocks, "hash").select("hash", F.expr("pmod(xxhash64(key), blocks)").cast("int").alias("block"), F.lit(0).alias("turn"), "key", "root")
-    passing = members.join(blocks, "hash").select("hash", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("turn"), "key", "root")
-    stream = asked.unionByName(passing).join(texts, "key").select("hash", "block", "turn", "key", "root", "text")
+    blocks = queries.groupBy("hash").agg(F.greatest(F.ceil(F.count("*") / TILE_ROWS), F.ceil(F.sum("n") / TILE_SHINGLES)).cast("int").alias("blocks"))
+    pieces = members.groupBy("hash").agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("pieces"))
+    grid = blocks.join(pieces, "hash")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asked = queries.join(grid, "hash").select("hash", F.expr("pmod(xxhash64(key), blocks)").cast("int").alias("block"), each("pieces").alias("piece"),
+                                              F.lit(0).alias("turn"), "key", "root")
+    passing = members.join(grid, "hash").select("hash", each("blocks").alias("block"), F.expr("pmod(xxhash64(key, 1), pieces)").cast("int").alias("piece"),
+                                                F.lit(1).alias("turn"), "key", "root")
+    stream = asked.unionByName(passing).join(texts, "key").select("hash", "block", "piece", "turn", "key", "root", "text")
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stream = stream.repartition(parts, "hash", "block").sortWithinPartitions("hash", "block", "turn", "key")
+    stream = stream.repartition(parts, "hash", "block", "piece").sortWithinPartitions("hash", "block", "piece", "turn", "key")
 
     def run(batches):
-        block, keys, roots, sets, owner, joined, told = None, [], [], [], None, None, set()
+        tile, keys, roots, sets, index, told = None, [], [], [], None, set()
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(6)]
+            columns = [batch.column(i).to_pylist() for i in range(7)]
             mine = []
-            for part in by_characters(columns[5]):
-                mine += [e for e, _ in shingle_sets(columns[5][part], words)]
+            for part in by_characters(columns[6]):
+                mine += [e for e, _ in shingle_sets(columns[6][part], words)]
             found = []
-            for h, number, turn, key, root, own in zip(*columns[:5], mine, strict=True):
-                if (h, number) != block:
-                    block, keys, roots, sets, joined, told = (h, number), [], [], [], None, set()
+            for h, block, piece, turn, key, root, own in zip(*columns[:6], mine, strict=True):
+                if (h, block, piece) != tile:
+                    tile, keys, roots, sets, index, told = (h, block, piece), [], [], [], None, set()
                 if turn == 0:
                     keys.append(key)
                     roots.append(root)
                     sets.append(own)
                     continue
-                if joined is None:
-                    sizes = np.array([len(x) for x in sets])
-                    joined, owner = np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.repeat(np.arange(len(sets)), sizes)
-                if not len(joined) or not len(own):
+                if not sets or not len(own):
                     continue
-                place = np.minimum(np.searchsorted(own, joined), len(own) - 1)
-                both = np.bincount(owner[own[place] == joined], minlength=len(sets))
-                for i in np.flatnonzero(both >= similarity * (sizes + len(own) - both)).tolist():
+                if index is None:
+                    index, sizes = ShingleIndex(sets), np.array([len(x) for x in sets])
+                both = index.shared(own)
+                for i in np.flatnonzero((both > 0) & (both >= similarity * (sizes + len(own) - both))).tolist():
                     if roots[i] != root and (keys[i], root) not in told:
                         told.add((keys[i], root))
                         found.append((min(key, keys[i]), max(key, keys[i])))
