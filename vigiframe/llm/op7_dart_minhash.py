@@ -278,7 +278,8 @@ def near_duplicate_classes(docs: DataFrame, **options) -> DataFrame:
     tagged = rows.join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
     tagged = staged(tagged.select("doc_id", "key", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "key")).alias("root")))
     least = tagged.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("lead"), F.count("*").alias("class_size"))
-    found = tagged.join(least.where("class_size > 1"), "root", "left")
+    # Written first: between the sum and the join there is then a shuffle of its own, and a hot class's rows may be split.
+    found = tagged.join(staged(least.where("class_size > 1")), "root", "left")
     is_lead = F.coalesce((F.col("doc_id") == F.col("lead.doc_id")) & (F.col("key") == F.col("lead.key")), F.lit(True))
     return found.select("doc_id", "key", F.coalesce("lead.doc_id", "doc_id").alias("class_id"),
                         F.coalesce("class_size", F.lit(1)).alias("class_size"), is_lead.alias("is_lead"))
