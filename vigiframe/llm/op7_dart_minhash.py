@@ -156,7 +156,8 @@ def near_duplicate_links(docs: DataFrame, bands: int = BANDS, rows: int = ROWS,
     alike = F.least("n", "n_a") >= F.greatest("n", "n_a") * F.lit(similarity)
     stars = staged(cells.join(centre, "hash").where((F.col("key") != F.col("a")) & alike).select("a", F.col("key").alias("b")).distinct())
     wanted = cells.select("key").distinct()
-    texts = staged(keyed.join(wanted, "key", "left_semi").select("key", "text").dropDuplicates(["key"]))
+    # Copies collapse before the shuffle, not after the join.
+    texts = staged(keyed.select("key", "text").dropDuplicates(["key"]).join(wanted, "key", "left_semi"))
     links = staged(verified(stars, texts, words, similarity))
     roots = connected_components(links)
 
