@@ -104,6 +104,8 @@ def test_missing_files_and_partial_run_gate(spark, tmp_path):
                                   [(os.path.join(root, "gone.parquet"),)], "path string")
     missing = [r.path for r in missing_published_files(spark, paths, root).collect()]
     assert missing == [os.path.join(root, "gone.parquet")]
+    folders = spark.createDataFrame([(folder,), (folder + "/",), ("file:" + folder,), (folder.replace("co_uf=33", "co_uf=35"),), (folder[:-1],)], "path string")
+    assert {r.path for r in missing_published_files(spark, folders, root).collect()} == {folder.replace("co_uf=33", "co_uf=35"), folder[:-1]}
 
 
 STATES = "co_uf string, v long"

@@ -18,7 +18,7 @@ from vigiframe.session import ensure_checkpoint_dir
 from vigiframe.sinks import store
 from vigiframe.sinks.publish import (changed_parts, conform, file_hashes, files_map, fingerprint, publish_nonempty, publish_partitioned,
                                      read_table)
-from vigiframe.sinks.reference import (copy_publish, publish_reference, publish_tables, read_reference, register, verify_published)
+from vigiframe.sinks.reference import (copy_publish, missing_published_files, publish_reference, publish_tables, read_reference, register, verify_published)
 from vigiframe.sources import files as SRC
 from vigiframe.tables import TABLES, Tables
 
@@ -177,6 +177,20 @@ def man_missing_files(spark, sf_dir):
     return expected.join(present, "data", "left_anti")
 
 
+@query("man_missing_parts", f"""
+SELECT DISTINCT {zf('c_nationkey', 2)} AS part FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey >= 3""")
+def man_missing_parts(spark, sf_dir):
+    """M6: a run publishes the states of three regions; of the folders that a manifest of all customers' states names,
+    those without a file are found from the file listing."""
+    t, root = Tables(spark, sf_dir), _new_folder(spark, "missing")
+    states = t.nation.select("n_nationkey", "n_regionkey")
+    c = t.customer.join(states, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_regionkey", S.zfill("c_nationkey", 2).alias("co_uf"))
+    done = publish_reference(c.where("n_regionkey < 3").select("c_custkey", "co_uf"), root, "clientes", "1", "co_uf", ["c_custkey"])
+    run = done["runs"][0]["path"]
+    wanted = c.select("co_uf").distinct().select(F.concat(F.lit(f"{run}/co_uf="), "co_uf").alias("path"))
+    return missing_published_files(spark, wanted, run).select(F.regexp_extract("path", "co_uf=([^/]+)$", 1).alias("part"))
+
+
 @query("con_partition_lookup", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE o_orderstatus = 'F' AND o_custkey = 10""")
 def con_partition_lookup(spark, sf_dir):

@@ -152,15 +152,17 @@ def register(registry_path: str, reference_id: str, manifest_path: str) -> dict:
 
 
 def missing_published_files(spark: SparkSession, manifest_paths: DataFrame, root: str) -> DataFrame:
-    """Manifest file paths with no file under ``root`` (anti join with a listing that
-    reads no file contents). Empty result = everything is there."""
+    """Manifest paths with no file under ``root`` (anti join with a listing that reads no file
+    contents). A path may name a file, or a part's folder, which is there if it holds a file itself.
+    Empty result = everything is there."""
     from vigiframe.sources.files import list_files
-    wanted = manifest_paths.select(_place(F.col("path")).alias("_p"), "path").distinct()
+    wanted = manifest_paths.select(F.rtrim(_place(F.col("path")), F.lit("/")).alias("_p"), "path").distinct()
     if not store.exists(spark, root):
         return wanted.select("path")
     # Run folders are hidden from a listing of what lies above them.
     runs = [posixpath.join(root, *above, "_runs") for above in [(), *((n,) for n in store.names(spark, root) if n.startswith("version="))]]
-    listing = list_files(spark, [root, *(r for r in runs if store.exists(spark, r))]).select(_place(F.col("path")).alias("_p"))
+    files = list_files(spark, [root, *(r for r in runs if store.exists(spark, r))]).select(_place(F.col("path")).alias("_p"))
+    listing = files.unionByName(files.select(F.regexp_replace("_p", "/[^/]*$", "").alias("_p")).distinct())
     return wanted.join(listing, "_p", "left_anti").select("path")
 
 
